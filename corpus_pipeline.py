@@ -7,6 +7,8 @@ from pyspark.sql import DataFrame, SparkSession
 from ledgerloom.llm.bpe import token_digests
 from ledgerloom.llm.common import stash, table
 from ledgerloom.llm.exact_dedup import drop_exact_copies
+from ledgerloom.llm.fm_index import drop_contaminated
+from ledgerloom.llm.minhash import drop_near_copies
 from ledgerloom.llm.toxicity import drop_toxic
 
 
@@ -20,6 +22,16 @@ def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return drop_exact_copies(docs)
 
 
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near-duplicates stays, the one of the smallest doc_id."""
+    return drop_near_copies(docs)
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents go of which benchmark windows cover a twentieth of the words or more."""
+    return drop_contaminated(docs, table(spark, sf_dir, "benchmark"))
+
+
 def bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The texts that are left, as digests of token ids and of the bytes that they decode to."""
     import public_tokenizers
@@ -27,7 +39,13 @@ def bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return token_digests(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
-STAGES = [("toxicity", toxicity), ("exact_dedup", exact_dedup), ("bpe", bpe)]
+STAGES = [
+    ("toxicity", toxicity),
+    ("exact_dedup", exact_dedup),
+    ("near_dedup", near_dedup),
+    ("decontamination", decontamination),
+    ("bpe", bpe),
+]
 
 #: SQL can't express training, MinHash and BPE; the tests hold the stages against brute force.
 ORACLE_SQL = None

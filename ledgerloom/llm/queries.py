@@ -4,12 +4,16 @@ from __future__ import annotations
 
 from ledgerloom.llm.bpe import op4_bpe
 from ledgerloom.llm.exact_dedup import OP9_SQL, op9_exact_dedup
+from ledgerloom.llm.fm_index import op8_decontamination
+from ledgerloom.llm.minhash import op3_minhash
 from ledgerloom.llm.toxicity import op10_toxicity
 from ledgerloom.llm.url_filter import OP1_SQL, op1_url_filters
 
 QUERIES = {
     "op1_url_filters": op1_url_filters,
+    "op3_minhash": op3_minhash,
     "op4_bpe": op4_bpe,
+    "op8_decontamination": op8_decontamination,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_toxicity": op10_toxicity,
 }
