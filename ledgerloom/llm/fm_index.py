@@ -224,10 +224,13 @@ def _passes(docs: DataFrame, benchmark: DataFrame, text_col: str, block_bytes: i
     item = benchmark.select(F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("name"), text_bytes("text").alias("text"))
     total = item.agg(F.sum(F.octet_length("text") + F.octet_length("name"))).first()[0] or 0
     blocks = max(1, -(-total // block_bytes))
-    schema = docs.schema
-    for name, kind in (("\x00n_words", "long"), (_OLD, "array<struct<start:long,stop:long>>"), (_ITEMS, "array<string>")):
-        schema = schema.add(name, kind)
-    df = docs.select("*", F.lit(0).cast("long").alias("\x00n_words"), F.array().cast(schema[_OLD].dataType).alias(_OLD), F.array().cast("array<string>").alias(_ITEMS))
+    df = docs.select(
+        "*",
+        F.lit(0).cast("long").alias("\x00n_words"),
+        F.array().cast("array<struct<start:long,stop:long>>").alias(_OLD),
+        F.array().cast("array<string>").alias(_ITEMS),
+    )
+    schema = df.schema
     for k in range(blocks):
         part = item.where(F.pmod(F.xxhash64("name", "text"), F.lit(blocks)) == k) if blocks > 1 else item
         phrases = Phrases([(r["name"], bytes(r["text"])) for r in part.collect()])
