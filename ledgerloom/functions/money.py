@@ -35,7 +35,8 @@ def decimal_text(c: str | Column) -> Column:
 
 def clean_amount(c: str | Column) -> Column:
     """Two decimals as text, null if it isn't an amount; the sign is lost."""
-    return F.format_string("%.2f", _number(decimal_text(c)))
+    n = _number(decimal_text(c))
+    return F.when(n.isNotNull(), F.format_string("%.2f", n))
 
 
 def parse_money(c: str | Column) -> Column:
