@@ -41,6 +41,14 @@ def fill_keys(df: DataFrame, best: DataFrame, name: str = "Nombre personalizado"
     return df.join(b, F.col(f"`{name}`") == F.col("_name"), "left").withColumn(key, F.when(empty, F.coalesce("_llave", F.col(f"`{key}`"))).otherwise(F.col(f"`{key}`"))).drop("_name", "_llave")
 
 
+def fill_counts(before: DataFrame, after: DataFrame, key: str = "Llave") -> DataFrame:
+    """keys that were filled, and rows without a key before and after."""
+    empty = F.coalesce(F.trim(F.col(f"`{key}`")) == "", F.lit(True))
+    n = lambda df, name: df.agg(F.count_if(empty).alias(name))
+    both = n(before, "empty_before").crossJoin(n(after, "empty_after"))  # one row each
+    return both.select((F.col("empty_before") - F.col("empty_after")).alias("filled"), "empty_before", "empty_after")
+
+
 def _common(a: str, b: str) -> int:
     """Length of the longest common subsequence, by bits."""
     at: dict[str, int] = {}

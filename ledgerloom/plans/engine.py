@@ -171,5 +171,5 @@ class Engine:
 
 
 def default_root() -> str:
-    """The folder of the tables, by ORIGEN_DESTINO_ROOT or the current one."""
-    return os.environ.get("ORIGEN_DESTINO_ROOT", ".")
+    """The folder of the tables, by LEDGERLOOM_ROOT or the current one."""
+    return os.environ.get("LEDGERLOOM_ROOT", ".")

@@ -285,6 +285,20 @@ def a_month_day_route(spark: SparkSession, d: str) -> DataFrame:
     return imp.join(exp, "id")
 
 
+@query(f"""WITH {v.STYLED} SELECT o_orderkey AS id, CASE WHEN o_orderkey % 7 > 0 THEN 'BK' || lpad(CAST(o_custkey AS VARCHAR), 6, '0') END AS receiver,
+  strftime(o_orderdate, '%Y-%m-%d') AS date, CASE WHEN o_orderkey % 5 = 1 AND o_totalprice >= 1000 THEN printf('%.2f', CAST(replace(printf('%.2f', o_totalprice), '.', '') AS DOUBLE))
+  ELSE printf('%.2f', o_totalprice) END AS amount FROM orders""")
+def a_mail_rows(spark: SparkSession, d: str) -> DataFrame:
+    from ledgerloom.sources.tabular import mail_rows
+
+    k = F.col("o_orderkey")
+    sheet = v.table(spark, d, "orders").select(
+        k.alias("id"), F.when(k % 7 > 0, F.concat(F.lit(" bk"), F.lpad(F.col("o_custkey").cast("string"), 6, "0"))).otherwise("nan").alias("Receiver"),
+        F.date_format("o_orderdate", "dd MMM yyyy").alias("DATE"), v.styled("o_totalprice", "o_orderkey").alias("Amount"), k.cast("string").alias("Beneficiary Customer"),
+    )
+    return mail_rows(sheet).select(F.col("Proveedor").cast("long").alias("id"), F.col("Receiver").alias("receiver"), F.col("Date").alias("date"), F.col("Amount").alias("amount"))
+
+
 # --- D: filters and predicates ------------------------------------------------------------------------------------
 
 
@@ -386,19 +400,27 @@ def e_reconcile_cascade(spark: SparkSession, d: str) -> DataFrame:
     return _reconciled(spark, d)
 
 
+@query(f"{_CASCADE} SELECT id, rule, formulario FROM found")
+def e_reconcile_text(spark: SparkSession, d: str) -> DataFrame:
+    """As e_reconcile_cascade from sheets of text: file names, serial dates, amounts with a comma, forms with .0."""
+    m = v.msgs(spark, d).select(
+        "id", F.date_format("fecha_key", "yyyy-MM-dd").alias("Date"), F.translate(F.format_string("%.2f", F.col("amount")), ".", ",").alias("Amount"),
+        F.concat(F.lit("11487 11453 "), F.translate("proveedor", "#", "-"), F.lit(".PDF")).alias("Nombre archivo"),
+    )
+    m = m.withColumn("Amount", F.when(F.col("Amount") != "null", F.col("Amount")))
+    rows = v.ledger(spark, d).select(
+        F.datediff("fecha_key", F.lit("1899-12-30").cast("date")).cast("string").alias("Fecha"), F.concat("formulario", F.lit(".0")).alias("FORMULARIO"),
+        F.col("detalle").alias("DETALLE"), F.format_string("%.2f", F.col("monto")).alias("debito"), "row_order",
+    )
+    return cascade.reconcile(cascade.message_keys(m), cascade.ledger_keys(rows, "DEBITO"), loose_single=True)
+
+
 @query(f"""{_CASCADE} SELECT count(formulario) AS updated, count(*) FILTER (rule LIKE 'multi%') AS multi_matched, count(*) FILTER (rule IN ('multi_exact', 'multi_sum')) AS multi_ok,
   count(*) FILTER (rule = 'multi_fail') AS multi_fail FROM found""")
 def f_match_counts(spark: SparkSession, d: str) -> DataFrame:
     return cascade.match_counts(_reconciled(spark, d))
 
 
-_ARGMAX = f"""{v.REGISTRY}, names AS (SELECT DISTINCT 'Firm ' || replace(proveedor, '#', ' ') || ' BANKUS33XXX' AS name FROM msgs),
-nt AS (SELECT name, regexp_extract_all(lower(name), '[a-z0-9]+') AS st FROM names), rt AS (SELECT *, regexp_extract_all(lower(nombre), '[a-z0-9]+') AS od FROM registry),
-p AS (SELECT name, llave, od_order, len(list_filter(st, lambda t: list_contains(od, t))) AS n, n / greatest(len(st), len(od)) AS ratio
-  FROM nt JOIN rt ON list_contains(od, st[3]) WHERE list_contains(od, st[1]) AND list_contains(od, st[2])),
-best AS (SELECT name, llave, ratio FROM p WHERE n >= 2 AND ratio >= 0.6 QUALIFY row_number() OVER (PARTITION BY name ORDER BY ratio DESC, od_order) = 1)"""
-
-
 def _display(spark: SparkSession, d: str) -> DataFrame:
     return v.msgs(spark, d).withColumn("name", F.concat(F.translate("proveedor", "#", " "), F.lit(" Firm BANKUS33XXX")))
 
@@ -413,6 +435,17 @@ def e_token_argmax(spark: SparkSession, d: str) -> DataFrame:
     return best.select("name", F.round("ratio", 6).alias("ratio"), "llave")
 
 
+@query(f"""WITH {v.MSGS}, {v.REGISTRY}, nt AS (SELECT id, regexp_extract_all(lower(replace(proveedor, '#', ' ') || ' Firm BANKUS33XXX'), '[a-z0-9]+') AS st FROM msgs),
+rt AS (SELECT DISTINCT regexp_extract_all(lower(nombre), '[a-z0-9]+') AS od FROM registry),
+hit AS (SELECT DISTINCT id FROM nt JOIN rt ON nt.st[2] = rt.od[3] WHERE list_contains(od, st[1]) AND len(list_filter(st, lambda t: list_contains(od, t))) / greatest(len(st), len(od)) >= 0.6)
+SELECT count(*) FILTER (id % 3 > 0 AND id IN (SELECT id FROM hit)) AS filled, count(*) FILTER (id % 3 > 0) AS empty_before,
+  count(*) FILTER (id % 3 > 0 AND id NOT IN (SELECT id FROM hit)) AS empty_after FROM msgs""")
+def f_fill_counts(spark: SparkSession, d: str) -> DataFrame:
+    before = _display(spark, d).select(F.col("name").alias("Nombre personalizado"), F.when(F.col("id") % 3 == 0, "OLD").alias("Llave"))
+    best = argmax.best_by_tokens(before.select(F.col("Nombre personalizado").alias("name")), v.registry_rows(spark, d))
+    return argmax.fill_counts(before, argmax.fill_keys(before, best))
+
+
 @query("""WITH m AS (SELECT o_orderkey AS row_order, '00' || o_custkey || '-None-' || (o_custkey + 1) AS f, 'K' || o_orderkey AS llave FROM orders WHERE o_orderkey % 3 > 0),
 e AS (SELECT CAST(regexp_extract(f, '^00(\\d+)-', 1) AS VARCHAR) AS numero, row_order, 0 AS p, llave FROM m UNION ALL SELECT regexp_extract(f, '-(\\d+)$', 1), row_order, 2, llave FROM m),
 k AS (SELECT numero, arg_min(llave, (row_order, p)) AS llave FROM e GROUP BY 1)
@@ -522,3 +555,10 @@ def g_unmatched_topk(spark: SparkSession, d: str) -> DataFrame:
 @query(f"WITH {v.DIRECTORY} SELECT code11, pais, ciudad FROM directory")
 def g_keep_first(spark: SparkSession, d: str) -> DataFrame:
     return records.directory(v.directory_rows(spark, d), "code", "country", "city", "src_order")
+
+
+@query(f"{_HALVES} SELECT id, version, count(*) AS n FROM (SELECT id, 'V1' AS version FROM old UNION ALL SELECT id, 'V2' FROM new) GROUP BY 1, 2")
+def h_union_versions(spark: SparkSession, d: str) -> DataFrame:
+    old, new = _halves(spark, d)
+    both = old.withColumn("version", F.lit("V1")).drop("Amount").unionByName(new.withColumn("version", F.lit("V2")), allowMissingColumns=True)
+    return both.groupBy("id", "version").agg(F.count("*").alias("n"))
