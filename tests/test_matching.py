@@ -1,4 +1,6 @@
 import pytest
+from hypothesis import given
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from ledgerloom.functions.text import meaningful_tokens, text_key, tokens
@@ -74,6 +76,15 @@ def test_fuzzy(spark):
     assert sorted(r[0] for r in argmax.enrich_names(df, argmax.best_fuzzy(names, master)).collect()) == ["OTRA", "zzz"]
 
 
+@given(st.text("abcd", max_size=12), st.text("abcd", max_size=12))
+def test_common_subsequence(a, b):
+    rows = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
+    for i, x in enumerate(a):
+        for j, y in enumerate(b):
+            rows[i + 1][j + 1] = rows[i][j] + 1 if x == y else max(rows[i][j + 1], rows[i + 1][j])
+    assert argmax._common(a, b) == rows[-1][-1]
+
+
 def test_registry_update(spark):
     msgs = spark.createDataFrame([(1, "101-None-102", "K1"), (2, "102", "K2"), (3, "104", " ")], "row_order int, Formulario string, Llave string")
     rows = spark.createDataFrame([("101", None), ("102", "OLD"), ("103", ""), ("00101", ""), ("101.0", "K1")], "Consecutivo string, `Llave Origen Destino` string")
