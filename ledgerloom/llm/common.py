@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
+import gc
 import tempfile
 import uuid
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -44,12 +48,29 @@ def text_bytes(text: str | Column) -> Column:
     return F.coalesce((F.col(text) if isinstance(text, str) else text).cast("binary"), F.lit(b""))
 
 
-def bounded_batches(spark: SparkSession, most: str = "16m") -> None:
+def bounded_batches(spark: SparkSession, most: str = "4m") -> None:
     """Keep Arrow batches to a few MB whatever the length of the texts."""
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", most)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "4096")
 
 
+_held: dict[str, Callable[[], None]] = {}
+
+
+def claim(owner: str, clear: Callable[[], None] = lambda: None) -> None:
+    """Called where an operator starts in a Python worker: what other operators have cached there is dropped and given
+    back to the system, since workers live on from stage to stage and their memory adds up."""
+    others = [n for n in _held if n != owner]
+    for name in others:
+        _held.pop(name)()
+    if others:
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+        with contextlib.suppress(OSError, AttributeError):  # only glibc has it
+            ctypes.CDLL(None).malloc_trim(0)
+    _held[owner] = clear
+
+
 def merge_spans(spans: Sequence[tuple[int, int]]) -> list[tuple[int, int]]:
     """Half-open spans as disjoint spans in order."""
     out: list[tuple[int, int]] = []

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.common import FOLD_ALNUM, bounded_batches, table, text_bytes
+from ledgerloom.llm.common import FOLD_ALNUM, bounded_batches, claim, table, text_bytes
 from ledgerloom.llm.fm_index import words
 
 #: Phrases and labels that always count.
@@ -198,6 +198,7 @@ def scan_licenses(docs: DataFrame) -> DataFrame:
     bounded_batches(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        claim("license_scan")
         s = scanner()
         for b in batches:
             got = [s.scan(t) for t in b.column(1).to_pylist()]

@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.common import bounded_batches, stash, table, text_bytes
+from ledgerloom.llm.common import bounded_batches, claim, stash, table, text_bytes
 
 #: Lines of the shortest run that counts.
 RUN = 3
@@ -56,6 +56,7 @@ def fingerprints(h: np.ndarray, run: int) -> np.ndarray:
 
 def _selected(run: int):
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        claim("line_dedup")
         for b in batches:
             ids, marks, places, around = [], [], [], []
             for row, text in enumerate(b.column(1).to_pylist()):
@@ -131,6 +132,7 @@ def without_repeats(docs: DataFrame, run: int = RUN) -> DataFrame:
     hit = own.join(runs, F.col("d").eqNullSafe(F.col("doc_id")) & (F.col("t") == F.col("text_no"))).select("doc_id", "text", "runs", "first_doc_ids")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        claim("line_dedup")
         for b in batches:
             runs = [[(x["start"], x["stop"]) for x in r] for r in b.column(2).to_pylist()]
             texts = [delete_lines(t, r).decode("utf-8", "replace") for t, r in zip(b.column(1).to_pylist(), runs)]

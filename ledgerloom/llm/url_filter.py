@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.common import table
+from ledgerloom.llm.common import claim, table
 
 TOKEN = re.compile(r"[a-z0-9]+")
 #: Most bytes of rules that travel with the tasks; a larger set must be applied in blocks of this size.
@@ -125,6 +125,7 @@ def judge_urls(pages: DataFrame, rules: tuple[Rule, ...], id_col: str = "page_id
     counts = token_counts(pages, url_col, rules)
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        claim("url_filter")
         index = RuleIndex(rules, counts)
         for b in batches:
             got = [index.best(u) for u in b.column(1).to_pylist()]
