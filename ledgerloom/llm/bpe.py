@@ -25,14 +25,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.common import bounded_batches, table, text_bytes
+from ledgerloom.llm.common import bounded_batches, claim, table, text_bytes
 
 #: Distinct units whose ids a worker keeps; the memory of the cache is bounded by it, results don't depend on it.
-CACHE_UNITS = 250_000
+CACHE_UNITS = 50_000
+#: Matches whose ids a worker keeps, in each of two generations.
+CACHE_PIECES = 90_000
 #: Prefixes whose tables a worker keeps.
-CACHE_PREFIXES = 200_000
+CACHE_PREFIXES = 40_000
 #: Pairs of tokens for which a worker keeps whether they fit.
-CACHE_PAIRS = 1_000_000
+CACHE_PAIRS = 150_000
 
 
 class Vocabulary:
@@ -178,19 +180,27 @@ class Units(dict):
     """Packed ids of what stands between two clean spaces, with the space before it.
 
     A space between two characters that aren't white space always begins a match, so texts can be cut there. Two
-    generations of at most CACHE_UNITS entries are kept, of units and of matches."""
+    generations are kept of units and of matches."""
 
     def __init__(self, vocabulary: Vocabulary, split, before: str = " "):
         super().__init__()
         self.vocabulary, self.split, self.before, self.old = vocabulary, split, before, {}
+        #: whether letters with an optional space before them, and other signs, are matches of their own
+        self.plain = r"| ?\p{L}+|" in split.pattern and r"| ?[^\s\p{L}\p{N}]+|" in split.pattern
         self.packed: dict[str, bytes] = {}
+        self.packed_old: dict[str, bytes] = {}
 
     def __missing__(self, unit: str) -> bytes:
         packed = self.old.get(unit)
         if packed is None:
             if len(unit) > 100:
                 return b"".join(self.pack(m[0]) for m in self.split.finditer(self.before + unit))
-            packed = b"".join(map(self.pack, self.split.findall(self.before + unit)))
+            if self.plain and unit.isalpha():
+                packed = self.pack(self.before + unit)
+            elif self.plain and unit[-1:] in (".", ",") and unit[:-1].isalpha():
+                packed = self.pack(self.before + unit[:-1]) + self.pack(unit[-1])
+            else:
+                packed = b"".join(map(self.pack, self.split.findall(self.before + unit)))
         if len(self) >= CACHE_UNITS:
             self.old = dict(self)
             self.clear()
@@ -200,14 +210,17 @@ class Units(dict):
     def pack(self, piece: str) -> bytes:
         packed = self.packed.get(piece)
         if packed is None:
-            data = piece.encode()
-            whole = self.vocabulary.ranks.get(data)
-            ids = [whole] if whole is not None else self.vocabulary.encode(data)
-            packed = struct.pack(f"<{len(ids)}I", *ids)
-            if len(piece) <= 100:
-                if len(self.packed) >= CACHE_UNITS:
-                    self.packed.clear()
-                self.packed[piece] = packed
+            packed = self.packed_old.get(piece)
+            if packed is None:
+                data = piece.encode()
+                whole = self.vocabulary.ranks.get(data)
+                ids = [whole] if whole is not None else self.vocabulary.encode(data)
+                packed = struct.pack(f"<{len(ids)}I", *ids)
+                if len(piece) > 100:
+                    return packed
+            if len(self.packed) >= CACHE_PIECES:
+                self.packed_old, self.packed = self.packed, {}
+            self.packed[piece] = packed
         return packed
 
 
@@ -247,11 +260,17 @@ def decode_ids(packed: bytes, path: str) -> bytes:
     return b"".join(vocabulary(path).as_array()[np.frombuffer(packed, "<u4")].tolist())
 
 
+def _forget() -> None:
+    units.cache_clear()
+    vocabulary.cache_clear()
+
+
 def _with_binary(df: DataFrame, source: str, name: str, f) -> DataFrame:
     """The columns of df and one of bytes that f makes of the bytes in source."""
     rest = [c for c in df.columns if c != name]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        claim("bpe", _forget)
         for b in batches:
             made = pa.array([f(x or b"") for x in b.column(len(rest)).to_pylist()], pa.binary())
             yield pa.RecordBatch.from_arrays([*b.columns[: len(rest)], made], names=[*rest, name])
