@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.common import FOLD, bounded_batches, stash, table, text_bytes
+from ledgerloom.llm.common import FOLD, bounded_batches, claim, stash, table, text_bytes
 from ledgerloom.llm.components import connected_components
 
 WORDS = 5
@@ -45,7 +45,7 @@ _P = np.uint64(0x9E3779B97F4A7C15)
 
 class _WordHash(dict):
     def __missing__(self, word: bytes) -> int:
-        if len(self) > 400_000:
+        if len(self) > 300_000:
             self.clear()
         h = self[word] = xxhash.xxh3_64_intdigest(word)
         return h
@@ -84,6 +84,7 @@ def band_keys(sig: np.ndarray) -> np.ndarray:
 
 
 def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    claim("minhash", _hash.clear)
     for b in batches:
         n, digest, sig, bands = [], [], [], []
         for text in b.column(1).to_pylist():
@@ -103,6 +104,7 @@ def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    claim("minhash", _hash.clear)
     for b in batches:
         s = [shingles(t).tobytes() for t in b.column(1).to_pylist()]
         yield pa.RecordBatch.from_arrays([b.column(0), pa.array(s, pa.binary())], names=["doc", "shingles"])
@@ -149,56 +151,55 @@ def same_counts(xs: list[np.ndarray], ys: list[np.ndarray]) -> np.ndarray:
     return np.rint(out).astype(np.int64)
 
 
-def _links_in_cell(have: dict[int, list[np.ndarray]], asked: list[tuple[int, list[int]]], percent: int) -> list[tuple[int, int]]:
+def _links_in_cell(have: dict[int, list[np.ndarray]], asked: list[tuple[int, int]], percent: int) -> list[tuple[int, int]]:
     if not asked:
         return []
-    if sum(len(ys) for _, ys in asked) < 8 * len(have):
-        return [(x, y) for x, ys in asked for y in ys if any(linked(a, b, percent) for a in have[x] for b in have[y])]
+    if len(asked) < 8 * len(have):
+        return [(x, y) for x, y in asked if any(linked(a, b, percent) for a in have[x] for b in have[y])]
     left = [(x, a) for x in dict.fromkeys(x for x, _ in asked) for a in have[x]]
-    right = [(y, b) for y in dict.fromkeys(y for _, ys in asked for y in ys) for b in have[y]]
+    right = [(y, b) for y in dict.fromkeys(y for _, y in asked) for b in have[y]]
     same = same_counts([a for _, a in left], [b for _, b in right])
     sizes = [np.array([len(s) for _, s in side]) for side in (left, right)]
     good = 100 * same >= percent * (sizes[0][:, None] + sizes[1] - same)
-    wanted = {x: set(ys) for x, ys in asked}
+    wanted = set(asked)
     i, j = np.nonzero(good)
-    return list({(left[k][0], right[m][0]): None for k, m in zip(i.tolist(), j.tolist()) if right[m][0] in wanted[left[k][0]]})
+    return list({p: None for k, m in zip(i.tolist(), j.tolist()) if (p := (left[k][0], right[m][0])) in wanted})
 
 
 def _needs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Each document of a cell once; rows come cell by cell."""
     cell, seen, out = None, set(), []
-    for c, x, ys in _rows(batches):
+    for c, xs, ys in _rows(batches):
         if c != cell:
             out += [(cell, d) for d in seen]
             cell, seen = c, set()
         if len(out) > 50_000:
             yield _out(out)
             out = []
-        seen.add(x)
-        seen.update(ys)
+        seen.update(xs, ys)
     yield _out(out + [(cell, d) for d in seen])
 
 
 def verify(packed: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
-    """The pairs of (cell, x, ys) whose full sets meet the threshold; a pair comes in one cell, and once."""
+    """The pairs of (cell, xs, ys) whose full sets meet the threshold; a pair comes in one cell, and once."""
     packed = stash(packed.repartition("cell").sortWithinPartitions("cell"), "packed")
     need = stash(packed.repartition("cell").sortWithinPartitions("cell").mapInArrow(_needs, "x long, y long").toDF("cell", "doc"), "need")
     involved = docs.select(F.col("doc_id").alias("doc"), text_bytes("text").alias("text")).join(need.select("doc").distinct(), "doc", "left_semi")
     sets = involved.mapInArrow(_sets, "doc long, shingles binary")
     none = F.lit(None)
-    rows = need.join(sets, "doc").select("cell", F.lit(0).alias("kind"), "doc", "shingles", none.cast("array<long>").alias("ys"))
-    asked = packed.select("cell", F.lit(1).alias("kind"), F.col("x").alias("doc"), none.cast("binary").alias("shingles"), "ys")
+    rows = need.join(sets, "doc").select("cell", F.lit(0).alias("kind"), "doc", "shingles", none.cast("array<long>").alias("xs"), none.cast("array<long>").alias("ys"))
+    asked = packed.select("cell", F.lit(1).alias("kind"), none.cast("long").alias("doc"), none.cast("binary").alias("shingles"), "xs", "ys")
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cell, have, pairs, out = None, {}, [], []
-        for c, kind, doc, data, ys in _rows(batches):
+        for c, kind, doc, data, xs, ys in _rows(batches):
             if c != cell:
                 out += _links_in_cell(have, pairs, percent)
                 cell, have, pairs = c, {}, []
             if kind == 0:
                 have.setdefault(doc, []).append(np.frombuffer(data, np.uint64))
             else:
-                pairs.append((doc, ys))
+                pairs += zip(xs, ys)
             if len(out) > 50_000:
                 yield _out(out)
                 out = []
@@ -230,9 +231,10 @@ def _ordered(a: str, b: str) -> list[Column]:
 
 
 def _across(members: DataFrame, roots: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
-    """Packed candidate pairs (cell, x, ys) of different components in one bucket whose signatures agree often enough.
+    """Packed candidate pairs (cell, xs, ys) of different components in one bucket whose signatures agree often enough.
 
-    A pair is found in the bucket of its first common band only."""
+    A pair is found in the bucket of its first common band only. A bucket's pairs leave it as a row for each cell of
+    verification, so the rows don't grow with the square of a group."""
     m = members.join(roots.withColumnRenamed("node", "doc"), "doc", "left").select("key", "band", "doc", F.coalesce("root", "doc").alias("comp"))
     per = m.groupBy("key", "comp").agg(F.count("*").alias("n"))
     opened = per.groupBy("key").agg(F.count("*").alias("k"), F.sum("n").alias("n"), F.max(F.struct("n", "comp")).alias("main")).where("k > 1")
@@ -249,15 +251,31 @@ def _across(members: DataFrame, roots: DataFrame, reps: DataFrame, percent: int)
     many = rows.withColumn("c1", chunk).join(lots, "key").select("key", "c1", "c2", F.lit(1).alias("kind"), *rest)
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cell, held, grid, out = None, [], None, []
+        cell, held, grid, found, out = None, [], None, [], []
+
+        def pack() -> None:
+            """The bucket's pairs as rows of out, by cell of verification."""
+            if found:
+                at, xs, ys = (np.concatenate(c) for c in zip(*found))
+                order = np.argsort(at, kind="stable")
+                at, xs, ys = at[order], xs[order], ys[order]
+                ends = np.append(np.nonzero(np.diff(at))[0] + 1, len(at)).tolist()
+                for a, z in zip([0, *ends[:-1]], ends):
+                    out.append((int(at[a]), xs[a:z], ys[a:z]))
+                found.clear()
 
         def made() -> pa.RecordBatch:
-            cols = zip(*out) if out else ([], [], [])
-            return pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(cols, (pa.int64(), pa.int64(), pa.list_(pa.int64())))], names=["cell", "x", "ys"])
+            cols = zip(*out) if out else ((), (), ())
+            kinds = (pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64()))
+            return pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(cols, kinds)], names=["cell", "xs", "ys"])
 
         for key, c1, c2, kind, band, doc, comp, main, size, slot, sig in _rows(batches):
             if (key, c1, c2) != cell:
+                pack()
                 cell, held, grid = (key, c1, c2), [], None
+                if len(out) >= 1000:
+                    yield made()
+                    out.clear()
             g = np.frombuffer(sig, np.uint32)
             if kind == 0:
                 held.append((doc, comp, size, slot, g))
@@ -274,16 +292,13 @@ def _across(members: DataFrame, roots: DataFrame, reps: DataFrame, percent: int)
                 near &= ids < doc  # both are minority members: once is enough
             (near,) = np.nonzero(near)
             near = near[same[near].reshape(-1, N_BANDS, ROWS).all(axis=2).argmax(axis=1) == band]
-            for s in np.unique(slots[near]).tolist():
-                out.append((slot * side + s, doc, ids[near[slots[near] == s]]))
-            if len(out) >= 10_000:
-                yield made()
-                out = []
+            if len(near):
+                found.append((slot * side + slots[near], np.full(len(near), doc), ids[near]))
+        pack()
         yield made()
 
     cells = few.union(many).repartition("key", "c1", "c2").sortWithinPartitions("key", "c1", "c2", "kind")
-    found = cells.mapInArrow(check, "cell long, x long, ys array<long>")
-    return found.groupBy("cell", "x").agg(F.flatten(F.collect_list("ys")).alias("ys"))
+    return cells.mapInArrow(check, "cell long, xs array<long>, ys array<long>")
 
 
 def _same_id(some: DataFrame, classes: DataFrame) -> DataFrame:
@@ -310,6 +325,7 @@ def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
     pairs = stash(agree(pairs, sigs), "pairs")
     side = sides(pairs.select("x").union(pairs.select("y")))
     packed = pairs.groupBy((_slot("x", side) * side + _slot("y", side)).alias("cell"), "x").agg(F.collect_list("y").alias("ys"))
+    packed = packed.select("cell", F.array_repeat("x", F.size("ys")).alias("xs"), "ys")
     links = stash(verify(packed, texts, percent).union(_same_id(some, classes)), "links")
     roots = connected_components(links, "x", "y")
     # what the stars left apart
