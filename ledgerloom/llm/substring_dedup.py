@@ -15,6 +15,7 @@ out; rows that repeat a doc_id count as one document; other columns are not read
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -23,7 +24,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.common import bounded_batches, stash, table, text_bytes
+from ledgerloom.llm.common import bounded_batches, claim, stash, table, text_bytes
 
 #: A chunk has 2 ** BITS bytes on average.
 BITS = 5
@@ -35,6 +36,8 @@ LEAST = 8
 LONG = 160
 #: Least bytes of a run of repeated chunks that is removed; a passage of 50 words has more than twice as many.
 MIN_RUN = 100
+#: Least bytes of a run that one document has first; a run of chunks that only chance brings together has no such one.
+MIN_SOURCE = 56
 _GEAR = np.random.Generator(np.random.PCG64(7)).integers(0, 2**16, 256, dtype=np.uint16)
 #: Bytes that are hashed at a time; each slice sees the bytes before it that its first hashes depend on.
 SLICE = 1 << 22
@@ -79,6 +82,12 @@ def chunk_digests(data: bytes, ends: np.ndarray) -> np.ndarray:
     return np.array(out, np.uint64).view(np.int64)
 
 
+def sources(of: Counter, length: int) -> list[int]:
+    """Documents that have enough of a run first; in long runs, single chunks that others happen to have don't count."""
+    least = max(MIN_SOURCE, min(max(of.values()), length // 8))
+    return sorted(i for i, n in of.items() if n >= least)
+
+
 def _digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(doc_id, distinct digests): digests stay packed, a row a document."""
     for b in batches:
@@ -98,6 +107,7 @@ def repeated_spans(docs: DataFrame, min_run: int = MIN_RUN) -> DataFrame:
     both = text.withColumnRenamed("doc_id", "d").join(per, F.col("d") == F.col("doc_id")).select("doc_id", "text", "known")
 
     def runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        claim("substring_dedup")
         for b in batches:
             out = []
             known = b.column(2)
@@ -111,11 +121,12 @@ def repeated_spans(docs: DataFrame, min_run: int = MIN_RUN) -> DataFrame:
                     if s is not None:
                         if spans and spans[-1][1] == a:
                             spans[-1][1] = end
-                            spans[-1][2].add(s)
+                            spans[-1][2][s] += end - a
                         else:
-                            spans.append([a, end, {s}])
+                            spans.append([a, end, Counter({s: end - a})])
                     a = end
-                spans = [{"start": a, "stop": z, "first_doc_ids": sorted(s)} for a, z, s in spans if z - a >= min_run]
+                spans = [(a, z, sources(s, z - a)) for a, z, s in spans if z - a >= min_run]
+                spans = [{"start": a, "stop": z, "first_doc_ids": s} for a, z, s in spans if s]
                 if spans:
                     out.append((doc, data, spans))
             yield pa.RecordBatch.from_arrays(
@@ -133,6 +144,7 @@ def without_spans(spans: DataFrame) -> DataFrame:
     """(doc_id, text, n_removed, first_doc_ids) from repeated_spans()."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        claim("substring_dedup")
         for b in batches:
             texts, n, first = [], [], []
             for data, s in zip(b.column(1).to_pylist(), b.column(2).to_pylist()):
