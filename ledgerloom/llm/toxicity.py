@@ -21,17 +21,19 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.common import FOLD, bounded_batches, table, text_bytes
+from ledgerloom.llm.common import FOLD, bounded_batches, claim, stash, table, text_bytes
 
-ORDERS = (3, 4, 5)
-BITS = 18
+ORDERS = (4, 6, 8)
+BITS = 20
 #: Most labelled rows that are used, those of the smallest hash of their id.
 MAX_ROWS = 20_000
+#: Files of the sample; each yields a row for each n-gram that it has.
+SAMPLE_PARTS = 8
 #: N-grams with weights.
 N_FEATURES = 6_000
 #: Least documents of a kept n-gram, and the smoothing of counts.
 MIN_DOCS, SMOOTH = 5, 1.0
-STEPS, L2 = 150, 1e-3
+STEPS, L2 = 200, 1e-4
 
 
 def held_out(id_col: str = "doc_id") -> Column:
@@ -71,6 +73,7 @@ def present(data: bytes, at: np.ndarray) -> np.ndarray:
 
 
 def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    claim("toxicity")
     n = np.zeros((2, 1 << BITS), np.int64)
     for b in batches:
         for toxic, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
@@ -79,27 +82,27 @@ def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield pa.RecordBatch.from_arrays([pa.array(seen), pa.array(n[0, seen]), pa.array(n[1, seen])], names=["gram", "n0", "n1"])
 
 
-def _fit(rows: list[tuple[int, list[int]]], ratio: np.ndarray) -> tuple[float, np.ndarray]:
-    """Logistic regression by accelerated gradient steps; features are 0 or ratio."""
-    y = np.array([t for t, _ in rows], float)
-    sizes = np.array([len(x) for _, x in rows])
-    cols = np.concatenate([np.asarray(x, np.int64) for _, x in rows]) if sizes.sum() else np.zeros(0, np.int64)
-    row = np.repeat(np.arange(len(rows)), sizes)
+def _fit(y: np.ndarray, sizes: np.ndarray, cols: np.ndarray, ratio: np.ndarray) -> tuple[float, np.ndarray]:
+    """Logistic regression by accelerated gradient steps; each row's columns (one after another) are ratio, others 0."""
+    row = np.repeat(np.arange(len(y)), sizes)
     values = ratio[cols]
-    norm = np.sqrt(np.bincount(row, values**2, len(rows)).max() + 1)
-    values = values / norm
-    w, b = np.zeros(len(ratio)), 0.0
-    w_ahead, b_ahead, t = w, b, 1.0
+    forward = lambda w, b: np.bincount(row, values * w[cols], len(y)) + b
+    back = lambda g: np.bincount(cols, values * g[row], len(ratio))
+    w, b = np.ones(len(ratio)), 1.0
+    for _ in range(20):  # the largest curvature, by power iteration
+        size = np.sqrt(w @ w + b * b)
+        z = forward(w / size, b / size)
+        w, b = back(z), z.sum()
+    step = 1 / (0.3 * np.sqrt(w @ w + b * b) / len(y) + L2)
+    w, b, t = np.zeros(len(ratio)), 0.0, 1.0
+    w_ahead, b_ahead = w, b
     for _ in range(STEPS):
-        z = np.bincount(row, values * w_ahead[cols], len(rows)) + b_ahead
-        g = (1 / (1 + np.exp(-np.clip(z, -30, 30))) - y) / len(rows)
-        w_next = w_ahead - 4.0 * len(rows) ** 0 * (np.bincount(cols, values * g[row], len(ratio)) + L2 / norm**2 * w_ahead)
-        b_next = b_ahead - 2.0 * g.sum()
+        g = (1 / (1 + np.exp(-np.clip(forward(w_ahead, b_ahead), -30, 30))) - y) / len(y)
+        w_next, b_next = w_ahead - step * (back(g) + L2 * w_ahead), b_ahead - step * g.sum()
         t_next = (1 + np.sqrt(1 + 4 * t * t)) / 2
-        w_ahead = w_next + (t - 1) / t_next * (w_next - w)
-        b_ahead = b_next + (t - 1) / t_next * (b_next - b)
+        w_ahead, b_ahead = w_next + (t - 1) / t_next * (w_next - w), b_next + (t - 1) / t_next * (b_next - b)
         w, b, t = w_next, b_next, t_next
-    return float(b), w * ratio / norm
+    return float(b), w * ratio
 
 
 def train(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS, n_features: int = N_FEATURES) -> Model:
@@ -111,8 +114,9 @@ def train(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS, n_featur
         .orderBy(F.xxhash64("doc_id"), "doc_id")
         .limit(max_rows)
     )
-    # at most max_rows narrow rows are broadcast; texts are read where they are
+    # at most max_rows narrow rows are broadcast, so the documents are read once, and the sample is written once
     text = docs.select("doc_id", text_bytes("text").alias("text")).join(F.broadcast(rows), "doc_id").select("toxic", "text")
+    text = stash(text.repartition(SAMPLE_PARTS), "labelled")
     n = {r["toxic"]: r["count"] for r in text.groupBy("toxic").count().collect()}
     pos, neg = n.get(1, 0), n.get(0, 0)
     if not pos or not neg:
@@ -139,7 +143,9 @@ def train(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS, n_featur
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(ids, pa.list_(pa.int16()))], names=["toxic", "ids"])
 
     got = text.mapInArrow(presence, "toxic int, ids array<short>").toArrow()
-    bias, w = _fit(list(zip(got["toxic"].to_pylist(), got["ids"].to_pylist())), ratio)
+    ids = got["ids"].combine_chunks()
+    sizes = np.diff(ids.offsets.to_numpy())
+    bias, w = _fit(got["toxic"].to_numpy().astype(float), sizes, ids.flatten().to_numpy(), ratio)
     return Model(bias, grams, w)
 
 
@@ -149,6 +155,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
     at, bias, w = model.table(), model.bias, model.weights
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        claim("toxicity")
         for b in batches:
             z = np.array([bias + w[present(t, at)].sum() for t in b.column(1).to_pylist()], float)
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(1 / (1 + np.exp(-np.clip(z, -500, 500))))], names=["doc_id", "score"])
@@ -171,6 +178,7 @@ def drop_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
     docs_in = docs.withColumn("\x00text", text_bytes("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        claim("toxicity")
         for b in batches:
             keep = [bias + w[present(t, at)].sum() < 0 for t in b.column(len(names)).to_pylist()]
             yield pa.RecordBatch.from_arrays(list(b.columns[: len(names)]), names=names).filter(pa.array(keep, pa.bool_()))
