@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.common import FOLD_ALNUM, bounded_batches, merge_spans, table, text_bytes
+from ledgerloom.llm.common import FOLD_ALNUM, bounded_batches, claim, merge_spans, table, text_bytes
 
 WINDOW = 13
 SHARD_SYMBOLS = 1 << 19
@@ -40,7 +40,7 @@ def suffix_array(s: np.ndarray) -> np.ndarray:
     n = len(s)
     bits, h = (16, 4) if s.max(initial=0) < 1 << 16 else (32, 2)
     key = np.zeros(n, np.uint64)
-    for k in range(h):
+    for k in range(min(h, n)):
         key[: n - k] |= s[k:].astype(np.uint64) << np.uint64(bits * (h - 1 - k))
     sa = np.argsort(key)
     key = key[sa]
@@ -236,6 +236,7 @@ def _passes(docs: DataFrame, benchmark: DataFrame, text_col: str, block_bytes: i
         phrases = Phrases([(r["name"], bytes(r["text"])) for r in part.collect()])
 
         def run(batches: Iterator[pa.RecordBatch], p: Phrases = phrases) -> Iterator[pa.RecordBatch]:
+            claim("fm_index")
             for b in batches:
                 n = len(names)
                 got = list(find(b.column(n + 3).to_pylist(), p))
@@ -281,3 +282,21 @@ def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.size("items").cast("long").alias("n_items"),
         F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
     ).select("*", ((F.col("n_hit") > 0) & (20 * F.col("n_hit") >= F.col("n_words"))).alias("contaminated"))
+
+
+_WORDS = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+OP8_SQL = f"""
+WITH d AS (SELECT doc_id, {_WORDS} AS w FROM documents),
+b AS (SELECT coalesce(CAST(item_id AS VARCHAR), '') AS item, {_WORDS} AS w FROM benchmark),
+bw AS (SELECT DISTINCT item, least(len(w), 13) AS n, array_to_string(w[i:i + least(len(w), 13) - 1], ' ') AS x
+  FROM b, unnest(range(1, greatest(len(w) - 12, 1) + 1)) AS t(i) WHERE len(w) > 0),
+lens AS (SELECT DISTINCT n FROM bw),
+dl AS (SELECT * FROM d, lens WHERE len(w) >= n),
+dw AS (SELECT doc_id, i, n, array_to_string(w[i:i + n - 1], ' ') AS x FROM dl, unnest(range(1, len(w) - n + 2)) AS t(i)),
+hits AS (SELECT doc_id, i, n, item FROM dw JOIN bw USING (n, x)),
+h AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + n)) AS p FROM hits) GROUP BY 1),
+items AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items FROM (SELECT DISTINCT doc_id, item FROM hits) GROUP BY 1)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(items, '')) AS items_sha256,
+  coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+FROM d LEFT JOIN h USING (doc_id) LEFT JOIN items USING (doc_id)
+"""

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from ledgerloom.llm.bpe import op4_bpe
 from ledgerloom.llm.exact_dedup import OP9_SQL, op9_exact_dedup
-from ledgerloom.llm.fm_index import op8_decontamination
+from ledgerloom.llm.fm_index import OP8_SQL, op8_decontamination
 from ledgerloom.llm.license_scan import op5_license_scan
 from ledgerloom.llm.line_dedup import op6_line_dedup
 from ledgerloom.llm.minhash import op3_minhash
@@ -25,4 +25,4 @@ QUERIES = {
     "op9_exact_dedup": op9_exact_dedup,
     "op10_toxicity": op10_toxicity,
 }
-ORACLE_SQL = {"op1_url_filters": OP1_SQL, "op2_warc_revisits": OP2_SQL, "op9_exact_dedup": OP9_SQL}
+ORACLE_SQL = {"op1_url_filters": OP1_SQL, "op2_warc_revisits": OP2_SQL, "op8_decontamination": OP8_SQL, "op9_exact_dedup": OP9_SQL}
