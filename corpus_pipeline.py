@@ -33,10 +33,12 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The texts that are left, as digests of token ids and of the bytes that they decode to."""
+    """The texts that are left, as digests of token ids and of the bytes that they decode to.
+
+    The executors' memory has grown with the stages before, so the workers' caches are smaller than in a query alone."""
     import public_tokenizers
 
-    return token_digests(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+    return token_digests(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN, scale=0.3)
 
 
 STAGES = [

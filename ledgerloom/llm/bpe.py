@@ -28,18 +28,18 @@ from pyspark.sql import functions as F
 from ledgerloom.llm.common import bounded_batches, claim, table, text_bytes
 
 #: Distinct units whose ids a worker keeps; the memory of the cache is bounded by it, results don't depend on it.
-CACHE_UNITS = 50_000
+CACHE_UNITS = 100_000
 #: Matches whose ids a worker keeps, in each of two generations.
-CACHE_PIECES = 90_000
+CACHE_PIECES = 180_000
 #: Prefixes whose tables a worker keeps.
-CACHE_PREFIXES = 40_000
+CACHE_PREFIXES = 80_000
 #: Pairs of tokens for which a worker keeps whether they fit.
-CACHE_PAIRS = 150_000
+CACHE_PAIRS = 300_000
 
 
 class Vocabulary:
-    def __init__(self, ranks: dict[bytes, int]):
-        self.ranks = ranks
+    def __init__(self, ranks: dict[bytes, int], scale: float = 1.0):
+        self.ranks, self.scale = ranks, scale
         self.tokens: list[bytes] = [b""] * (max(ranks.values()) + 1)
         for token, rank in ranks.items():
             self.tokens[rank] = token
@@ -54,9 +54,9 @@ class Vocabulary:
         self.likely = [tuple(end - n for n in order if n <= end) for end in range(24)]
 
     @classmethod
-    def load(cls, path: str) -> Vocabulary:
+    def load(cls, path: str, scale: float = 1.0) -> Vocabulary:
         with open(path, "rb") as f:
-            return cls({base64.b64decode(a): int(b) for a, b in map(bytes.split, f)})
+            return cls({base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}, scale)
 
     def halves(self, token: int) -> tuple[int, int] | None:
         """The two tokens whose merge makes this one; None if no sequence of merges does."""
@@ -78,7 +78,7 @@ class Vocabulary:
         key = left << 32 | right
         known = self._fit.get(key)
         if known is None:
-            if len(self._fit) >= CACHE_PAIRS:
+            if len(self._fit) >= self.scale * CACHE_PAIRS:
                 self._fit.clear()
             known = self._fit[key] = (
                 self.halves(right) is not None or len(self.tokens[right]) == 1
@@ -114,7 +114,7 @@ class Vocabulary:
         last = list(last) if last else []
         self.last_tokens(data, last)
         if len(data) <= 32:
-            if len(known) >= CACHE_PREFIXES:
+            if len(known) >= self.scale * CACHE_PREFIXES:
                 known.clear()
             known[data] = last
         return self.walk_back(data, last)
@@ -201,7 +201,7 @@ class Units(dict):
                 packed = self.pack(self.before + unit[:-1]) + self.pack(unit[-1])
             else:
                 packed = b"".join(map(self.pack, self.split.findall(self.before + unit)))
-        if len(self) >= CACHE_UNITS:
+        if len(self) >= self.vocabulary.scale * CACHE_UNITS:
             self.old = dict(self)
             self.clear()
         self[unit] = packed
@@ -218,20 +218,20 @@ class Units(dict):
                 packed = struct.pack(f"<{len(ids)}I", *ids)
                 if len(piece) > 100:
                     return packed
-            if len(self.packed) >= CACHE_PIECES:
+            if len(self.packed) >= self.vocabulary.scale * CACHE_PIECES:
                 self.packed_old, self.packed = self.packed, {}
             self.packed[piece] = packed
         return packed
 
 
 @lru_cache(4)
-def vocabulary(path: str) -> Vocabulary:
-    return Vocabulary.load(path)
+def vocabulary(path: str, scale: float = 1.0) -> Vocabulary:
+    return Vocabulary.load(path, scale)
 
 
 @lru_cache(4)
-def units(path: str, split: str, before: str) -> Units:
-    return Units(vocabulary(path), pattern(split), before)
+def units(path: str, split: str, before: str, scale: float = 1.0) -> Units:
+    return Units(vocabulary(path, scale), pattern(split), before)
 
 
 @lru_cache(4)
@@ -246,8 +246,8 @@ IRREGULAR = re.compile(r"\s | \s")
 CLEAN_SPACE = re.compile(r"(?<=\S) (?=\S)")
 
 
-def encode_text(text: str, path: str, split: str) -> bytes:
-    first, known = units(path, split, ""), units(path, split, " ")
+def encode_text(text: str, path: str, split: str, scale: float = 1.0) -> bytes:
+    first, known = units(path, split, "", scale), units(path, split, " ", scale)
     if not IRREGULAR.search(text):
         parts = text.split(" ")
         if parts[0] and parts[-1]:
@@ -256,8 +256,8 @@ def encode_text(text: str, path: str, split: str) -> bytes:
     return first[parts[0]] + b"".join(map(known.__getitem__, parts[1:]))
 
 
-def decode_ids(packed: bytes, path: str) -> bytes:
-    return b"".join(vocabulary(path).as_array()[np.frombuffer(packed, "<u4")].tolist())
+def decode_ids(packed: bytes, path: str, scale: float = 1.0) -> bytes:
+    return b"".join(vocabulary(path, scale).as_array()[np.frombuffer(packed, "<u4")].tolist())
 
 
 def _forget() -> None:
@@ -280,19 +280,20 @@ def _with_binary(df: DataFrame, source: str, name: str, f) -> DataFrame:
     return df.select(*[F.col(f"`{c}`") for c in rest], data).mapInArrow(run, schema)
 
 
-def encode(df: DataFrame, path: str, split: str, text_col: str = "text", ids_col: str = "ids") -> DataFrame:
-    return _with_binary(df, text_col, ids_col, lambda x: encode_text(x.decode("utf-8", "replace"), path, split))
+def encode(df: DataFrame, path: str, split: str, text_col: str = "text", ids_col: str = "ids", scale: float = 1.0) -> DataFrame:
+    """scale: of the caches of a worker, where it shares its memory with more than this."""
+    return _with_binary(df, text_col, ids_col, lambda x: encode_text(x.decode("utf-8", "replace"), path, split, scale))
 
 
-def decode(df: DataFrame, path: str, ids_col: str = "ids", bytes_col: str = "decoded") -> DataFrame:
-    return _with_binary(df, ids_col, bytes_col, lambda x: decode_ids(x, path))
+def decode(df: DataFrame, path: str, ids_col: str = "ids", bytes_col: str = "decoded", scale: float = 1.0) -> DataFrame:
+    return _with_binary(df, ids_col, bytes_col, lambda x: decode_ids(x, path, scale))
 
 
-def token_digests(docs: DataFrame, path: str, split: str) -> DataFrame:
+def token_digests(docs: DataFrame, path: str, split: str, scale: float = 1.0) -> DataFrame:
     bounded_batches(docs.sparkSession)
-    ids = encode(docs.select("doc_id", text_bytes("text").alias("text")), path, split)
+    ids = encode(docs.select("doc_id", text_bytes("text").alias("text")), path, split, scale=scale)
     sized = ids.select("doc_id", F.floor(F.octet_length("ids") / 4).cast("long").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"), "ids")
-    return decode(sized, path).select("doc_id", "n_tokens", "ids_sha256", F.sha2("decoded", 256).alias("decoded_sha256"))
+    return decode(sized, path, scale=scale).select("doc_id", "n_tokens", "ids_sha256", F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
 def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
