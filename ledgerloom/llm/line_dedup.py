@@ -4,15 +4,18 @@ A document is the sequence of the hashes of its lines (texts cut at newlines, bl
 RUN consecutive lines selects the rightmost of its smallest hashes; the selected places are fingerprints, and any two
 equal runs of RUN lines select the same place in both. Fingerprints that only one place holds are done with. For the
 others the windows around them are compared with the first place of the same window, which extends a match both ways
-as far as whole windows agree: a run of RUN lines or more that stands earlier, in a document of a smaller doc_id or
-earlier in the same one, is deleted as far as it goes, and the first place of each run stays.
+as far as whole windows agree. Runs of fewer lines count if they have MIN_WORDS words together; there are no more of
+them than lines for each length, so each is a fingerprint of its own. A run of RUN lines or of MIN_WORDS words or more
+that stands earlier, in a document of a smaller doc_id or earlier in the same one, is deleted as far as it goes, and
+the first place of each run stays.
 
 Counts and first places are aggregated before they move; the join back is one that adaptive execution splits, so a
 line that a third of all documents share gathers nowhere.
 
-Defined cases: null and empty texts have no lines; documents of fewer than RUN lines lose nothing; rows that repeat a
-doc_id are ordered by a hash of their text, and equal rows of equal ids count as one; a null doc_id sorts first;
-other columns are not read.
+Defined cases: null and empty texts have no lines; documents of fewer than RUN lines and MIN_WORDS words lose
+nothing; words are runs of anything but ASCII white space, so a line of a script without spaces is one word; rows that
+repeat a doc_id are ordered by a hash of their text, and equal rows of equal ids count as one; a null doc_id sorts
+first; other columns are not read.
 """
 
 from __future__ import annotations
@@ -27,16 +30,15 @@ from pyspark.sql import functions as F
 
 from ledgerloom.llm.common import bounded_batches, claim, stash, table, text_bytes
 
-#: Lines of the shortest run that counts.
-RUN = 3
+#: Lines of a run that counts whatever its length, and words of one that counts whatever its lines.
+RUN, MIN_WORDS = 3, 50
 _P = np.uint64(0x9E3779B97F4A7C15)
 
 
 def line_hashes(text: bytes) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of the lines that aren't blank, and their numbers in the text."""
-    lines = text.split(b"\n")
-    at = [i for i, x in enumerate(lines) if x.strip()]
-    return np.fromiter((xxhash.xxh3_64_intdigest(lines[i].strip()) for i in at), np.uint64, len(at)), np.array(at, np.int64)
+    """Hashes of the lines that aren't blank, and their numbers of words."""
+    lines = [x for line in text.split(b"\n") if (x := line.strip())]
+    return np.fromiter(map(xxhash.xxh3_64_intdigest, lines), np.uint64, len(lines)), np.fromiter((len(x.split()) for x in lines), np.int64, len(lines))
 
 
 def windows(h: np.ndarray, run: int) -> np.ndarray:
@@ -54,13 +56,28 @@ def fingerprints(h: np.ndarray, run: int) -> np.ndarray:
     return np.unique(np.arange(run - 1, len(h)) - w.argmin(axis=1))
 
 
-def _selected(run: int):
+def long_windows(h: np.ndarray, words: np.ndarray, lines: int, min_words: int) -> tuple[np.ndarray, np.ndarray]:
+    """Where windows of so many lines with enough words begin, and their hashes."""
+    if len(h) < lines:
+        return np.zeros(0, np.int64), np.zeros(0, np.uint64)
+    (at,) = np.nonzero(np.convolve(words, np.ones(lines, np.int64), "valid") >= min_words)
+    return at, windows(h, lines)[at]
+
+
+def _selected(run: int, min_words: int):
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         claim("line_dedup")
         for b in batches:
-            ids, marks, places, around = [], [], [], []
+            ids, marks, places, lines, around = [], [], [], [], []
             for row, text in enumerate(b.column(1).to_pylist()):
-                h, _ = line_hashes(text)
+                h, words = line_hashes(text)
+                for n in range(1, run):
+                    at, w = long_windows(h, words, n, min_words)
+                    ids.append(np.full(len(at), row))
+                    marks.append(w.view(np.int64))
+                    places.append(at + run - 1)
+                    lines.append(np.full(len(at), n))
+                    around += marks[-1][:, None].tolist()
                 at = fingerprints(h, run)
                 if not len(at):
                     continue
@@ -68,6 +85,7 @@ def _selected(run: int):
                 ids.append(np.full(len(at), row))
                 marks.append(h[at].view(np.int64))
                 places.append(at)
+                lines.append(np.full(len(at), run))
                 # windows that hold the fingerprint, by where they begin; those outside the text are null
                 around += [[int(w[s]) if 0 <= s < len(w) else None for s in range(p - run + 1, p + 1)] for p in at.tolist()]
             take = pa.array(np.concatenate(ids) if ids else np.zeros(0, np.int64))
@@ -76,27 +94,28 @@ def _selected(run: int):
                     b.column(0).take(take), b.column(2).take(take),
                     pa.array(np.concatenate(marks) if marks else np.zeros(0, np.int64)),
                     pa.array(np.concatenate(places) if places else np.zeros(0, np.int64)),
+                    pa.array(np.concatenate(lines) if lines else np.zeros(0, np.int64)),
                     pa.array(around, pa.list_(pa.int64())),
                 ],
-                names=["doc_id", "text_no", "mark", "place", "around"],
+                names=["doc_id", "text_no", "mark", "place", "lines", "around"],
             )
 
     return rows
 
 
-def repeated_runs(docs: DataFrame, run: int = RUN) -> DataFrame:
+def repeated_runs(docs: DataFrame, run: int = RUN, min_words: int = MIN_WORDS) -> DataFrame:
     """(doc_id, text_no, start, stop, first_doc_id): runs of lines to delete, as places among lines that aren't blank."""
     bounded_batches(docs.sparkSession)
     text = docs.select("doc_id", text_bytes("text").alias("text"), F.xxhash64("text").alias("text_no"))
-    marks = stash(text.mapInArrow(_selected(run), "doc_id long, text_no long, mark long, place long, around array<long>"), "marks")
+    marks = stash(text.mapInArrow(_selected(run, min_words), "doc_id long, text_no long, mark long, place long, lines long, around array<long>"), "marks")
     often = marks.groupBy("mark").agg(F.count("*").alias("n")).where("n > 1").select("mark")
-    some = marks.join(often, "mark").select("doc_id", "text_no", "mark", F.posexplode("around").alias("k", "window"), "place")
-    some = stash(some.where("window IS NOT NULL").select("doc_id", "text_no", "window", (F.col("place") - (run - 1) + F.col("k")).alias("start")).distinct(), "windows")
+    some = marks.join(often, "mark").select("doc_id", "text_no", "mark", F.posexplode("around").alias("k", "window"), "place", "lines")
+    some = stash(some.where("window IS NOT NULL").select("doc_id", "text_no", "window", (F.col("place") - (run - 1) + F.col("k")).alias("start"), "lines").distinct(), "windows")
     first = some.groupBy("window").agg(F.min(F.struct("doc_id", "text_no", "start")).alias("first"), F.count("*").alias("n")).where("n > 1").select("window", "first")
     later = some.join(first, "window").where(
         ~(F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("text_no") == F.col("first.text_no")) & (F.col("start") == F.col("first.start")))
     )
-    places = later.groupBy("doc_id", "text_no").agg(F.array_sort(F.collect_set(F.struct("start", F.col("first.doc_id").alias("first_doc_id")))).alias("s"))
+    places = later.groupBy("doc_id", "text_no").agg(F.array_sort(F.collect_set(F.struct("start", (F.col("start") + F.col("lines")).alias("stop"), F.col("first.doc_id").alias("first_doc_id")))).alias("s"))
 
     def spans(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -105,11 +124,11 @@ def repeated_runs(docs: DataFrame, run: int = RUN) -> DataFrame:
                 open_ = None
                 for x in s:
                     if open_ and x["start"] <= open_[3]:
-                        open_[3] = x["start"] + run
+                        open_[3] = max(open_[3], x["stop"])
                         continue
                     if open_:
                         out.append(tuple(open_))
-                    open_ = [doc, no, x["start"], x["start"] + run, x["first_doc_id"]]
+                    open_ = [doc, no, x["start"], x["stop"], x["first_doc_id"]]
                 out.append(tuple(open_))
             cols = list(zip(*out)) or [()] * 5
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], names=["doc_id", "text_no", "start", "stop", "first_doc_id"])
@@ -125,9 +144,9 @@ def delete_lines(text: bytes, spans: list[tuple[int, int]]) -> bytes:
     return b"\n".join(x for i, x in enumerate(lines) if i not in gone)
 
 
-def without_repeats(docs: DataFrame, run: int = RUN) -> DataFrame:
+def without_repeats(docs: DataFrame, run: int = RUN, min_words: int = MIN_WORDS) -> DataFrame:
     """(doc_id, text, first_doc_ids, n_deleted) of the documents that lose lines."""
-    runs = repeated_runs(docs, run).groupBy("doc_id", "text_no").agg(F.collect_list(F.struct("start", "stop")).alias("runs"), F.array_sort(F.collect_set("first_doc_id")).alias("first_doc_ids"))
+    runs = repeated_runs(docs, run, min_words).groupBy("doc_id", "text_no").agg(F.collect_list(F.struct("start", "stop")).alias("runs"), F.array_sort(F.collect_set("first_doc_id")).alias("first_doc_ids"))
     own = docs.select("doc_id", text_bytes("text").alias("text"), F.xxhash64("text").alias("text_no")).withColumnsRenamed({"doc_id": "d", "text_no": "t"})
     hit = own.join(runs, F.col("d").eqNullSafe(F.col("doc_id")) & (F.col("t") == F.col("text_no"))).select("doc_id", "text", "runs", "first_doc_ids")
 

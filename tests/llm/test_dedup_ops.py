@@ -143,6 +143,16 @@ def test_lines(spark):
     assert line_dedup.without_repeats(docs_of(spark, rows).limit(0)).count() == 0
 
 
+def test_long_lines(spark):
+    """One or two lines count if they have 50 words together; shorter ones don't."""
+    prose = lambda seed, n: " ".join(f"w{seed}x{k}" for k in range(n))
+    one, a, b, short, tail = prose(1, 60), prose(2, 30), prose(3, 25), prose(4, 49), prose(5, 5)
+    rows = [(1, f"{one}\n{tail}\nx1"), (2, f"x2\n{a}\n{b}"), (3, short), (4, one), (5, f"x5\n\n {a}\n{b} \nx6"), (6, f"{short}\nx7"), (7, f"x8\n{one}\n{tail}"), (8, f"{a}\nx9\n{b}"), (9, f"{prose(9, 50)}\nx10\n{prose(9, 50)}")]
+    got = {r.doc_id: r for r in line_dedup.without_repeats(docs_of(spark, rows)).collect()}
+    assert {i: (r.n_deleted, r.first_doc_ids) for i, r in got.items()} == {4: (1, [1]), 5: (2, [2]), 7: (2, [1]), 9: (1, [9])}
+    assert got[4].text == "" and got[5].text.split() == ["x5", "x6"] and got[7].text == "x8" and got[9].text == f"{prose(9, 50)}\nx10"
+
+
 def test_substrings(spark):
     rng = random.Random(5)
     prose = lambda n: " ".join("".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(rng.randrange(2, 9))) for _ in range(n))
