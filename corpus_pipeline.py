@@ -23,8 +23,8 @@ def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates stays, the one of the smallest doc_id."""
-    return drop_near_copies(docs)
+    """One document of each group of near-duplicates (a similarity of 0.8 or more) stays, the one of the smallest doc_id."""
+    return drop_near_copies(docs, percent=80)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

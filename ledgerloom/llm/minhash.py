@@ -2,8 +2,9 @@
 
 Words are runs of anything but ASCII white space, A-Z folded; a document's set holds its distinct five-word shingles
 (all words as one, where there are fewer). Equal sets are one class from the start, so copies never meet as pairs.
-Classes get N_HASHES minima of universal hashes. A band of ROWS minima is a bucket; a pair at the threshold misses
-all bands with a probability of (1 - 0.85 ** ROWS) ** N_BANDS, under one in a million.
+Classes get minima of universal hashes. A band of some minima is a bucket; layout() chooses their numbers by the
+threshold t, so that a pair at it misses all bands with a probability of (1 - t ** rows) ** n_bands, under one in two
+million.
 
 A bucket of any size is first joined to its smallest member only. What the verified links don't connect is then
 compared across components: every bucket that holds more than one component brings its minority members together
@@ -18,7 +19,10 @@ an empty table gives an empty table; other columns are not read.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
+from functools import lru_cache
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -30,19 +34,43 @@ from ledgerloom.llm.common import FOLD, bounded_batches, claim, stash, table, te
 from ledgerloom.llm.components import connected_components
 
 WORDS = 5
-ROWS, N_BANDS = 5, 25
-N_HASHES = ROWS * N_BANDS
-#: A signature of a pair at the threshold agrees less often than this only with a chance under 1e-8.
-LEAST_AGREE = 0.66
+#: Most minima of a document.
+MOST_HASHES = 128
+#: Most chances that a pair at the threshold misses all bands, or that its signatures agree less often than the least.
+MISS, MISS_AGREE = 4.5e-7, 1e-8
 #: Documents of either side of a cell of verification, and members of a bucket that are compared at a time.
 CELL, CHUNK = 256, 1024
 _RNG = np.random.Generator(np.random.PCG64(20240229))
-_A = _RNG.integers(0, 2**63, N_HASHES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-_BAND = _RNG.integers(0, 2**63, ROWS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-_BAND_NO = _RNG.integers(0, 2**63, N_BANDS, dtype=np.uint64)
+_A, _BAND, _BAND_NO = (_RNG.integers(0, 2**63, MOST_HASHES, dtype=np.uint64) * np.uint64(2) + np.uint64(1) for _ in range(3))
 _P = np.uint64(0x9E3779B97F4A7C15)
 
 
+class Layout(NamedTuple):
+    """Bands, minima of each, and how many of all minima two signatures have to share."""
+
+    rows: int
+    n_bands: int
+    least: int
+
+    @property
+    def n_hashes(self) -> int:
+        return self.rows * self.n_bands
+
+
+@lru_cache
+def layout(percent: int) -> Layout:
+    """The most selective bands of MOST_HASHES minima at most that miss a pair at the threshold with MISS at most."""
+    t = min(percent, 99) / 100
+    bands = lambda rows: math.ceil(math.log(MISS) / math.log1p(-(t**rows)))
+    rows = max((r for r in range(1, MOST_HASHES + 1) if r * bands(r) <= MOST_HASHES), default=0)
+    if not rows:
+        raise ValueError(f"a threshold of {percent} needs more than {MOST_HASHES} minima")
+    n, least, below = rows * bands(rows), 0, 0.0
+    while (below := below + math.comb(n, least) * t**least * (1 - t) ** (n - least)) <= MISS_AGREE:
+        least += 1
+    return Layout(rows, bands(rows), least)
+
+
 class _WordHash(dict):
     def __missing__(self, word: bytes) -> int:
         if len(self) > 300_000:
@@ -68,39 +96,42 @@ def shingles(data: bytes, n: int = WORDS) -> np.ndarray:
     return np.unique(s ^ (s >> np.uint64(32)))
 
 
-def signature(s: np.ndarray) -> np.ndarray:
+def signature(s: np.ndarray, n_hashes: int) -> np.ndarray:
     """Minima of multiply-shift hashes."""
-    low = None
+    low, by = None, _A[:n_hashes]
     for at in range(0, len(s), 512):
-        m = (s[at : at + 512, None] * _A).min(axis=0)
+        m = (s[at : at + 512, None] * by).min(axis=0)
         low = m if low is None else np.minimum(low, m)
     return (low >> np.uint64(32)).astype(np.uint32)
 
 
-def band_keys(sig: np.ndarray) -> np.ndarray:
-    k = (sig.reshape(N_BANDS, ROWS).astype(np.uint64) * _BAND).sum(axis=1) + _BAND_NO
+def band_keys(sig: np.ndarray, lay: Layout) -> np.ndarray:
+    k = (sig.reshape(lay.n_bands, lay.rows).astype(np.uint64) * _BAND[: lay.rows]).sum(axis=1) + _BAND_NO[: lay.n_bands]
     k = (k ^ (k >> np.uint64(31))) * _P
     return (k ^ (k >> np.uint64(29))).view(np.int64)
 
 
-def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    claim("minhash", _hash.clear)
-    for b in batches:
-        n, digest, sig, bands = [], [], [], []
-        for text in b.column(1).to_pylist():
-            s = shingles(text)
-            n.append(len(s))
-            if not len(s):
-                digest.append(None), sig.append(None), bands.append(None)
-                continue
-            digest.append(xxhash.xxh3_128_digest(s.tobytes()))
-            g = signature(s)
-            sig.append(g.tobytes())
-            bands.append(band_keys(g))
-        yield pa.RecordBatch.from_arrays(
-            [b.column(0), pa.array(n, pa.int64()), pa.array(digest, pa.binary()), pa.array(sig, pa.binary()), pa.array(bands, pa.list_(pa.int64()))],
-            names=["doc_id", "n_shingles", "digest", "sig", "bands"],
-        )
+def _features(lay: Layout):
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        claim("minhash", _hash.clear)
+        for b in batches:
+            n, digest, sig, bands = [], [], [], []
+            for text in b.column(1).to_pylist():
+                s = shingles(text)
+                n.append(len(s))
+                if not len(s):
+                    digest.append(None), sig.append(None), bands.append(None)
+                    continue
+                digest.append(xxhash.xxh3_128_digest(s.tobytes()))
+                g = signature(s, lay.n_hashes)
+                sig.append(g.tobytes())
+                bands.append(band_keys(g, lay))
+            yield pa.RecordBatch.from_arrays(
+                [b.column(0), pa.array(n, pa.int64()), pa.array(digest, pa.binary()), pa.array(sig, pa.binary()), pa.array(bands, pa.list_(pa.int64()))],
+                names=["doc_id", "n_shingles", "digest", "sig", "bands"],
+            )
+
+    return rows
 
 
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -213,13 +244,13 @@ def sides(docs: DataFrame) -> int:
     return max(1, -(-docs.distinct().count() // CELL))
 
 
-def agree(pairs: DataFrame, sigs: DataFrame) -> DataFrame:
+def agree(pairs: DataFrame, sigs: DataFrame, lay: Layout) -> DataFrame:
     """The pairs whose signatures agree often enough."""
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            a, c = (np.frombuffer(b"".join(b.column(k).to_pylist()), np.uint32).reshape(-1, N_HASHES) for k in (2, 3))
-            keep = (a == c).sum(axis=1) >= LEAST_AGREE * N_HASHES
+            a, c = (np.frombuffer(b"".join(b.column(k).to_pylist()), np.uint32).reshape(-1, lay.n_hashes) for k in (2, 3))
+            keep = (a == c).sum(axis=1) >= lay.least
             yield pa.RecordBatch.from_arrays(list(b.columns[:2]), names=["x", "y"]).filter(pa.array(keep))
 
     both = pairs.join(sigs.toDF("x", "sx"), "x").join(sigs.toDF("y", "sy"), "y")
@@ -235,6 +266,7 @@ def _across(members: DataFrame, roots: DataFrame, reps: DataFrame, percent: int)
 
     A pair is found in the bucket of its first common band only. A bucket's pairs leave it as a row for each cell of
     verification, so the rows don't grow with the square of a group."""
+    lay = layout(percent)
     m = members.join(roots.withColumnRenamed("node", "doc"), "doc", "left").select("key", "band", "doc", F.coalesce("root", "doc").alias("comp"))
     per = m.groupBy("key", "comp").agg(F.count("*").alias("n"))
     opened = per.groupBy("key").agg(F.count("*").alias("k"), F.sum("n").alias("n"), F.max(F.struct("n", "comp")).alias("main")).where("k > 1")
@@ -286,12 +318,12 @@ def _across(members: DataFrame, roots: DataFrame, reps: DataFrame, percent: int)
                 grid = np.array([h[4] for h in held])
                 ids, comps, lens, slots = (np.array([h[k] for h in held], np.int64) for k in range(4))
             same = grid == g
-            near = (same.sum(axis=1) >= LEAST_AGREE * N_HASHES) & (comps != comp)
+            near = (same.sum(axis=1) >= lay.least) & (comps != comp)
             near &= 100 * np.minimum(lens, size) >= percent * np.maximum(lens, size)
             if comp != main:
                 near &= ids < doc  # both are minority members: once is enough
             (near,) = np.nonzero(near)
-            near = near[same[near].reshape(-1, N_BANDS, ROWS).all(axis=2).argmax(axis=1) == band]
+            near = near[same[near].reshape(-1, lay.n_bands, lay.rows).all(axis=2).argmax(axis=1) == band]
             if len(near):
                 found.append((slot * side + slots[near], np.full(len(near), doc), ids[near]))
         pack()
@@ -311,8 +343,9 @@ def _same_id(some: DataFrame, classes: DataFrame) -> DataFrame:
 def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
     """(doc_id, n_shingles, component_id) of every row of (doc_id, text)."""
     bounded_batches(docs.sparkSession)
+    lay = layout(percent)
     docs = docs.select("doc_id", "text")
-    feats = stash(docs.select("doc_id", text_bytes("text").alias("text")).mapInArrow(_features, "doc_id long, n_shingles long, digest binary, sig binary, bands array<long>"), "features")
+    feats = stash(docs.select("doc_id", text_bytes("text").alias("text")).mapInArrow(_features(lay), "doc_id long, n_shingles long, digest binary, sig binary, bands array<long>"), "features")
     some = feats.where("doc_id IS NOT NULL AND n_shingles > 0")
     classes = some.groupBy("digest").agg(F.min("doc_id").alias("rep"), F.count("*").alias("n"))
     reps = some.join(classes.select(F.col("rep").alias("doc_id")), "doc_id", "left_semi")
@@ -322,7 +355,7 @@ def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
     members = stash(buckets.join(shared, "key"), "members")
     pairs = members.where("doc <> centre").select(*_ordered("doc", "centre")).distinct()
     texts = docs.where("doc_id IS NOT NULL")
-    pairs = stash(agree(pairs, sigs), "pairs")
+    pairs = stash(agree(pairs, sigs, lay), "pairs")
     side = sides(pairs.select("x").union(pairs.select("y")))
     packed = pairs.groupBy((_slot("x", side) * side + _slot("y", side)).alias("cell"), "x").agg(F.collect_list("y").alias("ys"))
     packed = packed.select("cell", F.array_repeat("x", F.size("ys")).alias("xs"), "ys")
@@ -338,9 +371,9 @@ def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
     return of.join(roots.withColumnRenamed("node", "rep"), "rep", "left").select("doc_id", "n_shingles", F.coalesce("root", "rep").alias("component_id"))
 
 
-def drop_near_copies(docs: DataFrame) -> DataFrame:
+def drop_near_copies(docs: DataFrame, percent: int = 85) -> DataFrame:
     """One document of each group stays, the one of the smallest doc_id; columns as they were."""
-    gone = near_duplicates(docs).where("doc_id <> component_id").select(F.col("doc_id").alias("gone_id")).distinct()
+    gone = near_duplicates(docs, percent).where("doc_id <> component_id").select(F.col("doc_id").alias("gone_id")).distinct()
     return docs.join(gone, docs["doc_id"] == F.col("gone_id"), "left_anti")
 
 

@@ -3,6 +3,7 @@
 import collections
 import datetime
 import hashlib
+import math
 import random
 
 import pytest
@@ -87,6 +88,15 @@ def test_minhash(spark):
     assert sorted(r.doc_id for r in kept.collect()) == sorted(i for i, (_, c) in want.items() if i == c)
 
 
+def test_layout():
+    """Chances of a loss at the threshold, and the layout of op3_minhash."""
+    assert minhash.layout(85) == (5, 25, 81)
+    for percent in (50, 70, 80, 85, 90, 99):
+        lay, t = minhash.layout(percent), percent / 100
+        assert lay.n_hashes <= minhash.MOST_HASHES and (1 - t**lay.rows) ** lay.n_bands < 5e-7
+        assert sum(math.comb(lay.n_hashes, k) * t**k * (1 - t) ** (lay.n_hashes - k) for k in range(lay.least)) <= 1e-8
+
+
 def test_minhash_odd(spark):
     assert minhash.near_duplicates(docs_of(spark, []).limit(0)).count() == 0
     long = " ".join(str(k) for k in range(20_000))

@@ -52,3 +52,11 @@ def test_stages(spark, tmp_path):
         kept[name] = after
     assert 500 in kept["near_dedup"] and 500 not in kept["decontamination"]
     assert {r.doc_id for r in corpus_pipeline.run(spark, str(tmp_path)).collect()} == kept["decontamination"]
+
+
+def test_near_stage_at_80(spark, tmp_path):
+    """The stage drops copies with a similarity from 0.8 on: 38 of 46 shingles are 0.826, 38 of 48 are 0.79."""
+    words = [f"w{k}" for k in range(46)]
+    rows = [(1, " ".join(words)), (2, " ".join([*words[:42], *"abcd"])), (3, " ".join(f"x{k}" for k in range(47))), (4, " ".join([*(f"x{k}" for k in range(42)), *"abcde"]))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert {r.doc_id for r in corpus_pipeline.near_dedup(spark, docs, str(tmp_path)).collect()} == {1, 3, 4}
