@@ -2,15 +2,17 @@
 
 A gear hash rolls over the bytes of a text; where chosen bits of it are zero, a chunk ends (in long stretches without
 such a place, where the hash is the smallest around). The hash only depends on the last few bytes, so a passage is cut
-alike wherever it stands, but for its ends. Chunks are compared by digest:
-the first document that has one keeps it, and runs of chunks that stand in earlier documents are removed from later
-ones if they are long enough together. Chunks that repeat within one document only are left alone.
+alike wherever it stands, but for its ends. Chunks are compared by digest: the first place of each, by document and
+then by where it stands, keeps it, and runs of chunks that stand earlier are removed from all later places, in other
+documents or in the same one, if they are long enough together.
 
 Per document each digest moves once; first documents are aggregated before they move, and the join back is one that
 adaptive execution splits, so a passage that a third of all documents share gathers nowhere.
 
 Defined cases: null and empty texts have no chunks; a text without a boundary is one chunk; a null doc_id is left
-out; rows that repeat a doc_id count as one document; other columns are not read.
+out; rows that repeat a doc_id count as one document, but places are compared within a row only; in a run, chunks that
+repeat within the document count once each, so a stretch of one short period is no passage that repeats; other columns
+are not read.
 """
 
 from __future__ import annotations
@@ -104,7 +106,7 @@ def repeated_spans(docs: DataFrame, min_run: int = MIN_RUN) -> DataFrame:
     first = stash(first, "first")
     found = digests.join(first, "digest").where("doc_id <> first")
     per = found.groupBy("doc_id").agg(F.collect_list(F.struct("digest", "first")).alias("known"))
-    both = text.withColumnRenamed("doc_id", "d").join(per, F.col("d") == F.col("doc_id")).select("doc_id", "text", "known")
+    both = text.join(per, "doc_id", "left").select("doc_id", "text", "known")  # all texts: any may repeat itself
 
     def runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         claim("substring_dedup")
@@ -113,19 +115,22 @@ def repeated_spans(docs: DataFrame, min_run: int = MIN_RUN) -> DataFrame:
             known = b.column(2)
             for row, (doc, data) in enumerate(zip(b.column(0).to_pylist(), b.column(1).to_pylist())):
                 own = known[row].values
-                source = dict(zip(own.field(0).to_pylist(), own.field(1).to_pylist()))
-                a, spans = 0, []
+                source = dict(zip(own.field(0).to_pylist(), own.field(1).to_pylist())) if own is not None else {}
+                a, spans, seen = 0, [], set()
                 ends = boundaries(data)
                 for end, d in zip(ends.tolist(), chunk_digests(data, ends).tolist()):
-                    s = source.get(d)
+                    s = source.get(d, doc if d in seen else None)
                     if s is not None:
-                        if spans and spans[-1][1] == a:
-                            spans[-1][1] = end
-                            spans[-1][2][s] += end - a
-                        else:
-                            spans.append([a, end, Counter({s: end - a})])
+                        if not spans or spans[-1][1] != a:
+                            spans.append([a, end, Counter(), set()])
+                        of, again = spans[-1][2:]
+                        spans[-1][1] = end
+                        if s != doc or d not in again:
+                            of[s] += end - a
+                            again.add(d)
+                    seen.add(d)
                     a = end
-                spans = [(a, z, sources(s, z - a)) for a, z, s in spans if z - a >= min_run]
+                spans = [(a, z, sources(s, z - a)) for a, z, s, _ in spans if s.total() >= min_run]
                 spans = [{"start": a, "stop": z, "first_doc_ids": s} for a, z, s in spans if s]
                 if spans:
                     out.append((doc, data, spans))

@@ -182,6 +182,19 @@ def test_substrings(spark):
     assert ends[-1] == len(data) and (ends[1:] > ends[:-1]).all()
 
 
+def test_substrings_within_a_document(spark):
+    """A passage that only its own document repeats loses its later places, and the first one stays."""
+    rng = random.Random(6)
+    prose = lambda n: " ".join("".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(rng.randrange(2, 9))) for _ in range(n))
+    p, q = prose(60), prose(60)
+    rows = [(1, f"{prose(20)} {p} {prose(20)} {p} {prose(20)}"), (2, f"{q} {prose(9)} {q} {q}"), (3, prose(100)), (4, f"{p} {prose(20)} {q} {prose(20)}"), (5, "ab " * 9000), (6, None)]
+    got = {r.doc_id: r for r in substring_dedup.without_spans(substring_dedup.repeated_spans(docs_of(spark, rows))).collect()}
+    assert {i: r.first_doc_ids for i, r in got.items()} == {1: [1], 2: [2], 4: [1, 2]}
+    text = dict(rows)
+    assert got[1].text.count(p.encode()) == 1 and got[1].text.startswith(text[1][: text[1].index(p) + len(p)].encode())
+    assert got[2].text.startswith(q.encode()) and got[2].n_removed > len(q) and got[1].n_removed > len(p) / 2
+
+
 def test_boundaries_in_slices(monkeypatch):
     rng = random.Random(8)
     data = bytes(rng.randrange(97, 123) for _ in range(5000))
