@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.functions.text import col, normalize_name, tokens
+from ledgerloom.functions.text import col, normalize_name, text_key, tokens
 from ledgerloom.operators.tokens import overlap_ratio
 
 #: Most bytes of master names that are sent to every task; more are scored in blocks.
@@ -41,6 +41,13 @@ def fill_keys(df: DataFrame, best: DataFrame, name: str = "Nombre personalizado"
     return df.join(b, F.col(f"`{name}`") == F.col("_name"), "left").withColumn(key, F.when(empty, F.coalesce("_llave", F.col(f"`{key}`"))).otherwise(F.col(f"`{key}`"))).drop("_name", "_llave")
 
 
+def unmatched_names(df: DataFrame, best: DataFrame, order: str, name: str = "Nombre personalizado", key: str = "Llave") -> DataFrame:
+    """(name, first) of the distinct names, as keys (B3), that E7 leaves without a key, with the smallest order of each."""
+    empty = F.coalesce(F.trim(F.col(f"`{key}`")) == "", F.lit(True))
+    left = df.where(empty).join(best.select(F.col("name").alias("_name")), F.col(f"`{name}`") == F.col("_name"), "left_anti")
+    return left.groupBy(text_key(F.col(f"`{name}`")).alias("name")).agg(F.min(order).alias("first"))
+
+
 def fill_counts(before: DataFrame, after: DataFrame, key: str = "Llave") -> DataFrame:
     """keys that were filled, and rows without a key before and after."""
     empty = F.coalesce(F.trim(F.col(f"`{key}`")) == "", F.lit(True))

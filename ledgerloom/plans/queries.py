@@ -548,10 +548,21 @@ def f_status_totals(spark: SparkSession, d: str) -> DataFrame:
 
 @query(f"""WITH {v.MSGS}, r AS (SELECT proveedor AS name, min(id) AS first_id FROM msgs WHERE id % 4 = 3 GROUP BY 1) SELECT name, first_id FROM r ORDER BY first_id LIMIT 20""")
 def g_unmatched_topk(spark: SparkSession, d: str) -> DataFrame:
-    """The first 20 names without a match, in order of appearance: a report."""
+    """The first 20 names of a quarter of the messages, in order of appearance; nothing is matched, see g_unmatched_names."""
     return v.msgs(spark, d).where("id % 4 = 3").groupBy(F.col("proveedor").alias("name")).agg(F.min("id").alias("first_id")).orderBy("first_id").limit(20)
 
 
+@query(f"""WITH {v.MSGS}, {v.REGISTRY}, names AS (SELECT lower(proveedor) AS name, min(id) AS first_id FROM msgs GROUP BY 1),
+nt AS (SELECT *, regexp_extract_all(name, '[a-z0-9]+') AS st FROM names), rt AS (SELECT DISTINCT regexp_extract_all(lower(nombre), '[a-z0-9]+') AS od FROM registry),
+hit AS (SELECT DISTINCT name FROM nt JOIN rt ON nt.st[2] = rt.od[3] WHERE list_contains(od, st[1]) AND len(list_filter(st, lambda t: list_contains(od, t))) / greatest(len(st), len(od)) >= 0.6)
+SELECT name, first_id FROM names WHERE name NOT IN (SELECT name FROM hit) ORDER BY first_id LIMIT 20""")
+def g_unmatched_names(spark: SparkSession, d: str) -> DataFrame:
+    """The first 20 names of all messages that the registry leaves without a key, in order of appearance: a report."""
+    m = v.msgs(spark, d).select("id", F.col("proveedor").alias("Nombre personalizado"), F.lit(None).cast("string").alias("Llave"))
+    best = argmax.best_by_tokens(m.select(F.col("Nombre personalizado").alias("name")), v.registry_rows(spark, d))
+    return argmax.unmatched_names(m, best, "id").select("name", F.col("first").alias("first_id")).orderBy("first_id").limit(20)
+
+
 @query(f"WITH {v.DIRECTORY} SELECT code11, pais, ciudad FROM directory")
 def g_keep_first(spark: SparkSession, d: str) -> DataFrame:
     return records.directory(v.directory_rows(spark, d), "code", "country", "city", "src_order")

@@ -63,6 +63,15 @@ def test_token_argmax(spark):
     assert sorted(str(r.Llave) for r in argmax.fill_keys(df, best).collect()) == ["A", "None", "OLD"]
 
 
+def test_unmatched_names(spark):
+    """Names without a key that match nothing, once each; neither those that match nor those that have a key."""
+    reg = spark.createDataFrame([("acme textiles testus33xxx", "A", 1)], "nombre string, llave string, od_order int")
+    rows = [(9, "Otra  Firma", None), (3, "otra firma", " "), (1, "acme textiles testus33xxx", None), (2, "Nadie Mas", "OLD"), (7, "acme", ""), (8, None, "")]
+    df = spark.createDataFrame(rows, "id int, `Nombre personalizado` string, Llave string")
+    best = argmax.best_by_tokens(df.select(F.col("Nombre personalizado").alias("name")), reg)
+    assert {(r.name, r.first) for r in argmax.unmatched_names(df, best, "id").collect()} == {("otra firma", 3), ("acme", 7), ("", 8)}
+
+
 def test_fuzzy(spark):
     assert argmax.token_set_ratio("acme textiles", "textiles acme norte") == 100
     assert argmax.token_set_ratio("abc", "xyz") == 0
