@@ -69,6 +69,23 @@ def test_bpe_equals_the_library():
         assert bpe.decode_ids(packed, PATH) == text.encode()
 
 
+@pytest.mark.parametrize("units, pairs, block, long", [(300_000, 1 << 19, 1 << 21, 1000), (3, 16, 40, 6)])
+def test_bpe_of_many(monkeypatch, units, pairs, block, long):
+    """Whatever the sizes of caches and blocks, in whatever order texts come."""
+    for name, value in (("CACHE_UNITS", units), ("CACHE_PAIRS", pairs), ("BLOCK_CHARS", block), ("LONG", long)):
+        monkeypatch.setattr(bpe, name, value)
+    bpe._forget()
+    e, rng = tiktoken_encoding(), random.Random(4)
+    syllables = ["th", "er", "ing", "ción", "ß", "ou", "ä", "x", "e", "tion", "日", "st"]
+    word = lambda: "".join(rng.choice(syllables) for _ in range(rng.randrange(1, 9))) + rng.choice(["", "", "", ".", ",", ".\n", "?", "\n\n", "3"])
+    texts = [" ".join(word() for _ in range(rng.randrange(60))) for _ in range(300)] + ["", " ", "\n", " a", "a ", "q" * 500, "ab" * 400 + " x\ny", "x\n y"]
+    for _ in range(2):
+        want = [struct.pack(f"<{len(ids)}I", *ids) for ids in map(e.encode_ordinary, texts)]
+        assert bpe.encode_texts(texts, PATH, SPLIT) == want
+        rng.shuffle(texts)
+    bpe._forget()
+
+
 def test_prefix_table():
     v, rng = bpe.vocabulary(PATH), random.Random(5)
     for _ in range(150):
