@@ -7,7 +7,7 @@ import ctypes
 import gc
 import tempfile
 import uuid
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -27,31 +27,97 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or one of our own where that is unset."""
+    """The folder that driver and executors share: spark.checkpoint.dir. In local mode, where both are one process, a
+    folder of our own stands in for it if it is unset; on a cluster that is an error."""
     got = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not got:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="shared-"))
         got = spark.sparkContext.getCheckpointDir()
     return got.rstrip("/")
 
 
+_scratch: list[list[str]] = []
+
+
 def stash(df: DataFrame, name: str) -> DataFrame:
     """Write a table to the shared folder and read it back: cuts the lineage, and survives lost executors."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    if _scratch:
+        _scratch[-1].append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextlib.contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """What is stashed inside is deleted at the end, when results that depend on it have been written elsewhere."""
+    _scratch.append([])
+    try:
+        yield
+    finally:
+        for path in _scratch.pop():
+            delete(spark, path)
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+
+
+#: Bits of a bitmap of keys: its BITS / 64 words of 16 bytes are all that is broadcast of any set of keys.
+BITS = 1 << 22
+#: Rows of a group from which on they are dealt to SALTS tasks.
+HOT, SALTS = 500, 64
+_WORD, _BITS, _SALT = "\x00word", "\x00bits", "\x00salt"
+
+
+def _slot(keys: Sequence[str]) -> Column:
+    return F.pmod(F.xxhash64(*[F.col(f"`{k}`") for k in keys]), F.lit(BITS))
+
+
+def bitmap(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The bits of the keys' hashes, as words of a bounded number."""
+    bits = df.select(_slot(keys).alias("s")).selectExpr(f"cast(s div 64 AS int) AS `{_WORD}`", f"shiftleft(1L, cast(s % 64 AS int)) AS `{_BITS}`")
+    return bits.groupBy(_WORD).agg(F.bit_or(_BITS).alias(_BITS))
+
+
+def tag(df: DataFrame, bits: DataFrame, keys: Sequence[str], name: str) -> DataFrame:
+    """df and a boolean: false for keys that the bitmap doesn't hold; true for all that it holds, and a few others."""
+    at = _slot(keys)
+    both = df.withColumn(_WORD, F.floor(at / 64).cast("int")).join(F.broadcast(bits), _WORD, "left")
+    bit = F.col(_BITS).bitwiseAND(F.call_function("shiftleft", F.lit(1).cast("long"), (at % 64).cast("int"))) != 0
+    return both.select(*[F.col(f"`{c}`") for c in df.columns], F.coalesce(bit, F.lit(False)).alias(name))
+
+
+def join_hot(rows: DataFrame, groups: DataFrame, keys: Sequence[str], spread: str, how: str = "inner", n: str = "n") -> DataFrame:
+    """rows joined with groups, which hold a row for each key and in n its number of rows.
+
+    Rows of groups of HOT rows or more are dealt to SALTS tasks by a hash of the column spread, and those groups' rows
+    are repeated for each; which groups these are travels as a bitmap. No row is lost or doubled either way."""
+    hot, keys = "\x00hot", list(keys)
+    bits = bitmap(groups.where(F.col(n) >= HOT), keys)
+    zero = F.lit(0).cast("long")
+    a = tag(rows, bits, keys, hot).withColumn(_SALT, F.when(F.col(hot), F.pmod(F.xxhash64(F.lit(7), F.col(spread)), F.lit(SALTS))).otherwise(zero)).drop(hot)
+    b = tag(groups, bits, keys, hot).withColumn(_SALT, F.explode(F.when(F.col(hot), F.sequence(zero, F.lit(SALTS - 1).cast("long"))).otherwise(F.array(zero)))).drop(hot, n)
+    return a.join(b, [*keys, _SALT], how).drop(_SALT)
+
+
 def text_bytes(text: str | Column) -> Column:
     """A text as its UTF-8 bytes; null counts as empty."""
     return F.coalesce((F.col(text) if isinstance(text, str) else text).cast("binary"), F.lit(b""))
 
 
 def bounded_batches(spark: SparkSession, most: str = "4m") -> None:
-    """Keep Arrow batches to a few MB whatever the length of the texts."""
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", most)
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "4096")
+    """Keep Arrow batches to a few MB whatever the length of the texts. Plans run later than they are made, so this
+    holds for the session; what the caller has set lower stays."""
+    bytes_, rows = "spark.sql.execution.arrow.maxBytesPerBatch", "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if spark.conf.get(bytes_, None) != most:
+        spark.conf.set(bytes_, most)
+    if not 0 < int(spark.conf.get(rows)) <= 4096:
+        spark.conf.set(rows, "4096")
 
 
 _held: dict[str, Callable[[], None]] = {}

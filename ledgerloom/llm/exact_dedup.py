@@ -1,7 +1,10 @@
 """Exact deduplication by progressive refinement, with DataFrame functions only.
 
 Rows are narrowed by byte length, then by a hash of a prefix, then by a SHA-256 of the whole text; each level only
-looks at what the level before left in a group of two or more, and the counts are aggregated before they move.
+looks at what the level before left in a group of two or more, and the counts are aggregated before they move. The
+groups that the first two levels leave travel to the scan that reads whole texts as a bitmap of a fixed size: a row
+that it doesn't hold has no equal; the few others that it holds by chance are hashed in vain, and change nothing.
+Texts never move, but for those that drop_exact_copies() has to look at again. Groups of any size are split.
 
 Defined cases: a null text equals the empty text. A null id sorts below every other id. Equal rows that repeat with
 the id that stays are all marked kept (they are the same row; `n_same` counts them). An empty table gives an empty
@@ -13,10 +16,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Bytes of a text that the second level hashes.
+from ledgerloom.llm.common import bitmap, join_hot, stash, tag
+
+#: Characters of a text that the second level hashes.
 PREFIX_CHARS = 256
-#: Most surviving (length, prefix) groups that are broadcast, 24 bytes each; beyond, the join shuffles narrow rows.
-BROADCAST_GROUPS = 400_000
+_LEVELS = ("len", "prefix_hash")
 
 
 def surviving_groups(docs: DataFrame, text_col: str = "text", prefix_chars: int = PREFIX_CHARS) -> DataFrame:
@@ -25,10 +29,8 @@ def surviving_groups(docs: DataFrame, text_col: str = "text", prefix_chars: int
     keys = docs.select(
         F.octet_length(text).alias("len"), F.xxhash64(F.substring(text, 1, prefix_chars)).alias("prefix_hash")
     )
-    # one partial aggregation serves both levels: a length survives if its prefixes sum to two rows or more
-    by_prefix = keys.groupBy("len", "prefix_hash").agg(F.count("*").alias("n"))
-    by_len = by_prefix.groupBy("len").agg(F.sum("n").alias("n_len")).where("n_len > 1").select("len")
-    return by_prefix.where("n > 1").join(by_len, "len", "left_semi").select("len", "prefix_hash")
+    # a group of two rows by both is one by length as well, so one partial aggregation serves both levels
+    return keys.groupBy(*_LEVELS).agg(F.count("*").alias("n")).where("n > 1").select(*_LEVELS)
 
 
 def exact_groups(
@@ -37,40 +39,32 @@ def exact_groups(
     text_col: str = "text",
     digest_all: bool = False,
     prefix_chars: int = PREFIX_CHARS,
-    broadcast_groups: int = BROADCAST_GROUPS,
 ) -> DataFrame:
     """One row per input row: id, keep_id, group_size, n_same, kept, text_sha256.
 
-    text_sha256 is null for rows that no other row can equal, unless digest_all asks for all digests."""
+    text_sha256 is null for rows that no other row equals, unless digest_all asks for all digests."""
     text = F.coalesce(F.col(text_col), F.lit(""))
-    groups = surviving_groups(docs, text_col, prefix_chars)
-    n = groups.count()
-    rows = docs.select(
+    levels = docs.select(
         F.col(id_col).alias("id"),
         F.octet_length(text).alias("len"),
         F.xxhash64(F.substring(text, 1, prefix_chars)).alias("prefix_hash"),
         text.alias("whole"),
     )
+    tagged = tag(levels, bitmap(surviving_groups(docs, text_col, prefix_chars), _LEVELS), _LEVELS, "hit")
     sha = F.sha2(F.col("whole"), 256)
-    hit = groups.withColumn("hit", F.lit(True))
-    if n <= broadcast_groups:
-        rows = rows.join(F.broadcast(hit), ["len", "prefix_hash"], "left")
-        digest = sha if digest_all else F.when(F.col("hit"), sha)
-        rows = rows.select("id", "len", "prefix_hash", F.coalesce("hit", F.lit(False)).alias("hit"), digest.alias("sha"))
-    else:  # too many groups to broadcast: digests in the scan, so that no text moves
-        rows = rows.select("id", "len", "prefix_hash", sha.alias("sha")).join(hit, ["len", "prefix_hash"], "left")
-        rows = rows.withColumn("hit", F.coalesce("hit", F.lit(False)))
+    rows = stash(tagged.select("id", "len", "hit", (sha if digest_all else F.when(F.col("hit"), sha)).alias("sha")), "digests")
     equal = (
         rows.where("hit")
         .groupBy("len", "sha", "id")
         .agg(F.count("*").alias("n"))
         .groupBy("len", "sha")
-        .agg(F.sum("n").alias("size"), F.max(F.struct("id", "n")).alias("top"))
-        .where("size > 1")
-        .select(F.col("len").alias("g_len"), F.col("sha").alias("g_sha"), "size", "top")
+        .agg(F.sum("n").alias("n"), F.max(F.struct("id", "n")).alias("top"))
+        .where("n > 1")
     )
-    # the side with the copies may be hot; it is the one that adaptive execution splits, the other has a row per group
-    out = rows.join(equal, F.col("hit") & (F.col("len") == F.col("g_len")) & (F.col("sha") == F.col("g_sha")), "left")
+    equal = stash(equal.withColumn("size", F.col("n")), "equal")
+    # rows that can't have an equal pass by the join
+    alone = rows.where("NOT hit").select("len", "sha", "id", F.lit(None).cast(equal.schema["top"].dataType).alias("top"), F.lit(None).cast("long").alias("size"))
+    out = join_hot(rows.where("hit").select("len", "sha", "id"), equal, ["len", "sha"], "id", "left").select("len", "sha", "id", "top", "size").union(alone)
     grouped = F.col("size").isNotNull()
     keep = F.when(grouped, F.col("top.id")).otherwise(F.col("id"))
     return out.select(
@@ -79,20 +73,29 @@ def exact_groups(
         F.coalesce("size", F.lit(1)).cast("long").alias("group_size"),
         F.when(grouped & F.col("id").eqNullSafe(F.col("top.id")), F.col("top.n")).otherwise(F.lit(1)).cast("long").alias("n_same"),
         F.col("id").eqNullSafe(keep).alias("kept"),
-        F.col("sha").alias("text_sha256"),
+        (F.col("sha") if digest_all else F.when(grouped, F.col("sha"))).alias("text_sha256"),
     )
 
 
 def drop_exact_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The documents without the rows that have an equal text and a smaller id; one row of each group stays."""
+    """The documents without the rows that have an equal text and a smaller id; one row of each group stays.
+
+    A bitmap of the ids that go, or that repeat with one text, is broadcast, and only rows that it holds move."""
     groups = exact_groups(docs, id_col, text_col)
-    gone = groups.where(~F.col("kept") | (F.col("n_same") > 1)).select(
-        F.col(id_col).alias("g_id"), F.col("text_sha256").alias("g_sha"), F.col("kept").alias("again")
-    ).distinct()
-    same = F.col(id_col).eqNullSafe(F.col("g_id")) & (F.sha2(F.coalesce(F.col(text_col), F.lit("")), 256) == F.col("g_sha"))
-    clean = docs.join(gone, same, "left_anti")
-    again = docs.join(gone.where("again"), same, "left_semi")
-    return clean.unionByName(again.dropDuplicates([id_col, text_col]))
+    gone = stash(
+        groups.where(~F.col("kept") | (F.col("n_same") > 1))
+        .select(F.col(id_col).alias("\x00id"), F.col("text_sha256").alias("\x00sha"), F.col("kept").alias("\x00again"))
+        .distinct(),
+        "gone",
+    )
+    bits = bitmap(gone.withColumnRenamed("\x00id", id_col), [id_col])
+    tagged = tag(docs, bits, [id_col], "\x00hit")
+    some = tagged.where(F.col("\x00hit")).drop("\x00hit")
+    same = F.col(id_col).eqNullSafe(F.col("\x00id")) & (F.sha2(F.coalesce(F.col(text_col), F.lit("")), 256) == F.col("\x00sha"))
+    clean = some.join(gone, same, "left_anti")
+    again = some.join(gone.where(F.col("\x00again")), same, "left_semi").withColumn("\x00text", F.coalesce(F.col(text_col), F.lit("")))
+    again = again.dropDuplicates([id_col, "\x00text"]).drop("\x00text")
+    return tagged.where(~F.col("\x00hit")).drop("\x00hit").unionByName(clean).unionByName(again)
 
 
 def op9_exact_dedup(spark, sf_dir: str) -> DataFrame:

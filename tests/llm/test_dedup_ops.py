@@ -9,7 +9,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import exact_dedup, line_dedup, minhash, substring_dedup, warc
+from ledgerloom.llm import common, exact_dedup, line_dedup, minhash, substring_dedup, warc
 from ledgerloom.llm.components import connected_components
 
 CLASH = "doc_id long, text string, keep_id long, len int, sha string, hit string, key string"
@@ -19,11 +19,14 @@ def docs_of(spark, rows, parts=3):
     return spark.createDataFrame([(i, t, 0, 0, "x", "x", "x") for i, t in rows], CLASH).repartition(parts)
 
 
-@pytest.mark.parametrize("broadcast", [1000, 0])
-def test_exact(spark, broadcast):
+@pytest.mark.parametrize("bits, hot", [(1 << 22, 500), (64, 3)])
+def test_exact(spark, monkeypatch, bits, hot):
+    """Whether or not the bitmaps are crowded and groups are split."""
+    monkeypatch.setattr(common, "BITS", bits)
+    monkeypatch.setattr(common, "HOT", hot)
     rows = [(1, "a"), (2, "a"), (3, "b"), (4, None), (5, ""), (6, "x" * 300 + "1"), (7, "x" * 300 + "2"), (8, "x" * 300 + "1"), (None, "n"), (None, "n"), (9, "t"), (9, "t"), (10, "long " * 50_000)]
     rows += [(100 + k, "hot") for k in range(50)]
-    out = exact_dedup.exact_groups(docs_of(spark, rows), digest_all=True, broadcast_groups=broadcast).collect()
+    out = exact_dedup.exact_groups(docs_of(spark, rows), digest_all=True).collect()
     by = collections.defaultdict(list)
     for i, t in rows:
         by[t or ""].append(i)
@@ -33,6 +36,9 @@ def test_exact(spark, broadcast):
         want.update((i, keep, len(own), i == keep) for i in own)
     assert collections.Counter((r.doc_id, r.keep_id, r.group_size, r.kept) for r in out) == want
     assert {r.text_sha256 for r in out} == {hashlib.sha256(t.encode()).hexdigest() for t in by}
+    some = exact_dedup.exact_groups(docs_of(spark, rows)).collect()
+    assert {(r.doc_id, r.text_sha256 is None) for r in some} == {(i, len(own) == 1) for own in by.values() for i in own}
+    assert collections.Counter((r.doc_id, r.keep_id, r.group_size, r.kept) for r in some) == want
     kept = exact_dedup.drop_exact_copies(docs_of(spark, rows))
     assert kept.columns == docs_of(spark, rows).columns
     assert sorted((r.text or "") for r in kept.collect()) == sorted(by)
