@@ -12,6 +12,7 @@ from collections.abc import Callable, Iterator, Sequence
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 _UPPER, _LOWER = b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz"
 #: A-Z to a-z, all other bytes as they are; bytes.split() then cuts at 0x20 and 0x09-0x0D only.
@@ -43,12 +44,17 @@ _scratch: list[list[str]] = []
 
 def stash(df: DataFrame, name: str) -> DataFrame:
     """Write a table to the shared folder and read it back: cuts the lineage, and survives lost executors."""
+    return stash_at(df, name)[0]
+
+
+def stash_at(df: DataFrame, name: str) -> tuple[DataFrame, str]:
+    """The table, and the folder that it is in."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
     if _scratch:
         _scratch[-1].append(path)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return spark.read.schema(df.schema).parquet(path), path
 
 
 @contextlib.contextmanager
@@ -74,34 +80,54 @@ HOT, SALTS = 500, 64
 _WORD, _BITS, _SALT = "\x00word", "\x00bits", "\x00salt"
 
 
-def _slot(keys: Sequence[str]) -> Column:
-    return F.pmod(F.xxhash64(*[F.col(f"`{k}`") for k in keys]), F.lit(BITS))
+def _slot(df: DataFrame, keys: Sequence[str]) -> Column:
+    """The bit of the keys; integers of any width that are equal have the same one."""
+    col = lambda k: F.col(f"`{k}`").cast("long") if isinstance(df.schema[k].dataType, T.IntegralType) else F.col(f"`{k}`")
+    return F.pmod(F.xxhash64(*map(col, keys)), F.lit(BITS))
 
 
 def bitmap(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """The bits of the keys' hashes, as words of a bounded number."""
-    bits = df.select(_slot(keys).alias("s")).selectExpr(f"cast(s div 64 AS int) AS `{_WORD}`", f"shiftleft(1L, cast(s % 64 AS int)) AS `{_BITS}`")
+    bits = df.select(_slot(df, keys).alias("s")).selectExpr(f"cast(s div 64 AS int) AS `{_WORD}`", f"shiftleft(1L, cast(s % 64 AS int)) AS `{_BITS}`")
     return bits.groupBy(_WORD).agg(F.bit_or(_BITS).alias(_BITS))
 
 
 def tag(df: DataFrame, bits: DataFrame, keys: Sequence[str], name: str) -> DataFrame:
     """df and a boolean: false for keys that the bitmap doesn't hold; true for all that it holds, and a few others."""
-    at = _slot(keys)
+    at = _slot(df, keys)
     both = df.withColumn(_WORD, F.floor(at / 64).cast("int")).join(F.broadcast(bits), _WORD, "left")
     bit = F.col(_BITS).bitwiseAND(F.call_function("shiftleft", F.lit(1).cast("long"), (at % 64).cast("int"))) != 0
     return both.select(*[F.col(f"`{c}`") for c in df.columns], F.coalesce(bit, F.lit(False)).alias(name))
 
 
-def join_hot(rows: DataFrame, groups: DataFrame, keys: Sequence[str], spread: str, how: str = "inner", n: str = "n") -> DataFrame:
-    """rows joined with groups, which hold a row for each key and in n its number of rows.
+def without_ids(docs: DataFrame, gone: DataFrame, id_col: str = "doc_id") -> DataFrame:
+    """docs without the rows whose id is in gone, a table of one column: only rows that its bitmap holds move."""
+    gone = stash(gone.toDF("\x00gone").distinct(), "gone")
+    tagged = tag(docs, bitmap(gone, ["\x00gone"]), [id_col], "\x00hit")
+    some = tagged.where(F.col("\x00hit")).join(gone, F.col(f"`{id_col}`") == F.col("\x00gone"), "left_anti")
+    return tagged.where(~F.col("\x00hit")).union(some).drop("\x00hit")
+
+
+def only_ids(docs: DataFrame, ids: DataFrame, id_col: str = "doc_id") -> DataFrame:
+    """The rows of docs whose id the bitmap of ids, a table of one column, holds: all that are in it, and few others."""
+    return tag(docs, bitmap(ids.toDF("\x00id"), ["\x00id"]), [id_col], "\x00hit").where(F.col("\x00hit")).drop("\x00hit")
+
+
+def join_hot(rows: DataFrame, groups: DataFrame, keys: Sequence[str], spread: str | Sequence[str], how: str = "inner", sizes: DataFrame | None = None) -> DataFrame:
+    """rows joined with groups by keys; sizes (else groups) holds the number of rows of each key in n.
 
-    Rows of groups of HOT rows or more are dealt to SALTS tasks by a hash of the column spread, and those groups' rows
-    are repeated for each; which groups these are travels as a bitmap. No row is lost or doubled either way."""
+    Rows of keys with HOT rows or more are dealt to SALTS tasks by a hash of the columns spread, and what groups has
+    of those keys is repeated for each; which keys these are travels as a bitmap. No row is lost or doubled."""
     hot, keys = "\x00hot", list(keys)
-    bits = bitmap(groups.where(F.col(n) >= HOT), keys)
+    spread = [spread] if isinstance(spread, str) else spread
+    bits = bitmap((groups if sizes is None else sizes).where(F.col("n") >= HOT), keys)
+    if sizes is None:
+        groups = groups.drop("n")
     zero = F.lit(0).cast("long")
-    a = tag(rows, bits, keys, hot).withColumn(_SALT, F.when(F.col(hot), F.pmod(F.xxhash64(F.lit(7), F.col(spread)), F.lit(SALTS))).otherwise(zero)).drop(hot)
-    b = tag(groups, bits, keys, hot).withColumn(_SALT, F.explode(F.when(F.col(hot), F.sequence(zero, F.lit(SALTS - 1).cast("long"))).otherwise(F.array(zero)))).drop(hot, n)
+    salt = F.pmod(F.xxhash64(F.lit(7), *[F.col(c) for c in spread]), F.lit(SALTS))
+    a = tag(rows, bits, keys, hot).withColumn(_SALT, F.when(F.col(hot), salt).otherwise(zero)).drop(hot)
+    every = F.when(F.col(hot), F.sequence(zero, F.lit(SALTS - 1).cast("long"))).otherwise(F.array(zero))
+    b = tag(groups, bits, keys, hot).withColumn(_SALT, F.explode(every)).drop(hot)
     return a.join(b, [*keys, _SALT], how).drop(_SALT)
 
 

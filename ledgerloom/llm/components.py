@@ -5,16 +5,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.common import stash
+from ledgerloom.llm.common import delete, join_hot, stash_at
 
 
 def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """(node, root) of every node of an edge but the roots; root is the smallest node reachable.
 
-    Each round is written to the shared folder. No list of neighbours is ever gathered: minima are aggregated before
-    they move, and the join that brings them back to the edges of a hot node is one that adaptive execution splits.
-    Edges with a null end and loops are ignored."""
-    e = stash(
+    Each round is written to the shared folder, and the round before is deleted. No list of neighbours is ever
+    gathered: minima are aggregated before they move, and the edges of a hot node are dealt to several tasks where
+    they come back. Edges with a null end and loops are ignored."""
+    spark = edges.sparkSession
+    e, path = stash_at(
         edges.select(F.greatest(a, b).alias("hi"), F.least(a, b).alias("lo")).where(F.col(a).isNotNull() & F.col(b).isNotNull() & (F.col("hi") > F.col("lo"))).distinct(),
         "edges",
     )
@@ -25,8 +26,10 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFr
             return e.select(F.col("hi").alias("node"), F.col("lo").alias("root"))
         state = now
         both = e.select(F.col("hi").alias("u"), F.col("lo").alias("v")).union(e.select("lo", "hi"))
-        least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.where("v > u").join(least, "u").select(F.col("v").alias("hi"), F.col("m").alias("lo"))
-        least = large.groupBy("hi").agg(F.min("lo").alias("m"))
-        small = large.join(least, "hi").where("lo > m").select(F.col("lo").alias("hi"), F.col("m").alias("lo"))
-        e = stash(small.union(least.select("hi", F.col("m").alias("lo"))).distinct(), "edges")
+        least = both.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n")).select("u", F.least("u", "m").alias("m"), "n")
+        large = join_hot(both.where("v > u"), least, ["u"], "v").select(F.col("v").alias("hi"), F.col("m").alias("lo"))
+        least = large.groupBy("hi").agg(F.min("lo").alias("m"), F.count("*").alias("n"))
+        small = join_hot(large, least, ["hi"], "lo").where("lo > m").select(F.col("lo").alias("hi"), F.col("m").alias("lo"))
+        old = path
+        e, path = stash_at(small.union(least.select("hi", F.col("m").alias("lo"))).distinct(), "edges")
+        delete(spark, old)

@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.common import FOLD, bounded_batches, claim, stash, table, text_bytes
+from ledgerloom.llm.common import FOLD, bounded_batches, claim, join_hot, only_ids, stash, table, text_bytes, without_ids
 from ledgerloom.llm.components import connected_components
 
 WORDS = 5
@@ -215,10 +215,11 @@ def verify(packed: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
     """The pairs of (cell, xs, ys) whose full sets meet the threshold; a pair comes in one cell, and once."""
     packed = stash(packed.repartition("cell").sortWithinPartitions("cell"), "packed")
     need = stash(packed.repartition("cell").sortWithinPartitions("cell").mapInArrow(_needs, "x long, y long").toDF("cell", "doc"), "need")
-    involved = docs.select(F.col("doc_id").alias("doc"), text_bytes("text").alias("text")).join(need.select("doc").distinct(), "doc", "left_semi")
+    often = need.groupBy("doc").agg(F.count("*").alias("n"))
+    involved = only_ids(docs.select(F.col("doc_id").alias("doc"), text_bytes("text").alias("text")), often.select("doc"), "doc").join(often, "doc", "left_semi")
     sets = involved.mapInArrow(_sets, "doc long, shingles binary")
     none = F.lit(None)
-    rows = need.join(sets, "doc").select("cell", F.lit(0).alias("kind"), "doc", "shingles", none.cast("array<long>").alias("xs"), none.cast("array<long>").alias("ys"))
+    rows = join_hot(need, sets, ["doc"], "cell", sizes=often).select("cell", F.lit(0).alias("kind"), "doc", "shingles", none.cast("array<long>").alias("xs"), none.cast("array<long>").alias("ys"))
     asked = packed.select("cell", F.lit(1).alias("kind"), none.cast("long").alias("doc"), none.cast("binary").alias("shingles"), "xs", "ys")
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -253,7 +254,8 @@ def agree(pairs: DataFrame, sigs: DataFrame, lay: Layout) -> DataFrame:
             keep = (a == c).sum(axis=1) >= lay.least
             yield pa.RecordBatch.from_arrays(list(b.columns[:2]), names=["x", "y"]).filter(pa.array(keep))
 
-    both = pairs.join(sigs.toDF("x", "sx"), "x").join(sigs.toDF("y", "sy"), "y")
+    n = pairs.groupBy("x").agg(F.count("*").alias("n"))  # the centre of a large bucket is in a pair with each member
+    both = join_hot(pairs, sigs.toDF("x", "sx"), ["x"], "y", sizes=n).join(sigs.toDF("y", "sy"), "y")
     return both.select("x", "y", "sx", "sy").mapInArrow(check, "x long, y long")
 
 
@@ -261,7 +263,7 @@ def _ordered(a: str, b: str) -> list[Column]:
     return [F.least(a, b).alias("x"), F.greatest(a, b).alias("y")]
 
 
-def _across(members: DataFrame, roots: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
+def _across(members: DataFrame, roots: DataFrame, reps: DataFrame, sizes: DataFrame, percent: int) -> DataFrame:
     """Packed candidate pairs (cell, xs, ys) of different components in one bucket whose signatures agree often enough.
 
     A pair is found in the bucket of its first common band only. A bucket's pairs leave it as a row for each cell of
@@ -270,7 +272,8 @@ def _across(members: DataFrame, roots: DataFrame, reps: DataFrame, percent: int)
     m = members.join(roots.withColumnRenamed("node", "doc"), "doc", "left").select("key", "band", "doc", F.coalesce("root", "doc").alias("comp"))
     per = m.groupBy("key", "comp").agg(F.count("*").alias("n"))
     opened = per.groupBy("key").agg(F.count("*").alias("k"), F.sum("n").alias("n"), F.max(F.struct("n", "comp")).alias("main")).where("k > 1")
-    rows = m.join(opened.select("key", F.col("main.comp").alias("main"), F.ceil(F.col("n") / CHUNK).alias("chunks")), "key")
+    opened = opened.select("key", F.col("main.comp").alias("main"), F.ceil(F.col("n") / CHUNK).alias("chunks"))
+    rows = join_hot(m, opened, ["key"], "doc", sizes=sizes)
     rows = stash(rows.join(reps.select(F.col("doc_id").alias("doc"), "sig", F.col("n_shingles").alias("size")), "doc"), "open")
     side = sides(rows.select("doc"))
     rows = rows.withColumn("slot", _slot("doc", side))
@@ -280,7 +283,7 @@ def _across(members: DataFrame, roots: DataFrame, reps: DataFrame, percent: int)
     # each minority member meets each chunk of its bucket; minority members are in chunks of their own
     few = rows.where("comp <> main").select("key", F.explode(every).alias("c1"), chunk.alias("c2"), F.lit(0).alias("kind"), *rest)
     lots = rows.where("comp <> main").select("key", chunk.alias("c2")).distinct()
-    many = rows.withColumn("c1", chunk).join(lots, "key").select("key", "c1", "c2", F.lit(1).alias("kind"), *rest)
+    many = join_hot(rows.withColumn("c1", chunk), lots, ["key"], "doc", sizes=sizes).select("key", "c1", "c2", F.lit(1).alias("kind"), *rest)
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cell, held, grid, found, out = None, [], None, [], []
@@ -346,35 +349,38 @@ def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
     lay = layout(percent)
     docs = docs.select("doc_id", "text")
     feats = stash(docs.select("doc_id", text_bytes("text").alias("text")).mapInArrow(_features(lay), "doc_id long, n_shingles long, digest binary, sig binary, bands array<long>"), "features")
-    some = feats.where("doc_id IS NOT NULL AND n_shingles > 0")
-    classes = some.groupBy("digest").agg(F.min("doc_id").alias("rep"), F.count("*").alias("n"))
+    able = "doc_id IS NOT NULL AND n_shingles > 0"
+    some = feats.where(able)
+    classes = stash(some.groupBy("digest").agg(F.min("doc_id").alias("rep"), F.count("*").alias("n")), "classes")
     reps = some.join(classes.select(F.col("rep").alias("doc_id")), "doc_id", "left_semi")
     sigs = reps.select("doc_id", "sig")
     buckets = reps.select(F.col("doc_id").alias("doc"), F.posexplode("bands").alias("band", "key"))
-    shared = buckets.groupBy("key").agg(F.count("*").alias("n"), F.min("doc").alias("centre")).where("n > 1").select("key", "centre")
-    members = stash(buckets.join(shared, "key"), "members")
+    shared = stash(buckets.groupBy("key").agg(F.count("*").alias("n"), F.min("doc").alias("centre")).where("n > 1"), "shared")
+    members = stash(join_hot(buckets, shared, ["key"], "doc"), "members")
     pairs = members.where("doc <> centre").select(*_ordered("doc", "centre")).distinct()
     texts = docs.where("doc_id IS NOT NULL")
-    pairs = stash(agree(pairs, sigs, lay), "pairs")
+    pairs = stash(agree(stash(pairs, "stars"), sigs, lay), "pairs")
     side = sides(pairs.select("x").union(pairs.select("y")))
+    # a centre's pairs are gathered for each cell, in which there are about CELL documents
     packed = pairs.groupBy((_slot("x", side) * side + _slot("y", side)).alias("cell"), "x").agg(F.collect_list("y").alias("ys"))
     packed = packed.select("cell", F.array_repeat("x", F.size("ys")).alias("xs"), "ys")
     links = stash(verify(packed, texts, percent).union(_same_id(some, classes)), "links")
     roots = connected_components(links, "x", "y")
     # what the stars left apart
-    packed = stash(_across(members.select("key", "band", "doc"), roots, reps, percent), "across")
+    packed = stash(_across(members.select("key", "band", "doc"), roots, reps, shared, percent), "across")
     if packed.head(1):
         links = links.union(stash(verify(packed, texts, percent), "links"))
         roots = connected_components(links, "x", "y")
-    copies = classes.where("n > 1").select("digest", "rep")
-    of = feats.join(copies, "digest", "left").select("doc_id", "n_shingles", F.coalesce("rep", "doc_id").alias("rep"))
-    return of.join(roots.withColumnRenamed("node", "rep"), "rep", "left").select("doc_id", "n_shingles", F.coalesce("root", "rep").alias("component_id"))
+    # a class has one root, so only the classes look for theirs, and copies take it from their class
+    of = classes.join(roots.withColumnRenamed("node", "rep"), "rep", "left").select("digest", "n", F.coalesce("root", "rep").alias("component_id"))
+    linked_rows = join_hot(some.select("doc_id", "n_shingles", "digest"), of, ["digest"], "doc_id").select("doc_id", "n_shingles", "component_id")
+    return linked_rows.union(feats.where(f"NOT ({able})").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id")))
 
 
 def drop_near_copies(docs: DataFrame, percent: int = 85) -> DataFrame:
-    """One document of each group stays, the one of the smallest doc_id; columns as they were."""
-    gone = near_duplicates(docs, percent).where("doc_id <> component_id").select(F.col("doc_id").alias("gone_id")).distinct()
-    return docs.join(gone, docs["doc_id"] == F.col("gone_id"), "left_anti")
+    """One document of each group stays, the one of the smallest doc_id; columns as they were. Rows with a null
+    doc_id stay, and of rows that repeat a doc_id all stay or none."""
+    return without_ids(docs, near_duplicates(docs, percent).where("doc_id <> component_id").select("doc_id"))
 
 
 def op3_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -106,14 +106,16 @@ def test_layout():
 def test_minhash_odd(spark):
     assert minhash.near_duplicates(docs_of(spark, []).limit(0)).count() == 0
     long = " ".join(str(k) for k in range(20_000))
-    rows = [(None, long), (None, None), (5, "a b c d e f"), (5, "x y z u v w"), (9, "x y z u v w"), (2, "a b c d e f"), (30, long), (31, long + " end")]
+    rows = [(None, long), (None, None), (5, "a b c d e f"), (5, "x y z u v w"), (9, "x y z u v w"), (2, "a b c d e f"), (30, long), (31, long + " end"), (None, "a b c d e f"), (40, ""), (None, "")]
     got = collections.Counter((r.doc_id, r.component_id) for r in minhash.near_duplicates(docs_of(spark, rows)).collect())
-    assert got == {(None, None): 2, (5, 2): 2, (9, 2): 1, (2, 2): 1, (30, 30): 1, (31, 30): 1}
+    assert got == {(None, None): 4, (40, 40): 1, (5, 2): 2, (9, 2): 1, (2, 2): 1, (30, 30): 1, (31, 30): 1}
 
 
 def test_dense_cells(monkeypatch, spark):
     monkeypatch.setattr(minhash, "CELL", 8)
     monkeypatch.setattr(minhash, "CHUNK", 4)
+    monkeypatch.setattr(common, "HOT", 3)
+    monkeypatch.setattr(common, "BITS", 128)
     rows = near_rows(2)
     got = {r.doc_id: (r.n_shingles, r.component_id) for r in minhash.near_duplicates(docs_of(spark, rows)).collect()}
     assert got == brute_components(rows)
