@@ -2,23 +2,26 @@
 
 A gear hash rolls over the bytes of a text; where chosen bits of it are zero, a chunk ends (in long stretches without
 such a place, where the hash is the smallest around). The hash only depends on the last few bytes, so a passage is cut
-alike wherever it stands, but for its ends. Chunks are compared by digest: the first place of each, by document and
-then by where it stands, keeps it, and runs of chunks that stand earlier are removed from all later places, in other
-documents or in the same one, if they are long enough together.
-
-Per document each digest moves once; first documents are aggregated before they move, and the join back is one that
-adaptive execution splits, so a passage that a third of all documents share gathers nowhere.
-
-Defined cases: null and empty texts have no chunks; a text without a boundary is one chunk; a null doc_id is left
-out; rows that repeat a doc_id count as one document, but places are compared within a row only; in a run, chunks that
-repeat within the document count once each, so a stretch of one short period is no passage that repeats; other columns
-are not read.
+alike wherever it stands, but for its ends. One chunk is too short to tell a copy from chance, so what is compared by
+digest are the shortest runs of chunks of MIN_RUN bytes or more, one from each boundary on. The first place of each
+run, by document and then by where it stands, keeps it; all later places are removed, in other documents or in the
+same one. So every byte that goes is in a stretch of MIN_RUN bytes or more that one earlier place has as a whole, and
+nothing else depends on which documents those are.
+
+Digests are written once, packed, a row a document; first places are aggregated before they move, and digests of
+which many documents have one are dealt to several tasks. Only texts that lose something move.
+
+Defined cases: null and empty texts, and those shorter than MIN_RUN, lose nothing; a text without a boundary is one
+chunk; a null doc_id is left out; rows that repeat a doc_id count as one document, but places are compared within a
+row only; a place that overlaps the first one in the same text loses what is beyond it; runs of a period
+of half their length or less are no passage within a text, so stretches of one short period stay; other columns are
+not read.
 """
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -26,7 +29,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.common import bounded_batches, claim, stash, table, text_bytes
+from ledgerloom.llm.common import bounded_batches, claim, join_hot, only_ids, stash, table, text_bytes
 
 #: A chunk has 2 ** BITS bytes on average.
 BITS = 5
@@ -36,10 +39,8 @@ LOW = 11
 LEAST = 8
 #: A stretch of more bytes without a boundary gets others.
 LONG = 160
-#: Least bytes of a run of repeated chunks that is removed; a passage of 50 words has more than twice as many.
+#: Least bytes of a run of chunks that is compared; a passage of 50 words has more than twice as many.
 MIN_RUN = 100
-#: Least bytes of a run that one document has first; a run of chunks that only chance brings together has no such one.
-MIN_SOURCE = 56
 _GEAR = np.random.Generator(np.random.PCG64(7)).integers(0, 2**16, 256, dtype=np.uint16)
 #: Bytes that are hashed at a time; each slice sees the bytes before it that its first hashes depend on.
 SLICE = 1 << 22
@@ -76,37 +77,76 @@ def _smallest(h: np.ndarray) -> np.ndarray:
     return np.array(out, np.int64)
 
 
-def chunk_digests(data: bytes, ends: np.ndarray) -> np.ndarray:
-    digest, view, a, out = xxhash.xxh3_64_intdigest, memoryview(data), 0, []
-    for b in ends.tolist():
-        out.append(digest(view[a:b]))
-        a = b
-    return np.array(out, np.uint64).view(np.int64)
+class Runs(NamedTuple):
+    """The shortest runs of chunks of enough bytes: where they begin and end, and their digests."""
+
+    start: np.ndarray
+    stop: np.ndarray
+    digest: np.ndarray
+
 
+def chunk_runs(data: bytes, min_run: int = MIN_RUN) -> Runs:
+    ends = boundaries(data)
+    starts = np.concatenate((np.zeros(1, np.int64), ends[:-1])) if len(ends) else ends
+    last = np.searchsorted(ends, starts + min_run)
+    n = int(np.searchsorted(last, len(ends)))  # the last starts have too little behind them
+    starts, stops = starts[:n], ends[last[:n]]
+    digest, view = xxhash.xxh3_64_intdigest, memoryview(data)
+    got = np.fromiter((digest(view[a:z]) for a, z in zip(starts.tolist(), stops.tolist())), np.uint64, n).view(np.int64)
+    return Runs(starts, stops, got)
 
-def sources(of: Counter, length: int) -> list[int]:
-    """Documents that have enough of a run first; in long runs, single chunks that others happen to have don't count."""
-    least = max(MIN_SOURCE, min(max(of.values()), length // 8))
-    return sorted(i for i, n in of.items() if n >= least)
 
+def periodic(x: bytes) -> bool:
+    """Whether a stretch repeats what its first half or less holds."""
+    k = x.find(x[: len(x) // 2], 1)
+    return k > 0 and x[k:] == x[:-k]
 
-def _digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(doc_id, distinct digests): digests stay packed, a row a document."""
-    for b in batches:
-        d = [np.unique(chunk_digests(t, boundaries(t))) for t in b.column(1).to_pylist()]
-        yield pa.RecordBatch.from_arrays([b.column(0), pa.array(d, pa.list_(pa.int64()))], names=["doc_id", "digests"])
+
+def _digests(min_run: int):
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        claim("substring_dedup")
+        for b in batches:
+            runs = [chunk_runs(t, min_run) for t in b.column(1).to_pylist()]
+            d = [np.unique(r.digest) for r in runs]
+            again = [len(x) < len(r.digest) for x, r in zip(d, runs)]
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(d, pa.list_(pa.int64())), pa.array(again)], names=["doc_id", "digests", "again"])
+
+    return rows
+
+
+def later_spans(data: bytes, known: dict[int, int], doc: int, min_run: int) -> list[tuple[int, int, list[int]]]:
+    """(start, stop, documents that have it first) of what other documents (known) or the text itself have earlier."""
+    found: list[tuple[int, int, int]] = []
+    first: dict[int, int] = {}
+    runs = chunk_runs(data, min_run)
+    for a, z, d in zip(runs.start.tolist(), runs.stop.tolist(), runs.digest.tolist()):
+        source = known.get(d)
+        if source is not None:
+            found.append((a, z, source))
+        elif first.setdefault(d, z) != z and max(a, first[d]) < z and not periodic(data[a:z]):
+            found.append((max(a, first[d]), z, doc))
+    found.sort()
+    spans: list[tuple[int, int, set[int]]] = []
+    for a, z, source in found:
+        if spans and a <= spans[-1][1]:
+            spans[-1] = (spans[-1][0], max(z, spans[-1][1]), spans[-1][2] | {source})
+        else:
+            spans.append((a, z, {source}))
+    return [(a, z, sorted(s)) for a, z, s in spans]
 
 
 def repeated_spans(docs: DataFrame, min_run: int = MIN_RUN) -> DataFrame:
-    """(doc_id, text, spans): bytes to remove of the documents that lose some, each with the first document's id."""
+    """(doc_id, text, spans): bytes to remove of the documents that lose some, with the documents that have them first."""
     bounded_batches(docs.sparkSession)
     text = docs.where("doc_id IS NOT NULL").select("doc_id", text_bytes("text").alias("text"))
-    digests = text.mapInArrow(_digests, "doc_id long, digests array<long>").select("doc_id", F.explode("digests").alias("digest"))
-    first = digests.groupBy("digest").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).where("first < last").select("digest", "first")
-    first = stash(first, "first")
-    found = digests.join(first, "digest").where("doc_id <> first")
-    per = found.groupBy("doc_id").agg(F.collect_list(F.struct("digest", "first")).alias("known"))
-    both = text.join(per, "doc_id", "left").select("doc_id", "text", "known")  # all texts: any may repeat itself
+    packed = stash(text.mapInArrow(_digests(min_run), "doc_id long, digests array<long>, again boolean").where("again OR size(digests) > 0"), "digests")
+    digests = packed.select("doc_id", F.explode("digests").alias("digest"))
+    first = digests.groupBy("digest").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last"), F.count("*").alias("n"))
+    first = stash(first.where("first < last").select("digest", "first", "n"), "first")
+    found = join_hot(digests, first, ["digest"], "doc_id").where("doc_id <> first")
+    per = stash(found.groupBy("doc_id").agg(F.collect_list(F.struct("digest", "first")).alias("known")), "known")
+    hit = only_ids(text, per.select("doc_id").union(packed.where("again").select("doc_id")))
+    both = hit.join(per, "doc_id", "left").select("doc_id", "text", "known")
 
     def runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         claim("substring_dedup")
@@ -116,23 +156,7 @@ def repeated_spans(docs: DataFrame, min_run: int = MIN_RUN) -> DataFrame:
             for row, (doc, data) in enumerate(zip(b.column(0).to_pylist(), b.column(1).to_pylist())):
                 own = known[row].values
                 source = dict(zip(own.field(0).to_pylist(), own.field(1).to_pylist())) if own is not None else {}
-                a, spans, seen = 0, [], set()
-                ends = boundaries(data)
-                for end, d in zip(ends.tolist(), chunk_digests(data, ends).tolist()):
-                    s = source.get(d, doc if d in seen else None)
-                    if s is not None:
-                        if not spans or spans[-1][1] != a:
-                            spans.append([a, end, Counter(), set()])
-                        of, again = spans[-1][2:]
-                        spans[-1][1] = end
-                        if s != doc or d not in again:
-                            of[s] += end - a
-                            again.add(d)
-                    seen.add(d)
-                    a = end
-                spans = [(a, z, sources(s, z - a)) for a, z, s, _ in spans if s.total() >= min_run]
-                spans = [{"start": a, "stop": z, "first_doc_ids": s} for a, z, s in spans if s]
-                if spans:
+                if spans := [{"start": a, "stop": z, "first_doc_ids": s} for a, z, s in later_spans(data, source, doc, min_run)]:
                     out.append((doc, data, spans))
             yield pa.RecordBatch.from_arrays(
                 [pa.array([x[0] for x in out], pa.int64()), pa.array([x[1] for x in out], pa.binary()), pa.array([x[2] for x in out], _SPANS)],

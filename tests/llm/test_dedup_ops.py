@@ -203,6 +203,39 @@ def test_substrings_within_a_document(spark):
     assert got[2].text.startswith(q.encode()) and got[2].n_removed > len(q) and got[1].n_removed > len(p) / 2
 
 
+def test_substrings_by_brute_force(spark, monkeypatch):
+    """Bytes that go stand in MIN_RUN bytes that an earlier place has; passages of over 50 words that repeat are caught."""
+    monkeypatch.setattr(common, "HOT", 4)
+    rng = random.Random(11)
+    syllables = ["th", "er", "ing", "an", "ou", "re", "st", "ed", "ión", "que", "de", "la"]
+    word = lambda: "".join(rng.choice(syllables) for _ in range(rng.randrange(1, 4)))
+    prose = lambda n: " ".join(word() for _ in range(n))
+    rows, planted = [(k, prose(rng.randrange(5, 120))) for k in range(60)], []
+    for k in range(40):
+        p = prose(rng.randrange(51, 70))
+        for i in (100 + k, 200 + k, 300 + k):
+            rows.append((i, f"{prose(rng.randrange(20))} {p} {prose(rng.randrange(20))}"))
+        planted += [200 + k, 300 + k]
+    p = prose(55)
+    rows += [(400, f"{p} {prose(9)} {p} {prose(3)} {p}"), (401, None), (402, "")]
+    # a passage whose parts other documents have first, each in another one, then as a whole in two documents
+    parts = [prose(9) for _ in range(7)]
+    rows += [(500 + k, f"{prose(12)} {x} {prose(12)}") for k, x in enumerate(parts)] + [(600 + k, " ".join(parts)) for k in range(2)]
+    text = {i: (t or "").encode() for i, t in rows}
+    spans = {r.doc_id: [(s.start, s.stop) for s in r.spans] for r in substring_dedup.repeated_spans(docs_of(spark, rows)).collect()}
+    n = substring_dedup.MIN_RUN
+    for i, own in spans.items():
+        for a, z in own:
+            held = [k for k in range(max(0, a - n), z - n + 1) if any(text[i][k : k + n] in text[j] for j in text if j < i) or text[i].find(text[i][k : k + n]) < k]
+            covered = {x for k in held for x in range(k, k + n)}
+            assert covered >= set(range(a, z)), (i, a, z)
+    caught = [i for i in planted if sum(z - a for a, z in spans.get(i, [])) >= 100]
+    assert len(caught) >= 0.95 * len(planted)
+    assert len(spans[400]) == 2 and sum(z - a for a, z in spans[601]) > len(text[601]) / 2
+    clean = {k for k in range(60)} | {100 + k for k in range(40)}
+    assert not clean & set(spans)
+
+
 def test_boundaries_in_slices(monkeypatch):
     rng = random.Random(8)
     data = bytes(rng.randrange(97, 123) for _ in range(5000))
