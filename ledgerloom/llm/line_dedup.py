@@ -6,11 +6,12 @@ equal runs of RUN lines select the same place in both. Fingerprints that only on
 others the windows around them are compared with the first place of the same window, which extends a match both ways
 as far as whole windows agree. Runs of fewer lines count if they have MIN_WORDS words together; there are no more of
 them than lines for each length, so each is a fingerprint of its own. A run of RUN lines or of MIN_WORDS words or more
-that stands earlier, in a document of a smaller doc_id or earlier in the same one, is deleted as far as it goes, and
-the first place of each run stays.
+that stands earlier, in a document of a smaller doc_id or earlier in the same one, is deleted as far as it goes. A
+later place that overlaps the first one in the same text only loses the lines beyond it, so the first place isn't
+touched by its own repeats (a b a b a b a keeps a b a).
 
-Counts and first places are aggregated before they move; the join back is one that adaptive execution splits, so a
-line that a third of all documents share gathers nowhere.
+Counts and first places are aggregated before they move, and what many documents share is dealt to several tasks.
+Only texts that lose lines move.
 
 Defined cases: null and empty texts have no lines; documents of fewer than RUN lines and MIN_WORDS words lose
 nothing; words are runs of anything but ASCII white space, so a line of a script without spaces is one word; rows that
@@ -28,7 +29,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.common import bounded_batches, claim, stash, table, text_bytes
+from ledgerloom.llm.common import bitmap, bounded_batches, claim, join_hot, stash, table, tag, text_bytes
 
 #: Lines of a run that counts whatever its length, and words of one that counts whatever its lines.
 RUN, MIN_WORDS = 3, 50
@@ -108,14 +109,16 @@ def repeated_runs(docs: DataFrame, run: int = RUN, min_words: int = MIN_WORDS) -
     bounded_batches(docs.sparkSession)
     text = docs.select("doc_id", text_bytes("text").alias("text"), F.xxhash64("text").alias("text_no"))
     marks = stash(text.mapInArrow(_selected(run, min_words), "doc_id long, text_no long, mark long, place long, lines long, around array<long>"), "marks")
-    often = marks.groupBy("mark").agg(F.count("*").alias("n")).where("n > 1").select("mark")
-    some = marks.join(often, "mark").select("doc_id", "text_no", "mark", F.posexplode("around").alias("k", "window"), "place", "lines")
+    often = stash(marks.groupBy("mark").agg(F.count("*").alias("n")).where("n > 1"), "often")
+    some = join_hot(marks, often, ["mark"], ["doc_id", "place"]).select("doc_id", "text_no", "mark", F.posexplode("around").alias("k", "window"), "place", "lines")
     some = stash(some.where("window IS NOT NULL").select("doc_id", "text_no", "window", (F.col("place") - (run - 1) + F.col("k")).alias("start"), "lines").distinct(), "windows")
-    first = some.groupBy("window").agg(F.min(F.struct("doc_id", "text_no", "start")).alias("first"), F.count("*").alias("n")).where("n > 1").select("window", "first")
-    later = some.join(first, "window").where(
-        ~(F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("text_no") == F.col("first.text_no")) & (F.col("start") == F.col("first.start")))
-    )
-    places = later.groupBy("doc_id", "text_no").agg(F.array_sort(F.collect_set(F.struct("start", (F.col("start") + F.col("lines")).alias("stop"), F.col("first.doc_id").alias("first_doc_id")))).alias("s"))
+    first = some.groupBy("window").agg(F.min(F.struct("doc_id", "text_no", "start")).alias("first"), F.count("*").alias("n")).where("n > 1")
+    first = stash(first, "first")
+    stop = F.col("start") + F.col("lines")
+    same = F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("text_no") == F.col("first.text_no"))
+    begin = F.when(same, F.greatest("start", F.col("first.start") + F.col("lines"))).otherwise(F.col("start"))
+    later = join_hot(some, first, ["window"], ["doc_id", "start"]).where(~(same & (F.col("start") == F.col("first.start"))))
+    places = later.groupBy("doc_id", "text_no").agg(F.array_sort(F.collect_set(F.struct(begin.alias("start"), stop.alias("stop"), F.col("first.doc_id").alias("first_doc_id")))).alias("s"))
 
     def spans(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -147,7 +150,9 @@ def delete_lines(text: bytes, spans: list[tuple[int, int]]) -> bytes:
 def without_repeats(docs: DataFrame, run: int = RUN, min_words: int = MIN_WORDS) -> DataFrame:
     """(doc_id, text, first_doc_ids, n_deleted) of the documents that lose lines."""
     runs = repeated_runs(docs, run, min_words).groupBy("doc_id", "text_no").agg(F.collect_list(F.struct("start", "stop")).alias("runs"), F.array_sort(F.collect_set("first_doc_id")).alias("first_doc_ids"))
-    own = docs.select("doc_id", text_bytes("text").alias("text"), F.xxhash64("text").alias("text_no")).withColumnsRenamed({"doc_id": "d", "text_no": "t"})
+    runs = stash(runs, "runs")
+    own = docs.select(F.col("doc_id").cast("long").alias("d"), text_bytes("text").alias("text"), F.xxhash64("text").alias("t"))
+    own = tag(own, bitmap(runs, ["doc_id", "text_no"]), ["d", "t"], "hit").where("hit").drop("hit")
     hit = own.join(runs, F.col("d").eqNullSafe(F.col("doc_id")) & (F.col("t") == F.col("text_no"))).select("doc_id", "text", "runs", "first_doc_ids")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

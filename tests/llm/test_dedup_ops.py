@@ -140,24 +140,27 @@ def test_components(spark):
     assert connected_components(spark.createDataFrame([], "a long, b long")).count() == 0
 
 
-def test_lines(spark):
+@pytest.mark.parametrize("hot", [500, 3])
+def test_lines(spark, monkeypatch, hot):
+    monkeypatch.setattr(common, "HOT", hot)
     rng = random.Random(3)
     rows = [(k, "\n".join(rng.choice("abcdef") for _ in range(rng.randrange(12)))) for k in range(60)]
     rows += [(100, None), (101, ""), (102, "\n\n"), (103, "q\n\n r\ns"), (104, "q\nr\n\ns \nt"), (105, "z\n" * 30_000), (106, "solo"), (103, "q\n\n r\ns")]
-    seen, want = set(), {}
+    rows += [(110, "A\nB\nA\nB\nA\nB\nA")]
+    seen, want = {}, {}
     for i, t in sorted(dict(rows).items()):
         lines = [x.strip() for x in (t or "").split("\n") if x.strip()]
         gone = set()
         for k in range(len(lines) - 2):
-            w = tuple(lines[k : k + 3])
-            gone.update(range(k, k + 3) if w in seen else ())
-            seen.add(w)
+            at = seen.setdefault(tuple(lines[k : k + 3]), (i, k))
+            if at != (i, k):
+                gone.update(range(max(k, at[1] + 3) if at[0] == i else k, k + 3))
         if gone:
             want[i] = len(gone)
     got = {r.doc_id: r for r in line_dedup.without_repeats(docs_of(spark, rows)).collect()}
     assert {i: r.n_deleted for i, r in got.items()} == want
     assert got[104].text == "t" or got[104].text.strip() == "t"
-    assert got[104].first_doc_ids == [103]
+    assert got[104].first_doc_ids == [103] and got[110].text == "A\nB\nA" and got[105].text.strip() == "z\nz\nz"
     assert line_dedup.without_repeats(docs_of(spark, rows).limit(0)).count() == 0
 
 
