@@ -5,8 +5,9 @@ run of other words is one gap symbol, which no phrase holds), its suffixes are s
 transform goes into a wavelet tree. All benchmark windows are searched backwards at once by its ranks; the rows that
 are left are located by walking to sampled suffix positions, and the places are merged into spans of words.
 
-Nothing is shuffled, so a hot key can't gather. The benchmark is applied in blocks of at most BLOCK_BYTES of text:
-a table of any size is read in bounded parts, one pass over the documents for each, with spans merged between.
+Nothing is shuffled, so a hot key can't gather. The benchmark is applied in blocks of about BLOCK_BYTES of text: a
+table of any size is read a block at a time, with a pass over the documents for each, whose result is written before
+the next block is read. So driver and tasks hold one block, whatever the size of the table.
 
 Defined cases: null and empty texts have no words and are never contaminated; an item without words has no windows,
 and one with fewer than WINDOW words is one window; a null item_id counts as the empty string; equal items each
@@ -24,12 +25,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.common import FOLD_ALNUM, bounded_batches, claim, merge_spans, table, text_bytes
+from ledgerloom.llm.common import FOLD_ALNUM, bounded_batches, claim, merge_spans, stash, table, text_bytes
 
 WINDOW = 13
 SHARD_SYMBOLS = 1 << 19
 SAMPLE = 16
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 2 << 20
 #: Bytes of a text that become words at a time.
 SLICE = 4 << 20
 _END, _GAP, _FIRST = 0, 1, 2
@@ -253,6 +254,8 @@ def _passes(docs: DataFrame, benchmark: DataFrame, text_col: str, block_bytes: i
                 yield pa.RecordBatch.from_arrays([*b.columns[:n], *made], names=[*names, "\x00n_words", _OLD, _ITEMS])
 
         df = df.withColumn(_TEXT, text_bytes(text_col)).mapInArrow(run, schema)
+        if k < blocks - 1:
+            df = stash(df, "pass")
     return df
 
 
@@ -267,7 +270,8 @@ def _hit(spans: str):
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The documents of which windows cover less than a twentieth of the words; columns as they were."""
+    """The documents of which windows cover less than a twentieth of the words; columns as they were. Documents
+    without words stay, as do all if the benchmark has no words."""
     out = _passes(docs, benchmark, "text", BLOCK_BYTES)
     hit = _hit(_OLD)
     return out.where(~((hit > 0) & (20 * hit >= F.col("\x00n_words")))).select(*[F.col(f"`{c}`") for c in docs.columns])
