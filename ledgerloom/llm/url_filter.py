@@ -5,7 +5,8 @@ fit). The index holds each rule once, under the one of its tokens that is rarest
 a url fetch the candidate rules, and only those run. Counts of tokens cover all urls, but only tokens of rules.
 
 Defined cases: a null url, or one without `://`, has an empty host and path and fits no rule. Rules without a whole
-token are candidates for every url. Urls repeat freely; an empty table gives an empty table.
+token are candidates for every url. Of rules that fit, the highest rank, then the longest name, then the last name
+decides, and of rules that are equal in all that, the last one. Urls repeat freely; an empty table gives an empty table.
 """
 
 from __future__ import annotations
@@ -19,11 +20,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.common import claim, table
+from ledgerloom.llm.common import claim, stash, table
 
 TOKEN = re.compile(r"[a-z0-9]+")
-#: Most bytes of rules that travel with the tasks; a larger set must be applied in blocks of this size.
-MAX_RULE_BYTES = 32 << 20
+#: Most bytes of rules that travel with the tasks; a larger set is applied in blocks of this size, one after another.
+BLOCK_BYTES = 32 << 20
 
 
 @dataclass(frozen=True)
@@ -117,34 +118,53 @@ class RuleIndex:
         return host, path, max(fits, key=lambda r: (r.rank, len(r.name), r.name), default=None)
 
 
-def judge_urls(pages: DataFrame, rules: tuple[Rule, ...], id_col: str = "page_id", url_col: str = "url") -> DataFrame:
-    """(id, host, path, rule, verdict, decided_by) of every row; verdict is allow where no rule fits."""
-    size = sum(len(r.pattern) + sum(map(len, r.tokens)) for r in rules)
-    if size > MAX_RULE_BYTES:
-        raise ValueError(f"{size} bytes of rules; apply them in blocks of {MAX_RULE_BYTES}")
-    counts = token_counts(pages, url_col, rules)
+def blocks_of(rules: Iterable[Rule], block_bytes: int) -> list[tuple[Rule, ...]]:
+    out: list[list[Rule]] = [[]]
+    size = 0
+    for r in rules:
+        own = len(r.pattern) + len(r.name) + sum(map(len, r.tokens))
+        if out[-1] and size + own > block_bytes:
+            out.append([])
+            size = 0
+        out[-1].append(r)
+        size += own
+    return [tuple(x) for x in out]
 
-    def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        claim("url_filter")
-        index = RuleIndex(rules, counts)
-        for b in batches:
-            got = [index.best(u) for u in b.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays(
-                [
-                    b.column(0),
-                    pa.array([h for h, _, _ in got], pa.string()),
-                    pa.array([p for _, p, _ in got], pa.string()),
-                    pa.array([r.name if r else None for _, _, r in got], pa.string()),
-                    pa.array([r.verdict if r else "allow" for _, _, r in got], pa.string()),
-                    pa.array([None if r is None else r.rank > 0 for _, _, r in got], pa.bool_()),
-                ],
-                names=[id_col, "host", "path", "rule", "verdict", "base"],
-            )
 
+def judge_urls(pages: DataFrame, rules: tuple[Rule, ...], id_col: str = "page_id", url_col: str = "url", block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    """(id, host, path, rule, verdict, base) of every row; verdict is allow where no rule fits. base: whether a rule
+    of a rank above 0 decided, null where none did."""
     kind = pages.schema[id_col].dataType.simpleString()
-    return pages.select(id_col, url_col).mapInArrow(
-        judge, f"`{id_col}` {kind}, host string, path string, rule string, verdict string, base boolean"
-    )
+    out = pages.select(F.col(id_col).alias("id"), F.col(url_col).alias("url"), F.lit(None).cast("struct<rank:int,name:string,verdict:string>").alias("best"))
+    blocks = blocks_of(rules, block_bytes)
+    for k, block in enumerate(blocks):
+        counts = token_counts(pages, url_col, block)
+
+        def judge(batches: Iterator[pa.RecordBatch], block=block, counts=counts) -> Iterator[pa.RecordBatch]:
+            claim("url_filter")
+            index = RuleIndex(block, counts)
+            for b in batches:
+                best = []
+                for url, old in zip(b.column(1).to_pylist(), b.column(2).to_pylist()):
+                    _, _, r = index.best(url)
+                    order = None if old is None else (old["rank"], len(old["name"]), old["name"])
+                    best.append({"rank": r.rank, "name": r.name, "verdict": r.verdict} if r and (order is None or (r.rank, len(r.name), r.name) >= order) else old)
+                yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(best, _BEST)], names=["id", "url", "best"])
+
+        out = out.mapInArrow(judge, f"id {kind}, url string, best struct<rank:int,name:string,verdict:string>")
+        if k < len(blocks) - 1:
+            out = stash(out, "judged")
+
+    def parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            got = [split_url(u) for u in b.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([h for h, _ in got], pa.string()), pa.array([p for _, p in got], pa.string()), b.column(2)], names=[id_col, "host", "path", "best"])
+
+    split = out.mapInArrow(parts, f"`{id_col}` {kind}, host string, path string, best struct<rank:int,name:string,verdict:string>")
+    return split.select(id_col, "host", "path", F.col("best.name").alias("rule"), F.coalesce("best.verdict", F.lit("allow")).alias("verdict"), (F.col("best.rank") > 0).alias("base"))
+
+
+_BEST = pa.struct([("rank", pa.int32()), ("name", pa.string()), ("verdict", pa.string())])
 
 
 def op1_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
