@@ -6,13 +6,15 @@ two make one resolved record: the response's payload, and its headers with those
 answer may update.
 
 The as-of join has two levels, so that a url with any share of all records gathers in no task: records are dealt by
-url and day, each day brings forward its latest response, and only these (one a day) are carried on in order of days.
-Payloads don't move; they are found by the response's record_id.
-
-Defined cases: a record without url or time is resolved to nothing; at equal times a response is not earlier;
-of responses of one time the largest record_id counts; without validators on either side the status is
-`no-validator`, with none earlier `no-response`, with validators that differ `changed`. Equal rows each get a row.
-Other columns are kept apart by the names of the structs.
+url and stretch of time (a day, or a minute on days on which the url has HOT records or more), each stretch brings
+forward its latest response, and only these (one a stretch) are carried on in order of time. Payloads don't move; they
+are found by the response's record_id.
+
+Defined cases: a record without url or time is resolved to nothing, and joins nothing; at equal times a response is
+not earlier; of responses of one time the largest record_id counts, and of those that share that as well the one whose
+headers sort last; without validators on either side the status is `no-validator`, with none earlier `no-response`,
+with validators that differ `changed`. Equal rows each get a row. Other columns are kept apart by the names of the
+structs.
 """
 
 from __future__ import annotations
@@ -21,7 +23,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.common import table
+from ledgerloom.llm import common
+from ledgerloom.llm.common import bitmap, table, tag
 
 #: Headers that a 304 answer carries and that replace the stored ones.
 PERMITTED = ("cache-control", "content-location", "date", "etag", "expires", "vary")
@@ -48,26 +51,32 @@ def resolve_revisits(records: DataFrame) -> DataFrame:
     """Of records (record_id, kind `response` or `revisit`, url, ts, headers map): a row for each revisit, with
     canonical_url, response_id, status and the merged headers (null unless the status is `resolved`)."""
     r = records.select("record_id", "kind", "ts", canonical_url("url").alias("canonical_url"), "headers")
-    r = r.withColumn("day", F.to_date("ts")).withColumn(
-        "response", F.when((F.col("kind") == "response") & F.col("ts").isNotNull() & F.col("canonical_url").isNotNull(), F.struct("ts", "record_id", "headers"))
-    )
-    day = W.partitionBy("canonical_url", "day")
+    placed = r.where("canonical_url IS NOT NULL AND ts IS NOT NULL").withColumn("day", F.to_date("ts"))
+    busy = placed.groupBy("canonical_url", "day").agg(F.count("*").alias("n")).where(F.col("n") >= common.HOT)
+    placed = tag(placed, bitmap(busy, ["canonical_url", "day"]), ["canonical_url", "day"], "busy")
+    placed = placed.withColumn("stretch", F.when(F.col("busy"), F.date_trunc("minute", "ts")).otherwise(F.date_trunc("day", "ts")))
+    response = F.struct("ts", "record_id", F.array_sort(F.map_entries("headers")).alias("entries"))
+    placed = placed.withColumn("response", F.when(F.col("kind") == "response", response))
+    stretch = W.partitionBy("canonical_url", "stretch")
     # at one time, revisits come before responses, and responses in order of their ids
-    inside = day.orderBy("ts", F.col("response").isNotNull(), "record_id").rowsBetween(W.unboundedPreceding, -1)
+    inside = stretch.orderBy("ts", F.col("response").isNotNull(), "response").rowsBetween(W.unboundedPreceding, -1)
     latest = F.last("response", ignorenulls=True).over(inside)
-    days = r.groupBy("canonical_url", "day").agg(F.max(F.when(F.col("response").isNotNull(), F.struct("ts", "record_id"))).alias("top"))
-    earlier = W.partitionBy("canonical_url").orderBy("day").rowsBetween(W.unboundedPreceding, -1)
-    carried = days.select("canonical_url", "day", F.last("top", ignorenulls=True).over(earlier).alias("carried")).where("carried IS NOT NULL")
+    tops = placed.groupBy("canonical_url", "stretch").agg(F.max(F.struct("response.ts", "response.record_id")).alias("top"), F.max(F.col("response").isNotNull()).alias("any"))
+    tops = tops.withColumn("top", F.when(F.col("any"), F.col("top")))
+    earlier = W.partitionBy("canonical_url").orderBy("stretch").rowsBetween(W.unboundedPreceding, -1)
+    carried = tops.select("canonical_url", "stretch", F.last("top", ignorenulls=True).over(earlier).alias("carried")).where("carried IS NOT NULL")
+    stored = placed.where("response IS NOT NULL").select(F.col("canonical_url").alias("u"), F.col("record_id").alias("i"), F.col("ts").alias("t"), F.col("response.entries").alias("entries"))
     carried = carried.join(
-        r.where("response IS NOT NULL").select(F.col("canonical_url").alias("u"), F.col("record_id").alias("i"), F.col("ts").alias("t"), F.col("headers").alias("carried_headers")),
-        (F.col("canonical_url") == F.col("u")) & (F.col("carried.record_id") == F.col("i")) & (F.col("carried.ts") == F.col("t")),
-    ).select("canonical_url", "day", F.col("carried.record_id").alias("carried_id"), "carried_headers").dropDuplicates(["canonical_url", "day"])
-    revisits = r.withColumn("latest", latest).where("kind = 'revisit'").join(carried, ["canonical_url", "day"], "left")
+        stored, (F.col("canonical_url") == F.col("u")) & F.col("carried.record_id").eqNullSafe(F.col("i")) & (F.col("carried.ts") == F.col("t"))
+    ).groupBy("canonical_url", "stretch").agg(F.max(F.struct(F.col("i").alias("record_id"), "entries")).alias("carried"))
+    revisits = placed.withColumn("latest", latest).where("kind = 'revisit'").join(carried, ["canonical_url", "stretch"], "left")
     found = revisits.select(
         "record_id", "canonical_url", "ts", "headers",
-        F.coalesce("latest.record_id", "carried_id").alias("response_id"),
-        F.coalesce("latest.headers", "carried_headers").alias("stored"),
+        F.coalesce("latest.record_id", "carried.record_id").alias("response_id"),
+        F.map_from_entries(F.coalesce("latest.entries", "carried.entries")).alias("stored"),
     )
+    lost = r.where("kind = 'revisit' AND (canonical_url IS NULL OR ts IS NULL)").select("record_id", "canonical_url", "ts", "headers")
+    found = found.unionByName(lost, allowMissingColumns=True)
     known = F.col("canonical_url").isNotNull() & F.col("ts").isNotNull() & F.col("response_id").isNotNull()
     own, old = F.col("headers"), F.col("stored")
     tags, dates = (own["etag"].isNotNull() & old["etag"].isNotNull()), (own["last-modified"].isNotNull() & old["last-modified"].isNotNull())

@@ -276,8 +276,20 @@ def test_revisits(spark):
     assert warc.resolve_revisits(df.limit(0)).count() == 0
 
 
-def test_hot_url(spark):
+def test_equal_responses(spark):
+    """Responses that share id and time: the headers that sort last count, on the same day and later."""
+    t = lambda d, h=0: datetime.datetime(2025, 1, d, h)
+    rows = [(1, "response", "http://a.org", t(1), {"etag": x}) for x in ("b", "c", "a")] + [(2, "revisit", "http://a.org", t(1, 1), {"etag": "c"}), (3, "revisit", "http://a.org", t(2), {"etag": "c"})]
+    rows += [(4, "response", "http://b.org", t(1), None), (5, "revisit", "http://b.org", t(2), {"etag": None})]
+    df = spark.createDataFrame(rows * 2, "record_id long, kind string, url string, ts timestamp, headers map<string,string>")
+    got = collections.Counter((r.record_id, r.response_id, r.status) for r in warc.resolve_revisits(df).collect())
+    assert got == {(2, 1, "resolved"): 2, (3, 1, "resolved"): 2, (5, 4, "no-validator"): 2}
+
+
+@pytest.mark.parametrize("hot", [500, 2])
+def test_hot_url(spark, monkeypatch, hot):
     """One url with most records, over many days."""
+    monkeypatch.setattr(common, "HOT", hot)
     base = spark.range(3000).select(F.col("id").alias("record_id"), F.when(F.col("id") % 3 == 0, "response").otherwise("revisit").alias("kind"), F.lit("http://h.org/").alias("url"), F.timestamp_seconds(F.lit(1_700_000_000) + F.col("id") * 9000).alias("ts"))
     df = base.withColumn("headers", F.create_map(F.lit("etag"), F.lit("e")))
     assert {(r.record_id - r.response_id, r.status) for r in warc.resolve_revisits(df).collect()} == {(1, "resolved"), (2, "resolved")}

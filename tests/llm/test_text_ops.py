@@ -46,6 +46,9 @@ def test_urls(spark):
     got = {r.page_id: (r.host, r.path, r.rule if r.base else None, r.verdict) for r in out.collect()}
     assert [got[k] for k in range(len(urls))] == list(urls.values())
     assert url_filter.judge_urls(df.limit(0), url_filter.RULES).count() == 0
+    again = url_filter.judge_urls(df.union(df), url_filter.RULES, block_bytes=100)  # many blocks, and rows that repeat
+    both = [(r.page_id, r.host, r.path, r.rule if r.base else None, r.verdict) for r in again.collect()]
+    assert sorted(both, key=str) == sorted([(k, *v) for k, v in got.items()] * 2, key=str)
     index = url_filter.RuleIndex(url_filter.RULES, {"example": 100, "org": 5, "es": 50, "en": 1})
     assert {t for t, rules in index.by_token.items() for r, _ in rules if r.name.startswith("example.org/e")} == {"org", "en"}
 
