@@ -25,25 +25,10 @@ from pyspark.sql import functions as F
 
 from ledgerloom.llm.common import FOLD_ALNUM, bounded_batches, claim, table, text_bytes
 from ledgerloom.llm.fm_index import words
+from ledgerloom.llm.license_texts import TEMPLATES
 
 #: Phrases and labels that always count.
 BASE = (("mit license", "mit"), ("apache license", "apache"), ("general public license", "gpl"))
-#: The method's templates: short statements, and the words that open the licence texts.
-TEMPLATES = (
-    ("released under the MIT License", "mit"),
-    ("Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the Software), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software", "mit"),
-    ("licensed under the Apache License, Version 2.0", "apache"),
-    ("you may not use this file except in compliance with the License. You may obtain a copy of the License at", "apache"),
-    ("licensed under the GNU General Public License, version 3", "gpl"),
-    ("This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation", "gpl"),
-    ("Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met", "bsd"),
-    ("This Source Code Form is subject to the terms of the Mozilla Public License", "mpl"),
-    ("licensed under CC BY 4.0", "cc-by"),
-    ("licensed under CC BY-SA 4.0", "cc-by-sa"),
-    ("licensed under CC BY-NC 4.0", "cc-by-nc"),
-    ("licensed under CC BY-ND 4.0", "cc-by-nd"),
-    ("dedicated to the public domain under CC0 1.0", "cc0"),
-)
 #: Least words of a piece, most words between pieces of a span, and least share of a template that a span covers.
 LEAST_WORDS, MOST_GAP, LEAST_COVER = 3, 6, 0.75
 
@@ -123,13 +108,19 @@ class Scanner:
 
     def scan(self, data: bytes) -> tuple[int, list[tuple[int, int]], list[tuple[int, int, int, float]]]:
         """Number of words, (phrase, start) of base places, and (template, start, stop, cover) of spans."""
+        n, base, pieces = self.match(data)
+        return n, base, self.chain(pieces)
+
+    def match(self, data: bytes) -> tuple[int, list[tuple[int, int]], list[tuple[int, int, int, int]]]:
+        """Number of words, base places, and pieces: (start, stop, template, start in the template) of each longest
+        run of template words, LEAST_WORDS or more, at each place where a template has it."""
         n, base, pieces, state, length = 0, [], [], 0, 0
         a = self.automaton
         nxt, link, longest = a.next, a.link, a.length
 
         def piece(end: int) -> None:
             for t, stop in a.ends[state]:
-                if t >= self.n_base and (length >= LEAST_WORDS or length == self.sizes[t]):
+                if t >= self.n_base:
                     pieces.append((end - length, end, t, stop - length))
 
         for some in words(data):
@@ -162,7 +153,7 @@ class Scanner:
                 state = length = 0
         if length >= LEAST_WORDS:
             piece(n)
-        return n, base, self.chain(pieces)
+        return n, base, pieces
 
     def chain(self, pieces: list[tuple[int, int, int, int]]) -> list[tuple[int, int, int, float]]:
         """Spans of pieces (start, stop, template, start in the template) that follow each other."""

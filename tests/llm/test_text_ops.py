@@ -123,19 +123,64 @@ def test_licences(spark):
     rng = random.Random(1)
     vocab = "mit license apache general public gnu the under licensed x".split()
     texts = [" ".join(rng.choice(vocab) for _ in range(rng.randrange(60))) for _ in range(150)]
-    texts += ["Released under the MIT License.", "licensed under CC-BY-NC 4.0", "MIT\nLICENSE mit license", "xmit license", license_scan.TEMPLATES[1][0] + " the end"]
+    texts += ["Released under the MIT License.", "licensed under CC-BY-NC 4.0", "MIT\nLICENSE mit license", "xmit license", license_scan.TEMPLATES[0][0] + " the end"]
     s = license_scan.scanner()
     for t in texts:
         words = WORD.findall(t.encode().translate(common.FOLD))
         n, base, _ = s.scan(t.encode())
         assert n == len(words) and sorted((i, s.labels[k]) for k, i in base) == sorted(phrases(words))
-    got = s.scan(("the mit " + license_scan.TEMPLATES[1][0].replace("restriction", "limits") + " x").encode())[2]
+    got = s.scan(("the mit " + license_scan.TEMPLATES[0][0].replace("restriction", "limits") + " x").encode())[2]
     assert any(s.labels[t] == "mit" and c > 0.9 for t, _, _, c in got)
     rows = license_scan.scan_licenses(docs_of(spark, ODD)).collect()
     assert sorted(r.n_words for r in rows)[:3] == [0, 0, 0] and all(not r.base for r in rows)
     assert license_scan.scan_licenses(docs_of(spark, ODD).limit(0)).count() == 0
 
 
+def naive_pieces(words, s, templates):
+    """Longest runs of template words that end at each word, where the next word doesn't make them longer."""
+    own = [license_scan.split_words(t) for t, _ in templates]
+    held = {}
+    for t, w in enumerate(own):
+        for i in range(len(w)):
+            for j in range(i + 1, len(w) + 1):
+                held.setdefault(tuple(w[i:j]), []).append((t, i))
+    longest = [0]
+    for i in range(1, len(words) + 1):
+        longest.append(next(n for n in range(longest[-1] + 1, -1, -1) if not n or tuple(words[i - n : i]) in held))
+    longest.append(-1)
+    out = set()
+    for i, n in enumerate(longest[:-1]):
+        if n >= license_scan.LEAST_WORDS and longest[i + 1] != n + 1:
+            out |= {(i - n, i, t + s.n_base, at) for t, at in held[tuple(words[i - n : i])]}
+    return out
+
+
+def test_licence_pieces_by_brute_force():
+    base, rng = (("a b", "ab"), ("c", "c")), random.Random(2)
+    templates = [(" ".join(rng.choice("abcde") for _ in range(rng.randrange(3, 25))), f"t{k}") for k in range(6)]
+    s = license_scan.Scanner(base, templates)
+    for _ in range(200):
+        words = [rng.choice("abcdefg") for _ in range(rng.randrange(40))]
+        if rng.random() < 0.7:
+            t = rng.choice(templates)[0].split()
+            i = rng.randrange(len(t))
+            words += t[i : i + rng.randrange(20)] + [rng.choice("xab")]
+        n, _, pieces = s.match(" ".join(words).encode())
+        assert n == len(words) and set(pieces) == naive_pieces([w.encode() for w in words], s, [*base, *templates][len(base) :]), words
+        for t, a, z, cover in s.scan(" ".join(words).encode())[2]:
+            assert 0 <= a < z <= n and round(cover * s.sizes[t]) <= z - a
+
+
+def test_licence_parts():
+    """Whole paragraphs and statements have their labels, whatever stands around them."""
+    s = license_scan.scanner()
+    for k, (text, label) in enumerate(license_scan.TEMPLATES):
+        n, _, spans = s.scan(f"x y {text.upper()} z".encode())
+        assert any(s.labels[t] == label and c == 1 and a >= 2 for t, a, _, c in spans), text
+    warranty = license_scan.TEMPLATES[2][0]
+    assert "mit" in {s.labels[t] for t, _, _, c in s.scan(warranty.encode())[2] if c >= license_scan.LEAST_COVER}
+
+
 def test_long_licence_text(monkeypatch):
     monkeypatch.setattr(fm_index, "SLICE", 7)
     assert license_scan.scanner().scan(b"a mit license, a mit x apache license")[:2] == (8, [(0, 1), (1, 6)])
