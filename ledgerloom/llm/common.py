@@ -8,6 +8,7 @@ import gc
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator, Sequence
+from typing import NamedTuple
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -73,29 +74,38 @@ def delete(spark: SparkSession, path: str) -> None:
     p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
 
 
-#: Bits of a bitmap of keys: its BITS / 64 words of 16 bytes are all that is broadcast of any set of keys.
-BITS = 1 << 22
+#: Bits of a bitmap of ids, and of one of hot keys: a 64th of them in words of 16 bytes is all that is broadcast of any
+#: set of keys.
+BITS, HOT_BITS = 1 << 22, 1 << 18
 #: Rows of a group from which on they are dealt to SALTS tasks.
 HOT, SALTS = 500, 64
-_WORD, _BITS, _SALT = "\x00word", "\x00bits", "\x00salt"
+_WORD, _BITS, _SALT, _HOT = "\x00word", "\x00bits", "\x00salt", "\x00hot"
 
 
-def _slot(df: DataFrame, keys: Sequence[str]) -> Column:
+class Bitmap(NamedTuple):
+    words: DataFrame
+    n_bits: int
+
+
+def _slot(df: DataFrame, keys: Sequence[str], n_bits: int) -> Column:
     """The bit of the keys; integers of any width that are equal have the same one."""
     col = lambda k: F.col(f"`{k}`").cast("long") if isinstance(df.schema[k].dataType, T.IntegralType) else F.col(f"`{k}`")
-    return F.pmod(F.xxhash64(*map(col, keys)), F.lit(BITS))
+    return F.pmod(F.xxhash64(*map(col, keys)), F.lit(n_bits))
 
 
-def bitmap(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """The bits of the keys' hashes, as words of a bounded number."""
-    bits = df.select(_slot(df, keys).alias("s")).selectExpr(f"cast(s div 64 AS int) AS `{_WORD}`", f"shiftleft(1L, cast(s % 64 AS int)) AS `{_BITS}`")
-    return bits.groupBy(_WORD).agg(F.bit_or(_BITS).alias(_BITS))
+def bitmap(df: DataFrame, keys: Sequence[str], n_bits: int | None = None) -> Bitmap:
+    """The bits of the keys' hashes, as words of a bounded number; there is one at least, so plans don't depend on
+    whether there are any keys."""
+    n_bits = n_bits or BITS
+    bits = df.select(_slot(df, keys, n_bits).alias("s")).selectExpr(f"cast(s div 64 AS int) AS `{_WORD}`", f"shiftleft(1L, cast(s % 64 AS int)) AS `{_BITS}`")
+    none = df.sparkSession.range(1).select(F.lit(0).alias(_WORD), F.lit(0).cast("long").alias(_BITS))
+    return Bitmap(bits.union(none).groupBy(_WORD).agg(F.bit_or(_BITS).alias(_BITS)), n_bits)
 
 
-def tag(df: DataFrame, bits: DataFrame, keys: Sequence[str], name: str) -> DataFrame:
+def tag(df: DataFrame, bits: Bitmap, keys: Sequence[str], name: str) -> DataFrame:
     """df and a boolean: false for keys that the bitmap doesn't hold; true for all that it holds, and a few others."""
-    at = _slot(df, keys)
-    both = df.withColumn(_WORD, F.floor(at / 64).cast("int")).join(F.broadcast(bits), _WORD, "left")
+    at = _slot(df, keys, bits.n_bits)
+    both = df.withColumn(_WORD, F.floor(at / 64).cast("int")).join(F.broadcast(bits.words), _WORD, "left")
     bit = F.col(_BITS).bitwiseAND(F.call_function("shiftleft", F.lit(1).cast("long"), (at % 64).cast("int"))) != 0
     return both.select(*[F.col(f"`{c}`") for c in df.columns], F.coalesce(bit, F.lit(False)).alias(name))
 
@@ -117,18 +127,19 @@ def join_hot(rows: DataFrame, groups: DataFrame, keys: Sequence[str], spread: st
     """rows joined with groups by keys; sizes (else groups) holds the number of rows of each key in n.
 
     Rows of keys with HOT rows or more are dealt to SALTS tasks by a hash of the columns spread, and what groups has
-    of those keys is repeated for each; which keys these are travels as a bitmap. No row is lost or doubled."""
-    hot, keys = "\x00hot", list(keys)
+    of those keys is repeated for each; which keys these are travels as a bitmap. No row is lost or doubled. Both
+    sides are dealt by key whatever their size, so the plan is the same at all sizes."""
+    keys = list(keys)
     spread = [spread] if isinstance(spread, str) else spread
-    bits = bitmap((groups if sizes is None else sizes).where(F.col("n") >= HOT), keys)
+    bits = bitmap((groups if sizes is None else sizes).where(F.col("n") >= HOT), keys, HOT_BITS)
     if sizes is None:
         groups = groups.drop("n")
     zero = F.lit(0).cast("long")
     salt = F.pmod(F.xxhash64(F.lit(7), *[F.col(c) for c in spread]), F.lit(SALTS))
-    a = tag(rows, bits, keys, hot).withColumn(_SALT, F.when(F.col(hot), salt).otherwise(zero)).drop(hot)
-    every = F.when(F.col(hot), F.sequence(zero, F.lit(SALTS - 1).cast("long"))).otherwise(F.array(zero))
-    b = tag(groups, bits, keys, hot).withColumn(_SALT, F.explode(every)).drop(hot)
-    return a.join(b, [*keys, _SALT], how).drop(_SALT)
+    a = tag(rows, bits, keys, _HOT).withColumn(_SALT, F.when(F.col(_HOT), salt).otherwise(zero)).drop(_HOT)
+    every = F.when(F.col(_HOT), F.sequence(zero, F.lit(SALTS - 1).cast("long"))).otherwise(F.array(zero))
+    b = tag(groups, bits, keys, _HOT).withColumn(_SALT, F.explode(every)).drop(_HOT)
+    return a.join(b.hint("merge"), [*keys, _SALT], how).drop(_SALT)
 
 
 def text_bytes(text: str | Column) -> Column:

@@ -39,7 +39,7 @@ MOST_HASHES = 128
 #: Most chances that a pair at the threshold misses all bands, or that its signatures agree less often than the least.
 MISS, MISS_AGREE = 4.5e-7, 1e-8
 #: Documents of either side of a cell of verification, and members of a bucket that are compared at a time.
-CELL, CHUNK = 256, 1024
+CELL, CHUNK = 256, 512
 _RNG = np.random.Generator(np.random.PCG64(20240229))
 _A, _BAND, _BAND_NO = (_RNG.integers(0, 2**63, MOST_HASHES, dtype=np.uint64) * np.uint64(2) + np.uint64(1) for _ in range(3))
 _P = np.uint64(0x9E3779B97F4A7C15)
@@ -352,7 +352,7 @@ def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
     able = "doc_id IS NOT NULL AND n_shingles > 0"
     some = feats.where(able)
     classes = stash(some.groupBy("digest").agg(F.min("doc_id").alias("rep"), F.count("*").alias("n")), "classes")
-    reps = some.join(classes.select(F.col("rep").alias("doc_id")), "doc_id", "left_semi")
+    reps = some.join(classes.select(F.col("rep").alias("doc_id")).hint("merge"), "doc_id", "left_semi")
     sigs = reps.select("doc_id", "sig")
     buckets = reps.select(F.col("doc_id").alias("doc"), F.posexplode("bands").alias("band", "key"))
     shared = stash(buckets.groupBy("key").agg(F.count("*").alias("n"), F.min("doc").alias("centre")).where("n > 1"), "shared")

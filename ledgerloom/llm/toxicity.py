@@ -1,14 +1,15 @@
 """Toxicity: a linear classifier on character n-grams, its features scaled by naive Bayes log-count ratios.
 
-Features are the distinct byte n-grams (A-Z folded) of a whole text, hashed. Training has two passes over a bounded
+Features are the distinct character n-grams (A-Z folded) of a whole text, hashed. Training has two passes over a bounded
 sample of labelled rows: counts of documents with each n-gram by label (summed on the executors) give the log-count
 ratios r and the n-grams that tell the labels apart best; then the presence of those is gathered, a short row a
 document, and a logistic regression is fitted on r-scaled presence. Scoring reads every row and whole text once.
 
 Bounds, all parameters: MAX_ROWS labelled rows, N_FEATURES kept n-grams. Nothing else is capped.
 Defined cases: a null or empty text has no features and gets the score of the intercept. Labels that repeat count
-once, as toxic if any says so; null labels don't count. Without rows of both labels, every score is the smoothed
-share of toxic rows. A null id is held out. Other columns are not read.
+once, as toxic if any says so; null labels don't count. Without rows of both labels nothing can be learnt: every score
+is the smoothed share of toxic rows, and drop_toxic() keeps all documents. A null id is held out. Bytes that aren't
+UTF-8 count as U+FFFD. Other columns are not read.
 """
 
 from __future__ import annotations
@@ -41,15 +42,15 @@ def held_out(id_col: str = "doc_id") -> Column:
 
 
 def gram_ids(data: bytes) -> np.ndarray:
-    """Hashed n-grams of all orders at each place, with repeats."""
-    b = np.frombuffer(data.translate(FOLD), np.uint8).astype(np.uint32)
-    out, h = [], b
-    for n in range(2, max(ORDERS) + 1):
-        if len(b) < n:
+    """Hashed n-grams of characters of all orders at each place, with repeats."""
+    c = np.frombuffer(data.translate(FOLD).decode("utf-8", "replace").encode("utf-32-le"), np.uint32)
+    out, h = [], c
+    for n in range(1, max(ORDERS) + 1):
+        if len(c) < n:
             break
-        h = h[:-1] * np.uint32(0x01000193) + b[n - 1 :] + np.uint32(n)
+        h = h[:-1] * np.uint32(0x01000193) + c[n - 1 :] + np.uint32(n) if n > 1 else h
         if n in ORDERS:
-            x = h * np.uint32(0x9E3779B1)
+            x = (h ^ (h >> np.uint32(15))) * np.uint32(0x9E3779B1)
             out.append(x >> np.uint32(32 - BITS))
     return np.concatenate(out) if out else np.zeros(0, np.uint32)
 
@@ -59,6 +60,8 @@ class Model:
     bias: float
     grams: np.ndarray
     weights: np.ndarray
+    #: whether there were rows of both labels
+    learnt: bool = True
 
     def table(self) -> np.ndarray:
         at = np.full(1 << BITS, -1, np.int16)
@@ -82,12 +85,25 @@ def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield pa.RecordBatch.from_arrays([pa.array(seen), pa.array(n[0, seen]), pa.array(n[1, seen])], names=["gram", "n0", "n1"])
 
 
-def _fit(y: np.ndarray, sizes: np.ndarray, cols: np.ndarray, ratio: np.ndarray) -> tuple[float, np.ndarray]:
-    """Logistic regression by accelerated gradient steps; each row's columns (one after another) are ratio, others 0."""
-    row = np.repeat(np.arange(len(y)), sizes)
-    values = ratio[cols]
-    forward = lambda w, b: np.bincount(row, values * w[cols], len(y)) + b
-    back = lambda g: np.bincount(cols, values * g[row], len(ratio))
+def _fit(y: np.ndarray, ends: np.ndarray, cols: np.ndarray, ratio: np.ndarray) -> tuple[float, np.ndarray]:
+    """Logistic regression by accelerated gradient steps on rows of columns (those of row i stand before ends[i]), each
+    with the value ratio. Rows are taken some at a time, so that only cols has the size of all."""
+    starts = np.concatenate((np.zeros(1, np.int64), ends[:-1]))
+    cuts = np.unique(np.searchsorted(ends, np.arange(0, int(ends[-1]) + 1, 1 << 20)).tolist() + [len(y)])
+    parts = [(a, z) for a, z in zip(cuts, cuts[1:]) if z > a]
+    if cuts[0] > 0:
+        parts.insert(0, (0, cuts[0]))
+
+    def rows(a: int, z: int) -> tuple[np.ndarray, np.ndarray]:
+        return cols[starts[a] : ends[z - 1]], np.repeat(np.arange(z - a), ends[a:z] - starts[a:z])
+
+    def forward(w: np.ndarray, b: float) -> np.ndarray:
+        by = ratio * w
+        return np.concatenate([np.bincount(r, by[c], z - a) for a, z in parts for c, r in [rows(a, z)]]) + b
+
+    def back(g: np.ndarray) -> np.ndarray:
+        return ratio * sum(np.bincount(c, g[a:z][r], len(ratio)) for a, z in parts for c, r in [rows(a, z)])
+
     w, b = np.ones(len(ratio)), 1.0
     for _ in range(20):  # the largest curvature, by power iteration
         size = np.sqrt(w @ w + b * b)
@@ -121,7 +137,7 @@ def train(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS, n_featur
     pos, neg = n.get(1, 0), n.get(0, 0)
     if not pos or not neg:
         share = (pos + SMOOTH) / (pos + neg + 2 * SMOOTH)
-        return Model(float(np.log(share / (1 - share))), np.zeros(0, np.int64), np.zeros(0))
+        return Model(float(np.log(share / (1 - share))), np.zeros(0, np.int64), np.zeros(0), False)
     count = text.mapInArrow(_counts, "gram long, n0 long, n1 long").groupBy("gram").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1"))
     p, q = (F.col("n1") + SMOOTH) / (pos + 2 * SMOOTH), (F.col("n0") + SMOOTH) / (neg + 2 * SMOOTH)
     best = (
@@ -144,8 +160,8 @@ def train(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS, n_featur
 
     got = text.mapInArrow(presence, "toxic int, ids array<short>").toArrow()
     ids = got["ids"].combine_chunks()
-    sizes = np.diff(ids.offsets.to_numpy())
-    bias, w = _fit(got["toxic"].to_numpy().astype(float), sizes, ids.flatten().to_numpy(), ratio)
+    ends = ids.offsets.to_numpy()[1:].astype(np.int64) - ids.offsets[0].as_py()
+    bias, w = _fit(got["toxic"].to_numpy().astype(float), ends, ids.flatten().to_numpy(), ratio)
     return Model(bias, grams, w)
 
 
@@ -171,8 +187,11 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def drop_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The documents that the classifier doesn't call toxic; columns as they were."""
+    """The documents that the classifier doesn't call toxic, all of them if there was nothing to learn from; columns as
+    they were. Null and empty texts have the score of the intercept; equal rows fare alike."""
     model = train(docs, labels)
+    if not model.learnt:
+        return docs
     at, bias, w = model.table(), model.bias, model.weights
     names = docs.columns
     docs_in = docs.withColumn("\x00text", text_bytes("text"))

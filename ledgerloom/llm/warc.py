@@ -53,7 +53,7 @@ def resolve_revisits(records: DataFrame) -> DataFrame:
     r = records.select("record_id", "kind", "ts", canonical_url("url").alias("canonical_url"), "headers")
     placed = r.where("canonical_url IS NOT NULL AND ts IS NOT NULL").withColumn("day", F.to_date("ts"))
     busy = placed.groupBy("canonical_url", "day").agg(F.count("*").alias("n")).where(F.col("n") >= common.HOT)
-    placed = tag(placed, bitmap(busy, ["canonical_url", "day"]), ["canonical_url", "day"], "busy")
+    placed = tag(placed, bitmap(busy, ["canonical_url", "day"], common.HOT_BITS), ["canonical_url", "day"], "busy")
     placed = placed.withColumn("stretch", F.when(F.col("busy"), F.date_trunc("minute", "ts")).otherwise(F.date_trunc("day", "ts")))
     response = F.struct("ts", "record_id", F.array_sort(F.map_entries("headers")).alias("entries"))
     placed = placed.withColumn("response", F.when(F.col("kind") == "response", response))

@@ -116,6 +116,7 @@ def test_dense_cells(monkeypatch, spark):
     monkeypatch.setattr(minhash, "CHUNK", 4)
     monkeypatch.setattr(common, "HOT", 3)
     monkeypatch.setattr(common, "BITS", 128)
+    monkeypatch.setattr(common, "HOT_BITS", 128)
     rows = near_rows(2)
     got = {r.doc_id: (r.n_shingles, r.component_id) for r in minhash.near_duplicates(docs_of(spark, rows)).collect()}
     assert got == brute_components(rows)

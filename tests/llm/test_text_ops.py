@@ -259,4 +259,66 @@ def test_toxicity(spark):
     assert len(odd) == len(ODD) and all(0 <= r.score <= 1 for r in odd)
     none = toxicity.train(df, labels.limit(0))
     assert {r.score for r in toxicity.score(df, none).collect()} == {0.5}
+    for some in (labels.limit(0), labels.where("toxic = 1"), labels.where("toxic = 0")):
+        assert toxicity.drop_toxic(df, some).count() == df.count()  # nothing to learn from
     assert toxicity.score(df.limit(0), model).count() == 0
+
+
+def naive_grams(text):
+    """Hashed n-grams of characters, one at a time."""
+    chars = [ord(c) + 32 if "A" <= c <= "Z" else ord(c) for c in text]
+    out = []
+    for n in toxicity.ORDERS:
+        for i in range(len(chars) - n + 1):
+            h = chars[i]
+            for k in range(1, n):
+                h = (h * 0x01000193 + chars[i + k] + k + 1) % 2**32
+            out.append((((h ^ (h >> 15)) * 0x9E3779B1) % 2**32) >> (32 - toxicity.BITS))
+    return out
+
+
+def test_toxicity_by_plain_numpy(spark):
+    """Features, ratios, selection and weights against a dense version with plain gradient steps."""
+    rng = random.Random(9)
+    words = "el sol über ñandú 日本 hills Rivers slowly the sea moron scum".split()
+    rows = [(k, " ".join(rng.choice(words[: 12 if k % 3 == 0 else 10]) for _ in range(rng.randrange(4, 25)))) for k in range(200)]
+    for _, t in rows[:20]:
+        assert toxicity.gram_ids(t.encode()).tolist() == naive_grams(t)
+    labels = spark.createDataFrame([(k, int(k % 3 == 0)) for k, _ in rows], "doc_id long, toxic int")
+    model = toxicity.train(docs_of(spark, rows), labels, n_features=300)
+    held = {r.doc_id for r in docs_of(spark, rows).where(toxicity.held_out()).select("doc_id").collect()}
+    own = [(set(naive_grams(t)), k % 3 == 0) for k, t in rows if k not in held]
+    pos, neg = sum(y for _, y in own), sum(not y for _, y in own)
+    n = {g: [0, 0] for s, _ in own for g in s}
+    for s, y in own:
+        for g in s:
+            n[g][y] += 1
+    z, ratio = {}, {}
+    for g, (a, b) in n.items():
+        if a + b >= toxicity.MIN_DOCS:
+            p, q = (b + 1) / (pos + 2), (a + 1) / (neg + 2)
+            ratio[g], z[g] = np.log(p / q), abs(p - q) / np.sqrt(p * (1 - p) / pos + q * (1 - q) / neg + 1e-12)
+    best = sorted(z, key=lambda g: (-round(z[g], 9), g))[:300]
+    assert len(set(best) & set(model.grams.tolist())) >= 0.98 * len(best)  # equal scores at the end may be cut either way
+    grams = model.grams.tolist()
+    x = np.array([[ratio[g] if g in s else 0.0 for g in grams] for s, _ in own])
+    y, w, b = np.array([y for _, y in own], float), np.zeros(len(grams)), 0.0
+    step = 4 * len(y) / np.linalg.norm(np.c_[x, np.ones(len(y))], 2) ** 2
+
+    def loss(w, b):
+        v = x @ w + b
+        return np.mean(np.logaddexp(0, v) - y * v) + toxicity.L2 / 2 * (w @ w)
+
+    for _ in range(4000):
+        g = (1 / (1 + np.exp(-(x @ w + b))) - y) / len(y)
+        w, b = w - step * (x.T @ g + toxicity.L2 * w), b - step * g.sum()
+    fitted = model.weights / np.array([ratio[g] for g in grams])
+    assert loss(fitted, model.bias) < loss(w, b) + 0.02 < loss(0 * w, 0.0) / 2
+
+
+def test_fit_in_parts():
+    rng = np.random.default_rng(1)
+    sizes = rng.integers(0, 30, 200)
+    cols, ratio, y = rng.integers(0, 40, sizes.sum()).astype(np.int16), rng.normal(size=40), rng.integers(0, 2, 200).astype(float)
+    bias, w = toxicity._fit(y, np.cumsum(sizes), cols, ratio)
+    assert np.isfinite(bias) and np.isfinite(w).all()
