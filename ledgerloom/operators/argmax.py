@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.functions.text import col, normalize_name, text_key, tokens
-from ledgerloom.operators.tokens import overlap_ratio
+from ledgerloom.operators.tokens import OVERLAP, RATIO, overlap_ratio
 
 #: Most bytes of master names that are sent to every task; more are scored in blocks.
 MASTER_BYTES = 16 << 20
@@ -22,14 +22,22 @@ def keep_first(df: DataFrame, key: str | list[str], order: str) -> DataFrame:
     return df.groupBy(*keys).agg(top).select(*[c if c in keys else F.col("_row")[c].alias(c) for c in df.columns])
 
 
-def best_by_tokens(names: DataFrame, registry: DataFrame) -> DataFrame:
-    """(name, ratio, llave) of the distinct names that match a registry row (nombre, llave, od_order).
+def token_candidates(names: DataFrame, registry: DataFrame) -> DataFrame:
+    """(name, st, llave, od_order, od): pairs that share the rarer of the name's first two words, both of which the
+    registry row must have. Rarer by how many registry rows have it, so words that all names share make no pairs."""
+    n = names.select(F.col("name")).distinct().withColumn("st", tokens("name")).where(F.size("st") >= 2)
+    index = registry.withColumn("od", tokens("nombre")).select("llave", "od_order", "od", F.explode(F.array_distinct("od")).alias("word"))
+    often = index.groupBy("word").agg(F.count("*").alias("n"))
+    two = n.withColumn("two", F.array_distinct(F.slice("st", 1, 2)))
+    found = two.select("name", "st", F.size("two").alias("k"), F.explode("two").alias("word")).join(often, "word")
+    rarer = found.groupBy("name").agg(F.min_by("word", F.struct("n", "word")).alias("word"), F.first("st").alias("st"), F.count("*").alias("has"), F.max("k").alias("k"))
+    return rarer.where("has = k").select("name", "st", "word").join(index, "word").drop("word")
 
-    Candidates share the name's first word, which the registry row must have, so the join is an equi-join."""
-    n = names.select(F.col("name")).distinct().withColumn("st", tokens("name"))
-    n = n.where(F.size("st") >= 2).withColumn("word", F.element_at("st", 1))
-    r = registry.withColumn("od", tokens("nombre")).select("llave", "od_order", "od", F.explode(F.array_distinct("od")).alias("word"))
-    pairs = n.join(r, "word").withColumn("ratio", overlap_ratio(F.col("st"), F.col("od"))).where("ratio IS NOT NULL")
+
+def best_by_tokens(names: DataFrame, registry: DataFrame, ratio: float = RATIO, overlap: int = OVERLAP) -> DataFrame:
+    """(name, ratio, llave) of the distinct names that match a registry row (nombre, llave, od_order)."""
+    share = overlap_ratio(F.col("st"), F.col("od"), ratio, overlap)
+    pairs = token_candidates(names, registry).withColumn("ratio", share).where("ratio IS NOT NULL")
     best = pairs.groupBy("name").agg(F.max(F.struct("ratio", (-F.col("od_order")).alias("o"), "llave")).alias("b"))
     return best.select("name", F.col("b.ratio").alias("ratio"), F.col("b.llave").alias("llave"))
 

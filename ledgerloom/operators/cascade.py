@@ -1,12 +1,16 @@
 """Which ledger rows settle a message: by date, words, amounts.
 
-No pair of a message and a ledger row is made that the result doesn't need. The words decide by a row's detail, so
-words are matched once per distinct (date, detail), on (date, first word): the first source word must be in the
-detail. Amounts without matching words are looked up on (date, bin of the amount), and only for such messages.
+The outcome depends on a message's date, words and amount only, so it is found once for each such triple, and
+messages take it from there; ids may repeat or be null. No pair is made that the result doesn't need. The words
+decide by a row's detail, so they are matched once per distinct (date, detail), on the date and the rarer of the first
+two words of a name, both of which the detail must have. Sums and lists belong to (date, words), and amounts are
+looked up by bins, so nothing grows with messages x rows.
 """
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -14,10 +18,10 @@ from ledgerloom.functions.dates import ledger_date
 from ledgerloom.functions.ids import form_text, usable
 from ledgerloom.functions.money import TOLERANCE, amount_close, parse_money
 from ledgerloom.functions.text import clean_detail, clean_file_name, drop_noise, text_key, tokens
-from ledgerloom.operators.tokens import tokens_match
+from ledgerloom.operators.tokens import OVERLAP, RATIO, tokens_match
 from ledgerloom.schema import require_columns
 
-RULES = ("no_day", "none", "amount_fallback", "single", "multi_exact", "multi_sum", "multi_fail")
+RULES = ("no_day", "none", "amount_fallback", "single", "multi_exact", "multi_sum", "multi_blank", "multi_fail")
 
 
 def filter_ledger(df: DataFrame, kind: str, since: str = "2025-04-01") -> DataFrame:
@@ -42,59 +46,76 @@ def ledger_keys(df: DataFrame, amount_col: str, order_col: str = "row_order") ->
     )
 
 
-def message_keys(df: DataFrame, by: str = "Nombre archivo") -> DataFrame:
+def message_keys(df: DataFrame, by: str = "Nombre archivo", keep: Sequence[str] = ()) -> DataFrame:
     """Incoming messages are named by their file, others by their counterparty."""
     name = clean_file_name(F.col(f"`{by}`")) if by == "Nombre archivo" else text_key(F.col(f"`{by}`"))
-    return df.select("id", ledger_date("Date").alias("fecha_key"), name.alias("nombre_clean"), parse_money("Amount").alias("amount"))
-
+    return df.select("id", *keep, ledger_date("Date").alias("fecha_key"), name.alias("nombre_clean"), parse_money("Amount").alias("amount"))
 
-def reconcile(msgs: DataFrame, ledger: DataFrame, loose_single: bool = False, tolerance: float = TOLERANCE) -> DataFrame:
-    """(id, rule, formulario): msgs have id, fecha_key, nombre_clean, amount; ledger rows have fecha_key,
-    detalle_clean, monto, formulario, row_order. formulario is null where the message stays as it was.
 
-    Null dates match nothing. Ids must be unique; see last_wins() for tables in which they repeat."""
-    m = msgs.select("id", "fecha_key", "amount", drop_noise(tokens("nombre_clean")).alias("src"))
-    rows = ledger.where("fecha_key IS NOT NULL")
-    details = rows.select("fecha_key", "detalle_clean").distinct().withColumn("words", F.array_distinct(tokens("detalle_clean")))
+def detail_candidates(names: DataFrame, details: DataFrame, ratio: float = RATIO, overlap: int = OVERLAP) -> DataFrame:
+    """E13 as a join: (fecha_key, src, words, detalle_clean) before the words are compared. names have fecha_key and
+    src, details fecha_key, detalle_clean and words."""
     index = details.select("fecha_key", "detalle_clean", "words", F.explode("words").alias("word"))
-    names = m.where(F.size("src") > 0).select("fecha_key", "src").distinct().withColumn("word", F.element_at("src", 1))
-    alike = names.join(index, ["fecha_key", "word"]).where(tokens_match(F.col("src"), F.col("words"))).select("fecha_key", "src", "detalle_clean")
-    # a name's rows are gathered once however many messages have it: sums and lists don't depend on the amount
-    pairs = m.join(alike, ["fecha_key", "src"]).join(rows, ["fecha_key", "detalle_clean"])
-    close = amount_close(F.col("monto"), F.col("amount"), tolerance)
-    fit = close & usable("formulario")
-    form = F.struct("row_order", "formulario")
-    tok = pairs.groupBy("id").agg(
-        F.count("*").alias("n"), F.count_if(fit).alias("n_fit"), F.max(F.when(fit, form)).alias("fit"), F.max(form).alias("one"),
-        F.coalesce(F.sum("monto"), F.lit(0.0)).alias("total"),
-        F.array_sort(F.collect_list(F.when(~F.trim("formulario").isin("", "none", "nan", "nat"), form))).alias("forms"),
-    )
-    # amounts of messages without such rows: candidates are in the bin of the amount or next to it
+    often = index.groupBy("fecha_key", "word").agg(F.count("*").alias("n"))
+    asked = names.where(F.size("src") > 0).withColumn("two", F.array_distinct(F.slice("src", 1, 2)))
+    found = asked.select("fecha_key", "src", F.size("two").alias("k"), F.explode("two").alias("word")).join(often, ["fecha_key", "word"])
+    rarer = found.groupBy("fecha_key", "src").agg(F.min_by("word", F.struct("n", "word")).alias("word"), F.count("*").alias("has"), F.max("k").alias("k"))
+    return rarer.where("has = k").select("fecha_key", "src", "word").join(index, ["fecha_key", "word"]).select("fecha_key", "src", "words", "detalle_clean")
+
+
+def reconcile(
+    msgs: DataFrame, ledger: DataFrame, loose_single: bool = False, tolerance: float = TOLERANCE, ratio: float = RATIO, overlap: int = OVERLAP, keep: Sequence[str] = ()
+) -> DataFrame:
+    """(id, keep, rule, formulario) of every message: msgs have id, fecha_key, nombre_clean, amount; ledger rows have
+    fecha_key, detalle_clean, monto, formulario, row_order. formulario is null where the message stays as it was.
+
+    Null dates match nothing. multi_blank: the sum fits, but no row has a form."""
+    m = msgs.select("id", *keep, "fecha_key", "amount", drop_noise(tokens("nombre_clean")).alias("src"))
+    rows = ledger.where("fecha_key IS NOT NULL").select("fecha_key", "detalle_clean", "monto", "formulario", "row_order")
     size = F.lit(2 * tolerance)
     bins = F.array(*[F.floor(F.col("amount") / size) + k for k in (-1, 0, 1)])
-    alone = m.where("amount IS NOT NULL AND fecha_key IS NOT NULL").join(tok.select("id"), "id", "left_anti").select("id", "fecha_key", "amount", F.explode(bins).alias("bin"))
-    near = alone.join(rows.withColumn("bin", F.floor(F.col("monto") / size)), ["fecha_key", "bin"]).where(close)
-    amt = near.groupBy("id").agg(F.count("*").alias("n_amt"), F.max(form).alias("amt"))
+    close = amount_close(F.col("monto"), F.col("amount"), tolerance)
+    form = F.struct("row_order", "formulario")
+    asked = m.where("fecha_key IS NOT NULL").select("fecha_key", "src", "amount").distinct()
+    # rows by words
+    details = rows.select("fecha_key", "detalle_clean").distinct().withColumn("words", F.array_distinct(tokens("detalle_clean")))
+    alike = detail_candidates(asked.select("fecha_key", "src").distinct(), details, ratio, overlap).where(tokens_match(F.col("src"), F.col("words"), ratio, overlap))
+    named = alike.select("fecha_key", "src", "detalle_clean").join(rows, ["fecha_key", "detalle_clean"])
+    sums = named.groupBy("fecha_key", "src").agg(F.count("*").alias("n"), F.coalesce(F.sum("monto"), F.lit(0.0)).alias("total"), F.max(form).alias("one"))
+    settled = asked.join(sums, ["fecha_key", "src"], "left")
+    near = settled.where("n > 1 AND amount IS NOT NULL").select("fecha_key", "src", "amount", F.explode(bins).alias("bin"))
+    near = near.join(named.withColumn("bin", F.floor(F.col("monto") / size)), ["fecha_key", "src", "bin"]).where(close)
+    exact = near.groupBy("fecha_key", "src", "amount").agg(F.count("*").alias("n_fit"), F.max(form).alias("fit"))
+    # rows by amount, where there are none by words
+    alone = settled.where("n IS NULL AND amount IS NOT NULL").select("fecha_key", "src", "amount", F.explode(bins).alias("bin"))
+    alone = alone.select("fecha_key", "amount", "bin").distinct().join(rows.withColumn("bin", F.floor(F.col("monto") / size)), ["fecha_key", "bin"]).where(close)
+    by_amount = alone.groupBy("fecha_key", "amount").agg(F.count("*").alias("n_amt"), F.max(form).alias("amt"))
     days = rows.select("fecha_key").distinct().withColumn("day", F.lit(True))
-    out = m.join(days, "fecha_key", "left").join(tok, "id", "left").join(amt, "id", "left")
-    joined = F.array_join(F.transform("forms", lambda x: x["formulario"]), "-")
+    out = settled.join(exact, ["fecha_key", "src", "amount"], "left").join(by_amount, ["fecha_key", "amount"], "left").join(days, "fecha_key", "left")
     total_fits = amount_close(F.col("total"), F.col("amount"), tolerance)
     rule = (
         F.when(F.col("day").isNull(), "no_day")
         .when(F.col("n").isNull(), F.when((F.col("n_amt") == 1) & usable("amt.formulario"), "amount_fallback").otherwise("none"))
         .when(F.col("n") == 1, F.when(usable("one.formulario", loose_single), "single").otherwise("none"))
-        .when(F.col("n_fit") == 1, "multi_exact")
-        .when(total_fits & (F.size("forms") > 0), "multi_sum")
-        .when(total_fits, "none")
+        .when((F.col("n_fit") == 1) & usable("fit.formulario"), "multi_exact")
+        .when(total_fits, "multi_sum")
         .otherwise("multi_fail")
     )
     value = (
         F.when(F.col("rule") == "amount_fallback", F.col("amt.formulario"))
         .when(F.col("rule") == "single", F.col("one.formulario"))
         .when(F.col("rule") == "multi_exact", F.col("fit.formulario"))
-        .when(F.col("rule") == "multi_sum", joined)
     )
-    return out.withColumn("rule", rule).select("id", "rule", value.alias("formulario"))
+    out = out.withColumn("rule", rule).select("fecha_key", "src", "amount", "rule", value.alias("value"))
+    # lists of forms, for the sums that fit
+    summed = out.where("rule = 'multi_sum'").select("fecha_key", "src").distinct()
+    listed = named.join(summed, ["fecha_key", "src"]).where(~F.trim("formulario").isin("", "none", "nan", "nat")).groupBy("fecha_key", "src")
+    listed = listed.agg(F.array_join(F.transform(F.array_sort(F.collect_list(form)), lambda x: x["formulario"]), "-").alias("forms"))
+    out = out.join(listed.withColumn("rule", F.lit("multi_sum")), ["fecha_key", "src", "rule"], "left")
+    out = out.withColumn("rule", F.when((F.col("rule") == "multi_sum") & F.col("forms").isNull(), "multi_blank").otherwise(F.col("rule")))
+    r = out.select(F.col("fecha_key").alias("_f"), F.col("src").alias("_s"), F.col("amount").alias("_a"), "rule", F.coalesce("value", "forms").alias("formulario"))
+    back = m.join(r, (F.col("fecha_key") == F.col("_f")) & (F.col("src") == F.col("_s")) & F.col("amount").eqNullSafe(F.col("_a")), "left")
+    return back.select("id", *keep, F.coalesce("rule", F.lit("no_day")).alias("rule"), "formulario")
 
 
 def last_wins(df: DataFrame, found: DataFrame, order: str) -> DataFrame:
@@ -107,7 +128,7 @@ def match_counts(found: DataFrame) -> DataFrame:
     """F4."""
     is_ = lambda *r: F.count_if(F.col("rule").isin(*r))
     return found.agg(
-        F.count_if(F.col("formulario").isNotNull()).alias("updated"), is_("multi_exact", "multi_sum", "multi_fail").alias("multi_matched"),
+        F.count_if(F.col("formulario").isNotNull()).alias("updated"), is_("multi_exact", "multi_sum", "multi_blank", "multi_fail").alias("multi_matched"),
         is_("multi_exact", "multi_sum").alias("multi_ok"), is_("multi_fail").alias("multi_fail"),
     )
 

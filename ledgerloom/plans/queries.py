@@ -378,20 +378,27 @@ def e_tokenmatcher(spark: SparkSession, d: str) -> DataFrame:
 _CASCADE = f"""WITH {v.MSGS}, {v.LEDGER},
 m AS (SELECT *, regexp_extract_all(lower(proveedor), '[a-z0-9]+') AS st FROM msgs),
 l AS (SELECT *, regexp_extract_all(lower(split_part(detalle, '#', 1)), '[a-z0-9]+') AS dt FROM ledger),
-pairs AS (SELECT m.id, amount, l.*, coalesce(abs(monto - amount) <= 0.05, false) AS amt,
+pairs AS (SELECT m.id AS k, amount, l.*, coalesce(abs(monto - amount) <= 0.05, false) AS amt,
     list_contains(dt, st[1]) AND (len(st) = 1 OR (list_contains(dt, st[2]) AND len(list_filter(st, lambda t: list_contains(dt, t))) >= 2
       AND len(list_filter(st, lambda t: list_contains(dt, t))) / len(st) >= 0.6)) AS tok
   FROM m JOIN l USING (fecha_key)),
-g AS (SELECT id, any_value(amount) AS amount, count(*) FILTER (tok) AS n, count(*) FILTER (tok AND amt) AS n_fit, count(*) FILTER (amt) AS n_amt,
+g AS (SELECT k, any_value(amount) AS amount, count(*) FILTER (tok) AS n, count(*) FILTER (tok AND amt) AS n_fit, count(*) FILTER (amt) AS n_amt,
     arg_max(formulario, row_order) FILTER (tok) AS one, arg_max(formulario, row_order) FILTER (tok AND amt) AS fit, arg_max(formulario, row_order) FILTER (amt) AS near,
-    coalesce(sum(monto) FILTER (tok), 0.0) AS total, string_agg(formulario, '-' ORDER BY row_order) FILTER (tok) AS forms FROM pairs GROUP BY id),
-r AS (SELECT m.id, g.* EXCLUDE (id), CASE WHEN g.id IS NULL THEN 'no_day' WHEN n = 0 THEN CASE WHEN n_amt = 1 THEN 'amount_fallback' ELSE 'none' END WHEN n = 1 THEN 'single'
-    WHEN n_fit = 1 THEN 'multi_exact' WHEN abs(total - g.amount) <= 0.05 THEN 'multi_sum' ELSE 'multi_fail' END AS rule FROM m LEFT JOIN g ON m.id = g.id),
+    coalesce(sum(monto) FILTER (tok), 0.0) AS total, string_agg(formulario, '-' ORDER BY row_order) FILTER (tok AND formulario <> '') AS forms FROM pairs GROUP BY k),
+r AS (SELECT m.id - CASE WHEN m.id % 50 = 7 THEN 1 ELSE 0 END AS id, g.* EXCLUDE (k), CASE WHEN g.k IS NULL THEN 'no_day'
+    WHEN n = 0 THEN CASE WHEN n_amt = 1 AND near <> '' THEN 'amount_fallback' ELSE 'none' END WHEN n = 1 THEN CASE WHEN one <> '' THEN 'single' ELSE 'none' END
+    WHEN n_fit = 1 AND fit <> '' THEN 'multi_exact' WHEN abs(total - g.amount) <= 0.05 THEN CASE WHEN forms IS NULL THEN 'multi_blank' ELSE 'multi_sum' END ELSE 'multi_fail' END AS rule
+  FROM m LEFT JOIN g ON m.id = g.k),
 found AS (SELECT id, rule, CASE rule WHEN 'amount_fallback' THEN near WHEN 'single' THEN one WHEN 'multi_exact' THEN fit WHEN 'multi_sum' THEN forms END AS formulario FROM r)"""
 
 
+def _repeated(m: DataFrame) -> DataFrame:
+    """Some messages share an id."""
+    return m.withColumn("id", F.col("id") - F.when(F.col("id") % 50 == 7, 1).otherwise(0))
+
+
 def _reconciled(spark: SparkSession, d: str) -> DataFrame:
-    m = v.msgs(spark, d).withColumn("nombre_clean", text.text_key("proveedor"))
+    m = _repeated(v.msgs(spark, d)).withColumn("nombre_clean", text.text_key("proveedor"))
     return cascade.reconcile(m, v.ledger(spark, d).withColumn("detalle_clean", text.clean_detail("detalle")))
 
 
@@ -403,13 +410,13 @@ def e_reconcile_cascade(spark: SparkSession, d: str) -> DataFrame:
 @query(f"{_CASCADE} SELECT id, rule, formulario FROM found")
 def e_reconcile_text(spark: SparkSession, d: str) -> DataFrame:
     """As e_reconcile_cascade from sheets of text: file names, serial dates, amounts with a comma, forms with .0."""
-    m = v.msgs(spark, d).select(
+    m = _repeated(v.msgs(spark, d)).select(
         "id", F.date_format("fecha_key", "yyyy-MM-dd").alias("Date"), F.translate(F.format_string("%.2f", F.col("amount")), ".", ",").alias("Amount"),
         F.concat(F.lit("11487 11453 "), F.translate("proveedor", "#", "-"), F.lit(".PDF")).alias("Nombre archivo"),
     )
     m = m.withColumn("Amount", F.when(F.col("Amount") != "null", F.col("Amount")))
     rows = v.ledger(spark, d).select(
-        F.datediff("fecha_key", F.lit("1899-12-30").cast("date")).cast("string").alias("Fecha"), F.concat("formulario", F.lit(".0")).alias("FORMULARIO"),
+        F.datediff("fecha_key", F.lit("1899-12-30").cast("date")).cast("string").alias("Fecha"), F.when(F.col("formulario") != "", F.concat("formulario", F.lit(".0"))).alias("FORMULARIO"),
         F.col("detalle").alias("DETALLE"), F.format_string("%.2f", F.col("monto")).alias("debito"), "row_order",
     )
     return cascade.reconcile(cascade.message_keys(m), cascade.ledger_keys(rows, "DEBITO"), loose_single=True)

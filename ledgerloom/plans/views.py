@@ -30,19 +30,20 @@ msgs AS (SELECT o_orderkey AS id, CAST(o_orderdate AS DATE) AS fecha_key, c_name
 
 
 def ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(fecha_key, detalle, monto, formulario, row_order) of every line."""
+    """(fecha_key, detalle, monto, formulario, row_order) of every line; some have no form."""
     o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", F.to_date("o_orderdate").alias("fecha_key"))
     c = table(spark, sf_dir, "customer").select("c_custkey", "c_name")
     rows = table(spark, sf_dir, "lineitem").join(o, F.col("l_orderkey") == F.col("o_orderkey")).join(c, F.col("o_custkey") == F.col("c_custkey"))
     order = F.col("l_orderkey") * 1_000_000 + F.col("l_linenumber") * 100_000 + F.col("l_partkey")
     other = (F.col("l_orderkey") + F.col("l_linenumber") + F.col("l_partkey")) % 7 == 0
     detail = F.concat(F.when(other, "other firm").otherwise(F.translate("c_name", "#", " ")), F.lit(" # "), F.col("l_linenumber").cast("string"))
-    return rows.select("fecha_key", detail.alias("detalle"), F.col("l_extendedprice").alias("monto"), order.cast("string").alias("formulario"), order.alias("row_order"))
+    form = F.when((F.col("l_orderkey") + F.col("l_partkey")) % 13 == 0, "").otherwise(order.cast("string"))
+    return rows.select("fecha_key", detail.alias("detalle"), F.col("l_extendedprice").alias("monto"), form.alias("formulario"), order.alias("row_order"))
 
 
 LEDGER = """ledger AS (SELECT CAST(o_orderdate AS DATE) AS fecha_key,
   CASE WHEN (l_orderkey + l_linenumber + l_partkey) % 7 = 0 THEN 'other firm' ELSE replace(c_name, '#', ' ') END || ' # ' || l_linenumber AS detalle,
-  l_extendedprice AS monto, CAST(l_orderkey * 1000000 + l_linenumber * 100000 + l_partkey AS VARCHAR) AS formulario,
+  l_extendedprice AS monto, CASE WHEN (l_orderkey + l_partkey) % 13 = 0 THEN '' ELSE CAST(l_orderkey * 1000000 + l_linenumber * 100000 + l_partkey AS VARCHAR) END AS formulario,
   l_orderkey * 1000000 + l_linenumber * 100000 + l_partkey AS row_order
   FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey)"""
 

@@ -31,6 +31,10 @@ CASES = [
     ([(1, "acme textiles", 40.0, "")], None, "none"),
     ([(1, "acme textiles", 40.0, "None"), (2, "acme textiles", 60.0, "102")], "None-102", "multi_sum"),
     ([], None, "no_day"),
+    ([(1, "acme textiles", 100.0, ""), (2, "acme textiles", 100.0, "102")], None, "multi_fail"),
+    ([(1, "acme textiles", 100.0, ""), (2, "acme textiles", 0.0, "102")], "102", "multi_sum"),
+    ([(1, "acme textiles", 40.0, ""), (2, "acme textiles", 60.0, "nan")], None, "multi_blank"),
+    ([(1, "other firm", 100.0, "")], None, "none"),
 ]
 
 
@@ -38,6 +42,7 @@ CASES = [
 def test_cascade(spark, shuffled):
     """Each case on a day of its own; unrelated days and the order of the ledger change nothing."""
     msgs = [(k, f"2025-05-{k + 1:02d}", "acme textiles", 100.0) for k in range(len(CASES))] + [(99, None, "acme textiles", 100.0)]
+    msgs += [(0, "2025-05-01", "acme textiles", 100.0), (None, "2025-05-03", "acme textiles", 100.0), (98, "2025-05-03", "acme textiles", None)]
     rows = [(f"2025-05-{k + 1:02d}", d, m, f, o) for k, (own, _, _) in enumerate(CASES) for o, d, m, f in own]
     rows += [("2024-01-01", "acme textiles", 100.0, "9", 9), (None, "acme textiles", 100.0, "9", 9)]
     m = spark.createDataFrame(msgs, "id int, day string, nombre_clean string, amount double").withColumn("fecha_key", F.to_date("day"))
@@ -45,7 +50,19 @@ def test_cascade(spark, shuffled):
     led = led.withColumn("fecha_key", F.to_date("day")).withColumn("detalle_clean", text_key(F.split_part("det", F.lit("#"), F.lit(1))))
     got = {r.id: (r.formulario, r.rule) for r in cascade.reconcile(m, led).collect()}
     assert [got[k] for k in range(len(CASES))] == [(f, r) for _, f, r in CASES]
-    assert got[99] == (None, "no_day")
+    assert got[99] == (None, "no_day") and got[None] == got[2] and got[98] == (None, "multi_fail")
+    assert cascade.reconcile(m, led).where("id = 0 AND rule = 'single'").count() == 2  # ids may repeat
+
+
+def test_few_candidates(spark):
+    """Words that all names share make no pairs, in either join."""
+    names = spark.range(400).select(F.concat(F.lit("firm n"), "id", F.lit(" bank")).alias("name"))
+    reg = names.select(F.col("name").alias("nombre"), F.lit("K").alias("llave"), F.lit(1).alias("od_order"))
+    assert argmax.token_candidates(names, reg).count() == 400
+    words = names.select(F.current_date().alias("fecha_key"), tokens("name").alias("src"))
+    details = words.select("fecha_key", F.array_join("src", " ").alias("detalle_clean"), F.col("src").alias("words"))
+    assert cascade.detail_candidates(words, details).count() == 400
+    assert argmax.best_by_tokens(names, reg).count() == 400
 
 
 def test_last_wins(spark):
