@@ -26,8 +26,13 @@ def rx(pattern: str) -> str:
 
 
 def found(c: Column, pattern: str, group: int = 1) -> Column:
-    """The group of the first match, null without one."""
-    return F.when(c.rlike(rx(pattern)), F.regexp_extract(c, rx(pattern), group))
+    """The group of the first match, null without one or if it is empty."""
+    return F.nullif(F.regexp_extract(c, rx(pattern), group), F.lit(""))
+
+
+def let(value: Column, f) -> Column:
+    """f of a value that is computed once, however often f uses it."""
+    return F.element_at(F.transform(F.array(value), f), 1)
 
 
 def strip(c: str | Column) -> Column:
@@ -39,10 +44,23 @@ def squash(c: str | Column) -> Column:
     return strip(F.regexp_replace(col(c), rx(r"\s+"), " "))
 
 
+#: White space that ends a line, and other white space.
+_BREAKS = r"\n\r\u000b\u000c\u001c-\u001e\u0085\u2028\u2029"
+_BLANK = r"[ \t\u001f\u00a0\u1680\u2000-\u200a\u202f\u205f\u3000]"
+
+
+def raw_lines(c: str | Column, stripped: bool = True) -> Column:
+    """All lines, without the white space at their ends unless they are wanted as they are."""
+    if not stripped:
+        return F.split(col(c), rf"\r\n|[{_BREAKS}]")
+    inner = F.regexp_replace(col(c), rf"{_BLANK}*(\r\n|[{_BREAKS}]){_BLANK}*", "\n")
+    return F.split(F.regexp_replace(inner, rf"^{_BLANK}+|{_BLANK}+$", ""), "\n")
+
+
 def lines(c: str | Column) -> Column:
     """The lines that aren't blank, squashed."""
-    pieces = F.split(col(c), r"\r\n|[\n\r\u000b\u000c\u001c-\u001e\u0085\u2028\u2029]")
-    return F.filter(F.transform(pieces, squash), lambda x: x != "")
+    even = F.regexp_replace(col(c), rf"{_BLANK}+", " ")
+    return F.filter(F.transform(F.split(even, rf"[{_BREAKS}]+"), lambda x: F.trim(x)), lambda x: x != "")
 
 
 def _fold_table() -> tuple[str, str]:

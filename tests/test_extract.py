@@ -31,6 +31,9 @@ def test_quirks(spark):
     assert one(spark, x.receiver_v1, ["Recei ver ; testus33", "xx Receiver\nabcdefgh"]) == ["TESTUS33", "RECEIVER"]
     assert one(spark, x.date_v1, ["Date: 5 PEB 2025", "Interbank Settlement Date: 2025-01-02\n32A:\nx"]) == ["2025-02-05", "2025-01-02"]
     assert one(spark, x.sender_v2, ["Sender:\nTRANSFER TESTUS33", "Sender:\nReceiver: TESTUS33", "Sender: MESSAGE"]) == ["TESTUS33", None, None]
+    assert one(spark, x.ordering_customer, ["50F: X\n50K: Ordering Customer\n/1\nACME  SA\n70: y", "50K:\n\n33B: q\n70: y", "50F: 1/ACME\n33B: q", "50K:\n{229\n 12 3\n2/1/B C"]) == ["ACME  SA", "33B: q", "ACME", "B C"]
+    assert one(spark, x.debtor_name, ["Debtor:\nUS\n12\nACME\nDebtor Agent: B", "Debtor: 12\nDebtor Agent: B", "Debtor Agent: B"]) == ["ACME", None, None]
+    assert one(spark, lambda c: x.sender_v2(c, ["TESTUS33"]), ["Sender: TESTUS33 TESTUS44", "Sender: TESTUS33"]) == ["TESTUS44", None]
     assert one(spark, x.date_v1_exp, ["Date : 01 Jan 1999\n32A: v\n33B: x\nDate : 02 Jan 1999"]) == [None]
 
 
