@@ -135,8 +135,8 @@ def later_spans(data: bytes, known: dict[int, int], doc: int, min_run: int) -> l
     return [(a, z, sorted(s)) for a, z, s in spans]
 
 
-def repeated_spans(docs: DataFrame, min_run: int = MIN_RUN) -> DataFrame:
-    """(doc_id, text, spans): bytes to remove of the documents that lose some, with the documents that have them first."""
+def _candidates(docs: DataFrame, min_run: int) -> DataFrame:
+    """(doc_id, text, known) of the texts that may lose something: known are digests that another document has first."""
     bounded_batches(docs.sparkSession)
     text = docs.where("doc_id IS NOT NULL").select("doc_id", text_bytes("text").alias("text"))
     packed = stash(text.mapInArrow(_digests(min_run), "doc_id long, digests array<long>, again boolean").where("again OR size(digests) > 0"), "digests")
@@ -146,50 +146,57 @@ def repeated_spans(docs: DataFrame, min_run: int = MIN_RUN) -> DataFrame:
     found = join_hot(digests, first, ["digest"], "doc_id").where("doc_id <> first")
     per = stash(found.groupBy("doc_id").agg(F.collect_list(F.struct("digest", "first")).alias("known")), "known")
     hit = only_ids(text, per.select("doc_id").union(packed.where("again").select("doc_id")))
-    both = hit.join(per, "doc_id", "left").select("doc_id", "text", "known")
+    return hit.join(per, "doc_id", "left").select("doc_id", "text", "known")
 
-    def runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        claim("substring_dedup")
-        for b in batches:
-            out = []
-            known = b.column(2)
-            for row, (doc, data) in enumerate(zip(b.column(0).to_pylist(), b.column(1).to_pylist())):
-                own = known[row].values
-                source = dict(zip(own.field(0).to_pylist(), own.field(1).to_pylist())) if own is not None else {}
-                if spans := [{"start": a, "stop": z, "first_doc_ids": s} for a, z, s in later_spans(data, source, doc, min_run)]:
-                    out.append((doc, data, spans))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([x[0] for x in out], pa.int64()), pa.array([x[1] for x in out], pa.binary()), pa.array([x[2] for x in out], _SPANS)],
-                names=["doc_id", "text", "spans"],
-            )
 
-    return both.mapInArrow(runs, "doc_id long, text binary, spans array<struct<start:long,stop:long,first_doc_ids:array<long>>>")
+def _found(batches: Iterator[pa.RecordBatch], min_run: int) -> Iterator[list[tuple[int, bytes, list]]]:
+    """(doc_id, text, spans) of the rows of a batch that lose something."""
+    claim("substring_dedup")
+    for b in batches:
+        out = []
+        known = b.column(2)
+        for row, (doc, data) in enumerate(zip(b.column(0).to_pylist(), b.column(1).to_pylist())):
+            own = known[row].values
+            source = dict(zip(own.field(0).to_pylist(), own.field(1).to_pylist())) if own is not None else {}
+            if spans := later_spans(data, source, doc, min_run):
+                out.append((doc, data, spans))
+        yield out
+
+
+def repeated_spans(docs: DataFrame, min_run: int = MIN_RUN) -> DataFrame:
+    """(doc_id, text, spans): bytes to remove of the documents that lose some, with the documents that have them first."""
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for out in _found(batches, min_run):
+            spans = [[{"start": a, "stop": z, "first_doc_ids": s} for a, z, s in x[2]] for x in out]
+            yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in out], pa.int64()), pa.array([x[1] for x in out], pa.binary()), pa.array(spans, _SPANS)], names=["doc_id", "text", "spans"])
+
+    return _candidates(docs, min_run).mapInArrow(rows, "doc_id long, text binary, spans array<struct<start:long,stop:long,first_doc_ids:array<long>>>")
 
 
 _SPANS = pa.list_(pa.struct([("start", pa.int64()), ("stop", pa.int64()), ("first_doc_ids", pa.list_(pa.int64()))]))
 
 
-def without_spans(spans: DataFrame) -> DataFrame:
-    """(doc_id, text, n_removed, first_doc_ids) from repeated_spans()."""
+def without_repeats(docs: DataFrame, min_run: int = MIN_RUN) -> DataFrame:
+    """(doc_id, text, n_removed, first_doc_ids) of the documents that lose passages, without those."""
 
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        claim("substring_dedup")
-        for b in batches:
-            texts, n, first = [], [], []
-            for data, s in zip(b.column(1).to_pylist(), b.column(2).to_pylist()):
-                at, left = 0, []
-                for x in s:
-                    left.append(data[at : x["start"]])
-                    at = x["stop"]
-                texts.append(b"".join([*left, data[at:]]))
-                n.append(len(data) - len(texts[-1]))
-                first.append(sorted({i for x in s for i in x["first_doc_ids"]}))
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(texts, pa.binary()), pa.array(n, pa.int64()), pa.array(first, pa.list_(pa.int64()))], names=["doc_id", "text", "n_removed", "first_doc_ids"])
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for out in _found(batches, min_run):
+            texts, first = [], []
+            for _, data, spans in out:
+                edges = [0, *(x for a, z, _ in spans for x in (a, z)), len(data)]
+                texts.append(b"".join(data[a:z] for a, z in zip(edges[::2], edges[1::2])))
+                first.append(sorted({i for _, _, s in spans for i in s}))
+            n = [len(x[1]) - len(t) for x, t in zip(out, texts)]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([x[0] for x in out], pa.int64()), pa.array(texts, pa.binary()), pa.array(n, pa.int64()), pa.array(first, pa.list_(pa.int64()))],
+                names=["doc_id", "text", "n_removed", "first_doc_ids"],
+            )
 
-    return spans.mapInArrow(cut, "doc_id long, text binary, n_removed long, first_doc_ids array<long>")
+    return _candidates(docs, min_run).mapInArrow(rows, "doc_id long, text binary, n_removed long, first_doc_ids array<long>")
 
 
 def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents that lose passages: how many bytes, the documents that have them first, and a digest of the rest."""
-    out = without_spans(repeated_spans(table(spark, sf_dir, "documents")))
+    out = without_repeats(table(spark, sf_dir, "documents"))
     return out.select("doc_id", "n_removed", "first_doc_ids", F.sha2("text", 256).alias("text_sha256"))

@@ -183,8 +183,7 @@ def test_substrings(spark):
     rows += [(100 + k, prose(rng.randrange(1, 30)) + " " + p + " " + prose(20)) for k, p in enumerate(passages)]
     rows += [(200 + k, prose(rng.randrange(1, 30)) + "; " + p + "." + prose(9)) for k, p in enumerate(passages)]
     rows += [(300, None), (301, ""), (302, "x"), (303, "ab " * 40_000), (304, "q ab " + "ab " * 30_000), (None, passages[0]), (200, "again")]
-    spans = substring_dedup.repeated_spans(docs_of(spark, rows))
-    got = {r.doc_id: r for r in substring_dedup.without_spans(spans).collect()}
+    got = {r.doc_id: r for r in substring_dedup.without_repeats(docs_of(spark, rows)).collect()}
     assert set(got) == {200 + k for k in range(30)} | {304}
     for k, p in enumerate(passages):
         assert got[200 + k].first_doc_ids == [100 + k] and got[200 + k].n_removed > len(p) / 3
@@ -200,7 +199,7 @@ def test_substrings_within_a_document(spark):
     prose = lambda n: " ".join("".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(rng.randrange(2, 9))) for _ in range(n))
     p, q = prose(60), prose(60)
     rows = [(1, f"{prose(20)} {p} {prose(20)} {p} {prose(20)}"), (2, f"{q} {prose(9)} {q} {q}"), (3, prose(100)), (4, f"{p} {prose(20)} {q} {prose(20)}"), (5, "ab " * 9000), (6, None)]
-    got = {r.doc_id: r for r in substring_dedup.without_spans(substring_dedup.repeated_spans(docs_of(spark, rows))).collect()}
+    got = {r.doc_id: r for r in substring_dedup.without_repeats(docs_of(spark, rows)).collect()}
     assert {i: r.first_doc_ids for i, r in got.items()} == {1: [1], 2: [2], 4: [1, 2]}
     text = dict(rows)
     assert got[1].text.count(p.encode()) == 1 and got[1].text.startswith(text[1][: text[1].index(p) + len(p)].encode())
