@@ -19,7 +19,7 @@ from __future__ import annotations
 
 import base64
 import re
-from collections.abc import Callable, Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator, Sequence
 from functools import lru_cache
 from itertools import chain, islice
 
@@ -485,35 +485,51 @@ def _forget() -> None:
     vocabulary.cache_clear()
 
 
-def _with_binary(df: DataFrame, source: str, name: str, f: Callable[[list[bytes]], list[bytes]]) -> DataFrame:
-    """The columns of df and one of bytes that f makes of the bytes in source."""
-    rest = [c for c in df.columns if c != name]
+def _with_binary(df: DataFrame, source: str, names: Sequence[str], f: Callable[[list[bytes]], Sequence[list[bytes]]]) -> DataFrame:
+    """The columns of df and some of bytes that f makes of the bytes in source, all in one pass."""
+    rest = [c for c in df.columns if c not in names]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         claim("bpe", _forget)
         for b in batches:
-            made = pa.array(f([x or b"" for x in b.column(len(rest)).to_pylist()]), pa.binary())
-            yield pa.RecordBatch.from_arrays([*b.columns[: len(rest)], made], names=[*rest, name])
+            made = [pa.array(x, pa.binary()) for x in f([x or b"" for x in b.column(len(rest)).to_pylist()])]
+            yield pa.RecordBatch.from_arrays([*b.columns[: len(rest)], *made], names=[*rest, *names])
 
-    schema = df.select(*[F.col(f"`{c}`") for c in rest]).schema.add(name, "binary")
+    schema = df.select(*[F.col(f"`{c}`") for c in rest]).schema
+    for name in names:
+        schema = schema.add(name, "binary")
     data = F.col(f"`{source}`").cast("binary").alias("\x00source")
     return df.select(*[F.col(f"`{c}`") for c in rest], data).mapInArrow(run, schema)
 
 
+def _texts(some: list[bytes]) -> list[str]:
+    return [x.decode("utf-8", "replace") for x in some]
+
+
 def encode(df: DataFrame, path: str, split: str, text_col: str = "text", ids_col: str = "ids", scale: float = 1.0) -> DataFrame:
     """scale: of the caches of a worker, where it shares its memory with more than this."""
-    return _with_binary(df, text_col, ids_col, lambda some: encode_texts([x.decode("utf-8", "replace") for x in some], path, split, scale))
+    return _with_binary(df, text_col, [ids_col], lambda some: [encode_texts(_texts(some), path, split, scale)])
 
 
 def decode(df: DataFrame, path: str, ids_col: str = "ids", bytes_col: str = "decoded") -> DataFrame:
-    return _with_binary(df, ids_col, bytes_col, lambda some: [decode_ids(x, path) for x in some])
+    return _with_binary(df, ids_col, [bytes_col], lambda some: [[decode_ids(x, path) for x in some]])
+
+
+def encode_and_decode(df: DataFrame, path: str, split: str, text_col: str = "text", ids_col: str = "ids", bytes_col: str = "decoded", scale: float = 1.0) -> DataFrame:
+    """encode() and decode() of its ids in one pass, so a task needs one Python worker."""
+
+    def both(some: list[bytes]) -> tuple[list[bytes], list[bytes]]:
+        ids = encode_texts(_texts(some), path, split, scale)
+        return ids, [decode_ids(x, path) for x in ids]
+
+    return _with_binary(df, text_col, [ids_col, bytes_col], both)
 
 
 def token_digests(docs: DataFrame, path: str, split: str, scale: float = 1.0) -> DataFrame:
+    """(doc_id, n_tokens, ids_sha256, decoded_sha256) of every row."""
     bounded_batches(docs.sparkSession)
-    ids = encode(docs.select("doc_id", text_bytes("text").alias("text")), path, split, scale=scale)
-    sized = ids.select("doc_id", F.floor(F.octet_length("ids") / 4).cast("long").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"), "ids")
-    return decode(sized, path).select("doc_id", "n_tokens", "ids_sha256", F.sha2("decoded", 256).alias("decoded_sha256"))
+    out = encode_and_decode(docs.select("doc_id", text_bytes("text").alias("text")), path, split, scale=scale)
+    return out.select("doc_id", F.floor(F.octet_length("ids") / 4).cast("long").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
 def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:

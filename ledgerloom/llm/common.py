@@ -48,11 +48,11 @@ def stash(df: DataFrame, name: str) -> DataFrame:
     return stash_at(df, name)[0]
 
 
-def stash_at(df: DataFrame, name: str) -> tuple[DataFrame, str]:
-    """The table, and the folder that it is in."""
+def stash_at(df: DataFrame, name: str, keep: bool = False) -> tuple[DataFrame, str]:
+    """The table, and the folder that it is in; kept by the scratch() around it if so wished."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    if _scratch:
+    if _scratch and not keep:
         _scratch[-1].append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path), path

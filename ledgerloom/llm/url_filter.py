@@ -144,24 +144,20 @@ def judge_urls(pages: DataFrame, rules: tuple[Rule, ...], id_col: str = "page_id
             claim("url_filter")
             index = RuleIndex(block, counts)
             for b in batches:
-                best = []
-                for url, old in zip(b.column(1).to_pylist(), b.column(2).to_pylist()):
-                    _, _, r = index.best(url)
+                hosts, paths, best = [], [], []
+                for url, old in zip(b.column("url").to_pylist(), b.column("best").to_pylist()):
+                    host, path, r = index.best(url)
                     order = None if old is None else (old["rank"], len(old["name"]), old["name"])
                     best.append({"rank": r.rank, "name": r.name, "verdict": r.verdict} if r and (order is None or (r.rank, len(r.name), r.name) >= order) else old)
-                yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(best, _BEST)], names=["id", "url", "best"])
+                    hosts.append(host), paths.append(path)
+                made = [pa.array(hosts, pa.string()), pa.array(paths, pa.string()), pa.array(best, _BEST)]
+                yield pa.RecordBatch.from_arrays([b.column("id"), b.column("url"), *made], names=["id", "url", "host", "path", "best"])
 
-        out = out.mapInArrow(judge, f"id {kind}, url string, best struct<rank:int,name:string,verdict:string>")
+        out = out.mapInArrow(judge, f"id {kind}, url string, host string, path string, best struct<rank:int,name:string,verdict:string>")
         if k < len(blocks) - 1:
             out = stash(out, "judged")
-
-    def parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            got = [split_url(u) for u in b.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([h for h, _ in got], pa.string()), pa.array([p for _, p in got], pa.string()), b.column(2)], names=[id_col, "host", "path", "best"])
-
-    split = out.mapInArrow(parts, f"`{id_col}` {kind}, host string, path string, best struct<rank:int,name:string,verdict:string>")
-    return split.select(id_col, "host", "path", F.col("best.name").alias("rule"), F.coalesce("best.verdict", F.lit("allow")).alias("verdict"), (F.col("best.rank") > 0).alias("base"))
+    decided = [F.col("best.name").alias("rule"), F.coalesce("best.verdict", F.lit("allow")).alias("verdict"), (F.col("best.rank") > 0).alias("base")]
+    return out.select(F.col("id").alias(id_col), "host", "path", *decided)
 
 
 _BEST = pa.struct([("rank", pa.int32()), ("name", pa.string()), ("verdict", pa.string())])

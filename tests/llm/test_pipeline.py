@@ -54,6 +54,27 @@ def test_stages(spark, tmp_path):
     assert {r.doc_id for r in corpus_pipeline.run(spark, str(tmp_path)).collect()} == kept["decontamination"]
 
 
+@pytest.mark.parametrize("empty", [False, True])
+def test_odd_documents(spark, tmp_path, empty):
+    """Nulls in any column, repeated rows, clashing names, no rows: stages keep columns, and nothing clean is lost."""
+    prose = lambda seed, n: " ".join(f"v{(seed * 7919 + k * k * 31 + k) % 997}" for k in range(n))
+    rows = [(1, None, None, None, None, "x", 1), (2, "", "en", "s", 0, "x", 1), (None, prose(1, 40), "en", "s", 1, None, 1), (None, None, None, None, None, None, None)]
+    rows += [(5, prose(2, 50), "en", "s", 1, "x", 1)] * 3 + [(6, prose(2, 50), "en", "s", 1, "x", 1), (7, prose(3, 30_000), "en", "s", 1, "x", 1), (8, prose(4, 50), None, None, None, "x", None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long, digest string, hit int")
+    df = df.limit(0) if empty else df
+    for name, schema in (("labels", "doc_id long, toxic int"), ("benchmark", "item_id long, text string")):
+        spark.createDataFrame([], schema).write.parquet(f"{tmp_path}/{name}.parquet")
+    df.write.parquet(f"{tmp_path}/documents.parquet")
+    docs = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        stage(spark, docs, str(tmp_path)).write.parquet(f"{tmp_path}/{name}")
+        docs = spark.read.parquet(f"{tmp_path}/{name}")
+        assert docs.columns == df.columns
+    left = sorted(((r.doc_id, r.text) for r in docs.collect()), key=str)
+    assert [i for i, _ in left] == ([] if empty else sorted([2, None, 6, 7, 8], key=str))
+    assert sorted(str(r.doc_id) for r in corpus_pipeline.run(spark, str(tmp_path)).collect()) == sorted(str(i) for i, _ in left)
+
+
 def test_near_stage_at_80(spark, tmp_path):
     """The stage drops copies with a similarity from 0.8 on: 38 of 46 shingles are 0.826, 38 of 48 are 0.79."""
     words = [f"w{k}" for k in range(46)]
