@@ -19,10 +19,16 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("kind", choices=KINDS)
     p.add_argument("--root", default=default_root())
     p.add_argument("--account", required=True)
+    p.add_argument("--forzar", action="store_true", help="read files again that have been read")
+    p.add_argument("--confirmar", action="store_true", help="ask before manual records move")
     p.add_argument("--log", help="a log file, rotated daily")
     return p
 
 
+def ask(n: int) -> bool:
+    return input(f"{n} manual records move to the complete ones. Go on? [y/n] ").strip().lower() in ("y", "yes", "s", "si", "sí")
+
+
 def main(argv: list[str] | None = None) -> int:
     args = parser().parse_args(argv)
     handlers: list[logging.Handler] = [logging.StreamHandler()]
@@ -30,7 +36,7 @@ def main(argv: list[str] | None = None) -> int:
         handlers.append(TimedRotatingFileHandler(args.log, when="midnight", backupCount=30, encoding="utf-8"))
     logging.basicConfig(level=logging.INFO, format="%(levelname)s %(name)s: %(message)s", handlers=handlers)
     spark = SparkSession.builder.appName("ledgerloom").getOrCreate()
-    result = Engine(spark, Config(account=args.account, root=args.root)).run(args.mode, args.kind)
+    result = Engine(spark, Config(account=args.account, root=args.root)).run(args.mode, args.kind, args.forzar, ask if args.confirmar else None)
     print(result.summary())
     return 1 if result.warnings else 0
 

@@ -20,3 +20,13 @@ class Config:
     amount_tolerance: float = 0.05
     name_limit: int = 50
     root: str = "."
+    #: Codes of one's own bank, which are never the sender of an outgoing message.
+    own_codes: tuple[str, ...] = ()
+    #: `module:factory` of what reads the files of messages.
+    recogniser: str = "ledgerloom.sources.pages:plain_text"
+    #: Ids from the whole path, so that equal names in different folders stay apart.
+    path_in_id: bool = False
+    #: Extracted tables hold the last run's files only.
+    overwrite: bool = False
+    #: Missing values stand as `nan` in the ids of mail rows, as in tables from before.
+    legacy_nan_id: bool = False

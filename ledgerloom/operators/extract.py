@@ -326,13 +326,16 @@ def full_text(df: DataFrame, key: str, page: str, text: str) -> DataFrame:
 
 
 def extract(pages: DataFrame, kind: str, version: str, own_codes: Sequence[str] = ()) -> DataFrame:
-    """(file_name, receiver, date, amount, beneficiary, pages_scanned, estado) of each file of pages."""
+    """(file_path, file_name, receiver, date, amount, beneficiary, pages_scanned, estado) of each file of
+    pages. A file that couldn't be opened has no fields and is incomplete."""
+    pages = pages if "file_path" in pages.columns else pages.withColumn("file_path", F.col("file_name"))
+    named = pages.select("file_path", "file_name").distinct()
     if kind == "imp":
-        out = first_by_page(pages.select("file_name", "page_no", *fields(kind, version)), "file_name", "page_no")
+        out = first_by_page(pages.select("file_path", "page_no", *fields(kind, version)), "file_path", "page_no")
     else:
-        n = pages.groupBy("file_name").agg(F.max("page_no").alias("pages_scanned"))
-        out = full_text(pages, "file_name", "page_no", "text").select("file_name", *fields(kind, version, own_codes=own_codes)).join(n, "file_name")
+        n = pages.groupBy("file_path").agg(F.max("page_no").alias("pages_scanned"))
+        out = full_text(pages, "file_path", "page_no", "text").select("file_path", *fields(kind, version, own_codes=own_codes)).join(n, "file_path")
         if version == "V1":
             out = out.withColumn("date_raw", F.col("date")).withColumn("date", F.coalesce(_iso(printed_date("date_raw")), F.col("date")))
     whole = F.forall(F.array(*[F.coalesce(F.col(n) != "", F.lit(False)) for n in NAMES]), lambda x: x)
-    return out.withColumn("estado", F.when(whole, "Completo").otherwise("Incompleto"))
+    return named.join(out, "file_path").withColumn("estado", F.when(whole, "Completo").otherwise("Incompleto"))

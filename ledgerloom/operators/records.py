@@ -62,14 +62,15 @@ def estado(policy: str) -> Column:
 # --- shaping -----------------------------------------------------------------------------------------------------
 
 
-def shape_records(extracted: DataFrame, version: str, prefix: str = "app") -> DataFrame:
-    """Extracted fields as records with amount, display name, state and id."""
+def shape_records(extracted: DataFrame, version: str, prefix: str = "app", limit: int = 50, path_in_id: bool = False) -> DataFrame:
+    """Extracted fields as records with amount, display name, state and id. path_in_id: files of one name in
+    several folders have ids of their own."""
     out = extracted.select(
         F.col("file_name").alias("Nombre archivo"), F.col("receiver").alias("Receiver"), F.col("date").alias("Date"),
-        clean_amount("amount").alias("Amount"), F.col("beneficiary").alias("Proveedor"),
+        clean_amount("amount").alias("Amount"), F.col("beneficiary").alias("Proveedor"), F.col("file_path").alias("_path") if path_in_id else F.col("file_name").alias("_path"),
     )
-    out = out.withColumn("Nombre personalizado", shorten_name(display_name("Proveedor", "Receiver"))).withColumn("Estado", estado("filled"))
-    return conform(out.withColumn("id", record_id(prefix, F.lit(version), F.col("`Nombre archivo`"))), FINAL).withColumn("Version", F.lit(version))
+    out = out.withColumn("Nombre personalizado", shorten_name(display_name("Proveedor", "Receiver"), limit)).withColumn("Estado", estado("filled"))
+    return conform(out.withColumn("id", record_id(prefix, F.lit(version), F.col("_path"))).drop("_path"), FINAL).withColumn("Version", F.lit(version))
 
 
 def split_by_state(df: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -144,6 +145,11 @@ def update_registry(rows: DataFrame, keys: DataFrame, number: str = "Consecutivo
     return out.withColumn("cambio", change).withColumn(key, F.coalesce("_new", F.col(f"`{key}`"))).drop("_n", "_new")
 
 
+def change_counts(rows: DataFrame) -> DataFrame:
+    """how many registry rows are new, updated, as before, or without a match."""
+    return rows.groupBy("cambio").agg(F.count("*").alias("n"))
+
+
 # --- manifest ----------------------------------------------------------------------------------------------------
 
 
@@ -163,6 +169,11 @@ def mark(manifest: DataFrame, done: DataFrame) -> DataFrame:
     return upsert(manifest, done, "content_md5")
 
 
+def cleared(manifest: DataFrame) -> DataFrame:
+    """K8: no entries, so that every file is read again."""
+    return manifest.limit(0)
+
+
 def unmark(manifest: DataFrame, content_md5: str) -> DataFrame:
     return manifest.where(F.col("content_md5") != content_md5)
 

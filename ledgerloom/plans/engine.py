@@ -1,29 +1,47 @@
-"""K1-K7: runs by mode and kind over tables in one folder. See modes() for the steps of each mode.
+"""K1-K7: runs by mode and kind over the tables and files in one folder. MODES has the steps of each mode.
 
-Tables are Parquet folders below root: pages, mail, ledger, directory, master, registry_names, registry_rows, and
-those that runs write: complete, manual, history, template, manifest, registry_out. V1 and V2 are one table with a
-Version column. A missing table is empty."""
+Below root/kind there are tables, as Parquet folders: pages, mail, ledger, directory, master, registry_names,
+registry_rows, and those that runs write: complete, manual, history, template, manifest, registry_out. Instead of the
+first seven there may be workbooks (INPUTS), and instead of pages a folder `files` of message files, which are routed
+by date, looked up in the manifest and read. V1 and V2 are one table with a Version column. A missing table is empty.
+
+Files whose reading fails are recorded with the state Error and are read again by the next run; others by their
+completeness, and not again unless a run is forced."""
 
 from __future__ import annotations
 
 import logging
 import os
 import uuid
+from collections.abc import Callable
 from dataclasses import dataclass, field
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ledgerloom.config import Config
 from ledgerloom.functions.ids import display_name, record_id
 from ledgerloom.operators import argmax, cascade, extract, records
-from ledgerloom.schema import COMPLETE, FINAL, HISTORY, conform
-from ledgerloom.sources.tabular import mail_rows
+from ledgerloom.schema import ERROR, FINAL, HISTORY, MANIFEST, conform
+from ledgerloom.sources import files
+from ledgerloom.sources.pages import read_pages
+from ledgerloom.sources.tabular import exists, is_missing, mail_rows, read_sheet, registry_map
 
 log = logging.getLogger(__name__)
 KINDS = ("imp", "exp", "gto")
 MODES = {"ocr": ("extract",), "post": ("curate",), "post_auto": ("curate",), "plantilla": ("curate",), "cruces": ("reconcile",), "completo": ("extract", "curate", "reconcile")}
+#: Workbooks that stand in for tables: sheet, number of the header row, columns (fixed values), column of the order.
+INPUTS = {
+    "ledger": ("COM", 4, ("FORMULARIO", "FECHA", "INDICA", "DETALLE", "DEBITO", "CREDITO"), "row_order"),
+    "directory": (None, 1, ("CODIGO DE LOS SWIFT", "PAIS", "CIUDAD"), "src_order"),
+    "master": (None, 1, ("DB Nombre o razon social del beneficiario",), "src_order"),
+    "registry_names": ("Origen y destino", 1, ("Nombre personalizado", "Llave carga masiva"), "src_order"),
+    "registry_rows": ("Datos Origen Destino", 1, ("Consecutivo", "Llave Origen Destino"), "src_order"),
+    "mail": (None, 1, ("Receiver", "DATE", "Amount", "Beneficiary Customer"), "src_order"),
+}
+BOOKS = ("xlsx", "xlsb", "xlsm")
 
 
 @dataclass
@@ -45,32 +63,76 @@ class Engine:
         return f"{self.config.root}/{kind}/{name}"
 
     def table(self, name: str, kind: str) -> DataFrame | None:
+        """The table, else the workbook of its name, else none. Errors other than a missing path are raised."""
+        path = self.path(name, kind)
+        self._recover(path)
         try:
-            return self.spark.read.parquet(self.path(name, kind))
-        except AnalysisException:
-            return None
+            return self.spark.read.parquet(path)
+        except AnalysisException as e:
+            if not is_missing(e):
+                raise
+        if name in INPUTS:
+            sheet, header, columns, order = INPUTS[name]
+            schema = T.StructType([*(T.StructField(c, T.StringType()) for c in columns), T.StructField(order, T.LongType())])
+            for end in BOOKS:
+                if exists(self.spark, f"{path}.{end}"):
+                    return read_sheet(self.spark, f"{path}.{end}", schema, sheet, header)
+        return None
 
     def write(self, df: DataFrame, name: str, kind: str) -> int:
-        """Replace a table that df may have been read from: written beside it first."""
+        """Replace a table that df may have been read from: written beside it, then renamed. Where a run ends between
+        the two renamings, the next one finds the old table and puts it back."""
         path = self.path(name, kind)
-        beside = f"{path}.{uuid.uuid4().hex}"
-        df.write.parquet(beside)
-        fresh = self.spark.read.parquet(beside)
-        fresh.write.mode("overwrite").parquet(path)
-        self._delete(beside)
+        fresh = f"{path}.new-{uuid.uuid4().hex}"
+        df.write.parquet(fresh)
+        if exists(self.spark, path):
+            self._rename(path, f"{path}.old")
+        self._rename(fresh, path)
+        self._delete(f"{path}.old")
         self.spark.catalog.refreshByPath(path)
         return self.spark.read.parquet(path).count()
 
+    def _recover(self, path: str) -> None:
+        if exists(self.spark, f"{path}.old"):
+            if exists(self.spark, path):
+                self._delete(f"{path}.old")
+            else:
+                self._rename(f"{path}.old", path)
+
+    def _fs(self, path: str):
+        p = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+        return p.getFileSystem(self.spark._jsc.hadoopConfiguration()), p
+
+    def _rename(self, a: str, b: str) -> None:
+        fs, p = self._fs(a)
+        if not fs.rename(p, self._fs(b)[1]):
+            raise OSError(f"{a} can't be renamed to {b}")
+
     def _delete(self, path: str) -> None:
-        jvm = self.spark._jvm
-        p = jvm.org.apache.hadoop.fs.Path(path)
-        p.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(p, True)
+        fs, p = self._fs(path)
+        fs.delete(p, True)
+
+    def missing_inputs(self, mode: str, kind: str) -> list[str]:
+        """Names of tables that the steps of a mode can't do without and that aren't there."""
+        need = {"extract": ("mail",) if kind == "gto" else ("pages",), "curate": ("complete",), "reconcile": ("complete", "ledger")}
+        made = {"complete"} if "extract" in MODES[mode] else set()
+        have = lambda n: self.table(n, kind) is not None or (n == "pages" and exists(self.spark, self.path("files", kind)))
+        return [n for step in MODES[mode] for n in need[step] if n not in made and not have(n)]
 
-    def run(self, mode: str, kind: str) -> Result:
+    def clear(self, kind: str) -> None:
+        """K8: forget which files have been read."""
+        self._delete(self.path("manifest", kind))
+
+    def run(self, mode: str, kind: str, force: bool = False, confirm: Callable[[int], bool] | None = None) -> Result:
+        """force: read files again that have been read. confirm: asked, in mode `post` and `completo`, whether that many
+        manual records may move to the complete ones; they stay where they are if it says no."""
         mode, kind = mode.lower(), kind.lower()
         if mode not in MODES or kind not in KINDS:
             raise ValueError(f"unknown mode {mode} or kind {kind}")
         out = Result(mode, kind)
+        if force:
+            self.clear(kind)
+        self.confirm = confirm if mode in ("post", "completo") else None
         for step in MODES[mode]:
             getattr(self, f"_{step}")(kind, out)
         log.info(out.summary())
@@ -88,36 +150,70 @@ class Engine:
             df = records.add_places(df, records.directory(places, "CODIGO DE LOS SWIFT", "PAIS", "CIUDAD", "src_order"), upper=kind != "gto")
         return df
 
+    def _pages(self, kind: str) -> DataFrame | None:
+        """Pages of messages that haven't been read: of the table, or of the files in the folder."""
+        pages, done = self.table("pages", kind), self.table("manifest", kind)
+        if pages is not None:
+            pages = pages if "error" in pages.columns else pages.withColumn("error", F.lit(None).cast("string"))
+            pages = pages if "file_path" in pages.columns else pages.withColumn("file_path", F.col("file_name"))
+            return pages if done is None else records.pending(pages, done)
+        c, folder = self.config, self.path("files", kind)
+        if not exists(self.spark, folder):
+            return None
+        found = files.route(files.list_files(self.spark, folder), "path", kind, F.lit(c.year), c.cutover.isoformat(), c.earliest_file.isoformat())
+        found = records.with_md5(found)
+        found = found if done is None else records.pending(found, done)
+        read = read_pages(found, c.recogniser)
+        return read.join(found.select(F.col("path").alias("file_path"), "content_md5", "version"), "file_path")
+
     def _extract(self, kind: str, out: Result) -> None:
+        c = self.config
         if kind == "gto":
             mail = self.table("mail", kind)
             if mail is None:
                 out.warnings.append("no mail table")
                 return
             df = self._enrich(mail_rows(mail), kind).withColumn("Nombre personalizado", display_name("Proveedor", "Receiver"))
-            new = df.withColumns({"Estado": records.estado("lower"), "Version": F.lit("V1"), "id": record_id("gto", "Receiver", "Date", "Amount", F.col("`Nombre personalizado`"))})
+            parts = [F.coalesce(F.col(f"`{n}`"), F.lit("nan" if c.legacy_nan_id else "")) for n in ("Receiver", "Date", "Amount", "Nombre personalizado")]
+            new = df.withColumns({"Estado": records.estado("lower"), "Version": F.lit("V1"), "id": record_id("gto", *parts)})
         else:
-            pages = self.table("pages", kind)
+            pages = self._pages(kind)
             if pages is None:
-                out.warnings.append("no pages table")
+                out.warnings.append("no pages table and no files")
                 return
-            done = self.table("manifest", kind)
-            if done is not None:
-                pages = records.pending(pages, done)
+            # files are read and recognised once, also where their pages are needed several times
+            fresh = f"{self.path('pages', kind)}.run-{uuid.uuid4().hex}"
+            pages.write.parquet(fresh)
+            pages = self.spark.read.parquet(fresh)
             parts = []
             for v in ("V1", "V2"):
                 own = pages.where(F.col("version") == v)
-                parts.append(self._enrich(records.shape_records(extract.extract(own, kind, v), v).drop("Pais", "Ciudad"), kind))
+                parts.append(self._enrich(records.shape_records(extract.extract(own, kind, v, c.own_codes), v, limit=c.name_limit, path_in_id=c.path_in_id).drop("Pais", "Ciudad"), kind))
             new = parts[0].unionByName(parts[1], allowMissingColumns=True)
         new = conform(new, (*FINAL, "Version"))
         complete, manual = records.split_by_state(new)
         for name, part in (("complete", complete), ("manual", manual)):
-            old = self.table(name, kind)
-            out.counts[name] = self.write(part if old is None else records.upsert(old, part), name, kind)
+            old = None if c.overwrite else self.table(name, kind)
+            if old is not None:
+                # a file that is read again leaves the other table
+                old = records.anti_by_key(old, new.select("id"))
+            out.counts[name] = self.write(part if old is None else old.unionByName(part, allowMissingColumns=True), name, kind)
         if kind != "gto":
-            marks = pages.groupBy("content_md5").agg(F.first("file_name").alias("file"), F.first("version").alias("version"))
-            marks = marks.select("content_md5", "file", "version", F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss").alias("procesado_en"), F.lit(COMPLETE).alias("estado"))
-            out.counts["manifest"] = self.write(marks if done is None else records.mark(done, marks), "manifest", kind)
+            out.counts["manifest"] = self.write(self._marked(kind, pages, new), "manifest", kind)
+            out.counts["errors"] = pages.where("page_no = 0 AND error IS NOT NULL").select("file_path").distinct().count()
+            self._delete(fresh)
+
+    def _marked(self, kind: str, pages: DataFrame, new: DataFrame) -> DataFrame:
+        """The manifest with the files of a run, by what came of them."""
+        state = new.groupBy(F.col("`Nombre archivo`").alias("file_name"), F.col("Version").alias("version")).agg(F.min("Estado").alias("state"))
+        failed = F.max((F.col("page_no") == 0) & F.col("error").isNotNull())
+        of = pages.groupBy("content_md5").agg(F.min(F.struct("file_name", "version")).alias("f"), failed.alias("failed")).select("content_md5", "f.*", "failed")
+        marks = of.join(state, ["file_name", "version"], "left").select(
+            "content_md5", F.col("file_name").alias("file"), "version", F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss").alias("procesado_en"),
+            F.when(F.col("failed") | F.col("state").isNull(), ERROR).otherwise(F.col("state")).alias("estado"),
+        )
+        done = self.table("manifest", kind)
+        return marks if done is None else records.mark(done.select(*MANIFEST.names), marks)
 
     def _curate(self, kind: str, out: Result) -> None:
         complete, manual = self.table("complete", kind), self.table("manual", kind)
@@ -126,9 +222,13 @@ class Engine:
             return
         if manual is not None:
             ready = manual.where(records.is_complete("no_date")).withColumn("Nombre personalizado", display_name("Proveedor", "Receiver"))
-            before = complete.count()
-            out.counts["moved"] = self.write(records.merge_new(complete, ready), "complete", kind) - before
-            complete = self.table("complete", kind)
+            n = records.anti_by_key(ready, complete).count()
+            if n and self.confirm is not None and not self.confirm(n):
+                out.warnings.append(f"{n} manual records stay")
+            else:
+                before = complete.count()
+                out.counts["moved"] = self.write(records.merge_new(complete, ready), "complete", kind) - before
+                complete = self.table("complete", kind)
         history = self.table("history", kind)
         if history is None:
             history = conform(complete.limit(0), HISTORY)
@@ -149,24 +249,29 @@ class Engine:
         if kind == "gto":
             rows = cascade.drop_commissions(rows)
         keys = cascade.ledger_keys(rows, "CREDITO" if kind == "exp" else "DEBITO")
-        found = cascade.reconcile(cascade.message_keys(complete, "Nombre archivo" if kind == "imp" else "Proveedor"), keys, kind == "imp", c.amount_tolerance)
+        # rows as they would stand in sheets: by version, file and id; equal ids all take the last row's form
+        order = F.struct("Version", "`Nombre archivo`", "id")
+        ordered = complete.withColumn("row_order", order)
+        keys_of = cascade.message_keys(ordered, "Nombre archivo" if kind == "imp" else "Proveedor", ["row_order"])
+        found = cascade.reconcile(keys_of, keys, kind == "imp", c.amount_tolerance, c.token_ratio, c.token_overlap, ["row_order"])
         out.counts |= cascade.match_counts(found).first().asDict()
-        done = cascade.last_wins(complete, found.withColumn("o", F.lit(0)), "o")
+        done = cascade.last_wins(complete, found, "row_order")
         names = self.table("registry_names", kind)
         if names is not None:
-            from ledgerloom.sources.tabular import registry_map
-
-            best = argmax.best_by_tokens(done.select(F.col("Nombre personalizado").alias("name")), registry_map(names, "Nombre personalizado", "Llave carga masiva", "src_order"))
+            known = registry_map(names, "Nombre personalizado", "Llave carga masiva", "src_order")
+            best = argmax.best_by_tokens(done.select(F.col("Nombre personalizado").alias("name")), known, c.token_ratio, c.token_overlap)
+            missing = argmax.unmatched_names(done.withColumn("row_order", order), best, "row_order").orderBy("first", "name").limit(20).collect()
+            if missing:
+                log.warning("names without a key: %s", ", ".join(r["name"] for r in missing))
             done = argmax.fill_keys(done, best)
         self.write(done, "complete", kind)
         done = self.table("complete", kind)
         out.counts |= records.filled_counts(done).first().asDict()
         registry = self.table("registry_rows", kind)
         if registry is not None:
-            numbered = done.withColumn("row_order", F.col("id"))
-            changed = records.update_registry(registry, records.number_keys(numbered))
+            changed = records.update_registry(registry, records.number_keys(done.withColumn("row_order", order)))
             self.write(changed, "registry_out", kind)
-            counts = {r["cambio"]: r["count"] for r in self.table("registry_out", kind).groupBy("cambio").count().collect()}
+            counts = {r["cambio"]: r["n"] for r in records.change_counts(self.table("registry_out", kind)).collect()}
             out.counts |= {f"registry_{k}": n for k, n in counts.items()}
 
 

@@ -28,6 +28,11 @@ def route(df: DataFrame, path: str, kind: str, year: Column, cutover: str, since
     return out.withColumn("version", F.when(F.col("file_date") < F.lit(cutover).cast("date"), "V1").otherwise("V2"))
 
 
+def in_order(files: DataFrame) -> DataFrame:
+    """By date and name, for showing; nothing else depends on an order of rows."""
+    return files.orderBy("file_date", "file_name", "path")
+
+
 def missing_targets(files: DataFrame, target: DataFrame, name: str = "file_name") -> DataFrame:
     """Files that the target folder doesn't have."""
     return files.join(target.select(name).distinct(), name, "left_anti")

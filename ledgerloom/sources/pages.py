@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 
 @lru_cache(8)
-def recogniser(name: str) -> Callable[[bytes], list[str]]:
+def recogniser(name: str) -> Callable[[bytes], list]:
     """`module:factory`, made once in each Python worker."""
     module, _, factory = name.partition(":")
     return getattr(import_module(module), factory)()
@@ -38,7 +38,11 @@ def read_pages(files: DataFrame, name: str = "ledgerloom.sources.pages:plain_tex
                 except Exception as e:  # one file must not stop the others
                     rows.append((path, path.rpartition("/")[2], 0, None, str(e)))
                     continue
-                rows += [(path, path.rpartition("/")[2], k + 1, t, None) for k, t in enumerate(pages)]
+                for k, page in enumerate(pages):
+                    try:
+                        rows.append((path, path.rpartition("/")[2], k + 1, page() if callable(page) else page, None))
+                    except Exception as e:  # nor one page the others
+                        rows.append((path, path.rpartition("/")[2], k + 1, "", str(e)))
             yield pd.DataFrame(rows, columns=["file_path", "file_name", "page_no", "text", "error"])
 
     return files.select(F.col("path"), F.col("content")).mapInPandas(run, "file_path string, file_name string, page_no int, text string, error string")

@@ -8,7 +8,6 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 from ledgerloom.functions.text import text_key
 from ledgerloom.operators.argmax import keep_first
@@ -25,62 +24,47 @@ def format_of(path: str) -> str:
     return "excel" if end in EXCEL else FORMATS.get(end, "parquet")
 
 
-class ExcelReader(DataSourceReader):
-    def __init__(self, schema: T.StructType, options: dict[str, str]):
-        self.schema, self.options = schema, options
+def exists(spark: SparkSession, path: str) -> bool:
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
 
-    def partitions(self) -> list[InputPartition]:
-        return [InputPartition(p) for p in self.options["path"].split(",")]
 
-    def read(self, partition: InputPartition) -> Iterator[tuple]:
-        from openpyxl import load_workbook  # optional dependency
+def is_missing(e: AnalysisException) -> bool:
+    """Whether an error says that there is no such path; all others are errors."""
+    return e.getCondition() == "PATH_NOT_FOUND"
 
-        book = load_workbook(partition.value, read_only=True, data_only=True)
-        sheet = self.options.get("sheet") or book.sheetnames[0]
-        if sheet not in book.sheetnames:
-            return
-        skip = int(self.options.get("headerrow", "1"))
-        most = int(self.options.get("maxcols", "0")) or None
-        names: list[str] = []
-        for k, row in enumerate(book[sheet].iter_rows(max_col=most, values_only=True)):
-            if k + 1 < skip:
-                continue
-            if k + 1 == skip:
-                names = [str(c or "").strip() for c in row]
-                continue
-            if any(c is not None and str(c).strip() for c in row):
-                at = dict(zip(names, row))
-                yield tuple(k if f.name == "row_order" else None if at.get(f.name) is None else str(at[f.name]) for f in self.schema.fields)
 
+def read_workbook(spark: SparkSession, path: str, schema: T.StructType, sheet: str | None = None, header_row: int = 1, max_cols: int = 0) -> DataFrame:
+    """A4: rows of a workbook's sheet as text, with the number of the row in row_order or src_order if the schema has
+    it. Read by Spark, so from any file system; a sheet that isn't there has no rows."""
+    names = schema.names
+    order = next((n for n in names if n in ("row_order", "src_order")), "")
 
-class ExcelSource(DataSource):
-    """spark.read.format("excel"): options path, sheet, headerRow, maxCols; needs a schema of strings and row_order."""
+    def run(batches: Iterator) -> Iterator:
+        import pandas as pd
 
-    @classmethod
-    def name(cls) -> str:
-        return "excel"
+        from ledgerloom.sources.workbook import table_rows
 
-    def schema(self) -> str:
-        raise ValueError("give a schema")
+        for b in batches:
+            for data in b["content"]:
+                yield pd.DataFrame(table_rows(bytes(data), names, sheet, header_row, max_cols, order), columns=names, dtype=object)
 
-    def reader(self, schema: T.StructType) -> ExcelReader:
-        return ExcelReader(schema, {k.lower(): v for k, v in self.options.items()})
+    return spark.read.format("binaryFile").load(path).select("content").mapInPandas(run, schema)
 
 
-def read_sheet(spark: SparkSession, path: str, schema: T.StructType, sheet: str | None = None, **options: str) -> DataFrame:
+def read_sheet(spark: SparkSession, path: str, schema: T.StructType, sheet: str | None = None, header_row: int = 1, max_cols: int = 0, **options: str) -> DataFrame:
     """A1: the table, or an empty one with the same columns if there is none. Other errors are raised."""
     kind = format_of(path)
     if kind == "excel":
-        spark.dataSource.register(ExcelSource)
+        found = exists(spark, path)
+        return read_workbook(spark, path, schema, sheet, header_row, max_cols) if found else spark.createDataFrame([], schema)
     reader = spark.read.format(kind).schema(schema).options(**options)
     if kind == "csv":
         reader = reader.option("header", "true")
-    if sheet:
-        reader = reader.option("sheet", sheet)
     try:
         return clean_headers(reader.load(path))
     except AnalysisException as e:
-        if e.getCondition() != "PATH_NOT_FOUND":
+        if not is_missing(e):
             raise
         return spark.createDataFrame([], schema)
 
@@ -132,9 +116,16 @@ def read_manifest(spark: SparkSession, path: str) -> DataFrame:
     if format_of(path) != "json":
         return read_sheet(spark, path, MANIFEST)
     entry = "struct<file:string,version:string,procesado_en:string,estado:string>"
-    try:
-        whole = spark.read.text(path, wholetext=True)
-    except AnalysisException:
+    if not exists(spark, path):
         return spark.createDataFrame([], MANIFEST)
+    whole = spark.read.text(path, wholetext=True)
     found = whole.select(F.explode(F.from_json("value", f"map<string,{entry}>")).alias("content_md5", "e"))
     return found.select("content_md5", "e.file", "e.version", "e.procesado_en", "e.estado")
+
+
+def write_manifest(manifest: DataFrame, path: str) -> None:
+    """As a JSON object of entries by digest, which read_manifest() reads. One object is one file, so this is for
+    handing a manifest over; the engine keeps its own as a table."""
+    entry = F.struct("file", "version", "procesado_en", "estado")
+    pairs = F.map_from_entries(F.collect_list(F.struct("content_md5", entry.alias("e"))))
+    manifest.agg(F.to_json(pairs).alias("value")).coalesce(1).write.mode("overwrite").text(path)

@@ -17,11 +17,14 @@ def append_new(path: str, key: str = "id"):
     def batch(df: DataFrame, _: int) -> None:
         from pyspark.errors import AnalysisException
 
+        from ledgerloom.sources.tabular import is_missing
+
         new = df.dropDuplicates([key])
         try:
             new = anti_by_key(new, df.sparkSession.read.parquet(path), key)
-        except AnalysisException:
-            pass  # no table yet
+        except AnalysisException as e:
+            if not is_missing(e):  # no table yet
+                raise
         new.write.mode("append").parquet(path)
 
     return batch

@@ -9,8 +9,10 @@ from ledgerloom.plans.engine import Engine
 from ledgerloom.plans.queries import ORACLE_SQL, QUERIES
 from ledgerloom.schema import MANIFEST
 from ledgerloom.sources import files, pages, sinks, tabular
-from ledgerloom.streaming.incremental import event_windows, ingest
+from ledgerloom.operators import records
+from ledgerloom.streaming.incremental import append_new, event_windows, ingest
 from tests.test_extract import V1, V2
+from tests.test_workbook import xlsb, xlsx
 
 
 def test_run_twice(spark, tmp_path):
@@ -37,6 +39,79 @@ def test_run_twice(spark, tmp_path):
     assert parser().parse_args(["post", "gto", "--account", "1"]).mode == "post"
 
 
+def flaky():
+    """A recogniser that fails at some files and pages."""
+
+    def read(data):
+        text = data.decode()
+        if text.startswith("broken"):
+            raise ValueError("broken")
+        return [lambda t=t: t if t != "bad" else 1 / 0 for t in text.split("\f")]
+
+    return read
+
+
+def test_files_to_records(spark, tmp_path):
+    """Folder, routing, reading, records; errors are read again, whole and partial files only if forced."""
+    day = lambda d: (tmp_path / "imp" / "files" / "NOVIEMBRE" / f"{d} NOVIEMBRE")
+    for d in (10, 27):
+        day(d).mkdir(parents=True)
+    (day(10) / "1 ACME.pdf").write_text("bad\f" + V1)
+    (day(10) / "same.pdf").write_text("Receiver : TESTUS33XXX")
+    (day(27) / "b.pdf").write_text(V2)
+    (day(27) / "c.pdf").write_text("broken")
+    (tmp_path / "imp" / "ledger.xlsb").write_bytes(xlsb({"COM": [None, None, None, ["FORMULARIO", "FECHA", "INDICA", "DETALLE", "DEBITO"], [101, "10/04/2025", "imp", "ACME", 30449.84]]}))
+    (tmp_path / "imp" / "registry_names.xlsx").write_bytes(xlsx({"Origen y destino": [["Nombre personalizado", "Llave carga masiva"], ["acme textiles sa testus33xxx", "K9"]]}))
+    engine = Engine(spark, Config(account="0", root=str(tmp_path), recogniser="tests.test_engine:flaky"))
+    assert engine.missing_inputs("completo", "imp") == [] and engine.missing_inputs("cruces", "exp") == ["complete", "ledger"]
+    first = engine.run("completo", "imp")
+    assert {k: first.counts[k] for k in ("complete", "manual", "manifest", "errors", "updated", "with_key")} == {"complete": 2, "manual": 2, "manifest": 4, "errors": 1, "updated": 1, "with_key": 2}
+    state = lambda: {r.file: r.estado for r in spark.read.parquet(f"{tmp_path}/imp/manifest").collect()}
+    assert state() == {"1 ACME.pdf": "Completo", "same.pdf": "Incompleto", "b.pdf": "Completo", "c.pdf": "Error"}
+    (day(27) / "c.pdf").write_text("broken, too")
+    (day(27) / "d.pdf").write_text(V2 + " ")
+    again = engine.run("ocr", "imp")
+    assert (again.counts["complete"], again.counts["manual"], again.counts["errors"], state()["d.pdf"]) == (3, 2, 1, "Completo")
+    (day(27) / "c.pdf").write_text(V2 + "  ")
+    assert engine.run("ocr", "imp").counts == {"complete": 4, "manual": 1, "manifest": 7, "errors": 0}
+    forced = engine.run("ocr", "imp", force=True)
+    assert forced.counts == {"complete": 4, "manual": 1, "manifest": 5, "errors": 0}
+    assert parser().parse_args(["ocr", "imp", "--account", "1", "--forzar"]).forzar
+    # a run that ended between the two renamings
+    (tmp_path / "imp" / "complete").rename(tmp_path / "imp" / "complete.old")
+    assert engine.table("complete", "imp").count() == 4 and engine.table("nothing", "imp") is None
+    (tmp_path / "imp" / "history").mkdir(exist_ok=True)
+    (tmp_path / "imp" / "odd").mkdir()
+    with pytest.raises(Exception, match="(?i)schema"):  # an error, not a missing table
+        engine.table("odd", "imp")
+
+
+def test_confirm(spark, tmp_path):
+    root, engine = f"{tmp_path}/imp", Engine(spark, Config(account="0", root=str(tmp_path)))
+    cols = "id string, `Nombre archivo` string, Receiver string, Date string, Amount string, Proveedor string, Pais string, Ciudad string, `Nombre personalizado` string, Estado string, Formulario string, Llave string, Version string"
+    row = lambda i: (i, "f", "TESTUS33", None, "1.00", "p", None, None, "n", "Incompleto", None, None, "V1")
+    spark.createDataFrame([row("a")], cols).write.parquet(f"{root}/complete")
+    spark.createDataFrame([row("a"), row("b")], cols).write.parquet(f"{root}/manual")
+    asked = []
+    out = engine.run("post", "imp", confirm=lambda n: asked.append(n))
+    assert asked == [1] and "moved" not in out.counts and out.warnings == ["1 manual records stay"]
+    assert engine.run("post", "imp", confirm=lambda n: True).counts["moved"] == 1
+
+
+def test_manifest_json(spark, tmp_path):
+    m = spark.createDataFrame([("k", "f", "V1", "t", "Completo")], MANIFEST)
+    tabular.write_manifest(m, f"{tmp_path}/m.json")
+    assert tabular.read_manifest(spark, f"{tmp_path}/m.json").collect() == m.collect()
+    assert records.cleared(m).count() == 0
+
+
+def test_append_keeps_errors(spark, tmp_path):
+    """Only a missing table counts as none."""
+    (tmp_path / "t").mkdir()
+    with pytest.raises(Exception, match="(?i)schema"):
+        append_new(f"{tmp_path}/t")(spark.createDataFrame([("a",)], "id string"), 0)
+
+
 def test_gto(spark, tmp_path):
     root = str(tmp_path)
     spark.createDataFrame([("testus33", "08 Oct 2025", "#8.800,#", "ACME"), (None, "x", None, None)], "Receiver string, DATE string, Amount string, `Beneficiary Customer` string").write.parquet(f"{root}/gto/mail")
