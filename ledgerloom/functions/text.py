@@ -5,6 +5,7 @@ from __future__ import annotations
 import unicodedata
 from functools import reduce
 
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -65,7 +66,9 @@ def lines(c: str | Column) -> Column:
 
 def _fold_table() -> tuple[str, str]:
     one = {}
-    for code in range(0xC0, 0x250):
+    for code in (*range(0xA0, 0x1100), *range(0x1E00, 0x10000)):
+        if 0xAC00 <= code < 0xE000:  # Hangul, whose syllables are several letters, and surrogates
+            continue
         bare = "".join(x for x in unicodedata.normalize("NFKD", chr(code)) if not unicodedata.combining(x))
         if len(bare) == 1 and bare != chr(code):
             one[chr(code)] = bare
@@ -74,17 +77,17 @@ def _fold_table() -> tuple[str, str]:
 
 _ACCENTED, _BARE = _fold_table()
 #: Characters without a match in the second text of translate() are deleted.
-_MARKS = "".join(map(chr, range(0x300, 0x370)))
+_MARKS = "".join(c for c in map(chr, range(0x300, 0x10000)) if unicodedata.combining(c))
 
 
 def fold(c: str | Column) -> Column:
-    """Letters without their accents, in the Latin blocks."""
+    """Characters that decompose to one letter and accents as that letter. Others, such as ligatures and Hangul, stay
+    as they are here; fold_exact() takes them apart as well."""
     return F.translate(col(c), _ACCENTED + _MARKS, _BARE)
 
 
 def fold_exact(c: str | Column) -> Column:
     """As fold(), for all of Unicode, by an Arrow function."""
-    import pandas as pd
 
     @F.pandas_udf("string")
     def nfkd(s: pd.Series) -> pd.Series:

@@ -7,11 +7,13 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.functions.text import col, normalize_name, text_key, tokens
+from ledgerloom.functions.text import col, normalize_name, normalize_text, text_key, tokens
 from ledgerloom.operators.tokens import OVERLAP, RATIO, overlap_ratio
 
-#: Most bytes of master names that are sent to every task; more are scored in blocks.
+#: Bytes of master names that a task holds at a time.
 MASTER_BYTES = 16 << 20
+#: Names that are scored against a block in one task.
+NAMES_PER_CELL = 20_000
 
 
 def keep_first(df: DataFrame, key: str | list[str], order: str) -> DataFrame:
@@ -76,53 +78,139 @@ def _common(a: str, b: str) -> int:
     return len(a) - row.bit_count()
 
 
-def token_set_ratio(a: str, b: str) -> int:
-    """0 to 100, cut to an integer."""
+def token_set(a: str, b: str) -> float:
+    """How alike two texts are as sets of words, from 0 to 1."""
     x, y = set(a.split()), set(b.split())
     if not x or not y:
-        return 0
+        return 0.0
     both, left, right = x & y, x - y, y - x
     if both and (not left or not right):
-        return 100
+        return 1.0
     i, p, q = (" ".join(sorted(s)) for s in (both, left, right))
     gap = 1 if i else 0
     len_a, len_b = len(i) + gap + len(p), len(i) + gap + len(q)
     best = 1 - (len(p) + len(q) - 2 * _common(p, q)) / (len_a + len_b)
     if i:
         best = max(best, 1 - (gap + len(p)) / (len(i) + len_a), 1 - (gap + len(q)) / (len(i) + len_b))
-    return int(100 * best)
+    return best
 
 
-def best_fuzzy(names: DataFrame, master: DataFrame, normalize: Callable[[Column], Column] = normalize_name, block_bytes: int = MASTER_BYTES) -> DataFrame:
-    """(name, choice, score) of each distinct name that isn't blank: the best choice of master (choice,
-    choice_order), the first on ties. The master is sent out in blocks of a checked size."""
+def token_set_ratio(a: str, b: str) -> int:
+    """0 to 100, cut to an integer."""
+    return int(100 * token_set(a, b))
+
+
+class Choices:
+    """Normalised choices in order, and what bounds their scores without comparing texts.
+
+    Two texts share no more than their characters in common, counted in 64 classes, and the words in common say what
+    the other two shares of a score are. Only choices whose bound reaches the best score so far are compared."""
+
+    def __init__(self, norms: list[str], rounded: bool = False):
+        import numpy as np
+
+        self.np, self.norms, self.rounded = np, norms, rounded
+        words = [sorted(set(n.split())) for n in norms]
+        self.lengths = np.array([max(1, len(" ".join(w))) for w in words], np.float64)
+        self.n_words = np.array([len(w) for w in words])
+        holders: dict[str, list[int]] = {}
+        for k, w in enumerate(words):
+            for t in w:
+                holders.setdefault(t, []).append(k)
+        self.holders = {t: np.array(ks) for t, ks in holders.items()}
+        self.counts = np.array([self._classes(" ".join(w)) for w in words], np.uint8).reshape(-1, 64)
+
+    def _classes(self, text: str) -> list[int]:
+        out = [0] * 64
+        for c in text:
+            out[ord(c) & 63] = min(255, out[ord(c) & 63] + 1)
+        return out
+
+    def _score(self, x: float) -> int:
+        return round(100 * x) if self.rounded else int(100 * x)
+
+    def bounds(self, norm: str):
+        """For each choice a number that its score doesn't exceed."""
+        np, words = self.np, set(norm.split())
+        length = len(" ".join(sorted(words)))
+        shared, n = np.zeros(len(self.norms)), np.zeros(len(self.norms), int)
+        for t in words:
+            ks = self.holders.get(t)
+            if ks is not None:
+                shared[ks] += len(t) + 1
+                n[ks] += 1
+        shared = np.maximum(shared - 1, 0)
+        own = np.array(self._classes(" ".join(sorted(words))), np.uint8)
+        bag = np.minimum(self.counts, own).sum(axis=1, dtype=np.int64) if length < 255 else np.full(len(self.norms), length)
+        bag = np.where(self.lengths < 255, bag, np.minimum(length, self.lengths))  # counts end at 255
+        most = np.maximum(2 * bag / (length + self.lengths), np.maximum(2 * shared / np.maximum(shared + length, 1), 2 * shared / np.maximum(shared + self.lengths, 1)))
+        most[(n > 0) & ((n == len(words)) | (n == self.n_words))] = 1
+        return np.floor(100 * most + (0.5 if self.rounded else 0) + 1e-9).astype(int)
+
+    def best(self, norm: str) -> tuple[int, int] | None:
+        """(score, place) of the best choice, the first on ties."""
+        np = self.np
+        if not self.norms:
+            return None
+        bounds = self.bounds(norm)
+        k = int(bounds.argmax())
+        top = (self._score(token_set(norm, self.norms[k])), -k)
+        (rest,) = np.nonzero(bounds >= top[0])
+        for k in rest[np.lexsort((rest, -bounds[rest]))].tolist():
+            if (bounds[k], -k) <= top:
+                if bounds[k] < top[0]:
+                    break
+                continue
+            top = max(top, (self._score(token_set(norm, self.norms[k])), -k))
+        return top[0], -top[1]
+
+
+def best_fuzzy(
+    names: DataFrame, master: DataFrame, normalize: Callable[[Column], Column] = normalize_name, block_bytes: int = MASTER_BYTES, names_per_cell: int = NAMES_PER_CELL, rounded: bool = False
+) -> DataFrame:
+    """(name, choice, score) of each distinct name that isn't blank: the best choice of master (choice,
+    choice_order), the first on ties.
+
+    Names and choices meet in cells of some names and a block of choices of a checked size; nothing of either passes
+    through the driver, and the best of a name's cells is an aggregation."""
     q = names.select("name").distinct().withColumn("norm", normalize(col("name"))).where("norm <> ''")
-    q = q.repartition("norm")
     m = keep_first(master.withColumn("norm", normalize(col("choice"))).where("norm <> ''"), "norm", "choice_order")
     size = m.agg(F.sum(F.octet_length("norm") + F.octet_length("choice"))).first()[0] or 0
-    blocks = max(1, -(-size // block_bytes))
-    found = None
-    for k in range(blocks):
-        part = (m.where(F.pmod(F.xxhash64("norm"), F.lit(blocks)) == k) if blocks > 1 else m).select("norm", "choice", "choice_order").orderBy("choice_order").collect()
-        choices = [(r["norm"], r["choice"], r["choice_order"]) for r in part]
-
-        def score(batches, choices=choices):
-            import pandas as pd
-
-            for b in batches:
-                rows = []
-                for name, norm in zip(b["name"], b["norm"]):
-                    best = max(((token_set_ratio(norm, c), -o, raw) for c, raw, o in choices), key=lambda t: t[:2], default=None)
-                    if best:
-                        rows.append((name, best[0], -best[1], best[2]))
-                yield pd.DataFrame(rows, columns=["name", "score", "choice_order", "choice"])
-
-        one = q.mapInPandas(score, "name string, score int, choice_order long, choice string")
-        found = one if found is None else found.union(one)
+    blocks, n = max(1, -(-size // block_bytes)), q.count()
+    cells = max(1, -(-n // names_per_cell), min(names.sparkSession.sparkContext.defaultParallelism, n // 64))
+    every = lambda k: F.explode(F.sequence(F.lit(0), F.lit(k - 1)))
+    part = lambda c, k: F.pmod(F.xxhash64(c), F.lit(k)).cast("int")
+    left = q.withColumn("cell", part("norm", cells)).withColumn("block", every(blocks))
+    right = m.select("norm", "choice", F.col("choice_order").cast("long").alias("choice_order"), part("norm", blocks).alias("block")).withColumn("cell", every(cells))
+
+    def score(a, b):
+        import pyarrow as pa
+
+        b = b.sort_by("choice_order")
+        choices, raw, order = Choices(b["norm"].to_pylist(), rounded), b["choice"], b["choice_order"]
+        known: dict[str, tuple[int, int] | None] = {}
+        rows = []
+        for name, norm in zip(a["name"].to_pylist(), a["norm"].to_pylist()):
+            if norm not in known:
+                known[norm] = choices.best(norm)
+            if known[norm]:
+                s, k = known[norm]
+                rows.append((name, s, order[k].as_py(), raw[k].as_py()))
+        kinds = (pa.string(), pa.int32(), pa.int64(), pa.string())
+        return pa.table([pa.array([r[k] for r in rows], t) for k, t in enumerate(kinds)], names=["name", "score", "choice_order", "choice"])
+
+    found = left.groupBy("block", "cell").cogroup(right.groupBy("block", "cell")).applyInArrow(score, "name string, score int, choice_order long, choice string")
     best = F.max(F.struct("score", (-F.col("choice_order")).alias("o"), "choice")).alias("b")
     return found.groupBy("name").agg(best).select("name", F.col("b.choice").alias("choice"), F.col("b.score").alias("score"))
 
 
+def match_names(names: DataFrame, master: DataFrame, threshold: int = 85) -> DataFrame:
+    """(name, match, score): as best_fuzzy() by folded upper-case text, scores rounded. A choice must score above
+    0 to be the best, and match is null below the threshold."""
+    best = best_fuzzy(names, master, normalize_text, rounded=True).where("score > 0")
+    return best.select("name", F.when(F.col("score") >= threshold, F.col("choice")).alias("match"), "score")
+
+
 def enrich_names(df: DataFrame, best: DataFrame, name: str = "Proveedor", threshold: int = 85) -> DataFrame:
     """A name becomes its best choice from the threshold on."""
     b = best.where(F.col("score") >= threshold).select(F.col("name").alias("_name"), F.col("choice").alias("_choice"))

@@ -72,3 +72,11 @@ def test_schema(spark):
     assert conform(df, ["b", "a"]).columns == ["b", "a", "z"]
     with pytest.raises(ValueError):
         require_columns(df, ["q"])
+
+
+def test_folding(spark):
+    """By column and by the Arrow function: the same but for characters that are several letters."""
+    texts = ["Ñandú Ǟ ệ Ά Й", "e\u0301\u0327", "ﬁ ½", "日本 가", None, ""]
+    assert one(spark, text.fold, texts) == ["Nandu A e Α И", "e", "ﬁ ½", "日本 가", None, ""]
+    assert one(spark, text.fold_exact, texts[:4]) == ["Nandu A e Α И", "e", "fi 1⁄2", "日本 \u1100\u1161"]
+    assert one(spark, lambda c: text.normalize_text(c, exact=True), [" ﬁ  x", None]) == ["FI X", ""]

@@ -96,12 +96,57 @@ def test_fuzzy(spark):
     master = spark.createDataFrame([("ACME TEXTILES", 1), ("ACME TEXTILE", 2), ("OTRA", 3)], "choice string, choice_order long")
     names = spark.createDataFrame([("Acme Textiles Ltd",), ("Otraa",), (" ",), (None,)], "name string")
     for size in (1 << 20, 10):  # one block, many blocks
-        got = {r.name: (r.choice, r.score) for r in argmax.best_fuzzy(names, master, block_bytes=size).collect()}
+        got = {r.name: (r.choice, r.score) for r in argmax.best_fuzzy(names, master, block_bytes=size, names_per_cell=1).collect()}
         assert got == {"Acme Textiles Ltd": ("ACME TEXTILES", 100), "Otraa": ("OTRA", 88)}
     df = spark.createDataFrame([("Otraa",), ("zzz",)], "Proveedor string")
     assert sorted(r[0] for r in argmax.enrich_names(df, argmax.best_fuzzy(names, master)).collect()) == ["OTRA", "zzz"]
 
 
+def reference_ratio(a, b):
+    """The definition, by plain edit distances of insertions and deletions on the three joined texts."""
+
+    def ratio(x, y):
+        row = list(range(len(y) + 1))
+        for i, c in enumerate(x, 1):
+            row, last = [i], row
+            for j, d in enumerate(y, 1):
+                row.append(last[j - 1] if c == d else 1 + min(last[j], row[j - 1]))
+        return 1 - row[-1] / (len(x) + len(y)) if x or y else 1.0
+
+    x, y = set(a.split()), set(b.split())
+    if not x or not y:
+        return 0
+    i = " ".join(sorted(x & y))
+    p, q = (" ".join(filter(None, [i, " ".join(sorted(s))])) for s in (x - y, y - x))
+    if i and (p == i or q == i):
+        return 1.0
+    return max([ratio(p, q)] + ([ratio(i, p), ratio(i, q)] if i else []))
+
+
+WORDS = st.lists(st.sampled_from(["acme", "acm", "textil", "textiles", "sa", "norte", "n", "xyz"]), max_size=5).map(" ".join)
+
+
+@given(WORDS, WORDS)
+def test_token_set_by_definition(a, b):
+    assert abs(argmax.token_set(a, b) - reference_ratio(a, b)) < 1e-9
+
+
+@given(WORDS, st.lists(WORDS, max_size=8), st.booleans())
+def test_bounds_lose_nothing(name, norms, rounded):
+    norms = [n for n in dict.fromkeys(norms) if n]
+    score = lambda n: round(100 * argmax.token_set(name, n)) if rounded else argmax.token_set_ratio(name, n)
+    want = max(((score(n), -k) for k, n in enumerate(norms)), default=None)
+    if name:
+        assert argmax.Choices(norms, rounded).best(name) == (want and (want[0], -want[1]))
+
+
+def test_match_names(spark):
+    master = spark.createDataFrame([("Ácme Textiles", 1), ("ACME", 2), ("xyz", 3)], "choice string, choice_order long")
+    names = spark.createDataFrame([("acme  textiles",), ("qqqq",), ("acmee",), (None,)], "name string")
+    assert {tuple(r) for r in argmax.match_names(names, master).collect()} == {("acme  textiles", "Ácme Textiles", 100), ("acmee", "ACME", 89)}
+    assert argmax.match_names(names, master.limit(0)).count() == 0
+
+
 @given(st.text("abcd", max_size=12), st.text("abcd", max_size=12))
 def test_common_subsequence(a, b):
     rows = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
