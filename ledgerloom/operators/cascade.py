@@ -64,14 +64,23 @@ def detail_candidates(names: DataFrame, details: DataFrame, ratio: float = RATIO
 
 
 def reconcile(
-    msgs: DataFrame, ledger: DataFrame, loose_single: bool = False, tolerance: float = TOLERANCE, ratio: float = RATIO, overlap: int = OVERLAP, keep: Sequence[str] = ()
-) -> DataFrame:
+    msgs: DataFrame, ledger: DataFrame, loose_single: bool = False, tolerance: float = TOLERANCE, ratio: float = RATIO, overlap: int = OVERLAP,
+    keep: Sequence[str] = (), held: list[DataFrame] | None = None,
+) -> DataFrame:
     """(id, keep, rule, formulario) of every message: msgs have id, fecha_key, nombre_clean, amount; ledger rows have
     fecha_key, detalle_clean, monto, formulario, row_order. formulario is null where the message stays as it was.
 
-    Null dates match nothing. multi_blank: the sum fits, but no row has a form."""
-    m = msgs.select("id", *keep, "fecha_key", "amount", drop_noise(tokens("nombre_clean")).alias("src"))
-    rows = ledger.where("fecha_key IS NOT NULL").select("fecha_key", "detalle_clean", "monto", "formulario", "row_order")
+    Null dates match nothing. multi_blank: the sum fits, but no row has a form. Four narrow tables that several steps
+    read are persisted, in memory or on disk; held takes them, for unpersist() when the result has been written."""
+
+    def hold(df: DataFrame) -> DataFrame:
+        df = df.persist()
+        if held is not None:
+            held.append(df)
+        return df
+
+    m = hold(msgs.select("id", *keep, "fecha_key", "amount", drop_noise(tokens("nombre_clean")).alias("src")))
+    rows = hold(ledger.where("fecha_key IS NOT NULL").select("fecha_key", "detalle_clean", "monto", "formulario", "row_order"))
     size = F.lit(2 * tolerance)
     bins = F.array(*[F.floor(F.col("amount") / size) + k for k in (-1, 0, 1)])
     close = amount_close(F.col("monto"), F.col("amount"), tolerance)
@@ -80,9 +89,9 @@ def reconcile(
     # rows by words
     details = rows.select("fecha_key", "detalle_clean").distinct().withColumn("words", F.array_distinct(tokens("detalle_clean")))
     alike = detail_candidates(asked.select("fecha_key", "src").distinct(), details, ratio, overlap).where(tokens_match(F.col("src"), F.col("words"), ratio, overlap))
-    named = alike.select("fecha_key", "src", "detalle_clean").join(rows, ["fecha_key", "detalle_clean"])
+    named = hold(alike.select("fecha_key", "src", "detalle_clean").join(rows, ["fecha_key", "detalle_clean"]))
     sums = named.groupBy("fecha_key", "src").agg(F.count("*").alias("n"), F.coalesce(F.sum("monto"), F.lit(0.0)).alias("total"), F.max(form).alias("one"))
-    settled = asked.join(sums, ["fecha_key", "src"], "left")
+    settled = hold(asked.join(sums, ["fecha_key", "src"], "left"))
     near = settled.where("n > 1 AND amount IS NOT NULL").select("fecha_key", "src", "amount", F.explode(bins).alias("bin"))
     near = near.join(named.withColumn("bin", F.floor(F.col("monto") / size)), ["fecha_key", "src", "bin"]).where(close)
     exact = near.groupBy("fecha_key", "src", "amount").agg(F.count("*").alias("n_fit"), F.max(form).alias("fit"))

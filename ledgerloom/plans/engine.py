@@ -253,7 +253,7 @@ class Engine:
         order = F.struct("Version", "`Nombre archivo`", "id")
         ordered = complete.withColumn("row_order", order)
         keys_of = cascade.message_keys(ordered, "Nombre archivo" if kind == "imp" else "Proveedor", ["row_order"])
-        found = cascade.reconcile(keys_of, keys, kind == "imp", c.amount_tolerance, c.token_ratio, c.token_overlap, ["row_order"])
+        found = cascade.reconcile(keys_of, keys, kind == "imp", c.amount_tolerance, c.token_ratio, c.token_overlap, ["row_order"], held := [])
         out.counts |= cascade.match_counts(found).first().asDict()
         done = cascade.last_wins(complete, found, "row_order")
         names = self.table("registry_names", kind)
@@ -265,6 +265,8 @@ class Engine:
                 log.warning("names without a key: %s", ", ".join(r["name"] for r in missing))
             done = argmax.fill_keys(done, best)
         self.write(done, "complete", kind)
+        for df in held:
+            df.unpersist()
         done = self.table("complete", kind)
         out.counts |= records.filled_counts(done).first().asDict()
         registry = self.table("registry_rows", kind)
