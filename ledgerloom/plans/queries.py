@@ -247,6 +247,50 @@ def c_fields_exp_v2(spark: SparkSession, d: str) -> DataFrame:
     return _read(_message(spark, d), "exp", "V2", body)
 
 
+def _two_pages(df: DataFrame, one: F.Column, two: F.Column) -> DataFrame:
+    pages = F.explode(F.array(F.struct(F.lit(1).alias("page_no"), one.alias("text")), F.struct(F.lit(2).alias("page_no"), two.alias("text")))).alias("p")
+    return df.select(F.concat(F.lit("f"), F.col("id").cast("string"), F.lit(".pdf")).alias("file_name"), pages).select("file_name", "p.*")
+
+
+@query(f"""WITH {_MESSAGE} SELECT 'f' || id || '.pdf' AS file_name, code AS receiver, strftime(fecha_key, '%Y-%m-%d') AS date, strftime(fecha_key, '%d %b %Y') AS date_raw, {_EU} AS amount,
+  CASE WHEN id % 3 > 0 THEN name END AS beneficiary, CASE WHEN id % 3 > 0 THEN 'Completo' ELSE 'Incompleto' END AS estado, CAST(2 AS BIGINT) AS pages_scanned FROM message""")
+def c_extract_exp(spark: SparkSession, d: str) -> DataFrame:
+    """Outgoing messages of two pages; a third of them don't name the customer."""
+    one = _text(F.concat(F.lit("Sender : "), "code"), "20: REF", "32A: Value Date")
+    two = _text(F.concat(F.lit("Date : "), F.date_format("fecha_key", "dd MMM yyyy")), F.concat(F.lit("Amount : #"), _eu(), F.lit("#")), F.when(F.col("id") % 3 > 0, "50K: Ordering Customer").otherwise("52A:"), "/1", F.col("name"), "70: y")
+    out = extract.extract(_two_pages(_message(spark, d), one, two), "exp", "V1")
+    return out.select("file_name", "receiver", "date", "date_raw", "amount", "beneficiary", "estado", F.col("pages_scanned").cast("long").alias("pages_scanned"))
+
+
+@query(f"""WITH {_MESSAGE} SELECT 'f' || id || '.pdf' AS file_name, code AS receiver, strftime(fecha_key, '%Y-%m-%d') AS date, printf('%.2f', amount) AS amount, name AS beneficiary, 'Completo' AS estado,
+  CAST(CASE WHEN id % 2 = 0 THEN 1 ELSE 2 END AS BIGINT) AS pages_scanned FROM message""")
+def c_extract_imp(spark: SparkSession, d: str) -> DataFrame:
+    """Incoming messages; every other one is complete on its first page, and later pages change nothing."""
+    whole = _text(F.concat(F.lit("Receiver: "), "code"), F.concat(F.lit("Interbank Settlement Date: "), F.date_format("fecha_key", "yyyy-MM-dd")), F.concat(F.lit("Interbank Settlement Amount: USD "), F.format_string("%.2f", F.col("amount"))))
+    name = _text("Creditor: 1", F.col("name"))
+    even = F.col("id") % 2 == 0
+    other = "Receiver: OTHERUS1\nInterbank Settlement Date: 1999-01-01\nInterbank Settlement Amount: USD 1.00\nCreditor: 1\nOTHER"
+    out = extract.extract(_two_pages(_message(spark, d), F.when(even, _text(whole, name)).otherwise(whole), F.when(even, other).otherwise(name)), "imp", "V2")
+    return out.select("file_name", "receiver", "date", "amount", "beneficiary", "estado", F.col("pages_scanned").cast("long").alias("pages_scanned"))
+
+
+_SHAPED = _UUID.format(id="o_orderkey", name="'app|V2|f' || o_orderkey || '.pdf'", of="orders")
+
+
+@query(f"""WITH i AS ({_SHAPED}) SELECT i.id AS k, record_id AS id, CASE WHEN o_orderkey % 5 > 0 THEN 'TESTUS33' END AS receiver, printf('%.2f', o_totalprice) AS amount,
+  'C' || o_custkey || CASE WHEN o_orderkey % 5 > 0 THEN ' TESTUS33' ELSE '' END AS shown, CASE WHEN o_orderkey % 5 > 0 THEN 'Completo' ELSE 'Incompleto' END AS estado FROM i JOIN orders ON o_orderkey = i.id""")
+def d_shape_records(spark: SparkSession, d: str) -> DataFrame:
+    """Extracted fields as final records."""
+    k = F.col("o_orderkey")
+    found = v.table(spark, d, "orders").select(
+        F.concat(F.lit("f"), k.cast("string"), F.lit(".pdf")).alias("file_name"), F.when(k % 5 > 0, "TESTUS33").alias("receiver"), F.date_format("o_orderdate", "yyyy-MM-dd").alias("date"),
+        F.format_string("%.2f", F.col("o_totalprice")).alias("amount"), F.concat(F.lit("C"), F.col("o_custkey").cast("string")).alias("beneficiary"),
+    )
+    out = records.shape_records(found, "V2")
+    number = F.regexp_extract("`Nombre archivo`", r"(\d+)", 1).cast("long")
+    return out.select(number.alias("k"), "id", F.col("Receiver").alias("receiver"), F.col("Amount").alias("amount"), F.col("`Nombre personalizado`").alias("shown"), F.col("Estado").alias("estado"))
+
+
 @query("""WITH f AS (SELECT conv_id, turn, nullif(regexp_extract(text, '([a-z]+an) ', 1), '') AS a, nullif(regexp_extract(text, '([a-z]+)\\?', 1), '') AS b,
   CASE WHEN role = 'assistant' THEN md5(text) END AS c FROM conversations),
 g AS (SELECT conv_id, arg_min(a, turn) FILTER (a IS NOT NULL) AS a, arg_min(b, turn) FILTER (b IS NOT NULL) AS b, arg_min(c, turn) FILTER (c IS NOT NULL) AS c,
@@ -541,6 +585,32 @@ def f_template_lineage(spark: SparkSession, d: str) -> DataFrame:
     return records.lineage(r, records.template_rows(r, known), known)
 
 
+@query(f"""{_TEMPLATE} SELECT '000' AS account, Proveedor AS provider, CAST(NULL AS VARCHAR) AS country, name AS shown FROM t WHERE name NOT IN (SELECT name FROM known)""")
+def a_template_columns(spark: SparkSession, d: str) -> DataFrame:
+    """The columns of the upload."""
+    rows = e_template_anti(spark, d).select("Proveedor", F.lit(None).cast("string").alias("Pais"), F.lit("x").alias("Ciudad"), F.col("name").alias("Nombre personalizado"))
+    out = records.template_columns(rows, "000")
+    return out.select(F.col("`Cuenta compensación`").alias("account"), F.col("`Nombre / Razón social`").alias("provider"), F.col("`País`").alias("country"), F.col("`Nombre personalizado`").alias("shown"))
+
+
+@query(f"{_HALVES} SELECT id, Amount, 'Incompleto' AS Estado FROM new UNION ALL SELECT id, Amount, 'Completo' FROM old WHERE NOT EXISTS (SELECT 1 FROM new WHERE new.id IS NOT DISTINCT FROM old.id)")
+def e_upsert(spark: SparkSession, d: str) -> DataFrame:
+    """Rows of new extractions replace those of their id."""
+    return records.upsert(*_halves(spark, d)).select("id", "Amount", "Estado")
+
+
+@query("""SELECT o_orderkey AS id, 'n' || o_custkey AS new FROM orders WHERE o_orderkey % 3 = 0 UNION ALL SELECT o_orderkey, CASE WHEN o_orderkey % 3 = 1 THEN 'old' END FROM orders WHERE o_orderkey % 3 > 0""")
+def a_patch(spark: SparkSession, d: str) -> DataFrame:
+    """New values of one column by key; null ones change nothing."""
+    from ledgerloom.sources.sinks import patch
+
+    k = F.col("o_orderkey")
+    o = v.table(spark, d, "orders")
+    rows = o.select(k.alias("id"), F.when(k % 3 < 2, "old").alias("new"))
+    updates = o.where(k % 3 < 2).select(k.alias("id"), F.when(k % 3 == 0, F.concat(F.lit("n"), F.col("o_custkey").cast("string"))).alias("new"))
+    return patch(rows, updates, "id", "new")
+
+
 _MANIFEST = """WITH m AS (SELECT doc_id, md5(text) AS content_md5, CASE doc_id % 5 WHEN 0 THEN 'Error' WHEN 1 THEN NULL ELSE 'Completo' END AS estado FROM documents)"""
 
 
