@@ -147,12 +147,19 @@ def text_bytes(text: str | Column) -> Column:
     return F.coalesce((F.col(text) if isinstance(text, str) else text).cast("binary"), F.lit(b""))
 
 
+def _bytes(size: str) -> float:
+    """Of a size as Spark writes it, such as 64m or 67108864b; no limit if it is none."""
+    digits, unit = size.rstrip("bB ").rstrip("kmgtKMGT"), size.rstrip("bB ")[-1:].lower()
+    n = int(digits or -1) << {"k": 10, "m": 20, "g": 30, "t": 40}.get(unit, 0)
+    return n if n > 0 else float("inf")
+
+
 def bounded_batches(spark: SparkSession, most: str = "4m") -> None:
     """Keep Arrow batches to a few MB whatever the length of the texts. Plans run later than they are made, so this
     holds for the session; what the caller has set lower stays."""
-    bytes_, rows = "spark.sql.execution.arrow.maxBytesPerBatch", "spark.sql.execution.arrow.maxRecordsPerBatch"
-    if spark.conf.get(bytes_, None) != most:
-        spark.conf.set(bytes_, most)
+    size, rows = "spark.sql.execution.arrow.maxBytesPerBatch", "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if _bytes(spark.conf.get(size, "-1")) > _bytes(most):
+        spark.conf.set(size, most)
     if not 0 < int(spark.conf.get(rows)) <= 4096:
         spark.conf.set(rows, "4096")
 

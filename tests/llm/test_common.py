@@ -57,3 +57,16 @@ def test_shared_folder():
     assert common.shared_dir(session("spark://x", "/shared/")) == "/shared"
     with pytest.raises(ValueError, match="checkpoint"):
         common.shared_dir(session("spark://x", None))
+
+
+def test_batches(spark):
+    """Sizes of batches are lowered, never raised."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    old = spark.conf.get(key)
+    try:
+        for before, after in (("64m", "4m"), ("1m", "1m"), ("67108864", "4m"), ("2097152b", "2097152b"), ("4m", "4m")):
+            spark.conf.set(key, before)
+            common.bounded_batches(spark)
+            assert spark.conf.get(key) == after
+    finally:
+        spark.conf.set(key, old)
