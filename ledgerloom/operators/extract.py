@@ -39,10 +39,13 @@ def first_line(ls: Column, f: Callable[[Column], Column]) -> Column:
 
 
 def behind(text: Column, label: str, ends: str = ":;", whole: bool = True) -> Column:
-    """What follows each label and the sign that ends it, without the spaces between."""
+    """What follows each label and the sign that ends it, without the spaces between; null or empty without the label."""
     edge = r"\b" if whole else ""
     words = edge + label.replace(" ", r"\s+") + edge
-    return F.slice(F.split(text, rx(rf"(?i){words}\s*[{ends}]\s*")), 2, 1000)
+    pieces = F.slice(F.split(text, rx(rf"(?i){words}\s*[{ends}]\s*")), 2, 1000)
+    # splitting compiles its pattern for each text, so those without the label are left out before
+    last = label.rpartition(" ")[2].lower()
+    return F.when(F.lower(text).contains(last), pieces) if last.isalpha() else pieces
 
 
 def windows(ls: Column, anchor: str, before: int = 1, length: int = WINDOW) -> Column:
