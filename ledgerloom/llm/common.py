@@ -158,7 +158,7 @@ def bounded_batches(spark: SparkSession, most: str = "4m") -> None:
     """Keep Arrow batches to a few MB whatever the length of the texts. Plans run later than they are made, so this
     holds for the session; what the caller has set lower stays."""
     size, rows = "spark.sql.execution.arrow.maxBytesPerBatch", "spark.sql.execution.arrow.maxRecordsPerBatch"
-    if _bytes(spark.conf.get(size, "-1")) > _bytes(most):
+    if _bytes(spark.conf.get(size)) > _bytes(most):
         spark.conf.set(size, most)
     if not 0 < int(spark.conf.get(rows)) <= 4096:
         spark.conf.set(rows, "4096")

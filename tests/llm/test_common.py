@@ -64,6 +64,9 @@ def test_batches(spark):
     key = "spark.sql.execution.arrow.maxBytesPerBatch"
     old = spark.conf.get(key)
     try:
+        spark.conf.unset(key)
+        common.bounded_batches(spark)
+        assert spark.conf.get(key) == "4m"
         for before, after in (("64m", "4m"), ("1m", "1m"), ("67108864", "4m"), ("2097152b", "2097152b"), ("4m", "4m")):
             spark.conf.set(key, before)
             common.bounded_batches(spark)
