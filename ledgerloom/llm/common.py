@@ -12,6 +12,7 @@ from typing import NamedTuple
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -142,6 +143,43 @@ def join_hot(rows: DataFrame, groups: DataFrame, keys: Sequence[str], spread: st
     return a.join(b.hint("merge"), [*keys, _SALT], how).drop(_SALT)
 
 
+#: A key is heavy from this share of all rows on, so there are no more heavy keys than 1 / HEAVY, whatever the input.
+HEAVY = 1 / 1000
+
+
+def join_heavy(rows: DataFrame, lookup: DataFrame, key: str, spread: str | Sequence[str], salts: int = SALTS) -> DataFrame:
+    """rows with the columns of lookup, a row a key at most, null where it has none; a null key has none.
+
+    Rows of heavy keys are dealt to several tasks by a hash of the columns spread, and their rows of lookup repeated
+    for each. Only the heavy keys are broadcast, 1,000 at most; all else goes by key, at every size alike."""
+    spread = [spread] if isinstance(spread, str) else spread
+    sizes = rows.groupBy(F.col(f"`{key}`").alias("\x00key")).agg(F.count("*").alias("\x00n"))
+    total = rows.agg(F.count("*")).scalar()
+    heavy = F.broadcast(sizes.where(F.col("\x00n") >= total * F.lit(HEAVY)).select("\x00key", F.lit(True).alias(_HOT)))
+    zero = F.lit(0).cast("long")
+    salt = F.pmod(F.xxhash64(F.lit(7), *[F.col(f"`{c}`") for c in spread]), F.lit(salts))
+    at = lambda df: df.join(heavy, F.col(f"`{key}`").eqNullSafe(F.col("\x00key")), "left").drop("\x00key")
+    a = at(rows).withColumn(_SALT, F.when(F.col(_HOT), salt).otherwise(zero)).drop(_HOT)
+    every = F.when(F.col(_HOT), F.sequence(zero, F.lit(salts - 1).cast("long"))).otherwise(F.array(zero))
+    b = at(lookup).withColumn(_SALT, F.explode(every)).drop(_HOT)
+    return a.join(b.hint("merge"), [key, _SALT], "left").drop(_SALT)
+
+
+def ranked(df: DataFrame, order: Sequence[Column], name: str) -> DataFrame:
+    """df and each row's place, from 1, in a total order, by a distributed sort: rows are dealt to ranges and sorted in
+    them, and a row's place is its place in its range behind the rows of the ranges before.
+
+    The sorted rows are written to the shared folder, so that ranges can't change between the steps. A row a range goes
+    through one task; there are no more ranges than shuffle partitions."""
+    sorted_ = df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("\x00at", F.monotonically_increasing_id())
+    sorted_ = stash(sorted_, "sorted").withColumn("\x00range", F.shiftrightunsigned("\x00at", 33))
+    sizes = sorted_.groupBy("\x00range").agg(F.count("*").alias("\x00n"))
+    before = F.sum("\x00n").over(W.orderBy("\x00range").rowsBetween(W.unboundedPreceding, -1))
+    starts = sizes.select("\x00range", F.coalesce(before, F.lit(0)).alias("\x00before"))
+    place = F.col("\x00before") + F.col("\x00at").bitwiseAND(F.lit((1 << 33) - 1)) + 1
+    return sorted_.join(F.broadcast(starts), "\x00range").select(*[F.col(f"`{c}`") for c in df.columns], place.alias(name))
+
+
 def text_bytes(text: str | Column) -> Column:
     """A text as its UTF-8 bytes; null counts as empty."""
     return F.coalesce((F.col(text) if isinstance(text, str) else text).cast("binary"), F.lit(b""))

@@ -1,6 +1,7 @@
-"""The ten queries end to end on small odd tables: columns, types, one row a document or page, nothing on empty ones."""
+"""The queries end to end on small odd tables: columns, types, one row a document or page, nothing on empty ones."""
 
 import pytest
+from pyspark.sql import functions as F
 
 pytest.importorskip("public_tokenizers")
 from ledgerloom.llm.queries import QUERIES  # noqa: E402
@@ -24,6 +25,9 @@ COLUMNS = {
     "op8_decontamination": {"doc_id": "bigint", "n_words": "bigint", "n_hit": "bigint", "n_items": "bigint", "items_sha256": "string", "contaminated": "boolean"},
     "op9_exact_dedup": {"doc_id": "bigint", "keep_id": "bigint", "group_size": "bigint", "kept": "boolean", "text_sha256": "string"},
     "op10_toxicity": {"doc_id": "bigint", "held_out": "boolean", "score": "double", "predicted": "int"},
+    "op11_peak_concurrency": {"nation_id": "int", "from_s": "bigint", "to_s": "bigint", "n_open": "bigint", "open_cents": "bigint", "high_open": "bigint", "is_peak": "boolean"},
+    "op12_mixing": {"doc_id": "bigint", "size": "bigint", "source_size": "bigint", "target": "double", "taken": "bigint"},
+    "op13_importance": {"doc_id": "bigint", "n_features": "bigint", "weight": "bigint", "score": "bigint", "rank": "bigint"},
 }
 
 
@@ -34,6 +38,12 @@ def tables(spark, folder, empty):
     cut(spark.createDataFrame([(i, t, "en", "s", 1, *more) for i, t in TEXTS], f"doc_id long, text string, lang string, source string, n_chars long, {clash}")).write.parquet(f"{folder}/documents.parquet")
     cut(spark.createDataFrame([(*r, *more) for r in PAGES], f"page_id long, url string, html string, {clash}")).write.parquet(f"{folder}/pages.parquet")
     cut(spark.createDataFrame([("a", " ".join(f"B{k}" for k in range(14)), 0), (None, None, 1), ("c", "", 2)], "item_id string, text string, doc_id long")).write.parquet(f"{folder}/benchmark.parquet")
+    sales = [(1, 1, 5.0, "2024-01-01 00:00:00.5"), (1, 1, 5.0, "2024-01-01 00:00:00.5"), (2, None, None, None), (None, 7, None, "2024-01-03 00:00:00"), (3, 2, 1e300, "1969-12-31 23:59:59")]
+    lines = [(1, "2024-01-02 00:00:00"), (1, None), (3, "1960-01-01 00:00:00"), (None, None)]
+    for name, rows, kinds, at in (("sales", sales, "sale_id long, client_id long, total double, at string", "sold_at"), ("sale_lines", lines, "sale_id long, at string", "shipped_at")):
+        df = spark.createDataFrame([(*r, *more) for r in rows], f"{kinds}, {clash}").withColumn(at, F.col("at").cast("timestamp_ntz"))
+        cut(df).write.parquet(f"{folder}/{name}.parquet")
+    cut(spark.createDataFrame([(1, None, *more), (1, 4, *more), (2, 5, *more), (None, 6, *more)], f"client_id long, nation_id int, {clash}")).write.parquet(f"{folder}/clients.parquet")
     cut(spark.createDataFrame([(i, k % 2, "x") for k, (i, _) in enumerate(TEXTS)] + [(4, None, "x")], "doc_id long, toxic int, text string")).write.parquet(f"{folder}/labels.parquet")
 
 
@@ -53,11 +63,11 @@ def test_query(spark, folder, name):
     rows = df.collect()
     if empty:
         assert rows == []
-    elif name in ("op6_line_dedup", "op7_substring_dedup"):
+    elif name in ("op6_line_dedup", "op7_substring_dedup", "op11_peak_concurrency"):
         assert rows
     else:
         assert len(rows) == (len(PAGES) if name in ("op1_url_filters", "op2_warc_revisits") else len(TEXTS))
-        assert all(r["score"] is not None and 0 <= r["score"] <= 1 for r in rows if "score" in types)
+        assert all(r["score"] is not None and 0 <= r["score"] <= 1 for r in rows if types.get("score") == "double")
 
 
 def test_values(spark, folder):
@@ -74,4 +84,7 @@ def test_values(spark, folder):
     assert (hit[11].n_hit, hit[11].n_items, hit[11].contaminated) == (14, 1, True) and not hit[4].contaminated
     scan = by("op5_license_scan", "doc_id")
     assert (scan[10].base_labels, scan[10].first_word, scan[1].first_word, scan[1].labels) == ("mit", 2, None, "")
+    sales = sorted(tuple(r) for r in QUERIES["op11_peak_concurrency"](spark, path).collect() if r.nation_id in (4, -1))
+    at, day = 1704067200, 86400
+    assert sales == [(-1, at + 2 * day, None, 1, 0, 1, True), (4, at, at + 2 * day, 2, 1000, 2, True), (4, at + 2 * day, None, 0, 0, 2, False)]
     assert set(by("op6_line_dedup", "doc_id")) >= {8} and set(by("op7_substring_dedup", "doc_id")) >= {5, 6}
