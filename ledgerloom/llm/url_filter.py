@@ -37,19 +37,23 @@ class Rule:
     rank: int = 0
 
 
+#: Rules run on `s://host/path`; a scheme can't reach beyond the url's own host, though paths may hold other urls.
+SCHEME = "^[^:/?#]*://"
+
+
 def place_rule(host: str, path: str, verdict: str) -> Rule:
     """A rule for a host with its subdomains and for the paths that start with path."""
     whole = TOKEN.findall(host.lower()) + [m[0] for m in TOKEN.finditer(path) if m.end() < len(path)]
-    return Rule(host + path, verdict, rf"^.*?://(?:[^/?#]*\.)?(?-i:{re.escape(host)}){re.escape(path)}", tuple(whole), 1)
+    return Rule(host + path, verdict, rf"{SCHEME}(?:[^/?#]*\.)?(?-i:{re.escape(host)}){re.escape(path)}", tuple(whole), 1)
 
 
 def label_rule(word: str) -> Rule:
     """Blocks hosts with the word as a whole part of a label, such as word-deals.example."""
-    return Rule(f"label:{word}", "block", rf"^.*?://(?:[^/?#]*[.-])?{word}(?=[.-])[^/?#]*", (word,))
+    return Rule(f"label:{word}", "block", rf"{SCHEME}(?:[^/?#]*[.-])?{word}(?=[.-])[^/?#]*", (word,))
 
 
 def path_rule(word: str) -> Rule:
-    return Rule(f"path:{word}", "block", rf"^.*?://[^/?#]*/(?:[^?#]*/)?{word}(?=[/?#]|$)", (word,))
+    return Rule(f"path:{word}", "block", rf"{SCHEME}[^/?#]*/(?:[^?#]*/)?{word}(?=[/?#]|\Z)", (word,))
 
 
 #: The rules of the contract.

@@ -5,10 +5,14 @@ its validators agree with the response's (entity tags by weak comparison, else t
 two make one resolved record: the response's payload, and its headers with those of the revisit that a "not modified"
 answer may update.
 
-The as-of join has two levels, so that a url with any share of all records gathers in no task: records are dealt by
-url and stretch of time (a day, or a minute on days on which the url has HOT records or more), each stretch brings
-forward its latest response, and only these (one a stretch) are carried on in order of time. Payloads don't move; they
-are found by the response's record_id.
+The as-of join has levels, so that a url with any share of all records gathers in no task: records are dealt by url and
+stretch of time (a day, a minute on days on which the url has HOT records or more, a second in minutes that have as many),
+each stretch brings forward its latest response, and only these are carried on in order of time: the stretches of a day
+within it, and days from one to the next. Payloads don't move; they are found by the response's record_id.
+
+Names of headers have no case: they are lower-cased, and of names that are then equal the last one counts. Urls are
+compared without what doesn't tell resources apart: escapes of letters, digits and -._~ are decoded, those of others
+written in upper case, and segments . and .. resolved.
 
 Defined cases: a record without url or time is resolved to nothing, and joins nothing; at equal times a response is
 not earlier; of responses of one time the largest record_id counts, and of those that share that as well the one whose
@@ -30,15 +34,38 @@ from ledgerloom.llm.common import bitmap, table, tag
 PERMITTED = ("cache-control", "content-location", "date", "etag", "expires", "vary")
 
 
+def _unescaped(text: Column) -> Column:
+    """Escapes of unreserved characters decoded, all others in upper case; a % that begins no escape stays."""
+    code = lambda x: F.conv(F.substring(x, 1, 2), 16, 10).cast("int")
+    plain = lambda x: F.char(code(x)).rlike(r"^[A-Za-z0-9._~-]$")
+    one = lambda x: F.when(plain(x), F.concat(F.char(code(x)), F.substring(x, 3, 1 << 30))).otherwise(F.concat(F.lit("%"), F.upper(F.substring(x, 1, 2)), F.substring(x, 3, 1 << 30)))
+    parts = F.transform(F.split(text, "%"), lambda x, i: F.when(i == 0, x).when(x.rlike("^[0-9A-Fa-f]{2}"), one(x)).otherwise(F.concat(F.lit("%"), x)))
+    return F.when(F.contains(text, F.lit("%")), F.array_join(parts, "")).otherwise(text)
+
+
+def _resolved(path: Column) -> Column:
+    """Without segments . and .., each of which takes the one before with it."""
+    step = lambda acc, x: F.when(x == ".", acc).when(x == "..", F.slice(acc, 1, F.greatest(F.size(acc) - 1, F.lit(1)))).otherwise(F.concat(acc, F.array(x)))
+    return F.when(path.rlike(r"/\.{1,2}(/|$)"), F.array_join(F.aggregate(F.split(path, "/"), F.array().cast("array<string>"), step), "/")).otherwise(path)
+
+
+def folded(headers: Column) -> Column:
+    """Entries with names in lower case, the last one of each name, in order."""
+    low = F.transform(F.map_entries(headers), lambda e: F.struct(F.lower(e["key"]).alias("key"), e["value"].alias("value")))
+    later = lambda e, i: F.exists(F.slice(low, i + 2, F.size(low)), lambda o: o["key"] == e["key"])
+    return F.map_from_entries(F.filter(low, lambda e, i: ~later(e, i)))
+
+
 def canonical_url(url: str | Column) -> Column:
-    """Without scheme, www., default port, fragment, tracking parameters and a last slash; A-Z of the host folded."""
+    """Without scheme, www., default port, fragment, tracking parameters and a last slash; A-Z of the host folded, needless
+    escapes decoded, segments . and .. resolved."""
     u = F.col(url) if isinstance(url, str) else url
     u = F.regexp_replace(u, r"^[A-Za-z][A-Za-z0-9+.-]*://", "")
     u = F.regexp_replace(u, "#.*$", "")
     host = F.lower(F.regexp_extract(u, r"^([^/?]*)", 1))
     host = F.regexp_replace(F.regexp_replace(host, r"^(www\.)+", ""), r":(80|443)$", "")
-    path = F.regexp_extract(u, r"^[^/?]*([^?]*)", 1)
-    query = F.regexp_extract(u, r"^[^?]*\??(.*)$", 1)
+    path = _resolved(_unescaped(F.regexp_extract(u, r"^[^/?]*([^?]*)", 1)))
+    query = _unescaped(F.regexp_extract(u, r"^[^?]*\??(.*)$", 1))
     kept = F.array_sort(F.filter(F.split(query, "&"), lambda x: (x != "") & ~x.rlike("^(utm_[a-z]+|ref)=")))
     return F.concat(host, F.regexp_replace(path, "/+$", ""), F.when(F.size(kept) > 0, F.concat(F.lit("?"), F.array_join(kept, "&"))).otherwise(""))
 
@@ -50,21 +77,26 @@ def _opaque(tag: Column) -> Column:
 def resolve_revisits(records: DataFrame) -> DataFrame:
     """Of records (record_id, kind `response` or `revisit`, url, ts, headers map): a row for each revisit, with
     canonical_url, response_id, status and the merged headers (null unless the status is `resolved`)."""
-    r = records.select("record_id", "kind", "ts", canonical_url("url").alias("canonical_url"), "headers")
+    r = records.select("record_id", "kind", "ts", canonical_url("url").alias("canonical_url"), folded(F.col("headers")).alias("headers"))
     placed = r.where("canonical_url IS NOT NULL AND ts IS NOT NULL").withColumn("day", F.to_date("ts"))
-    busy = placed.groupBy("canonical_url", "day").agg(F.count("*").alias("n")).where(F.col("n") >= common.HOT)
+    per_minute = placed.groupBy("canonical_url", "day", F.date_trunc("minute", "ts").alias("minute")).agg(F.count("*").alias("n"))
+    busy = per_minute.groupBy("canonical_url", "day").agg(F.sum("n").alias("n")).where(F.col("n") >= common.HOT)
+    full = per_minute.where(F.col("n") >= common.HOT)
     placed = tag(placed, bitmap(busy, ["canonical_url", "day"], common.HOT_BITS), ["canonical_url", "day"], "busy")
-    placed = placed.withColumn("stretch", F.when(F.col("busy"), F.date_trunc("minute", "ts")).otherwise(F.date_trunc("day", "ts")))
+    placed = tag(placed.withColumn("minute", F.date_trunc("minute", "ts")), bitmap(full, ["canonical_url", "minute"], common.HOT_BITS), ["canonical_url", "minute"], "full")
+    placed = placed.withColumn("stretch", F.when(F.col("busy") & F.col("full"), F.date_trunc("second", "ts")).when(F.col("busy"), F.col("minute")).otherwise(F.date_trunc("day", "ts")))
     response = F.struct("ts", "record_id", F.array_sort(F.map_entries("headers")).alias("entries"))
     placed = placed.withColumn("response", F.when(F.col("kind") == "response", response))
     stretch = W.partitionBy("canonical_url", "stretch")
     # at one time, revisits come before responses, and responses in order of their ids
     inside = stretch.orderBy("ts", F.col("response").isNotNull(), "response").rowsBetween(W.unboundedPreceding, -1)
     latest = F.last("response", ignorenulls=True).over(inside)
-    tops = placed.groupBy("canonical_url", "stretch").agg(F.max(F.struct("response.ts", "response.record_id")).alias("top"), F.max(F.col("response").isNotNull()).alias("any"))
+    tops = placed.groupBy("canonical_url", "day", "stretch").agg(F.max(F.struct("response.ts", "response.record_id")).alias("top"), F.max(F.col("response").isNotNull()).alias("any"))
     tops = tops.withColumn("top", F.when(F.col("any"), F.col("top")))
-    earlier = W.partitionBy("canonical_url").orderBy("stretch").rowsBetween(W.unboundedPreceding, -1)
-    carried = tops.select("canonical_url", "stretch", F.last("top", ignorenulls=True).over(earlier).alias("carried")).where("carried IS NOT NULL")
+    before = lambda w: F.last("top", ignorenulls=True).over(w.rowsBetween(W.unboundedPreceding, -1))
+    days = tops.groupBy("canonical_url", "day").agg(F.max("top").alias("top")).withColumn("yesterday", before(W.partitionBy("canonical_url").orderBy("day"))).drop("top")
+    today = tops.withColumn("today", before(W.partitionBy("canonical_url", "day").orderBy("stretch"))).join(days, ["canonical_url", "day"])
+    carried = today.select("canonical_url", "stretch", F.coalesce("today", "yesterday").alias("carried")).where("carried IS NOT NULL")
     stored = placed.where("response IS NOT NULL").select(F.col("canonical_url").alias("u"), F.col("record_id").alias("i"), F.col("ts").alias("t"), F.col("response.entries").alias("entries"))
     carried = carried.join(
         stored, (F.col("canonical_url") == F.col("u")) & F.col("carried.record_id").eqNullSafe(F.col("i")) & (F.col("carried.ts") == F.col("t"))

@@ -3,6 +3,7 @@
 import collections
 import datetime
 import hashlib
+import json
 import math
 import random
 
@@ -286,6 +287,42 @@ def test_equal_responses(spark):
     assert got == {(2, 1, "resolved"): 2, (3, 1, "resolved"): 2, (5, 4, "no-validator"): 2}
 
 
+def test_header_case(spark):
+    """Names of headers have no case; of names that are equal then, the last one counts."""
+    rows = [
+        (1, "response", "http://a.org", datetime.datetime(2025, 1, 1), {"ETag": '"1"', "Content-Length": "9", "Date": "d1", "Server": "s"}),
+        (2, "revisit", "http://a.org", datetime.datetime(2025, 1, 2), {"ETAG": '"0"', "Date": "d2", "etag": 'W/"1"', "Vary": "x", "X-Own": "y"}),
+        (3, "revisit", "http://a.org", datetime.datetime(2025, 1, 3), {"LAST-MODIFIED": "m"}),
+    ]
+    made = spark.createDataFrame([(*r[:4], json.dumps(r[4])) for r in rows], "record_id long, kind string, url string, ts timestamp, h string")
+    df = made.withColumn("headers", F.from_json("h", "map<string,string>"))  # in order
+    got = {r.record_id: (r.status, r.headers) for r in warc.resolve_revisits(df).collect()}
+    assert got[2] == ("resolved", {"etag": 'W/"1"', "content-length": "9", "date": "d2", "server": "s", "vary": "x"})
+    assert got[3] == ("no-validator", None)
+
+
+def test_canonical_urls(spark):
+    urls = {
+        "http://www.A.org/x/?b=2&a=1#f": "a.org/x?a=1&b=2", "/A%7Eb": "/A~b", "h.org/%41%2f%zz%e9%": "h.org/A%2F%zz%E9%", "http://h.org/a/./b/../c": "h.org/a/c",
+        "http://h.org/../../a": "h.org/a", "http://h.org/a/..": "h.org", "http://h.org/a%2E%2e/b": "h.org/a../b", "http://h.org/x/%2e%2E/b": "h.org/b", "http://h.org/..a/.b": "h.org/..a/.b",
+        "http://h.org/?q=%61%26": "h.org?q=a%26", "": "", None: None,
+    }
+    df = spark.createDataFrame([(k, u) for k, u in enumerate(urls)], "k int, u string")
+    assert [r.c for r in df.select("k", warc.canonical_url("u").alias("c")).orderBy("k").collect()] == list(urls.values())
+
+
+@pytest.mark.parametrize("hot", [500, 60, 20, 2])
+def test_hot_minute(spark, monkeypatch, hot):
+    """Days, minutes and seconds that hold many records of one url, against a plain as-of search."""
+    monkeypatch.setattr(common, "HOT", hot)
+    rng, start = random.Random(hot), datetime.datetime(2025, 1, 1, 23, 58)
+    at = [start + datetime.timedelta(seconds=rng.choice([rng.randrange(40), 20, 61, rng.randrange(200_000)]), microseconds=rng.randrange(3)) for _ in range(600)]
+    rows = [(k, rng.choice(["response", "revisit", "revisit"]), rng.choice(["http://h.org/", "http://h.org/", "http://k.org/"]), t, {"etag": "e"}) for k, t in enumerate(at)]
+    df = spark.createDataFrame(rows, "record_id long, kind string, url string, ts timestamp, headers map<string,string>")
+    want = {r[0]: max(((o[3], o[0]) for o in rows if o[1] == "response" and o[2] == r[2] and o[3] < r[3]), default=(None, None))[1] for r in rows if r[1] == "revisit"}
+    assert {r.record_id: r.response_id for r in warc.resolve_revisits(df).collect()} == want
+
+
 @pytest.mark.parametrize("hot", [500, 2])
 def test_hot_url(spark, monkeypatch, hot):
     """One url with most records, over many days."""

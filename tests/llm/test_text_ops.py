@@ -36,6 +36,13 @@ def test_urls(spark):
         "http://x.org": ("x.org", "", None, "allow"),
         "http://adult-x.net/": ("adult-x.net", "/", None, "block"),
         "http://a.net/b/casino": ("a.net", "/b/casino", None, "block"),
+        "http://archive.net/web/http://example.org/es/a": ("archive.net", "/web/http://example.org/es/a", None, "allow"),
+        "http://a.net/x://org/": ("a.net", "/x://org/", None, "allow"),
+        "https://t.net/go/https://foo.com/de/x": ("t.net", "/go/https://foo.com/de/x", None, "allow"),
+        "http://r.net/?u=http://example.org/es/": ("r.net", "/", None, "allow"),
+        "http://org/x://b.com/de/": ("org", "/x://b.com/de/", "org/", "allow"),
+        "://://org/": (":", "//org/", None, "allow"),
+        "http://a.net/b/casino\n": ("a.net", "/b/casino\n", None, "allow"),
         "no scheme": ("", "", None, "allow"),
         "": ("", "", None, "allow"),
         None: ("", "", None, "allow"),
@@ -53,6 +60,33 @@ def test_urls(spark):
     assert {t for t, rules in index.by_token.items() for r, _ in rules if r.name.startswith("example.org/e")} == {"org", "en"}
 
 
+def judged(url):
+    """The contract in plain Python: host, path, and the rule of the base rules."""
+    if url is None or "://" not in url:
+        return "", "", None
+    rest = url.split("://", 1)[1]
+    host = re.split("[/?#]", rest, maxsplit=1)[0]
+    path = re.split("[?#]", rest[len(host) :], maxsplit=1)[0]
+    host = "".join(c.lower() if "A" <= c <= "Z" else c for c in host)
+    rules = [("org", "/"), ("example.org", "/es/"), ("example.org", "/en/1"), ("com", "/fr/"), ("com", "/de/")]
+    fits = [h + p for h, p in rules if (host == h or host.endswith("." + h)) and path.startswith(p)]
+    return host, path, max(fits, key=len, default=None)
+
+
+def test_random_urls():
+    """Urls of parts that may stand anywhere, other urls among them."""
+    rng = random.Random(1)
+    parts = ["http", "://", ":", "/", "/", "//", "?", "#", ".", "org", "example.org", "EXAMPLE.ORG", "com", "example", "/es/", "/en/1", "/fr/", "/de/", "es", "x", "-", "@", "é", "İ", "%2F", "\n", " ", "u=", ":80"]
+    index = url_filter.RuleIndex(url_filter.BASE_RULES, {})
+    held = 0
+    for k in range(10_000):
+        url = rng.choice(["http://", "", "http://example.org", "s://a.com"]) + "".join(rng.choice(parts) for _ in range(rng.randrange(9)))
+        host, path, rule = index.best(url)
+        assert (host, path, rule and rule.name) == judged(url), url
+        held += rule is not None
+    assert held > 500
+
+
 def tiktoken_encoding():
     import tiktoken
 
