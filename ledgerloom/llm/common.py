@@ -75,9 +75,10 @@ def delete(spark: SparkSession, path: str) -> None:
     p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
 
 
-#: Bits of a bitmap of ids, and of one of hot keys: a 64th of them in words of 16 bytes is all that is broadcast of any
-#: set of keys.
-BITS, HOT_BITS = 1 << 22, 1 << 18
+#: Fewest and most bits of a bitmap of ids, BITS_PER_ID for each in between, and bits of one of hot keys: a 64th of them in
+#: words of 16 bytes is all that is broadcast of any set of keys, 16 MB at most. Above the most, ever more rows that the
+#: bitmap needn't hold are held as well and take the exact way behind it, up to all rows: results don't change.
+BITS, MOST_BITS, BITS_PER_ID, HOT_BITS = 1 << 22, 1 << 26, 16, 1 << 18
 #: Rows of a group from which on they are dealt to SALTS tasks.
 HOT, SALTS = 500, 64
 _WORD, _BITS, _SALT, _HOT = "\x00word", "\x00bits", "\x00salt", "\x00hot"
@@ -94,6 +95,11 @@ def _slot(df: DataFrame, keys: Sequence[str], n_bits: int) -> Column:
     return F.pmod(F.xxhash64(*map(col, keys)), F.lit(n_bits))
 
 
+def bits_for(keys: DataFrame) -> int:
+    """Bits of a bitmap of the rows of a table that has been written, so that it holds few others."""
+    return max(BITS, min(MOST_BITS, 1 << (BITS_PER_ID * keys.count()).bit_length()))
+
+
 def bitmap(df: DataFrame, keys: Sequence[str], n_bits: int | None = None) -> Bitmap:
     """The bits of the keys' hashes, as words of a bounded number; there is one at least, so plans don't depend on
     whether there are any keys."""
@@ -114,14 +120,15 @@ def tag(df: DataFrame, bits: Bitmap, keys: Sequence[str], name: str) -> DataFram
 def without_ids(docs: DataFrame, gone: DataFrame, id_col: str = "doc_id") -> DataFrame:
     """docs without the rows whose id is in gone, a table of one column: only rows that its bitmap holds move."""
     gone = stash(gone.toDF("\x00gone").distinct(), "gone")
-    tagged = tag(docs, bitmap(gone, ["\x00gone"]), [id_col], "\x00hit")
+    tagged = tag(docs, bitmap(gone, ["\x00gone"], bits_for(gone)), [id_col], "\x00hit")
     some = tagged.where(F.col("\x00hit")).join(gone, F.col(f"`{id_col}`") == F.col("\x00gone"), "left_anti")
     return tagged.where(~F.col("\x00hit")).union(some).drop("\x00hit")
 
 
 def only_ids(docs: DataFrame, ids: DataFrame, id_col: str = "doc_id") -> DataFrame:
     """The rows of docs whose id the bitmap of ids, a table of one column, holds: all that are in it, and few others."""
-    return tag(docs, bitmap(ids.toDF("\x00id"), ["\x00id"]), [id_col], "\x00hit").where(F.col("\x00hit")).drop("\x00hit")
+    ids = stash(ids.toDF("\x00id").distinct(), "ids")
+    return tag(docs, bitmap(ids, ["\x00id"], bits_for(ids)), [id_col], "\x00hit").where(F.col("\x00hit")).drop("\x00hit")
 
 
 def join_hot(rows: DataFrame, groups: DataFrame, keys: Sequence[str], spread: str | Sequence[str], how: str = "inner", sizes: DataFrame | None = None) -> DataFrame:
@@ -180,6 +187,13 @@ def ranked(df: DataFrame, order: Sequence[Column], name: str) -> DataFrame:
     return sorted_.join(F.broadcast(starts), "\x00range").select(*[F.col(f"`{c}`") for c in df.columns], place.alias(name))
 
 
+def long_id(docs: DataFrame, id_col: str = "doc_id") -> Column:
+    """The ids as long integers, from integers of any width; ids of other types are an error that says so."""
+    if not isinstance(docs.schema[id_col].dataType, T.IntegralType):
+        raise TypeError(f"{id_col} must be an integer, not {docs.schema[id_col].dataType.simpleString()}; ranked() numbers rows of any kind")
+    return F.col(f"`{id_col}`").cast("long").alias(id_col)
+
+
 def text_bytes(text: str | Column) -> Column:
     """A text as its UTF-8 bytes; null counts as empty."""
     return F.coalesce((F.col(text) if isinstance(text, str) else text).cast("binary"), F.lit(b""))

@@ -2,7 +2,7 @@
 
 Rows are narrowed by byte length, then by a hash of a prefix, then by a SHA-256 of the whole text; each level only
 looks at what the level before left in a group of two or more, and the counts are aggregated before they move. The
-groups that the first two levels leave travel to the scan that reads whole texts as a bitmap of a fixed size: a row
+groups that the first two levels leave travel to the scan that reads whole texts as a bitmap (sized by their number, up to a bound): a row
 that it doesn't hold has no equal; the few others that it holds by chance are hashed in vain, and change nothing.
 Texts never move, but for those that drop_exact_copies() has to look at again. Groups of any size are split.
 
@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.common import bitmap, join_hot, stash, tag
+from ledgerloom.llm.common import bitmap, bits_for, join_hot, stash, tag
 
 #: Characters of a text that the second level hashes.
 PREFIX_CHARS = 256
@@ -50,7 +50,8 @@ def exact_groups(
         F.xxhash64(F.substring(text, 1, prefix_chars)).alias("prefix_hash"),
         text.alias("whole"),
     )
-    tagged = tag(levels, bitmap(surviving_groups(docs, text_col, prefix_chars), _LEVELS), _LEVELS, "hit")
+    groups = stash(surviving_groups(docs, text_col, prefix_chars), "groups")
+    tagged = tag(levels, bitmap(groups, _LEVELS, bits_for(groups)), _LEVELS, "hit")
     sha = F.sha2(F.col("whole"), 256)
     rows = stash(tagged.select("id", "len", "hit", (sha if digest_all else F.when(F.col("hit"), sha)).alias("sha")), "digests")
     equal = (
@@ -88,7 +89,7 @@ def drop_exact_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
         .distinct(),
         "gone",
     )
-    bits = bitmap(gone.withColumnRenamed("\x00id", id_col), [id_col])
+    bits = bitmap(gone.withColumnRenamed("\x00id", id_col), [id_col], bits_for(gone))
     tagged = tag(docs, bits, [id_col], "\x00hit")
     some = tagged.where(F.col("\x00hit")).drop("\x00hit")
     same = F.col(id_col).eqNullSafe(F.col("\x00id")) & (F.sha2(F.coalesce(F.col(text_col), F.lit("")), 256) == F.col("\x00sha"))

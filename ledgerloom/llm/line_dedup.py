@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.common import bitmap, bounded_batches, claim, join_hot, stash, table, tag, text_bytes
+from ledgerloom.llm.common import bitmap, bits_for, bounded_batches, claim, join_hot, long_id, stash, table, tag, text_bytes
 
 #: Lines of a run that counts whatever its length, and words of one that counts whatever its lines.
 RUN, MIN_WORDS = 3, 50
@@ -107,7 +107,7 @@ def _selected(run: int, min_words: int):
 def repeated_runs(docs: DataFrame, run: int = RUN, min_words: int = MIN_WORDS) -> DataFrame:
     """(doc_id, text_no, start, stop, first_doc_id): runs of lines to delete, as places among lines that aren't blank."""
     bounded_batches(docs.sparkSession)
-    text = docs.select("doc_id", text_bytes("text").alias("text"), F.xxhash64("text").alias("text_no"))
+    text = docs.select(long_id(docs), text_bytes("text").alias("text"), F.xxhash64("text").alias("text_no"))
     marks = stash(text.mapInArrow(_selected(run, min_words), "doc_id long, text_no long, mark long, place long, lines long, around array<long>"), "marks")
     often = stash(marks.groupBy("mark").agg(F.count("*").alias("n")).where("n > 1"), "often")
     some = join_hot(marks, often, ["mark"], ["doc_id", "place"]).select("doc_id", "text_no", "mark", F.posexplode("around").alias("k", "window"), "place", "lines")
@@ -152,7 +152,7 @@ def without_repeats(docs: DataFrame, run: int = RUN, min_words: int = MIN_WORDS)
     runs = repeated_runs(docs, run, min_words).groupBy("doc_id", "text_no").agg(F.collect_list(F.struct("start", "stop")).alias("runs"), F.array_sort(F.collect_set("first_doc_id")).alias("first_doc_ids"))
     runs = stash(runs, "runs")
     own = docs.select(F.col("doc_id").cast("long").alias("d"), text_bytes("text").alias("text"), F.xxhash64("text").alias("t"))
-    own = tag(own, bitmap(runs, ["doc_id", "text_no"]), ["d", "t"], "hit").where("hit").drop("hit")
+    own = tag(own, bitmap(runs, ["doc_id", "text_no"], bits_for(runs)), ["d", "t"], "hit").where("hit").drop("hit")
     hit = own.join(runs, F.col("d").eqNullSafe(F.col("doc_id")) & (F.col("t") == F.col("text_no"))).select("doc_id", "text", "runs", "first_doc_ids")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

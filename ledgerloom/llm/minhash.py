@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.common import FOLD, bounded_batches, claim, join_hot, only_ids, stash, table, text_bytes, without_ids
+from ledgerloom.llm.common import FOLD, bounded_batches, claim, join_hot, long_id, only_ids, stash, table, text_bytes, without_ids
 from ledgerloom.llm.components import connected_components
 
 WORDS = 5
@@ -347,7 +347,7 @@ def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
     """(doc_id, n_shingles, component_id) of every row of (doc_id, text)."""
     bounded_batches(docs.sparkSession)
     lay = layout(percent)
-    docs = docs.select("doc_id", "text")
+    docs = docs.select(long_id(docs), "text")
     feats = stash(docs.select("doc_id", text_bytes("text").alias("text")).mapInArrow(_features(lay), "doc_id long, n_shingles long, digest binary, sig binary, bands array<long>"), "features")
     able = "doc_id IS NOT NULL AND n_shingles > 0"
     some = feats.where(able)

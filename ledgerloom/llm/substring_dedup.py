@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.common import bounded_batches, claim, join_hot, only_ids, stash, table, text_bytes
+from ledgerloom.llm.common import bounded_batches, claim, join_hot, long_id, only_ids, stash, table, text_bytes
 
 #: A chunk has 2 ** BITS bytes on average.
 BITS = 5
@@ -138,7 +138,7 @@ def later_spans(data: bytes, known: dict[int, int], doc: int, min_run: int) -> l
 def _candidates(docs: DataFrame, min_run: int) -> DataFrame:
     """(doc_id, text, known) of the texts that may lose something: known are digests that another document has first."""
     bounded_batches(docs.sparkSession)
-    text = docs.where("doc_id IS NOT NULL").select("doc_id", text_bytes("text").alias("text"))
+    text = docs.where("doc_id IS NOT NULL").select(long_id(docs), text_bytes("text").alias("text"))
     packed = stash(text.mapInArrow(_digests(min_run), "doc_id long, digests array<long>, again boolean").where("again OR size(digests) > 0"), "digests")
     digests = packed.select("doc_id", F.explode("digests").alias("digest"))
     first = digests.groupBy("digest").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last"), F.count("*").alias("n"))

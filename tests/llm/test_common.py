@@ -30,6 +30,7 @@ def test_join_hot(spark, monkeypatch, hot, bits, how):
 def test_ids(spark, monkeypatch, bits):
     """Rows go or stay by id, of any integer width; null ids stay."""
     monkeypatch.setattr(common, "BITS", bits)
+    monkeypatch.setattr(common, "MOST_BITS", bits)
     docs = spark.createDataFrame([(1, "a"), (1, "b"), (2, "c"), (None, "d"), (40, "e")], "doc_id int, `hit` string")
     gone = spark.createDataFrame([(1,), (40,), (41,), (None,)], "x long")
     assert sorted((r.doc_id or 0, r.hit) for r in common.without_ids(docs, gone).collect()) == [(0, "d"), (2, "c")]
@@ -37,6 +38,14 @@ def test_ids(spark, monkeypatch, bits):
     assert common.without_ids(docs, gone.limit(0)).count() == 5 and common.without_ids(docs.limit(0), gone).columns == docs.columns
 
 
+def test_bits_grow_with_the_ids(spark):
+    """A table of more ids has a larger bitmap, up to the bound, so that it holds few rows that it needn't."""
+    assert [common.bits_for(spark.range(n)) for n in (0, 10, 1 << 20)] == [common.BITS, common.BITS, 1 << 25]
+    assert common.bits_for(spark.range(1 << 24)) == common.MOST_BITS
+    some = common.tag(spark.range(2_000_000, 2_100_000).toDF("x"), common.bitmap(spark.range(1 << 19).toDF("x"), ["x"], common.bits_for(spark.range(1 << 19))), ["x"], "hit")
+    assert some.where("hit").count() < 100_000 * 0.07
+
+
 def test_scratch(spark):
     """Tables inside go with the scope around them, but those that it is to keep."""
     df = spark.range(3)

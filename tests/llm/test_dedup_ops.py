@@ -24,6 +24,7 @@ def docs_of(spark, rows, parts=3):
 def test_exact(spark, monkeypatch, bits, hot):
     """Whether or not the bitmaps are crowded and groups are split."""
     monkeypatch.setattr(common, "BITS", bits)
+    monkeypatch.setattr(common, "MOST_BITS", bits)
     monkeypatch.setattr(common, "HOT", hot)
     rows = [(1, "a"), (2, "a"), (3, "b"), (4, None), (5, ""), (6, "x" * 300 + "1"), (7, "x" * 300 + "2"), (8, "x" * 300 + "1"), (None, "n"), (None, "n"), (9, "t"), (9, "t"), (10, "long " * 50_000)]
     rows += [(100 + k, "hot") for k in range(50)]
@@ -117,6 +118,7 @@ def test_dense_cells(monkeypatch, spark):
     monkeypatch.setattr(minhash, "CHUNK", 4)
     monkeypatch.setattr(common, "HOT", 3)
     monkeypatch.setattr(common, "BITS", 128)
+    monkeypatch.setattr(common, "MOST_BITS", 128)
     monkeypatch.setattr(common, "HOT_BITS", 128)
     rows = near_rows(2)
     got = {r.doc_id: (r.n_shingles, r.component_id) for r in minhash.near_duplicates(docs_of(spark, rows)).collect()}
@@ -330,3 +332,17 @@ def test_hot_url(spark, monkeypatch, hot):
     base = spark.range(3000).select(F.col("id").alias("record_id"), F.when(F.col("id") % 3 == 0, "response").otherwise("revisit").alias("kind"), F.lit("http://h.org/").alias("url"), F.timestamp_seconds(F.lit(1_700_000_000) + F.col("id") * 9000).alias("ts"))
     df = base.withColumn("headers", F.create_map(F.lit("etag"), F.lit("e")))
     assert {(r.record_id - r.response_id, r.status) for r in warc.resolve_revisits(df).collect()} == {(1, "resolved"), (2, "resolved")}
+
+
+@pytest.mark.parametrize("kind", ["int", "short", "long"])
+def test_ids_of_any_width(spark, kind):
+    """Near, line and substring deduplication take integers of any width, and say so where ids are none."""
+    text = "\n".join(f"line {k} of words that say {k * k} things about {k % 7} others" for k in range(12))
+    docs = spark.createDataFrame([(1, text), (2, text + "\nmore"), (3, None), (None, text)], f"doc_id {kind}, text string")
+    assert {r.doc_id: r.component_id for r in minhash.near_duplicates(docs).collect()}[2] == 1
+    assert [r.doc_id for r in line_dedup.without_repeats(docs).collect() if r.doc_id] and [r.doc_id for r in substring_dedup.without_repeats(docs).collect()] == [2]
+    assert sorted(r.doc_id or 0 for r in minhash.drop_near_copies(docs).collect()) == [0, 1, 3]
+    names = docs.select(F.col("doc_id").cast("string"), "text")
+    for f in (minhash.near_duplicates, line_dedup.without_repeats, substring_dedup.without_repeats):
+        with pytest.raises(TypeError, match="doc_id must be an integer"):
+            f(names)
