@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.functions.text import col, normalize_name, normalize_text, text_key, tokens
-from ledgerloom.operators.tokens import OVERLAP, RATIO, overlap_ratio
+from ledgerloom.operators.tokens import OVERLAP, RATIO, has_all, peel
 
 #: Bytes of master names that a task holds at a time.
 MASTER_BYTES = 16 << 20
@@ -24,24 +24,37 @@ def keep_first(df: DataFrame, key: str | list[str], order: str) -> DataFrame:
     return df.groupBy(*keys).agg(top).select(*[c if c in keys else F.col("_row")[c].alias(c) for c in df.columns])
 
 
-def token_candidates(names: DataFrame, registry: DataFrame) -> DataFrame:
-    """(name, st, llave, od_order, od): pairs that share the rarer of the name's first two words, both of which the
-    registry row must have. Rarer by how many registry rows have it, so words that all names share make no pairs."""
-    n = names.select(F.col("name")).distinct().withColumn("st", tokens("name")).where(F.size("st") >= 2)
-    index = registry.withColumn("od", tokens("nombre")).select("llave", "od_order", "od", F.explode(F.array_distinct("od")).alias("word"))
-    often = index.groupBy("word").agg(F.count("*").alias("n"))
-    two = n.withColumn("two", F.array_distinct(F.slice("st", 1, 2)))
-    found = two.select("name", "st", F.size("two").alias("k"), F.explode("two").alias("word")).join(often, "word")
-    rarer = found.groupBy("name").agg(F.min_by("word", F.struct("n", "word")).alias("word"), F.first("st").alias("st"), F.count("*").alias("has"), F.max("k").alias("k"))
-    return rarer.where("has = k").select("name", "st", "word").join(index, "word").drop("word")
-
-
 def best_by_tokens(names: DataFrame, registry: DataFrame, ratio: float = RATIO, overlap: int = OVERLAP) -> DataFrame:
-    """(name, ratio, llave) of the distinct names that match a registry row (nombre, llave, od_order)."""
-    share = overlap_ratio(F.col("st"), F.col("od"), ratio, overlap)
-    pairs = token_candidates(names, registry).withColumn("ratio", share).where("ratio IS NOT NULL")
-    best = pairs.groupBy("name").agg(F.max(F.struct("ratio", (-F.col("od_order")).alias("o"), "llave")).alias("b"))
-    return best.select("name", F.col("b.ratio").alias("ratio"), F.col("b.llave").alias("llave"))
+    """(name, ratio, llave) of the distinct names that match a registry row (nombre, llave, od_order).
+
+    Names ask for rows by their first two words and the rarest other word that a row has (peel()), so what is compared
+    doesn't grow with names x rows that all begin alike. Rows that have no word of a name but the first two have a ratio
+    that depends on their length alone, so of these only the first of each length is kept."""
+    index = registry.withColumn("od", tokens("nombre")).select("llave", "od_order", "od", F.explode(F.array_distinct("od")).alias("word"))
+    n = names.select("name").distinct().withColumn("src", tokens("name")).where(F.size("src") >= 2)
+    asked = peel(n, index, (), ratio, overlap)
+    share = lambda both, size: both / F.greatest("total", size, F.lit(1))
+    row = F.struct("ratio", (-F.col("od_order")).alias("o"), "llave")
+    found = token_candidates(asked, index).withColumn("both", F.col("c") + F.size(F.filter("tail", lambda t: F.array_contains("od", t))))
+    found = found.withColumn("ratio", share(F.col("both"), F.size("od"))).where((F.col("both") >= overlap) & (F.col("ratio") >= ratio))
+    best = found.groupBy("q").agg(F.max(row).alias("b"))
+    lengths = pair_candidates(asked, index).groupBy("two", F.size("od").alias("length")).agg(F.min_by("llave", "od_order").alias("llave"), F.min("od_order").alias("od_order"))
+    alone = asked.where(F.size("tail") == 0).select("q", "two", "c", "total").distinct().join(lengths, "two")
+    alone = alone.withColumn("ratio", share(F.col("c"), F.col("length"))).where(F.col("ratio") >= ratio).groupBy("q").agg(F.max(row).alias("b"))
+    answers = asked.select("src", "q").join(best.union(alone), "q").groupBy("src").agg(F.max("b").alias("b"))
+    return n.join(answers, "src").select("name", F.col("b.ratio").alias("ratio"), F.col("b.llave").alias("llave"))
+
+
+def token_candidates(asked: DataFrame, index: DataFrame) -> DataFrame:
+    """The distinct questions of peel() with a tail, and the registry rows that have their words."""
+    q = asked.where(F.size("tail") > 0).select("q", "two", "c", "total", "tail", "word").distinct()
+    return q.join(index, "word").where(has_all(F.col("od"), F.col("two")) & F.array_contains("od", F.element_at("tail", 1)))
+
+
+def pair_candidates(asked: DataFrame, index: DataFrame) -> DataFrame:
+    """The distinct pairs of first words that decide alone, and the registry rows that have both."""
+    pairs = asked.where(F.size("tail") == 0).select("two", "word").distinct()
+    return pairs.join(index, "word").where(has_all(F.col("od"), F.col("two")))
 
 
 def fill_keys(df: DataFrame, best: DataFrame, name: str = "Nombre personalizado", key: str = "Llave") -> DataFrame:

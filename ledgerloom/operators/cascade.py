@@ -2,9 +2,10 @@
 
 The outcome depends on a message's date, words and amount only, so it is found once for each such triple, and
 messages take it from there; ids may repeat or be null. No pair is made that the result doesn't need. The words
-decide by a row's detail, so they are matched once per distinct (date, detail), on the date and the rarer of the first
-two words of a name, both of which the detail must have. Sums and lists belong to (date, words), and amounts are
-looked up by bins, so nothing grows with messages x rows.
+decide by a row's detail, so counts, sums and last forms of a (date, detail) are aggregated before names meet details.
+Names that begin alike ask for the same details but for those that have one of their rare words, and what they ask is
+summed once (tokens.peel). Amounts are looked up by bins, and details are listed for sums that fit alone, so nothing
+grows with messages x rows.
 """
 
 from __future__ import annotations
@@ -18,7 +19,7 @@ from ledgerloom.functions.dates import ledger_date
 from ledgerloom.functions.ids import form_text, usable
 from ledgerloom.functions.money import TOLERANCE, amount_close, parse_money
 from ledgerloom.functions.text import clean_detail, clean_file_name, drop_noise, text_key, tokens
-from ledgerloom.operators.tokens import OVERLAP, RATIO, tokens_match
+from ledgerloom.operators.tokens import OVERLAP, RATIO, has_all, peel, tokens_match
 from ledgerloom.schema import require_columns
 
 RULES = ("no_day", "none", "amount_fallback", "single", "multi_exact", "multi_sum", "multi_blank", "multi_fail")
@@ -52,15 +53,31 @@ def message_keys(df: DataFrame, by: str = "Nombre archivo", keep: Sequence[str]
     return df.select("id", *keep, ledger_date("Date").alias("fecha_key"), name.alias("nombre_clean"), parse_money("Amount").alias("amount"))
 
 
-def detail_candidates(names: DataFrame, details: DataFrame, ratio: float = RATIO, overlap: int = OVERLAP) -> DataFrame:
-    """E13 as a join: (fecha_key, src, words, detalle_clean) before the words are compared. names have fecha_key and
-    src, details fecha_key, detalle_clean and words."""
-    index = details.select("fecha_key", "detalle_clean", "words", F.explode("words").alias("word"))
-    often = index.groupBy("fecha_key", "word").agg(F.count("*").alias("n"))
-    asked = names.where(F.size("src") > 0).withColumn("two", F.array_distinct(F.slice("src", 1, 2)))
-    found = asked.select("fecha_key", "src", F.size("two").alias("k"), F.explode("two").alias("word")).join(often, ["fecha_key", "word"])
-    rarer = found.groupBy("fecha_key", "src").agg(F.min_by("word", F.struct("n", "word")).alias("word"), F.count("*").alias("has"), F.max("k").alias("k"))
-    return rarer.where("has = k").select("fecha_key", "src", "word").join(index, ["fecha_key", "word"]).select("fecha_key", "src", "words", "detalle_clean")
+def detail_sums(names: DataFrame, details: DataFrame, ratio: float = RATIO, overlap: int = OVERLAP) -> DataFrame:
+    """E13 as a join: (fecha_key, src, n, total, one, lead) of the names (fecha_key, src) that match a detail: the rows of
+    all details that they match counted, summed, and the last form of these. details have fecha_key, words, n, total
+    and one; lead is the rarer of a name's first two words.
+
+    The details that match are told apart by the rarest word of the name, besides the first two, that they have: those
+    behind which a name has just as many words as it needs are the ones that it matches by this word and not by those
+    after it. So its sums are those of a few questions, which names share."""
+    index = details.withColumn("word", F.explode("words"))
+    asked = peel(names, index, ["fecha_key"], ratio, overlap)
+    # where the two words are enough, others change nothing
+    asked = asked.where((F.size("tail") == 0) | (F.col("c") < F.col("need")))
+    found = detail_candidates(asked, index)
+    per = found.groupBy("fecha_key", "q").agg(F.sum("n").alias("n"), F.sum("total").alias("total"), F.max("one").alias("one"))
+    back = asked.select("fecha_key", "src", "q", "lead").join(per, ["fecha_key", "q"])
+    sums = [F.sum("n").alias("n"), F.coalesce(F.sum("total"), F.lit(0.0)).alias("total"), F.max("one").alias("one"), F.first("lead").alias("lead")]
+    return back.groupBy("fecha_key", "src").agg(*sums)
+
+
+def detail_candidates(asked: DataFrame, index: DataFrame) -> DataFrame:
+    """The distinct questions and the details that answer them."""
+    q = asked.select("fecha_key", "q", "two", "c", "need", "tail", "word").distinct()
+    both = F.col("c") + F.size(F.filter("tail", lambda t: F.array_contains("words", t)))
+    exact = F.array_contains("words", F.try_element_at("tail", F.lit(1))) & (both == F.col("need"))
+    return q.join(index, ["fecha_key", "word"]).where(has_all(F.col("words"), F.col("two")) & ((F.size("tail") == 0) | exact))
 
 
 def reconcile(
@@ -70,30 +87,32 @@ def reconcile(
     """(id, keep, rule, formulario) of every message: msgs have id, fecha_key, nombre_clean, amount; ledger rows have
     fecha_key, detalle_clean, monto, formulario, row_order. formulario is null where the message stays as it was.
 
-    Null dates match nothing. multi_blank: the sum fits, but no row has a form. Four narrow tables that several steps
-    read are persisted, in memory or on disk; held takes them, for unpersist() when the result has been written."""
+    Null dates match nothing. multi_blank: the sum fits, but no row has a form. A tolerance of 0 takes equal amounts
+    alone. Three narrow tables that several steps read are persisted, in memory or on disk, where held is given: it takes
+    them, for unpersist() when the result has been written."""
 
     def hold(df: DataFrame) -> DataFrame:
-        df = df.persist()
         if held is not None:
-            held.append(df)
+            held.append(df.persist())
         return df
 
     m = hold(msgs.select("id", *keep, "fecha_key", "amount", drop_noise(tokens("nombre_clean")).alias("src")))
     rows = hold(ledger.where("fecha_key IS NOT NULL").select("fecha_key", "detalle_clean", "monto", "formulario", "row_order"))
-    size = F.lit(2 * tolerance)
+    size = F.lit(max(2 * tolerance, 0.01))
     bins = F.array(*[F.floor(F.col("amount") / size) + k for k in (-1, 0, 1)])
     close = amount_close(F.col("monto"), F.col("amount"), tolerance)
     form = F.struct("row_order", "formulario")
     asked = m.where("fecha_key IS NOT NULL").select("fecha_key", "src", "amount").distinct()
     # rows by words
-    details = rows.select("fecha_key", "detalle_clean").distinct().withColumn("words", F.array_distinct(tokens("detalle_clean")))
-    alike = detail_candidates(asked.select("fecha_key", "src").distinct(), details, ratio, overlap).where(tokens_match(F.col("src"), F.col("words"), ratio, overlap))
-    named = hold(alike.select("fecha_key", "src", "detalle_clean").join(rows, ["fecha_key", "detalle_clean"]))
-    sums = named.groupBy("fecha_key", "src").agg(F.count("*").alias("n"), F.coalesce(F.sum("monto"), F.lit(0.0)).alias("total"), F.max(form).alias("one"))
+    of = rows.groupBy("fecha_key", "detalle_clean").agg(F.count("*").alias("n"), F.sum("monto").alias("total"), F.max(form).alias("one"))
+    details = hold(of.withColumn("words", F.array_distinct(tokens("detalle_clean"))))
+    sums = detail_sums(asked.select("fecha_key", "src").distinct(), details, ratio, overlap)
     settled = hold(asked.join(sums, ["fecha_key", "src"], "left"))
-    near = settled.where("n > 1 AND amount IS NOT NULL").select("fecha_key", "src", "amount", F.explode(bins).alias("bin"))
-    near = near.join(named.withColumn("bin", F.floor(F.col("monto") / size)), ["fecha_key", "src", "bin"]).where(close)
+    worded = lambda df: df.withColumn("words", F.array_distinct(tokens("detalle_clean")))
+    alike = tokens_match(F.col("src"), F.col("words"), ratio, overlap)
+    near = settled.where("n > 1 AND amount IS NOT NULL").select("fecha_key", "src", "amount", F.col("lead").alias("word"), F.explode(bins).alias("bin"))
+    by_bin = worded(rows.withColumn("bin", F.floor(F.col("monto") / size))).withColumn("word", F.explode("words"))
+    near = near.join(by_bin, ["fecha_key", "bin", "word"]).where(close & alike)
     exact = near.groupBy("fecha_key", "src", "amount").agg(F.count("*").alias("n_fit"), F.max(form).alias("fit"))
     # rows by amount, where there are none by words
     alone = settled.where("n IS NULL AND amount IS NOT NULL").select("fecha_key", "src", "amount", F.explode(bins).alias("bin"))
@@ -115,10 +134,11 @@ def reconcile(
         .when(F.col("rule") == "single", F.col("one.formulario"))
         .when(F.col("rule") == "multi_exact", F.col("fit.formulario"))
     )
-    out = out.withColumn("rule", rule).select("fecha_key", "src", "amount", "rule", value.alias("value"))
+    out = out.withColumn("rule", rule).select("fecha_key", "src", "amount", "lead", "rule", value.alias("value"))
     # lists of forms, for the sums that fit
-    summed = out.where("rule = 'multi_sum'").select("fecha_key", "src").distinct()
-    listed = named.join(summed, ["fecha_key", "src"]).where(~F.trim("formulario").isin("", "none", "nan", "nat")).groupBy("fecha_key", "src")
+    summed = out.where("rule = 'multi_sum'").select("fecha_key", "src", F.col("lead").alias("word")).distinct()
+    listed = summed.join(worded(rows).withColumn("word", F.explode("words")), ["fecha_key", "word"]).where(alike)
+    listed = listed.where(~F.trim("formulario").isin("", "none", "nan", "nat")).groupBy("fecha_key", "src")
     listed = listed.agg(F.array_join(F.transform(F.array_sort(F.collect_list(form)), lambda x: x["formulario"]), "-").alias("forms"))
     out = out.join(listed.withColumn("rule", F.lit("multi_sum")), ["fecha_key", "src", "rule"], "left")
     out = out.withColumn("rule", F.when((F.col("rule") == "multi_sum") & F.col("forms").isNull(), "multi_blank").otherwise(F.col("rule")))

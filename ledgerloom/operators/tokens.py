@@ -1,8 +1,10 @@
-"""Token predicates on arrays of words."""
+"""Token predicates on arrays of words, and what names ask of rows so that no pairs are made in vain."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 RATIO, OVERLAP = 0.60, 2
@@ -39,3 +41,43 @@ def overlap_ratio(source: Column, target: Column, ratio: float = RATIO, least: i
     share = both / F.greatest(F.size(source), F.size(target), F.lit(1))
     first_two = (F.size(source) < 2) | (F.array_contains(target, F.try_element_at(source, F.lit(1))) & F.array_contains(target, F.try_element_at(source, F.lit(2))))
     return F.when(first_two & (both >= least) & (share >= ratio), share)
+
+
+def peel(names: DataFrame, index: DataFrame, keys: Sequence[str] = (), ratio: float = RATIO, least: int = OVERLAP) -> DataFrame:
+    """What each name asks of the rows: (keys, src, q, two, c, need, total, tail, word, lead).
+
+    names have keys and src, an array of words; index is rows by word (keys, word). A name matches rows that have its first
+    two words, and need of its words in all. Besides those two, c of its words, it has others, here from the rarest
+    on. Rows are told apart by the first of these others that they have: a name asks for the rows that have the i-th, word by
+    word, with the tail from there on, and, with an empty tail, for rows by the two words alone. The tail no longer holds
+    what the row doesn't have, so names that differ by rare words ask the same, and what they ask is answered once; q
+    tells questions apart. Questions that can't reach need aren't asked, nor those about words that no row has.
+    word is the rarest word that a row must have, lead the rarer one of the two."""
+    keys = list(keys)
+    often = index.groupBy(*keys, "word").agg(F.count("*").alias("n"))
+    asked = names.select(*keys, "src").distinct().where(F.size("src") > 0)
+    each = asked.withColumn("word", F.explode(F.array_distinct("src"))).join(often, [*keys, "word"])
+    known = each.groupBy(*keys, "src").agg(F.array_sort(F.collect_list(F.struct("n", "word"))).alias("known"))
+    two, total = F.array_sort(F.array_distinct(F.slice("src", 1, 2))), F.size("src")
+    k = known.withColumns({"two": two, "total": total}).withColumn("firsts", F.filter("known", lambda x: F.array_contains("two", x["word"])))
+    k = k.where(F.size("firsts") == F.size("two"))
+    reach = F.filter(F.sequence(F.lit(1), F.col("total")), lambda o: ((o >= least) & (o / F.col("total") >= ratio)) | (F.col("total") == 1))
+    times = lambda w: F.size(F.filter("src", lambda t: t == w))
+    others = F.filter("known", lambda x: ~F.array_contains("two", x["word"]))
+    k = k.withColumns({
+        "c": F.size(F.filter("src", lambda t: F.array_contains("two", t))), "need": F.try_element_at(reach, F.lit(1)),
+        "others": F.flatten(F.transform(others, lambda x: F.array_repeat(x, times(x["word"])))),
+    }).where("need IS NOT NULL")
+    words = lambda xs: F.transform(xs, lambda x: x["word"])
+    last = F.least(F.size("others"), F.size("others") + F.col("c") - F.col("need") + 1)
+    places = F.when(last > 0, F.sequence(F.lit(1), last)).otherwise(F.array().cast("array<int>"))
+    tails = F.transform(places, lambda i: F.slice("others", i, F.size("others")))
+    base = F.when(F.col("c") >= F.col("need"), F.array(F.slice("others", 1, 0))).otherwise(F.slice(tails, 1, 0))
+    q = k.withColumn("rest", F.explode(F.concat(base, tails)))
+    rarest = F.array_min(F.concat("firsts", F.slice("rest", 1, 1)))["word"]
+    q = q.select(*keys, "src", "two", "c", "need", "total", words("rest").alias("tail"), rarest.alias("word"), F.element_at("firsts", 1)["word"].alias("lead"))
+    return q.withColumn("q", F.concat_ws("\x1f", F.array_join("two", "\x1e"), F.array_join("tail", "\x1e"), "c", "need", "total"))
+
+
+def has_all(words: Column, some: Column) -> Column:
+    return F.forall(some, lambda t: F.array_contains(words, t))

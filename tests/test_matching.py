@@ -1,3 +1,7 @@
+import datetime
+import random
+import re
+
 import pytest
 from hypothesis import given
 from hypothesis import strategies as st
@@ -5,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ledgerloom.functions.text import meaningful_tokens, text_key, tokens
 from ledgerloom.operators import argmax, cascade, records
-from ledgerloom.operators.tokens import tokens_match
+from ledgerloom.operators.tokens import peel, tokens_match
 
 PAIRS = [
     ("acme textiles", "pago acme textiles", True), ("textiles acme", "acme textiles", True), ("acme textiles norte", "acme textiles", True),
@@ -54,15 +58,95 @@ def test_cascade(spark, shuffled):
     assert cascade.reconcile(m, led).where("id = 0 AND rule = 'single'").count() == 2  # ids may repeat
 
 
-def test_few_candidates(spark):
-    """Words that all names share make no pairs, in either join."""
-    names = spark.range(400).select(F.concat(F.lit("firm n"), "id", F.lit(" bank")).alias("name"))
-    reg = names.select(F.col("name").alias("nombre"), F.lit("K").alias("llave"), F.lit(1).alias("od_order"))
-    assert argmax.token_candidates(names, reg).count() == 400
-    words = names.select(F.current_date().alias("fecha_key"), tokens("name").alias("src"))
-    details = words.select("fecha_key", F.array_join("src", " ").alias("detalle_clean"), F.col("src").alias("words"))
-    assert cascade.detail_candidates(words, details).count() == 400
-    assert argmax.best_by_tokens(names, reg).count() == 400
+def plain_best(names, registry, ratio=0.6):
+    """E7 by its definition: every name against every registry row."""
+    split, out = lambda t: re.findall("[a-z0-9]+", t.lower()), {}
+    for name in names:
+        st, best = split(name), None
+        for nombre, llave, order in registry:
+            od = split(nombre)
+            both = sum(t in od for t in st)
+            share = both / max(len(st), len(od), 1)
+            if len(st) >= 2 and st[0] in od and st[1] in od and both >= 2 and share >= ratio and (best is None or (share, -order) > best[:2]):
+                best = (share, -order, llave)
+        if best:
+            out[name] = (best[0], best[2])
+    return out
+
+
+def plain_sums(names, details):
+    """E13 by its definition: rows, sum and last form of the details that a name matches, on its day."""
+    out = {}
+    for day, src in names:
+        hit = []
+        for d, words, n, total, one in details:
+            both = sum(t in words for t in src)
+            enough = len(src) == 1 or (src[1] in words and both >= 2 and both / len(src) >= 0.6)
+            if d == day and src[0] in words and enough:
+                hit.append((n, total, one))
+        if hit:
+            out[day, tuple(src)] = (sum(h[0] for h in hit), sum(h[1] or 0 for h in hit), max(h[2] for h in hit))
+    return out
+
+
+def phrase(rng, words, most=7):
+    return [rng.choice(words) for _ in range(rng.randrange(1, most))]
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_best_and_sums_by_definition(spark, seed):
+    """Few words, so that names repeat them, share them and miss them."""
+    rng = random.Random(seed)
+    words = ["banco", "banco", "de", "la", "sur", "norte", *[f"c{k}" for k in range(4 + 20 * seed)]]
+    reg = [(" ".join(phrase(rng, words)), f"K{k}", k) for k in range(150)]
+    names = [" ".join(phrase(rng, [*words, "lost"])) for _ in range(150)] + ["", "Banco  de BANCO"]
+    r = spark.createDataFrame(reg, "nombre string, llave string, od_order int")
+    got = argmax.best_by_tokens(spark.createDataFrame([(n,) for n in names + names[:9]], "name string"), r)
+    assert {x.name: (x.ratio, x.llave) for x in got.collect()} == plain_best(names, reg)
+    days = [datetime.date(2025, 1, 1), datetime.date(2025, 1, 2)]
+    asked = sorted({(rng.choice(days), tuple(phrase(rng, words))) for _ in range(150)})
+    details = [(rng.choice(days), sorted(set(phrase(rng, words, 9))), rng.randrange(1, 4), rng.choice([None, k / 4]), (k, f"F{k}")) for k in range(150)]
+    d = spark.createDataFrame(details, "fecha_key date, words array<string>, n long, total double, one struct<row_order:int,formulario:string>")
+    sums = cascade.detail_sums(spark.createDataFrame([(a, list(b)) for a, b in asked], "fecha_key date, src array<string>"), d)
+    assert {(x.fecha_key, tuple(x.src)): (x.n, x.total, tuple(x.one)) for x in sums.collect()} == plain_sums(asked, details)
+
+
+@pytest.mark.parametrize("shape", ["firm n{} bank", "banco de c{}", "banco de la republica c{}", "c{} banco de la", "banco c{} de"])
+def test_few_candidates(spark, shape):
+    """Words that all names share make no pairs, first words or others: as many rows are looked at as there are names."""
+    n = 400
+    text = [shape.format(k) for k in range(n)]
+    reg = [(t, f"K{k}", k) for k, t in enumerate(text)]
+    names, r = spark.createDataFrame([(t,) for t in text], "name string"), spark.createDataFrame(reg, "nombre string, llave string, od_order int")
+    index = r.withColumn("od", tokens("nombre")).select("llave", "od_order", "od", F.explode("od").alias("word"))
+    asked = peel(names.select(tokens("name").alias("src")), index)
+    assert argmax.token_candidates(asked, index).count() + argmax.pair_candidates(asked, index).count() <= 4 * n
+    assert {x.name: (x.ratio, x.llave) for x in argmax.best_by_tokens(names, r).collect()} == plain_best(text, reg)
+    words = names.select(F.lit(datetime.date(2025, 1, 1)).alias("fecha_key"), tokens("name").alias("src"))
+    details = words.select("fecha_key", F.col("src").alias("words"), F.lit(1).alias("n"), F.lit(2.0).alias("total"), F.struct(F.lit(1).alias("o"), F.lit("F").alias("f")).alias("one"))
+    index = details.withColumn("word", F.explode("words"))
+    assert cascade.detail_candidates(peel(words, index, ["fecha_key"]).where((F.size("tail") == 0) | (F.col("c") < F.col("need"))), index).count() <= 4 * n
+    got = {tuple(x.src): x.n for x in cascade.detail_sums(words, details).collect()}
+    split = [t.split() for t in text]
+    assert got == {tuple(a): sum(a[0] in b and a[1] in b and sum(t in b for t in a) >= max(2, 0.6 * len(a)) for b in split) for a in split}
+
+
+def test_no_tolerance(spark):
+    """A tolerance of 0 takes equal amounts alone."""
+    day = datetime.date(2025, 5, 1)
+    msgs = spark.createDataFrame([("a", day, "otro", 5.0), ("b", day, "otro", 5.01), ("c", day, "acme sur", 7.0)], "id string, fecha_key date, nombre_clean string, amount double")
+    rows = [(day, "acme sur", 7.0, "F1", 1), (day, "acme sur", 7.01, "F2", 2), (day, "x", 5.0, "F3", 3)]
+    ledger = spark.createDataFrame(rows, "fecha_key date, detalle_clean string, monto double, formulario string, row_order long")
+    got = {r.id: (r.rule, r.formulario) for r in cascade.reconcile(msgs, ledger, tolerance=0).collect()}
+    assert got == {"a": ("amount_fallback", "F3"), "b": ("none", None), "c": ("multi_exact", "F1")}
+
+
+def test_nothing_stays_persisted(spark):
+    before = spark.sparkContext._jsc.getPersistentRDDs().size()
+    msgs = spark.createDataFrame([("a", None, "x", 1.0)], "id string, fecha_key date, nombre_clean string, amount double")
+    ledger = spark.createDataFrame([], "fecha_key date, detalle_clean string, monto double, formulario string, row_order long")
+    assert cascade.reconcile(msgs, ledger).count() == 1
+    assert spark.sparkContext._jsc.getPersistentRDDs().size() == before
 
 
 def test_last_wins(spark):
