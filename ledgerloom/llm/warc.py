@@ -28,7 +28,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ledgerloom.llm import common
-from ledgerloom.llm.common import bitmap, table, tag
+from ledgerloom.llm.common import bitmap, stash, table, tag
 
 #: Headers that a 304 answer carries and that replace the stored ones.
 PERMITTED = ("cache-control", "content-location", "date", "etag", "expires", "vary")
@@ -78,8 +78,10 @@ def resolve_revisits(records: DataFrame) -> DataFrame:
     """Of records (record_id, kind `response` or `revisit`, url, ts, headers map): a row for each revisit, with
     canonical_url, response_id, status and the merged headers (null unless the status is `resolved`)."""
     r = records.select("record_id", "kind", "ts", canonical_url("url").alias("canonical_url"), folded(F.col("headers")).alias("headers"))
+    r = stash(r, "records")  # urls and names are read several times, and made once
     placed = r.where("canonical_url IS NOT NULL AND ts IS NOT NULL").withColumn("day", F.to_date("ts"))
     per_minute = placed.groupBy("canonical_url", "day", F.date_trunc("minute", "ts").alias("minute")).agg(F.count("*").alias("n"))
+    per_minute = stash(per_minute, "minutes")
     busy = per_minute.groupBy("canonical_url", "day").agg(F.sum("n").alias("n")).where(F.col("n") >= common.HOT)
     full = per_minute.where(F.col("n") >= common.HOT)
     placed = tag(placed, bitmap(busy, ["canonical_url", "day"], common.HOT_BITS), ["canonical_url", "day"], "busy")
