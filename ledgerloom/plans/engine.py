@@ -23,7 +23,7 @@ from pyspark.sql import types as T
 
 from ledgerloom.config import Config
 from ledgerloom.functions.ids import display_name, record_id
-from ledgerloom.operators import argmax, cascade, extract, records
+from ledgerloom.operators import argmax, cascade, extract, fuzzy, records
 from ledgerloom.schema import ERROR, FINAL, HISTORY, MANIFEST, conform
 from ledgerloom.sources import files
 from ledgerloom.sources.pages import read_pages
@@ -145,7 +145,7 @@ class Engine:
         if master is not None:
             names = df.select(F.col("Proveedor").alias("name")).where("name IS NOT NULL")
             m = master.select(F.col(master.columns[0]).alias("choice"), F.col("src_order").alias("choice_order"))
-            df = argmax.enrich_names(df, argmax.best_fuzzy(names, m), threshold=self.config.fuzzy_threshold)
+            df = argmax.enrich_names(df, fuzzy.fuzzy_matches(names, m, self.config.fuzzy_threshold), threshold=self.config.fuzzy_threshold)
         if places is not None:
             df = records.add_places(df, records.directory(places, "CODIGO DE LOS SWIFT", "PAIS", "CIUDAD", "src_order"), upper=kind != "gto")
         return df

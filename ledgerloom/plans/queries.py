@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom.functions import dates, ids, money, text
-from ledgerloom.operators import argmax, cascade, extract, records, tokens
+from ledgerloom.operators import argmax, cascade, extract, fuzzy, records, tokens
 from ledgerloom.plans import views as v
 
 QUERIES: dict = {}
@@ -647,6 +647,27 @@ def e_fuzzy_sets(spark: SparkSession, d: str) -> DataFrame:
     return best.select(F.array_join("n", " ").alias("words"), "score", F.col("choice_order").alias("choice"))
 
 
+@query("""WITH c AS (SELECT client_id AS k, lower(name) AS name, list_filter(string_split(lower(name), ' '), lambda w: w <> '') AS w FROM clients WHERE trim(name) <> ''),
+n AS (SELECT DISTINCT CASE WHEN k % 3 = 0 THEN array_to_string(list_reverse(w), ' ') WHEN k % 3 = 1 AND length(w[-1]) > 3 THEN array_to_string(list_append(w[1:len(w) - 1], w[-1][1] || w[-1][3:]), ' ')
+  ELSE name END AS name FROM c),
+a AS (SELECT name, list_sort(list_distinct(list_filter(string_split(name, ' '), lambda w: w <> ''))) AS w FROM n),
+b AS (SELECT name AS choice, any_value(list_sort(list_distinct(w))) AS v, min(k) AS o FROM c GROUP BY 1),
+p AS (SELECT name, choice, o, list_filter(w, lambda x: NOT list_contains(v, x)) AS x, list_filter(v, lambda x: NOT list_contains(w, x)) AS y,
+  length(array_to_string(w, ' ')) + length(array_to_string(v, ' ')) AS chars, len(w) AS nw, len(v) AS nv FROM a, b),
+s AS (SELECT name, choice, o, CASE WHEN (len(x) = 0 OR len(y) = 0) AND len(x) < nw THEN 100
+  WHEN len(x) = 1 AND len(y) = 1 AND abs(length(x[1]) - length(y[1])) = 1 AND levenshtein(x[1], y[1]) = 1 THEN CAST(floor(100 * (1 - 1 / chars)) AS INTEGER) END AS score FROM p)
+SELECT name, choice, score FROM s WHERE score IS NOT NULL QUALIFY row_number() OVER (PARTITION BY name ORDER BY score DESC, o) = 1""")
+def e_fuzzy_join(spark: SparkSession, d: str) -> DataFrame:
+    """E3 from a threshold on, by the similarity join: names of clients with their words in another order, or without a letter."""
+    c = v.table(spark, d, "clients").where(F.trim("name") != "").select(F.col("client_id").alias("k"), F.lower("name").alias("name"))
+    c = c.withColumn("w", F.filter(F.split("name", " "), lambda w: w != ""))
+    last = F.element_at("w", -1)
+    short = F.array_join(F.concat(F.slice("w", 1, F.size("w") - 1), F.array(F.concat(F.substring(last, 1, 1), F.expr("substring(element_at(w, -1), 3)")))), " ")
+    name = F.when(F.col("k") % 3 == 0, F.array_join(F.reverse("w"), " ")).when((F.col("k") % 3 == 1) & (F.char_length(last) > 3), short).otherwise(F.col("name"))
+    master = c.groupBy(F.col("name").alias("choice")).agg(F.min("k").alias("choice_order"))
+    return fuzzy.fuzzy_matches(c.select(name.alias("name")), master, normalize=lambda x: x, few=0).select("name", "choice", "score")
+
+
 @query()
 def e_fuzzy_matches(spark: SparkSession, d: str) -> DataFrame:
     """Misspelt names against the master, null below the threshold."""

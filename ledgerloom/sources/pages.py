@@ -19,12 +19,22 @@ def recogniser(name: str) -> Callable[[bytes], list]:
 
 
 def plain_text():
-    """A recogniser of files that are text already; form feeds end pages."""
-    return lambda data: data.decode("utf-8", "replace").split("\f")
+    """A recogniser of files that are text already; form feeds end pages. Scans and other bytes that aren't text are an
+    error, so that these files are read again once there is a recogniser for them."""
 
+    def read(data: bytes) -> list[str]:
+        if data[:1024].lstrip().startswith(b"%PDF"):
+            raise ValueError("a PDF file, which needs a recogniser")
+        if b"\0" in data:
+            raise ValueError("no text, which needs a recogniser")
+        return data.decode("utf-8").split("\f")
 
-def read_pages(files: DataFrame, name: str = "ledgerloom.sources.pages:plain_text") -> DataFrame:
-    """(file_path, file_name, page_no, text, error) of binaryFile rows."""
+    return read
+
+
+def read_pages(files: DataFrame, name: str = "ledgerloom.sources.pages:plain_text", page_no: int | None = None) -> DataFrame:
+    """(file_path, file_name, page_no, text, error) of binaryFile rows; of one page only if it is named, and no others
+    are then recognised, if the recogniser gives pages as functions."""
 
     def run(batches: Iterator) -> Iterator:
         import pandas as pd
@@ -39,6 +49,8 @@ def read_pages(files: DataFrame, name: str = "ledgerloom.sources.pages:plain_tex
                     rows.append((path, path.rpartition("/")[2], 0, None, str(e)))
                     continue
                 for k, page in enumerate(pages):
+                    if page_no is not None and k + 1 != page_no:
+                        continue
                     try:
                         rows.append((path, path.rpartition("/")[2], k + 1, page() if callable(page) else page, None))
                     except Exception as e:  # nor one page the others

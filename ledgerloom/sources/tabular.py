@@ -34,9 +34,10 @@ def is_missing(e: AnalysisException) -> bool:
     return e.getCondition() == "PATH_NOT_FOUND"
 
 
-def read_workbook(spark: SparkSession, path: str, schema: T.StructType, sheet: str | None = None, header_row: int = 1, max_cols: int = 0) -> DataFrame:
-    """A4: rows of a workbook's sheet as text, with the number of the row in row_order or src_order if the schema has
-    it. Read by Spark, so from any file system; a sheet that isn't there has no rows."""
+def read_workbook(spark: SparkSession, path: str, schema: T.StructType, sheet: str | None = None, header_row: int = 1, max_cols: int = 0, strict: bool = False) -> DataFrame:
+    """A4, A5: rows of a workbook's sheet as text, with the number of the row in row_order or src_order if the schema
+    has it; without a name, of the first sheet that has all columns. Read by Spark, so from any file system; a sheet that
+    isn't there has no rows, or is an error if it is strict."""
     names = schema.names
     order = next((n for n in names if n in ("row_order", "src_order")), "")
 
@@ -47,17 +48,17 @@ def read_workbook(spark: SparkSession, path: str, schema: T.StructType, sheet: s
 
         for b in batches:
             for data in b["content"]:
-                yield pd.DataFrame(table_rows(bytes(data), names, sheet, header_row, max_cols, order), columns=names, dtype=object)
+                yield pd.DataFrame(table_rows(bytes(data), names, sheet, header_row, max_cols, order, strict), columns=names, dtype=object)
 
     return spark.read.format("binaryFile").load(path).select("content").mapInPandas(run, schema)
 
 
-def read_sheet(spark: SparkSession, path: str, schema: T.StructType, sheet: str | None = None, header_row: int = 1, max_cols: int = 0, **options: str) -> DataFrame:
+def read_sheet(spark: SparkSession, path: str, schema: T.StructType, sheet: str | None = None, header_row: int = 1, max_cols: int = 0, strict: bool = False, **options: str) -> DataFrame:
     """A1: the table, or an empty one with the same columns if there is none. Other errors are raised."""
     kind = format_of(path)
     if kind == "excel":
         found = exists(spark, path)
-        return read_workbook(spark, path, schema, sheet, header_row, max_cols) if found else spark.createDataFrame([], schema)
+        return read_workbook(spark, path, schema, sheet, header_row, max_cols, strict) if found else spark.createDataFrame([], schema)
     reader = spark.read.format(kind).schema(schema).options(**options)
     if kind == "csv":
         reader = reader.option("header", "true")

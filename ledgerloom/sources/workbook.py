@@ -150,18 +150,31 @@ def _column(place: str) -> int:
     return n - 1
 
 
-def table_rows(data: bytes, names: list[str], sheet: str | None = None, header_row: int = 1, max_cols: int = 0, order: str = "row_order") -> Iterator[tuple]:
-    """The named columns of a sheet below its header row, blank rows left out; the column order is the row's number."""
-    at: dict[str, int] | None = None
-    for number, cells in Workbook(data).rows(sheet):
-        cells = cells[:max_cols] if max_cols else cells
-        if number < header_row:
-            continue
-        if at is None:
-            if number > header_row:
-                return
-            at = {}
-            for k, c in enumerate(cells):
-                at.setdefault((c or "").replace(" ", " ").strip(), k)
-        elif any(c and c.strip() for c in cells):
-            yield tuple(number if n == order else cells[at[n]] if n in at and at[n] < len(cells) else None for n in names)
+def table_rows(data: bytes, names: list[str], sheet: str | None = None, header_row: int = 1, max_cols: int = 0, order: str = "row_order", strict: bool = False) -> Iterator[tuple]:
+    """The named columns of a sheet below its header row, blank rows left out; the column order is the row's number.
+
+    A5: without a name of a sheet, the first one whose header has all columns; if none has, there are no rows, or, if it
+    is strict, that is an error."""
+    book, wanted = Workbook(data), set(names) - {order}
+    for name in book.sheets if sheet is None else [sheet]:
+        rows = book.rows(name) if name in book.sheets else iter(())
+        at: dict[str, int] | None = None
+        for number, cells in rows:
+            cells = cells[:max_cols] if max_cols else cells
+            if number < header_row:
+                continue
+            if at is None:
+                if number > header_row:
+                    break
+                at = {}
+                for k, c in enumerate(cells):
+                    at.setdefault((c or "").replace("\u00a0", " ").strip(), k)
+                if sheet is None and not wanted <= set(at):
+                    at = None
+                    break
+            elif any(c and c.strip() for c in cells):
+                yield tuple(number if n == order else cells[at[n]] if n in at and at[n] < len(cells) else None for n in names)
+        if at is not None:
+            return
+    if sheet is None and strict:
+        raise ValueError(f"no sheet has the columns {', '.join(sorted(wanted))}; there are {', '.join(book.sheets)}")
