@@ -5,6 +5,7 @@ from __future__ import annotations
 import argparse
 import logging
 import sys
+from datetime import date
 from logging.handlers import TimedRotatingFileHandler
 
 from pyspark.sql import SparkSession
@@ -21,10 +22,24 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--account", required=True)
     p.add_argument("--forzar", action="store_true", help="read files again that have been read")
     p.add_argument("--confirmar", action="store_true", help="ask before manual records move")
+    d = Config(account="")
+    p.add_argument("--recogniser", default=d.recogniser, help="module:factory of what reads message files")
+    p.add_argument("--own-codes", default="", help="codes of one's own bank, with commas between")
+    p.add_argument("--path-in-id", action="store_true", help="equal names in different folders have ids of their own")
+    p.add_argument("--overwrite", action="store_true", help="extracted tables hold the last run's files only")
+    p.add_argument("--year", type=int, default=d.year, help="the year of month and day folders")
+    p.add_argument("--cutover", type=date.fromisoformat, default=d.cutover, help="first day of the second layout")
     p.add_argument("--log", help="a log file, rotated daily")
     return p
 
 
+def config_of(args: argparse.Namespace) -> Config:
+    codes = tuple(c.strip() for c in args.own_codes.split(",") if c.strip())
+    return Config(
+        account=args.account, root=args.root, recogniser=args.recogniser, own_codes=codes, path_in_id=args.path_in_id, overwrite=args.overwrite, year=args.year, cutover=args.cutover
+    )
+
+
 def ask(n: int) -> bool:
     return input(f"{n} manual records move to the complete ones. Go on? [y/n] ").strip().lower() in ("y", "yes", "s", "si", "sí")
 
@@ -36,7 +51,7 @@ def main(argv: list[str] | None = None) -> int:
         handlers.append(TimedRotatingFileHandler(args.log, when="midnight", backupCount=30, encoding="utf-8"))
     logging.basicConfig(level=logging.INFO, format="%(levelname)s %(name)s: %(message)s", handlers=handlers)
     spark = SparkSession.builder.appName("ledgerloom").getOrCreate()
-    result = Engine(spark, Config(account=args.account, root=args.root)).run(args.mode, args.kind, args.forzar, ask if args.confirmar else None)
+    result = Engine(spark, config_of(args)).run(args.mode, args.kind, args.forzar, ask if args.confirmar else None)
     print(result.summary())
     return 1 if result.warnings else 0
 

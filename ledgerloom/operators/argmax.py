@@ -74,9 +74,9 @@ def unmatched_names(df: DataFrame, best: DataFrame, order: str, name: str = "Nom
 def fill_counts(before: DataFrame, after: DataFrame, key: str = "Llave") -> DataFrame:
     """keys that were filled, and rows without a key before and after."""
     empty = F.coalesce(F.trim(F.col(f"`{key}`")) == "", F.lit(True))
-    n = lambda df, name: df.agg(F.count_if(empty).alias(name))
-    both = n(before, "empty_before").crossJoin(n(after, "empty_after"))  # one row each
-    return both.select((F.col("empty_before") - F.col("empty_after")).alias("filled"), "empty_before", "empty_after")
+    both = before.select(F.lit(0).alias("t"), empty.alias("e")).union(after.select(F.lit(1), empty))
+    n = lambda t: F.count_if((F.col("t") == t) & F.col("e"))
+    return both.agg((n(0) - n(1)).alias("filled"), n(0).alias("empty_before"), n(1).alias("empty_after"))
 
 
 def _common(a: str, b: str) -> int:

@@ -62,12 +62,13 @@ def estado(policy: str) -> Column:
 # --- shaping -----------------------------------------------------------------------------------------------------
 
 
-def shape_records(extracted: DataFrame, version: str, prefix: str = "app", limit: int = 50, path_in_id: bool = False) -> DataFrame:
+def shape_records(extracted: DataFrame, version: str, prefix: str = "app", limit: int = 50, path_in_id: bool = False, keep_path: bool = False) -> DataFrame:
     """Extracted fields as records with amount, display name, state and id. path_in_id: files of one name in
-    several folders have ids of their own."""
+    several folders have ids of their own. keep_path: with the column file_path."""
     out = extracted.select(
         F.col("file_name").alias("Nombre archivo"), F.col("receiver").alias("Receiver"), F.col("date").alias("Date"),
         clean_amount("amount").alias("Amount"), F.col("beneficiary").alias("Proveedor"), F.col("file_path").alias("_path") if path_in_id else F.col("file_name").alias("_path"),
+        *(["file_path"] if keep_path else []),
     )
     out = out.withColumn("Nombre personalizado", shorten_name(display_name("Proveedor", "Receiver"), limit)).withColumn("Estado", estado("filled"))
     return conform(out.withColumn("id", record_id(prefix, F.lit(version), F.col("_path"))).drop("_path"), FINAL).withColumn("Version", F.lit(version))
@@ -86,6 +87,14 @@ def anti_by_key(new: DataFrame, old: DataFrame, key: str = "id") -> DataFrame:
     return new.join(o, new[key].eqNullSafe(F.col("_key")), "left_anti")
 
 
+def new_rows(new: DataFrame, old: DataFrame, key: str = "id") -> DataFrame:
+    """As anti_by_key(), where old is the larger one: old is asked for the keys of new, which Catalyst sends to it if
+    they are few, so old isn't shuffled; only keys that it has move."""
+    keys = new.select(F.col(f"`{key}`").alias("_asked")).distinct()
+    known = old.select(key).join(keys, old[key].eqNullSafe(F.col("_asked")), "left_semi").distinct()
+    return anti_by_key(new, known, key)
+
+
 def merge_new(old: DataFrame, new: DataFrame, key: str = "id") -> DataFrame:
     """Old, and new rows of new keys marked complete."""
     require_columns(old, [key]), require_columns(new, [key])
@@ -94,9 +103,13 @@ def merge_new(old: DataFrame, new: DataFrame, key: str = "id") -> DataFrame:
 
 def accumulate(history: DataFrame, complete: DataFrame, version: str, control: Column | None = None) -> DataFrame:
     """History, and the complete rows of new ids with version and control time."""
+    return history.unionByName(new_history(history, complete, version, control), allowMissingColumns=True)
+
+
+def new_history(history: DataFrame, complete: DataFrame, version: str, control: Column | None = None) -> DataFrame:
+    """The rows alone that accumulate() adds."""
     at = F.date_format(F.current_timestamp() if control is None else control, "yyyy-MM-dd HH:mm")
-    stamped = conform(complete.withColumns({"Versión": F.lit(version), "Fecha Control": at}), HISTORY)
-    return history.unionByName(anti_by_key(stamped, history), allowMissingColumns=True)
+    return new_rows(conform(complete.withColumns({"Versión": F.lit(version), "Fecha Control": at}), HISTORY), history)
 
 
 def upsert(old: DataFrame, new: DataFrame, key: str = "id") -> DataFrame:
@@ -121,10 +134,10 @@ def template_columns(df: DataFrame, account: str) -> DataFrame:
 def lineage(raw: DataFrame, written: DataFrame, excluded_by: DataFrame, name: str = "Nombre personalizado") -> DataFrame:
     """rows of each step of the template in one row."""
     complete = raw.where(F.col("Estado") == COMPLETE)
-    n = lambda df, c: df.agg(F.count("*").alias(c))
-    return n(complete, "n_raw").crossJoin(n(complete.distinct(), "n_distinct")).crossJoin(n(written, "n_written")).select(
-        "n_raw", (F.col("n_raw") - F.col("n_distinct")).alias("n_duplicates"), (F.col("n_distinct") - F.col("n_written")).alias("n_excluded"), "n_written"
-    )
+    step = lambda df, t: df.select(F.lit(t).alias("t"))
+    every = step(complete, 0).union(step(complete.distinct(), 1)).union(step(written, 2))
+    n = lambda t: F.count_if(F.col("t") == t)
+    return every.agg(n(0).alias("n_raw"), (n(0) - n(1)).alias("n_duplicates"), (n(1) - n(2)).alias("n_excluded"), n(2).alias("n_written"))
 
 
 # --- registry ----------------------------------------------------------------------------------------------------
@@ -164,6 +177,14 @@ def pending(files: DataFrame, manifest: DataFrame) -> DataFrame:
     return files.join(done, "content_md5", "left_anti")
 
 
+def unread(listing: DataFrame, seen: DataFrame, manifest: DataFrame) -> DataFrame:
+    """E15 without reading files: those of a listing (path, length, modificationTime) that haven't been seen just so, or
+    whose content isn't processed without error. seen has path, length, modified and content_md5."""
+    ok = manifest.where(F.col("estado").isNotNull() & (F.col("estado") != ERROR)).select("content_md5").distinct()
+    done = seen.join(ok, "content_md5", "left_semi").select(F.col("path").alias("_p"), F.col("length").alias("_l"), "modified")
+    return listing.join(done, (F.col("path") == F.col("_p")) & (F.col("length") == F.col("_l")) & (F.col("modificationTime") == F.col("modified")), "left_anti")
+
+
 def mark(manifest: DataFrame, done: DataFrame) -> DataFrame:
     """K8: entries of done replace those of the same content."""
     return upsert(manifest, done, "content_md5")

@@ -1,23 +1,31 @@
 """K1-K7: runs by mode and kind over the tables and files in one folder. MODES has the steps of each mode.
 
 Below root/kind there are tables, as Parquet folders: pages, mail, ledger, directory, master, registry_names,
-registry_rows, and those that runs write: complete, manual, history, template, manifest, registry_out. Instead of the
-first seven there may be workbooks (INPUTS), and instead of pages a folder `files` of message files, which are routed
+registry_rows, and those that runs write: complete, manual, history, template, manifest, seen, registry_out. Instead of
+the first seven there may be workbooks (INPUTS), and instead of pages a folder `files` of message files, which are routed
 by date, looked up in the manifest and read. V1 and V2 are one table with a Version column. A missing table is empty.
 
-Files whose reading fails are recorded with the state Error and are read again by the next run; others by their
+What a run writes is there when it has ended, all tables or none (sources.versions); until then, and after a run that
+failed, table() gives what the last whole run has left. Tables that lie there as folders are read until a run writes
+them. The history only grows: a run writes its new rows alone.
+
+Files are listed first, and only those that haven't been seen with the same path, size and time are read; their content is
+then looked up in the manifest. Pages of incoming files are recognised one after another, of files only that still lack
+a field. Files whose reading fails are recorded with the state Error and are read again by the next run; others by their
 completeness, and not again unless a run is forced."""
 
 from __future__ import annotations
 
+import contextlib
+import itertools
 import logging
 import os
+import re
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -27,7 +35,8 @@ from ledgerloom.operators import argmax, cascade, extract, fuzzy, records
 from ledgerloom.schema import ERROR, FINAL, HISTORY, MANIFEST, conform
 from ledgerloom.sources import files
 from ledgerloom.sources.pages import read_pages
-from ledgerloom.sources.tabular import exists, is_missing, mail_rows, read_sheet, registry_map
+from ledgerloom.sources.tabular import exists, mail_rows, read_sheet, registry_map
+from ledgerloom.sources.versions import MANY, State, Versions
 
 log = logging.getLogger(__name__)
 KINDS = ("imp", "exp", "gto")
@@ -42,6 +51,7 @@ INPUTS = {
     "mail": (None, 1, ("Receiver", "DATE", "Amount", "Beneficiary Customer"), "src_order"),
 }
 BOOKS = ("xlsx", "xlsb", "xlsm")
+_FILE = "path string, modificationTime timestamp, length long, content binary"
 
 
 @dataclass
@@ -58,59 +68,73 @@ class Result:
 class Engine:
     def __init__(self, spark: SparkSession, config: Config):
         self.spark, self.config = spark, config
+        #: What a run that is going on has written, by table.
+        self.state: State | None = None
+        self.written: list[str] = []
+        self.passing: list[str] = []
 
     def path(self, name: str, kind: str) -> str:
         return f"{self.config.root}/{kind}/{name}"
 
-    def table(self, name: str, kind: str) -> DataFrame | None:
-        """The table, else the workbook of its name, else none. Errors other than a missing path are raised."""
+    def versions(self, kind: str) -> Versions:
+        return Versions(self.spark, f"{self.config.root}/{kind}")
+
+    def table(self, name: str, kind: str, version: int | None = None) -> DataFrame | None:
+        """The table as of the last commit, or of a named one; else the folder, else the workbook of its name, else none.
+        Within a run, as the run has written it so far. Errors other than a missing path are raised."""
+        of = self.versions(kind)
+        state = self.state if self.state is not None and version is None else of.read(version) if version else of.latest()[1]
+        if name in state:
+            return of.table(state[name]) if state[name] else None
         path = self.path(name, kind)
-        self._recover(path)
-        try:
+        if exists(self.spark, path):
             return self.spark.read.parquet(path)
-        except AnalysisException as e:
-            if not is_missing(e):
-                raise
         if name in INPUTS:
             sheet, header, columns, order = INPUTS[name]
             schema = T.StructType([*(T.StructField(c, T.StringType()) for c in columns), T.StructField(order, T.LongType())])
             for end in BOOKS:
                 if exists(self.spark, f"{path}.{end}"):
-                    return read_sheet(self.spark, f"{path}.{end}", schema, sheet, header)
+                    return read_sheet(self.spark, f"{path}.{end}", schema, sheet, header, strict=kind != "gto")
         return None
 
-    def write(self, df: DataFrame, name: str, kind: str) -> int:
-        """Replace a table that df may have been read from: written beside it, then renamed. Where a run ends between
-        the two renamings, the next one finds the old table and puts it back."""
-        path = self.path(name, kind)
-        fresh = f"{path}.new-{uuid.uuid4().hex}"
-        df.write.parquet(fresh)
-        if exists(self.spark, path):
-            self._rename(path, f"{path}.old")
-        self._rename(fresh, path)
-        self._delete(f"{path}.old")
-        self.spark.catalog.refreshByPath(path)
-        return self.spark.read.parquet(path).count()
-
-    def _recover(self, path: str) -> None:
-        if exists(self.spark, f"{path}.old"):
-            if exists(self.spark, path):
-                self._delete(f"{path}.old")
-            else:
-                self._rename(f"{path}.old", path)
+    def write(self, df: DataFrame, name: str, kind: str, add: bool = False) -> int:
+        """Replace a table, or add rows to it, when the run ends; the rows written, which are counted on the way."""
+        of = self.versions(kind)
+        before = self.state.get(name, []) if add else []
+        if add and name not in self.state and (old := self.table(name, kind)) is not None:
+            df = old.unionByName(df, allowMissingColumns=True)  # a folder from before
+        elif len(before) >= MANY:
+            df, before = of.table(before).unionByName(df, allowMissingColumns=True), []
+        folder, n = of.folder(name), Observation(f"{name}-{uuid.uuid4().hex}")
+        self.written.append(folder)
+        df.observe(n, F.count(F.lit(1)).alias("n")).write.parquet(f"{of.root}/{folder}")
+        self.state[name] = [*before, folder]
+        return n.get["n"]
 
-    def _fs(self, path: str):
-        p = self.spark._jvm.org.apache.hadoop.fs.Path(path)
-        return p.getFileSystem(self.spark._jsc.hadoopConfiguration()), p
+    def put(self, df: DataFrame, name: str, kind: str) -> None:
+        """Replace a table by hand, such as manual records that have been reviewed."""
+        with self._committed(kind):
+            self.write(df, name, kind)
 
-    def _rename(self, a: str, b: str) -> None:
-        fs, p = self._fs(a)
-        if not fs.rename(p, self._fs(b)[1]):
-            raise OSError(f"{a} can't be renamed to {b}")
+    @contextlib.contextmanager
+    def _committed(self, kind: str) -> Iterator[None]:
+        """What is written inside is committed at the end, or, if that isn't reached, is gone."""
+        of = self.versions(kind)
+        base, before = of.latest()
+        self.state, self.written = dict(before), []
+        try:
+            yield
+            if self.state != before:
+                of.commit(base, self.state)
+                self.written = []
+        finally:
+            for folder in self.written + self.passing:
+                of.delete(folder)
+            self.state, self.passing = None, []
 
     def _delete(self, path: str) -> None:
-        fs, p = self._fs(path)
-        fs.delete(p, True)
+        p = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+        p.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(p, True)
 
     def missing_inputs(self, mode: str, kind: str) -> list[str]:
         """Names of tables that the steps of a mode can't do without and that aren't there."""
@@ -121,7 +145,11 @@ class Engine:
 
     def clear(self, kind: str) -> None:
         """K8: forget which files have been read."""
-        self._delete(self.path("manifest", kind))
+        if self.state is not None:
+            self.state |= {"manifest": [], "seen": []}
+            return
+        with self._committed(kind):
+            self.clear(kind)
 
     def run(self, mode: str, kind: str, force: bool = False, confirm: Callable[[int], bool] | None = None) -> Result:
         """force: read files again that have been read. confirm: asked, in mode `post` and `completo`, whether that many
@@ -130,11 +158,12 @@ class Engine:
         if mode not in MODES or kind not in KINDS:
             raise ValueError(f"unknown mode {mode} or kind {kind}")
         out = Result(mode, kind)
-        if force:
-            self.clear(kind)
         self.confirm = confirm if mode in ("post", "completo") else None
-        for step in MODES[mode]:
-            getattr(self, f"_{step}")(kind, out)
+        with self._committed(kind):
+            if force:
+                self.clear(kind)
+            for step in MODES[mode]:
+                getattr(self, f"_{step}")(kind, out)
         log.info(out.summary())
         return out
 
@@ -150,21 +179,58 @@ class Engine:
             df = records.add_places(df, records.directory(places, "CODIGO DE LOS SWIFT", "PAIS", "CIUDAD", "src_order"), upper=kind != "gto")
         return df
 
-    def _pages(self, kind: str) -> DataFrame | None:
-        """Pages of messages that haven't been read: of the table, or of the files in the folder."""
+    def _pages(self, kind: str, fresh: str) -> DataFrame | None:
+        """Pages of messages that haven't been read: of the table, or of the files in the folder; written to fresh."""
         pages, done = self.table("pages", kind), self.table("manifest", kind)
         if pages is not None:
             pages = pages if "error" in pages.columns else pages.withColumn("error", F.lit(None).cast("string"))
             pages = pages if "file_path" in pages.columns else pages.withColumn("file_path", F.col("file_name"))
-            return pages if done is None else records.pending(pages, done)
-        c, folder = self.config, self.path("files", kind)
-        if not exists(self.spark, folder):
-            return None
-        found = files.route(files.list_files(self.spark, folder), "path", kind, F.lit(c.year), c.cutover.isoformat(), c.earliest_file.isoformat())
-        found = records.with_md5(found)
-        found = found if done is None else records.pending(found, done)
-        read = read_pages(found, c.recogniser)
-        return read.join(found.select(F.col("path").alias("file_path"), "content_md5", "version"), "file_path")
+            (pages if done is None else records.pending(pages, done)).write.parquet(f"{fresh}/pages")
+            return self.spark.read.parquet(f"{fresh}/pages")
+        folder = self.path("files", kind)
+        return self._read_files(kind, folder, fresh, done) if exists(self.spark, folder) else None
+
+    def _contents(self, paths: list[str]) -> DataFrame:
+        """The named files. Their names pass through the driver, as do those of all files that Spark lists."""
+        plain = [re.sub(r"([\[\]{}*?\\\\])", r"\\\1", p) for p in paths]
+        return self.spark.read.format("binaryFile").load(plain) if plain else self.spark.createDataFrame([], _FILE)
+
+    def _read_files(self, kind: str, folder: str, fresh: str, done: DataFrame | None) -> DataFrame:
+        c, seen = self.config, self.table("seen", kind)
+        listing = files.list_files(self.spark, folder).select("path", "modificationTime", "length")
+        found = files.route(listing, "path", kind, F.lit(c.year), c.cutover.isoformat(), c.earliest_file.isoformat())
+        if done is not None and seen is not None:
+            found = records.unread(found, seen, done)
+        found = found.select("path", "file_name", "version").collect()
+        names = self.spark.createDataFrame([tuple(r) for r in found], "file_path string, file_name string, version string")
+        held = records.with_md5(self._contents([r["path"] for r in found])).select(F.col("path").alias("file_path"), "length", "modificationTime", "content_md5")
+        names.join(held, "file_path").write.parquet(f"{fresh}/held")
+        held = self.spark.read.parquet(f"{fresh}/held")
+        now = held.select(F.col("file_path").alias("path"), "length", F.col("modificationTime").alias("modified"), "content_md5")
+        if held.head(1):
+            self.write(now if seen is None else records.upsert(seen, now, "path"), "seen", kind)
+        open_ = held if done is None else records.pending(held, done)
+        open_ = open_.select("file_path", "version", "content_md5")
+        rounds = [None] if kind != "imp" else itertools.count(1)
+        parts, known = [], []
+        for k in rounds:
+            paths = [r[0] for r in open_.select("file_path").collect()]
+            part = f"{fresh}/pages-{k or 0}"
+            read = read_pages(self._contents(paths), c.recogniser, k)
+            read.join(open_, "file_path").write.parquet(part)
+            read, parts = self.spark.read.parquet(part), [*parts, part]
+            got = read.where("page_no > 0")
+            if k is None or not got.head(1):
+                break
+            # files that lack a field go on to the next page, if they have had this one
+            for v in ("V1", "V2"):
+                has = [F.col(n).isNotNull().alias(n) for n in extract.NAMES]
+                known.append(got.where(F.col("version") == v).select("file_path", *extract.fields(kind, v)).select("file_path", *has))
+            every = known[-2].union(known[-1]) if len(known) == 2 else self.spark.read.parquet(f"{fresh}/known-{k - 1}").union(known[-2]).union(known[-1])
+            every.groupBy("file_path").agg(*[F.max(n).alias(n) for n in extract.NAMES]).write.parquet(f"{fresh}/known-{k}")
+            whole = self.spark.read.parquet(f"{fresh}/known-{k}").where(" AND ".join(extract.NAMES)).select("file_path")
+            open_ = open_.join(got.select("file_path").distinct(), "file_path", "left_semi").join(whole, "file_path", "left_anti")
+        return self.spark.read.parquet(*parts)
 
     def _extract(self, kind: str, out: Result) -> None:
         c = self.config
@@ -177,20 +243,20 @@ class Engine:
             parts = [F.coalesce(F.col(f"`{n}`"), F.lit("nan" if c.legacy_nan_id else "")) for n in ("Receiver", "Date", "Amount", "Nombre personalizado")]
             new = df.withColumns({"Estado": records.estado("lower"), "Version": F.lit("V1"), "id": record_id("gto", *parts)})
         else:
-            pages = self._pages(kind)
+            # files are read and recognised once, also where their pages are needed several times
+            fresh = self.versions(kind).folder("run")
+            self.passing.append(fresh)
+            pages = self._pages(kind, f"{self.config.root}/{kind}/{fresh}")
             if pages is None:
                 out.warnings.append("no pages table and no files")
                 return
-            # files are read and recognised once, also where their pages are needed several times
-            fresh = f"{self.path('pages', kind)}.run-{uuid.uuid4().hex}"
-            pages.write.parquet(fresh)
-            pages = self.spark.read.parquet(fresh)
             parts = []
             for v in ("V1", "V2"):
                 own = pages.where(F.col("version") == v)
-                parts.append(self._enrich(records.shape_records(extract.extract(own, kind, v, c.own_codes), v, limit=c.name_limit, path_in_id=c.path_in_id).drop("Pais", "Ciudad"), kind))
+                parts.append(self._enrich(records.shape_records(extract.extract(own, kind, v, c.own_codes), v, limit=c.name_limit, path_in_id=c.path_in_id, keep_path=True).drop("Pais", "Ciudad"), kind))
             new = parts[0].unionByName(parts[1], allowMissingColumns=True)
-        new = conform(new, (*FINAL, "Version"))
+        states = new.select("file_path", "Estado") if kind != "gto" else None
+        new = conform(new.drop("file_path"), (*FINAL, "Version"))
         complete, manual = records.split_by_state(new)
         for name, part in (("complete", complete), ("manual", manual)):
             old = None if c.overwrite else self.table(name, kind)
@@ -199,16 +265,15 @@ class Engine:
                 old = records.anti_by_key(old, new.select("id"))
             out.counts[name] = self.write(part if old is None else old.unionByName(part, allowMissingColumns=True), name, kind)
         if kind != "gto":
-            out.counts["manifest"] = self.write(self._marked(kind, pages, new), "manifest", kind)
+            out.counts["manifest"] = self.write(self._marked(kind, pages, states), "manifest", kind)
             out.counts["errors"] = pages.where("page_no = 0 AND error IS NOT NULL").select("file_path").distinct().count()
-            self._delete(fresh)
 
-    def _marked(self, kind: str, pages: DataFrame, new: DataFrame) -> DataFrame:
-        """The manifest with the files of a run, by what came of them."""
-        state = new.groupBy(F.col("`Nombre archivo`").alias("file_name"), F.col("Version").alias("version")).agg(F.min("Estado").alias("state"))
+    def _marked(self, kind: str, pages: DataFrame, states: DataFrame) -> DataFrame:
+        """The manifest with the files of a run, by what came of them; files of one content by the first of their paths."""
+        state = states.groupBy("file_path").agg(F.min("Estado").alias("state"))
         failed = F.max((F.col("page_no") == 0) & F.col("error").isNotNull())
-        of = pages.groupBy("content_md5").agg(F.min(F.struct("file_name", "version")).alias("f"), failed.alias("failed")).select("content_md5", "f.*", "failed")
-        marks = of.join(state, ["file_name", "version"], "left").select(
+        of = pages.groupBy("content_md5").agg(F.min(F.struct("file_path", "file_name", "version")).alias("f"), failed.alias("failed")).select("content_md5", "f.*", "failed")
+        marks = of.join(state, "file_path", "left").select(
             "content_md5", F.col("file_name").alias("file"), "version", F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss").alias("procesado_en"),
             F.when(F.col("failed") | F.col("state").isNull(), ERROR).otherwise(F.col("state")).alias("estado"),
         )
@@ -226,15 +291,19 @@ class Engine:
             if n and self.confirm is not None and not self.confirm(n):
                 out.warnings.append(f"{n} manual records stay")
             else:
-                before = complete.count()
-                out.counts["moved"] = self.write(records.merge_new(complete, ready), "complete", kind) - before
-                complete = self.table("complete", kind)
+                if n:
+                    self.write(records.merge_new(complete, ready), "complete", kind)
+                    complete = self.table("complete", kind)
+                out.counts["moved"] = n
         history = self.table("history", kind)
         if history is None:
             history = conform(complete.limit(0), HISTORY)
-        for v in ("V1", "V2"):
-            history = records.accumulate(history, complete.where(F.col("Version") == v), v)
-        out.counts["history"] = self.write(history, "history", kind)
+        parts = [records.new_history(history, complete.where(F.col("Version") == v), v) for v in ("V1", "V2")]
+        if parts[0].head(1) or parts[1].head(1):
+            # an id of both versions is added once, as V1
+            parts[1] = records.anti_by_key(parts[1], parts[0])
+            self.write(conform(parts[0].unionByName(parts[1], allowMissingColumns=True), HISTORY), "history", kind, add=True)
+        out.counts["history"] = history.count() if (now := self.table("history", kind)) is None else now.count()
         names = self.table("registry_names", kind)
         known = complete.limit(0).select("Nombre personalizado") if names is None else names.select("Nombre personalizado")
         out.counts["template"] = self.write(records.template_columns(records.template_rows(complete.drop("Version"), known), self.config.account), "template", kind)
@@ -254,19 +323,21 @@ class Engine:
         ordered = complete.withColumn("row_order", order)
         keys_of = cascade.message_keys(ordered, "Nombre archivo" if kind == "imp" else "Proveedor", ["row_order"])
         found = cascade.reconcile(keys_of, keys, kind == "imp", c.amount_tolerance, c.token_ratio, c.token_overlap, ["row_order"], held := [])
-        out.counts |= cascade.match_counts(found).first().asDict()
-        done = cascade.last_wins(complete, found, "row_order")
-        names = self.table("registry_names", kind)
-        if names is not None:
-            known = registry_map(names, "Nombre personalizado", "Llave carga masiva", "src_order")
-            best = argmax.best_by_tokens(done.select(F.col("Nombre personalizado").alias("name")), known, c.token_ratio, c.token_overlap)
-            missing = argmax.unmatched_names(done.withColumn("row_order", order), best, "row_order").orderBy("first", "name").limit(20).collect()
-            if missing:
-                log.warning("names without a key: %s", ", ".join(r["name"] for r in missing))
-            done = argmax.fill_keys(done, best)
-        self.write(done, "complete", kind)
-        for df in held:
-            df.unpersist()
+        try:
+            out.counts |= cascade.match_counts(found).first().asDict()
+            done = cascade.last_wins(complete, found, "row_order")
+            names = self.table("registry_names", kind)
+            if names is not None:
+                known = registry_map(names, "Nombre personalizado", "Llave carga masiva", "src_order")
+                best = argmax.best_by_tokens(done.select(F.col("Nombre personalizado").alias("name")), known, c.token_ratio, c.token_overlap)
+                missing = argmax.unmatched_names(done.withColumn("row_order", order), best, "row_order").orderBy("first", "name").limit(20).collect()
+                if missing:
+                    log.warning("names without a key: %s", ", ".join(r["name"] for r in missing))
+                done = argmax.fill_keys(done, best)
+            self.write(done, "complete", kind)
+        finally:
+            for df in held:
+                df.unpersist()
         done = self.table("complete", kind)
         out.counts |= records.filled_counts(done).first().asDict()
         registry = self.table("registry_rows", kind)

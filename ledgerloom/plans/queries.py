@@ -626,6 +626,29 @@ def e_manifest_skip(spark: SparkSession, d: str) -> DataFrame:
     return records.pending(records.with_md5(v.table(spark, d, "documents"), "text"), seen).select("doc_id")
 
 
+@query("""WITH f AS (SELECT click_id, client_id, arrived_at, octet_length(encode(coalesce(props, ''))) AS len, md5(coalesce(props, '')) AS h FROM clicks),
+m AS (SELECT h, CASE WHEN min(click_id) % 5 = 0 THEN 'Error' WHEN min(click_id) % 5 > 1 THEN 'Completo' END AS estado FROM f GROUP BY 1),
+seen AS (SELECT * FROM f WHERE client_id % 3 > 0 AND h IN (SELECT h FROM m WHERE estado <> 'Error'))
+SELECT click_id FROM f WHERE NOT EXISTS (SELECT 1 FROM seen s WHERE s.click_id = f.click_id AND s.arrived_at = f.arrived_at + INTERVAL 1 SECOND * (f.click_id % 4 // 3) AND s.len = f.len)""")
+def e_manifest_unread(spark: SparkSession, d: str) -> DataFrame:
+    """E15 before files are read: clicks play the part of files, and those of two thirds of the clients have been seen,
+    a quarter of them at another time than they have now."""
+    c = v.table(spark, d, "clicks").select("click_id", "client_id", F.col("click_id").cast("string").alias("path"), F.col("arrived_at").alias("modified"), F.coalesce("props", F.lit("")).alias("p"))
+    c = c.withColumns({"length": F.octet_length("p"), "content_md5": F.md5("p")})
+    k = F.min("click_id")
+    manifest = c.groupBy("content_md5").agg(F.when(k % 5 == 0, "Error").when(k % 5 > 1, "Completo").alias("estado"))
+    later = F.when(F.col("click_id") % 4 == 3, F.col("modified") + F.expr("INTERVAL 1 SECOND")).otherwise(F.col("modified"))
+    listing = c.select("click_id", "path", "length", later.alias("modificationTime"))
+    return records.unread(listing, c.where(F.col("client_id") % 3 > 0), manifest).select("click_id")
+
+
+@query("""SELECT change_id, seq FROM client_changes n WHERE NOT EXISTS (SELECT 1 FROM clients o WHERE o.client_id IS NOT DISTINCT FROM n.client_id AND o.client_id % 2 = 0)""")
+def e_new_rows(spark: SparkSession, d: str) -> DataFrame:
+    """Changes of clients that a history of half of the clients doesn't have; the history isn't shuffled."""
+    history = v.table(spark, d, "clients").where("client_id % 2 = 0").select("client_id")
+    return records.new_rows(v.table(spark, d, "client_changes"), history, "client_id").select("change_id", "seq")
+
+
 @query(f"{_MANIFEST} SELECT coalesce(estado, 'None') AS estado, count(*) AS n FROM m GROUP BY 1")
 def f_manifest_stats(spark: SparkSession, d: str) -> DataFrame:
     return records.manifest_stats(_manifest(spark, d))
