@@ -16,7 +16,8 @@ from pyspark.sql import functions as F
 
 from ledgerloom.functions.dates import iso_date, printed_date, scanned_date
 from ledgerloom.functions.money import fix_decimals, fix_open_decimals
-from ledgerloom.functions.text import col, found, let, lines, raw_lines, rx, squash, strip
+from ledgerloom.functions import text as plain
+from ledgerloom.functions.text import col, found, let, rx, squash, strip
 
 #: Country lines under a beneficiary, words that look like bank codes, and currencies before amounts.
 NOT_NAMES = ("CHINA", "TURKEY", "COLOMBIA", "PANAMA", "US", "USA")
@@ -26,6 +27,28 @@ CURRENCIES = ("USD", "EUR", "GBP", "CHF", "JPY", "CAD", "AUD")
 WINDOW = 11
 
 
+class Cut:
+    """A text whose lines have been cut into columns before, so that fields share them (read_fields)."""
+
+    def __init__(self, text: str, lines: str, raw: str):
+        self.text, self.lines, self.raw = F.col(text), F.col(lines), F.col(raw)
+
+
+Text = str | Column | Cut
+
+
+def lines(text: Text) -> Column:
+    return text.lines if isinstance(text, Cut) else plain.lines(text)
+
+
+def raw_lines(text: Text) -> Column:
+    return text.raw if isinstance(text, Cut) else plain.raw_lines(text)
+
+
+def whole(text: Text) -> Column:
+    return text.text if isinstance(text, Cut) else col(text)
+
+
 # --- places ------------------------------------------------------------------------------------------------------
 
 
@@ -114,7 +137,7 @@ def is_name(x: Column) -> Column:
 # --- incoming, layout V1 -----------------------------------------------------------------------------------------
 
 
-def receiver_v1(text: str | Column) -> Column:
+def receiver_v1(text: Text) -> Column:
     """Behind the label, else the first code near it."""
     label = r"Recei\s*ver"
 
@@ -123,7 +146,7 @@ def receiver_v1(text: str | Column) -> Column:
         around = F.substring(t, F.greatest(place - 40, F.lit(1)), F.lit(40 + 9 + 120))
         return F.when(place > 0, F.try_element_at(codes(around), F.lit(1)))
 
-    return let(squash(text), lambda t: F.upper(F.coalesce(first_line(behind(t, label, whole=False), code_at_start), near(t))))
+    return let(squash(whole(text)), lambda t: F.upper(F.coalesce(first_line(behind(t, label, whole=False), code_at_start), near(t))))
 
 
 def window_amount(w: Column) -> Column:
@@ -143,25 +166,25 @@ def window_date(w: Column) -> Column:
     return F.coalesce(first_line(w, iso_text), first_line(w, lambda x: _iso(scanned_date(found(x, r"\b\d{1,2} [A-Za-z]{3,4} [0-9A-Za-z]{4}\b", 0)))))
 
 
-def fallback_date(text: str | Column) -> Column:
+def fallback_date(text: Text) -> Column:
     """A labelled ISO date, else the rest of a line behind a date label."""
     labelled = lambda x: first_line(behind(x, "Interbank Settlement Date", whole=False), lambda v: _iso(iso_date(F.substring(v, 1, 10))))
     words = lambda x: _iso(scanned_date(F.try_element_at(behind(x, "Date"), F.lit(1))))
     return let(lines(text), lambda ls: F.coalesce(first_line(ls, labelled), first_line(ls, words)))
 
 
-def date_v1(text: str | Column) -> Column:
+def date_v1(text: Text) -> Column:
     below = let(lines(text), lambda ls: first(F.transform(windows(ls, r"(?i)\b32A\b"), window_date)))
     return F.coalesce(below, fallback_date(text))
 
 
-def amount_v1(text: str | Column) -> Column:
+def amount_v1(text: Text) -> Column:
     """In the windows of 32A, else of 33B."""
     below = lambda ls, tag: first(F.transform(windows(ls, rf"(?i)\b{tag}\b"), window_amount))
     return let(lines(text), lambda ls: F.coalesce(below(ls, "32A"), below(ls, "33B")))
 
 
-def beneficiary_v1(text: str | Column) -> Column:
+def beneficiary_v1(text: Text) -> Column:
     """The first name in the window of tag 59."""
     wanted = lambda x: is_name(x) & ~x.startswith("/") & ~x.rlike("(?i)Beneficiary Customer")
     return let(lines(text), lambda ls: first(F.transform(windows(ls, r"(^| )59 ?[:;]"), lambda w: F.try_element_at(F.filter(w, wanted), F.lit(1)))))
@@ -170,20 +193,20 @@ def beneficiary_v1(text: str | Column) -> Column:
 # --- incoming, layout V2 -----------------------------------------------------------------------------------------
 
 
-def receiver_v2(text: str | Column) -> Column:
+def receiver_v2(text: Text) -> Column:
     """A whole word behind the label."""
     word = lambda x: let(F.upper(F.regexp_extract(x, rx(r"^\w+"), 0)), lambda w: F.when(F.length(w).isin(8, 11) & w.rlike("^[A-Z0-9]+$"), w))
     return let(lines(text), lambda ls: first_line(ls, lambda x: first_line(behind(x, "Receiver"), word)))
 
 
-def date_v2(text: str | Column) -> Column:
+def date_v2(text: Text) -> Column:
     """An ISO date anywhere, else a date in words, first on lines with a date label."""
     words = lambda x: _iso(printed_date(found(x, r"\b\d{1,2} [A-Za-z]{3,} \d{4}\b", 0)))
     tail = lambda x: found(x, r"(?i)\bDate\b(.+)$")
     return let(lines(text), lambda ls: F.coalesce(first_line(ls, iso_text), first_line(ls, lambda x: words(tail(x))), first_line(ls, words)))
 
 
-def amount_v2(text: str | Column) -> Column:
+def amount_v2(text: Text) -> Column:
     """The settlement amount, else the instructed one; the number behind USD goes before others."""
 
     def labelled(ls: Column, label: str) -> Column:
@@ -193,7 +216,7 @@ def amount_v2(text: str | Column) -> Column:
     return let(lines(text), lambda ls: F.coalesce(labelled(ls, "Interbank Settlement"), labelled(ls, "Instructed")))
 
 
-def supplier_v2(text: str | Column) -> Column:
+def supplier_v2(text: Text) -> Column:
     """Below Creditor, behind its code, which is on the same line or the next."""
 
     def name(w: Column) -> Column:
@@ -210,13 +233,13 @@ def supplier_v2(text: str | Column) -> Column:
 _NEXT_TAG = r"(?i)^\d\d[A-Z]:"
 
 
-def sender_v1(text: str | Column) -> Column:
+def sender_v1(text: Text) -> Column:
     """C11: the first code behind the label."""
     bank = lambda x: let(code_at_start(x), lambda c: F.when(named_code(c), c))
-    return F.upper(first_line(behind(col(text), "Sender", ":", whole=False), bank))
+    return F.upper(first_line(behind(whole(text), "Sender", ":", whole=False), bank))
 
 
-def _labelled_32a(text: str | Column, label: str, more: int, f: Callable[[Column], Column]) -> Column:
+def _labelled_32a(text: Text, label: str, more: int, f: Callable[[Column], Column]) -> Column:
     """The first result of f on a line with the label, joined with the lines below it, from 32A to the next tag."""
 
     def inside(ls: Column) -> Column:
@@ -237,20 +260,20 @@ def _labelled_32a(text: str | Column, label: str, more: int, f: Callable[[Column
     return let(raw_lines(text), inside)
 
 
-def date_v1_exp(text: str | Column) -> Column:
+def date_v1_exp(text: Text) -> Column:
     """As it is written."""
     written = lambda v: F.nullif(F.regexp_extract(v, r"^\d{1,2}\s+[A-Za-z]{3,9}\s+\d{4}", 0), F.lit(""))
     return _labelled_32a(text, "Date", 2, lambda s: first_line(behind(s, "Date", ":", whole=False), written))
 
 
-def amount_v1_exp(text: str | Column) -> Column:
+def amount_v1_exp(text: Text) -> Column:
     """Between #, else the number behind the label."""
     plain = lambda v: F.nullif(F.regexp_extract(F.ltrim(F.regexp_replace(v, "^[#$]", "")), r"^[\d.,]+", 0), F.lit(""))
     hashed = lambda s: let(strip(between_signs(s)), lambda x: F.when(x.rlike(r"\d"), x))
     return _labelled_32a(text, "Amount", 3, lambda s: F.coalesce(hashed(s), first_line(behind(s, "Amount", ":", whole=False), plain)))
 
 
-def ordering_customer(text: str | Column) -> Column:
+def ordering_customer(text: Text) -> Column:
     """C14: the first line of the block of 50K or 50F that is neither an account, a label nor digits. Tags with nothing
     or the label behind them go before others."""
     label, tag = r"ordering\s+customer", "(?i)50[KF]:"
@@ -266,7 +289,7 @@ def ordering_customer(text: str | Column) -> Column:
 # --- outgoing, layout V2 -----------------------------------------------------------------------------------------
 
 
-def sender_v2(text: str | Column, own_codes: Sequence[str] = ()) -> Column:
+def sender_v2(text: Text, own_codes: Sequence[str] = ()) -> Column:
     """On the line of the label, else on the next unless that has a label; own codes don't count."""
     code = lambda x: F.try_element_at(F.filter(codes(x), lambda k: named_code(k) & ~k.isin(*NOT_CODES, *own_codes)), F.lit(1))
 
@@ -277,21 +300,21 @@ def sender_v2(text: str | Column, own_codes: Sequence[str] = ()) -> Column:
     return let(raw_lines(text), at)
 
 
-def date_v2_exp(text: str | Column) -> Column:
+def date_v2_exp(text: Text) -> Column:
     """C16."""
-    return first_line(behind(col(text), "Interbank Settlement Date", ":", whole=False), lambda v: F.nullif(F.regexp_extract(v, r"^\d{4}(-\d\d){2}", 0), F.lit("")))
+    return first_line(behind(whole(text), "Interbank Settlement Date", ":", whole=False), lambda v: F.nullif(F.regexp_extract(v, r"^\d{4}(-\d\d){2}", 0), F.lit("")))
 
 
-def amount_v2_exp(text: str | Column) -> Column:
+def amount_v2_exp(text: Text) -> Column:
     """Behind the label and a currency."""
     bare = lambda v: F.when(F.upper(F.substring(v, 1, 3)).isin(*CURRENCIES), F.substring(v, 4, 1000)).otherwise(v)
-    return first_line(behind(col(text), "Interbank Settlement Amount", ":", whole=False), lambda v: found(strip(bare(v)), r"^[\d.,]+", 0))
+    return first_line(behind(whole(text), "Interbank Settlement Amount", ":", whole=False), lambda v: found(strip(bare(v)), r"^[\d.,]+", 0))
 
 
-def debtor_name(text: str | Column) -> Column:
+def debtor_name(text: Text) -> Column:
     """C17: the first line from the debtor to its agent that is neither digits nor a country code."""
     name = lambda own: F.try_element_at(F.filter(own, lambda x: (x != "") & ~x.rlike(r"^(\d+|[A-Z]{2,3})$")), F.lit(1))
-    return let(raw_lines(text, False), lambda ls: let(block(ls, r"(?i)Debtor\s*:", r"(?i)^Debtor\s+Agent\s*:"), name))
+    return let(plain.raw_lines(whole(text), False), lambda ls: let(block(ls, r"(?i)Debtor\s*:", r"(?i)^Debtor\s+Agent\s*:"), name))
 
 
 # --- messages ----------------------------------------------------------------------------------------------------
@@ -306,11 +329,24 @@ FIELDS: dict[tuple[str, str], tuple[Callable[[str], Column], ...]] = {
 NAMES = ("receiver", "date", "amount", "beneficiary")
 
 
-def fields(kind: str, version: str, text: str = "text", own_codes: Sequence[str] = ()) -> list[Column]:
+def fields(kind: str, version: str, text: Text = "text", own_codes: Sequence[str] = ()) -> list[Column]:
     readers = [partial(f, own_codes=own_codes) if f is sender_v2 else f for f in FIELDS[kind, version]]
     return [f(text).alias(n) for n, f in zip(NAMES, readers)]
 
 
+#: Which lines the fields of a layout look at: those that aren't blank, squashed, or all.
+_RAW = {("exp", "V1"), ("exp", "V2")}
+
+
+def read_fields(df: DataFrame, kind: str, version: str, keep: Iterable[str] = (), text: str = "text", own_codes: Sequence[str] = ()) -> DataFrame:
+    """The columns keep and the fields of each text, whose lines are cut once, as a column that all fields look at."""
+    keep = list(keep)
+    raw = (kind, version) in _RAW
+    cut = plain.raw_lines(text) if raw else plain.lines(text)
+    both = df.select(*keep, F.col(text).alias("_text"), cut.alias("_lines"))
+    return both.select(*keep, *fields(kind, version, Cut("_text", "_lines", "_lines"), own_codes))
+
+
 def first_by_page(df: DataFrame, key: str, page: str, names: Iterable[str] = NAMES) -> DataFrame:
     """Each field from the first page that has it; pages_scanned: the page at which all were known, else all."""
     names = list(names)
@@ -334,10 +370,10 @@ def extract(pages: DataFrame, kind: str, version: str, own_codes: Sequence[str]
     pages = pages if "file_path" in pages.columns else pages.withColumn("file_path", F.col("file_name"))
     named = pages.select("file_path", "file_name").distinct()
     if kind == "imp":
-        out = first_by_page(pages.select("file_path", "page_no", *fields(kind, version)), "file_path", "page_no")
+        out = first_by_page(read_fields(pages, kind, version, ["file_path", "page_no"]), "file_path", "page_no")
     else:
         n = pages.groupBy("file_path").agg(F.max("page_no").alias("pages_scanned"))
-        out = full_text(pages, "file_path", "page_no", "text").select("file_path", *fields(kind, version, own_codes=own_codes)).join(n, "file_path")
+        out = read_fields(full_text(pages, "file_path", "page_no", "text"), kind, version, ["file_path"], own_codes=own_codes).join(n, "file_path")
         if version == "V1":
             out = out.withColumn("date_raw", F.col("date")).withColumn("date", F.coalesce(_iso(printed_date("date_raw")), F.col("date")))
     whole = F.forall(F.array(*[F.coalesce(F.col(n) != "", F.lit(False)) for n in NAMES]), lambda x: x)

@@ -225,7 +225,7 @@ class Engine:
             # files that lack a field go on to the next page, if they have had this one
             for v in ("V1", "V2"):
                 has = [F.col(n).isNotNull().alias(n) for n in extract.NAMES]
-                known.append(got.where(F.col("version") == v).select("file_path", *extract.fields(kind, v)).select("file_path", *has))
+                known.append(extract.read_fields(got.where(F.col("version") == v), kind, v, ["file_path"]).select("file_path", *has))
             every = known[-2].union(known[-1]) if len(known) == 2 else self.spark.read.parquet(f"{fresh}/known-{k - 1}").union(known[-2]).union(known[-1])
             every.groupBy("file_path").agg(*[F.max(n).alias(n) for n in extract.NAMES]).write.parquet(f"{fresh}/known-{k}")
             whole = self.spark.read.parquet(f"{fresh}/known-{k}").where(" AND ".join(extract.NAMES)).select("file_path")

@@ -202,7 +202,7 @@ def _text(*lines) -> F.Column:
 
 
 def _read(df: DataFrame, kind: str, version: str, body: F.Column) -> DataFrame:
-    return df.select("id", body.alias("text")).select("id", *extract.fields(kind, version))
+    return extract.read_fields(df.select("id", body.alias("text")), kind, version, ["id"])
 
 
 @query(f"WITH {_MESSAGE} SELECT id, code AS receiver, strftime(fecha_key, '%Y-%m-%d') AS date, {_EU} AS amount, name AS beneficiary FROM message")
