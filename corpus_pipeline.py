@@ -47,7 +47,7 @@ def bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     The executors' memory has grown with the stages before, so the workers' caches are smaller than in a query alone."""
     import public_tokenizers
 
-    return token_digests(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN, scale=0.3)
+    return token_digests(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN, scale=0.15)
 
 
 STAGES = [
