@@ -10,7 +10,7 @@ from tests.llm.test_text_ops import brute_hits  # noqa: E402
 
 
 def test_names():
-    assert [n.split("_")[0] for n in QUERIES] == [f"op{k}" for k in range(1, 11)]
+    assert [n.split("_")[0] for n in QUERIES] == [f"op{k}" for k in range(1, 14)]
     assert set(ORACLE_SQL) == {"op1_url_filters", "op2_warc_revisits", "op8_decontamination", "op9_exact_dedup", "op11_peak_concurrency", "op13_importance"}
 
 
