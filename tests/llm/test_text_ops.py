@@ -189,6 +189,33 @@ def naive_pieces(words, s, templates):
     return out
 
 
+def naive_chain(pieces, sizes):
+    """Each piece follows, of all chains of its template that end just before it in text and template, the one with most
+    words, the first begun on ties; all chains are looked at for each piece."""
+    chains = []
+    for a, b, t, at in sorted(set(pieces), key=lambda p: (p[2], p[0], p[1], p[3])):
+        before = [c for c in chains if c[-1][2] == t and 0 <= a - c[-1][1] <= license_scan.MOST_GAP and 0 <= at - c[-1][3] - (c[-1][1] - c[-1][0]) <= license_scan.MOST_GAP]
+        size = lambda c: sum(x[1] - x[0] for x in c)
+        if before:
+            max(before, key=size).append((a, b, t, at))
+        else:
+            chains.append([(a, b, t, at)])
+    return sorted((c[0][2], c[0][0], c[-1][1], sum(x[1] - x[0] for x in c) / sizes[c[0][2]]) for c in chains)
+
+
+@pytest.mark.parametrize("seed", range(20))
+def test_licence_chains_by_brute_force(seed):
+    """Pieces anywhere, that overlap, repeat, touch, and are just too far apart."""
+    rng = random.Random(seed)
+    s = license_scan.Scanner((("x y", "x"),), (("a b c d e f g h i j k l", "p"), ("a b c q r s t u v w", "q")))
+    for _ in range(60):
+        pieces = []
+        for _ in range(rng.randrange(25)):
+            a, n = rng.randrange(40 + 3 * seed), rng.randrange(3, 7)
+            pieces.append((a, a + n, 1 + rng.randrange(2), rng.choice([rng.randrange(9), max(0, a - 20), a % 12])))
+        assert s.chain(pieces) == naive_chain(pieces, s.sizes)
+
+
 def test_licence_pieces_by_brute_force():
     base, rng = (("a b", "ab"), ("c", "c")), random.Random(2)
     templates = [(" ".join(rng.choice("abcde") for _ in range(rng.randrange(3, 25))), f"t{k}") for k in range(6)]
