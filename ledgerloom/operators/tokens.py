@@ -81,3 +81,24 @@ def peel(names: DataFrame, index: DataFrame, keys: Sequence[str] = (), ratio: fl
 
 def has_all(words: Column, some: Column) -> Column:
     return F.forall(some, lambda t: F.array_contains(words, t))
+
+
+def match_pairs(sources: DataFrame, details: DataFrame, ratio: float = RATIO, least: int = OVERLAP) -> DataFrame:
+    """(source, detail) of the sources (source, st) and details (detail, dt) that match. They meet on the rarer of a
+    source's first two words, both of which the detail must have."""
+    index = details.withColumn("word", F.explode(F.array_distinct("dt")))
+    often = index.groupBy("word").agg(F.count("*").alias("n"))
+    two = sources.withColumn("two", F.array_distinct(F.slice("st", 1, 2))).withColumn("word", F.explode("two")).join(often, "word")
+    lead = two.groupBy("source", "st").agg(F.min_by("word", F.struct("n", "word")).alias("word"), F.count("*").alias("has"), F.max(F.size("two")).alias("k"))
+    both = lead.where("has = k").select("source", "st", "word").join(index, "word")
+    return both.where(tokens_match(F.col("st"), F.col("dt"), ratio, least)).select("source", "detail")
+
+
+def positional_pairs(sources: DataFrame, details: DataFrame, n: int = 2, least: int = OVERLAP, ratio: float = RATIO) -> DataFrame:
+    """(source, detail, score) of the sources (source, st) and details (detail, dt) that match by position. They meet
+    on as many first words as both must have in common."""
+    k = max(1, min(n, least))
+    head = lambda df, words: df.withColumn("head", F.slice(words, 1, k)).where(F.size("head") == k)
+    st, dt = F.col("st"), F.col("dt")
+    both = head(sources, "st").join(head(details, "dt"), "head").where(positional_match(st, dt, n, least, ratio))
+    return both.select("source", "detail", set_ratio(st, dt).alias("score"))

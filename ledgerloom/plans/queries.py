@@ -403,9 +403,7 @@ _PAIRS = """WITH names AS (SELECT DISTINCT p_name || ' ' || lower(p_type) AS nam
 WHERE (len(a.w) = 1 OR (list_contains(b.w, a.w[2]) AND len(list_filter(a.w, lambda x: list_contains(b.w, x))) >= 2 AND len(list_filter(a.w, lambda x: list_contains(b.w, x))) / len(a.w) >= 0.6))""")
 def e_tokens_match(spark: SparkSession, d: str) -> DataFrame:
     n = v.table(spark, d, "part").select(F.concat("p_name", F.lit(" "), F.lower("p_type")).alias("name")).distinct()
-    a = n.select(F.col("name").alias("source"), text.meaningful_tokens("name").alias("st")).withColumn("word", F.element_at("st", 1))
-    b = n.select(F.col("name").alias("detail"), text.tokens("name").alias("dt")).withColumn("word", F.explode(F.array_distinct("dt")))
-    return a.join(b, "word").where(tokens.tokens_match(F.col("st"), F.col("dt"))).select("source", "detail")
+    return tokens.match_pairs(n.select(F.col("name").alias("source"), text.meaningful_tokens("name").alias("st")), n.select(F.col("name").alias("detail"), text.tokens("name").alias("dt")))
 
 
 @query(f"""{_PAIRS} SELECT a.name AS source, b.name AS detail, round(len(list_intersect(a.w, b.w)) / len(list_distinct(a.w)), 6) AS score FROM t a JOIN t b ON a.w[1] = b.w[1]
@@ -413,10 +411,8 @@ WHERE a.w[1:least(2, len(a.w), len(b.w))] = b.w[1:least(2, len(a.w), len(b.w))]
 def e_tokenmatcher(spark: SparkSession, d: str) -> DataFrame:
     n = v.table(spark, d, "part").select(F.concat("p_name", F.lit(" "), F.lower("p_type")).alias("name")).distinct()
     words = F.split(text.normalize_text("name"), " ")
-    a = n.select(F.col("name").alias("source"), words.alias("st")).withColumn("word", F.element_at("st", 1))
-    b = n.select(F.col("name").alias("detail"), words.alias("dt")).withColumn("word", F.element_at("dt", 1))
-    st, dt = F.col("st"), F.col("dt")
-    return a.join(b, "word").where(tokens.positional_match(st, dt)).select("source", "detail", F.round(tokens.set_ratio(st, dt), 6).alias("score"))
+    pairs = tokens.positional_pairs(n.select(F.col("name").alias("source"), words.alias("st")), n.select(F.col("name").alias("detail"), words.alias("dt")))
+    return pairs.select("source", "detail", F.round("score", 6).alias("score"))
 
 
 _CASCADE = f"""WITH {v.MSGS}, {v.LEDGER},

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ledgerloom.functions.text import meaningful_tokens, text_key, tokens
 from ledgerloom.operators import argmax, cascade, records
-from ledgerloom.operators.tokens import peel, tokens_match
+from ledgerloom.operators.tokens import match_pairs, peel, positional_match, positional_pairs, tokens_match
 
 PAIRS = [
     ("acme textiles", "pago acme textiles", True), ("textiles acme", "acme textiles", True), ("acme textiles norte", "acme textiles", True),
@@ -131,6 +131,19 @@ def test_few_candidates(spark, shape):
     assert got == {tuple(a): sum(a[0] in b and a[1] in b and sum(t in b for t in a) >= max(2, 0.6 * len(a)) for b in split) for a in split}
 
 
+@pytest.mark.parametrize("n, least", [(2, 2), (1, 1), (3, 2), (2, 1)])
+def test_pairs_by_definition(spark, n, least):
+    """The joins against the predicates on all pairs."""
+    rng = random.Random(n * 7 + least)
+    words = ["banco", "banco", "de", "la", "sur", *[f"c{k}" for k in range(9)]]
+    some = lambda p: spark.createDataFrame([(f"{p}{k}", phrase(rng, words, 5)) for k in range(80)] + [(f"{p}x", [])], "k string, w array<string>")
+    a, b = some("a").toDF("source", "st"), some("b").toDF("detail", "dt")
+    every, st, dt = a.hint("broadcast").join(b, F.lit(True)), F.col("st"), F.col("dt")
+    rows = lambda df: sorted((r.source, r.detail) for r in df.collect())
+    assert rows(match_pairs(a, b, least=least)) == rows(every.where(tokens_match(st, dt, least=least)))
+    assert rows(positional_pairs(a, b, n, least)) == rows(every.where(positional_match(st, dt, n, least)))
+
+
 def test_no_tolerance(spark):
     """A tolerance of 0 takes equal amounts alone."""
     day = datetime.date(2025, 5, 1)
