@@ -29,6 +29,8 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--overwrite", action="store_true", help="extracted tables hold the last run's files only")
     p.add_argument("--year", type=int, default=d.year, help="the year of month and day folders")
     p.add_argument("--cutover", type=date.fromisoformat, default=d.cutover, help="first day of the second layout")
+    p.add_argument("--waiting", action="store_true", help="only show the files that a run would read")
+    p.add_argument("--export", metavar="FOLDER", help="write the complete records and the upload there as CSV, too")
     p.add_argument("--log", help="a log file, rotated daily")
     return p
 
@@ -51,8 +53,16 @@ def main(argv: list[str] | None = None) -> int:
         handlers.append(TimedRotatingFileHandler(args.log, when="midnight", backupCount=30, encoding="utf-8"))
     logging.basicConfig(level=logging.INFO, format="%(levelname)s %(name)s: %(message)s", handlers=handlers)
     spark = SparkSession.builder.appName("ledgerloom").getOrCreate()
-    result = Engine(spark, config_of(args)).run(args.mode, args.kind, args.forzar, ask if args.confirmar else None)
+    engine = Engine(spark, config_of(args))
+    if args.waiting:
+        for r in engine.waiting(args.kind).toLocalIterator():
+            print(r["file_date"], r["version"], r["path"])
+        return 0
+    result = engine.run(args.mode, args.kind, args.forzar, ask if args.confirmar else None)
     print(result.summary())
+    for name in ("complete", "template") if args.export else ():
+        if engine.table(name, args.kind) is not None:
+            engine.export(name, args.kind, f"{args.export}/{args.kind}-{name}")
     return 1 if result.warnings else 0
 
 

@@ -33,7 +33,7 @@ from ledgerloom.config import Config
 from ledgerloom.functions.ids import display_name, record_id
 from ledgerloom.operators import argmax, cascade, extract, fuzzy, records
 from ledgerloom.schema import ERROR, FINAL, HISTORY, MANIFEST, conform
-from ledgerloom.sources import files
+from ledgerloom.sources import files, sinks
 from ledgerloom.sources.pages import read_pages
 from ledgerloom.sources.tabular import exists, mail_rows, read_sheet, registry_map
 from ledgerloom.sources.versions import MANY, State, Versions
@@ -187,21 +187,33 @@ class Engine:
             pages = pages if "file_path" in pages.columns else pages.withColumn("file_path", F.col("file_name"))
             (pages if done is None else records.pending(pages, done)).write.parquet(f"{fresh}/pages")
             return self.spark.read.parquet(f"{fresh}/pages")
-        folder = self.path("files", kind)
-        return self._read_files(kind, folder, fresh, done) if exists(self.spark, folder) else None
+        return self._read_files(kind, fresh, done) if exists(self.spark, self.path("files", kind)) else None
 
     def _contents(self, paths: list[str]) -> DataFrame:
         """The named files. Their names pass through the driver, as do those of all files that Spark lists."""
         plain = [re.sub(r"([\[\]{}*?\\\\])", r"\\\1", p) for p in paths]
         return self.spark.read.format("binaryFile").load(plain) if plain else self.spark.createDataFrame([], _FILE)
 
-    def _read_files(self, kind: str, folder: str, fresh: str, done: DataFrame | None) -> DataFrame:
-        c, seen = self.config, self.table("seen", kind)
-        listing = files.list_files(self.spark, folder).select("path", "modificationTime", "length")
+    def _unread(self, kind: str) -> DataFrame:
+        c, seen, done = self.config, self.table("seen", kind), self.table("manifest", kind)
+        listing = files.list_files(self.spark, self.path("files", kind)).select("path", "modificationTime", "length")
         found = files.route(listing, "path", kind, F.lit(c.year), c.cutover.isoformat(), c.earliest_file.isoformat())
-        if done is not None and seen is not None:
-            found = records.unread(found, seen, done)
-        found = found.select("path", "file_name", "version").collect()
+        return found if done is None or seen is None else records.unread(found, seen, done)
+
+    def waiting(self, kind: str) -> DataFrame:
+        """(file_date, file_name, version, path) of the files that the next run will read, in order."""
+        return files.in_order(self._unread(kind)).select("file_date", "file_name", "version", "path")
+
+    def export(self, name: str, kind: str, path: str, form: str = "csv") -> None:
+        """A table for other programs; a table that isn't there is an error."""
+        df = self.table(name, kind)
+        if df is None:
+            raise ValueError(f"no table {name} of {kind}")
+        sinks.export(df, path, form)
+
+    def _read_files(self, kind: str, fresh: str, done: DataFrame | None) -> DataFrame:
+        c, seen = self.config, self.table("seen", kind)
+        found = self._unread(kind).select("path", "file_name", "version").collect()
         names = self.spark.createDataFrame([tuple(r) for r in found], "file_path string, file_name string, version string")
         held = records.with_md5(self._contents([r["path"] for r in found])).select(F.col("path").alias("file_path"), "length", "modificationTime", "content_md5")
         names.join(held, "file_path").write.parquet(f"{fresh}/held")

@@ -8,7 +8,7 @@ import uuid
 import pytest
 from pyspark.sql import functions as F
 
-from ledgerloom.cli import config_of, parser
+from ledgerloom.cli import config_of, main, parser
 from ledgerloom.config import Config
 from ledgerloom.plans.engine import Engine
 from ledgerloom.plans.queries import ORACLE_SQL, QUERIES
@@ -255,6 +255,25 @@ def test_options():
     assert config_of(parser().parse_args(["ocr", "imp", "--account", "1", "--root", "."])) == Config(account="1")
 
 
+def test_command_line(spark, tmp_path, capsys):
+    """What waits is shown in order and not read; a run exports its tables; a log file is written."""
+    for d, name in (("27 NOVIEMBRE", "b.pdf"), ("10 NOVIEMBRE", "z.pdf"), ("10 NOVIEMBRE", "a.pdf")):
+        day = tmp_path / "imp" / "files" / "NOVIEMBRE" / d
+        day.mkdir(parents=True, exist_ok=True)
+        (day / name).write_text(V2 if name == "b.pdf" else V1 + name)
+    base = ["completo", "imp", "--account", "77", "--root", str(tmp_path)]
+    assert main([*base, "--waiting"]) == 0
+    shown = [line.split() for line in capsys.readouterr().out.splitlines()]
+    assert [(x[0], x[1], x[-1].rpartition("/")[2]) for x in shown] == [("2025-11-10", "V1", "a.pdf"), ("2025-11-10", "V1", "z.pdf"), ("2025-11-27", "V2", "b.pdf")]
+    assert main([*base, "--export", f"{tmp_path}/out", "--log", f"{tmp_path}/run.log"]) == 1  # there is no ledger
+    assert "complete: 3" in capsys.readouterr().out and (tmp_path / "run.log").exists()
+    rows = spark.read.option("header", "true").csv(f"{tmp_path}/out/imp-template").collect()
+    assert {r["Cuenta compensación"] for r in rows} == {"77"} and spark.read.option("header", "true").csv(f"{tmp_path}/out/imp-complete").count() == 3
+    assert main([*base, "--waiting"]) == 0 and capsys.readouterr().out == ""
+    with pytest.raises(ValueError, match="no table"):
+        Engine(spark, Config(account="1", root=str(tmp_path))).export("manual", "exp", f"{tmp_path}/x")
+
+
 def test_confirm(spark, tmp_path):
     root, engine = f"{tmp_path}/imp", Engine(spark, Config(account="0", root=str(tmp_path)))
     cols = "id string, `Nombre archivo` string, Receiver string, Date string, Amount string, Proveedor string, Pais string, Ciudad string, `Nombre personalizado` string, Estado string, Formulario string, Llave string, Version string"
