@@ -22,7 +22,7 @@ from collections.abc import Callable, Iterator
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.functions.text import col, normalize_name
+from ledgerloom.functions.text import col, let, normalize_name
 from ledgerloom.operators.argmax import best_fuzzy, keep_first, token_set
 
 #: Below this threshold texts needn't have grams in common, and every name meets every choice.
@@ -37,7 +37,7 @@ def _grams(words: Column) -> Column:
     """Grams of all words, each with how many equal ones stand before it."""
     three = lambda w: F.transform(F.sequence(F.lit(1), F.char_length(w) + 2), lambda i: F.substring(F.concat(F.lit("  "), w, F.lit("  ")), i, 3))
     every = F.array_sort(F.flatten(F.transform(words, three)))
-    return F.transform(every, lambda g, i: F.concat(g, (i - F.array_position(every, g)).cast("string")))
+    return let(every, lambda gs: F.transform(gs, lambda g, i: F.concat(g, (i - F.array_position(gs, g)).cast("string"))))
 
 
 def _texts(norms: DataFrame) -> DataFrame:
