@@ -41,10 +41,10 @@ def _grams(words: Column) -> Column:
 
 
 def _texts(norms: DataFrame) -> DataFrame:
-    """(norm, words, len, spaces, grams, b0.., n_bits) of distinct normalised texts."""
+    """(norm, words, len, grams, b0.., lost) of distinct normalised texts."""
     words = F.array_sort(F.array_distinct(F.filter(F.split("norm", " "), lambda w: w != "")))
     t = norms.select("norm", words.alias("words")).where(F.size("words") > 0)
-    t = t.withColumns({"len": F.char_length(F.array_join("words", " ")), "spaces": F.size("words") - 1, "grams": _grams(F.col("words"))})
+    t = t.withColumns({"len": F.char_length(F.array_join("words", " ")), "grams": _grams(F.col("words"))})
     spot = lambda g: F.pmod(F.xxhash64(g), F.lit(64 * WORDS)).cast("int")
     spots = t.withColumn("spots", F.array_distinct(F.transform("grams", spot)))
     one = F.lit(1).cast("long")
@@ -52,15 +52,13 @@ def _texts(norms: DataFrame) -> DataFrame:
     return spots.withColumns({f"b{k}": bits(k) for k in range(WORDS)}).withColumn("lost", F.size("grams") - F.size("spots")).drop("spots")
 
 
-def _least_common(l1: Column, l2: Column, c: float, s1: Column | int = 0, s2: Column | int = 0) -> Column:
-    """Grams that texts of l1 and l2 characters with s1 and s2 blanks have in common at least; negative if their lengths
-    are too different."""
+def _least_common(l1: Column, l2: Column, c: float) -> Column:
+    """Grams that texts of l1 and l2 characters have in common at least; negative if their lengths are too different."""
     ind = F.floor(F.lit(c) * (l1 + l2) + 1e-9)
     d1 = F.floor((ind + l1 - l2) / 2)
     d2 = d1 - l1 + l2
-    blanks = lambda s, d: s - F.least(s, d) if isinstance(s, Column) else F.lit(0)
-    own = lambda n, s, d, i: n + 2 + blanks(s, d) - 3 * d - 2 * i
-    return F.when((d1 < 0) | (d2 < 0), -1).otherwise(F.greatest(own(l1, s1, d1, d2), own(l2, s2, d2, d1)))
+    own = lambda n, d, i: n + 2 - 3 * d - 2 * i
+    return F.when((d1 < 0) | (d2 < 0), -1).otherwise(F.greatest(own(l1, d1, d2), own(l2, d2, d1)))
 
 
 def _rarest(texts: DataFrame, each: str, often: DataFrame) -> DataFrame:
@@ -106,9 +104,12 @@ def candidates(left: DataFrame, right: DataFrame, threshold: float) -> DataFrame
     worded = worded.where(F.greatest(share(x("len")), share(y("len"))) >= F.lit(threshold - 1e-9))
     # by characters: bits in common, but for grams that share a bit
     bits = sum((F.bit_count(x(f"b{k}").bitwiseAND(y(f"b{k}"))) for k in range(WORDS)), F.lit(0))
-    need = _least_common(x("len"), y("len"), c, x("spaces"), y("spaces"))
-    spelled = meet(_prefix(a, grams, c), _prefix(b, grams, c), ["len", "spaces", "lost", *(f"b{k}" for k in range(WORDS))])
-    spelled = spelled.where((need >= 0) & (bits >= need - F.least(x("lost"), y("lost"))))
+    # _least_common() by the sum of lengths, in a few operations: longer code isn't compiled, and it runs for each pair
+    spelled = meet(_prefix(a, grams, c), _prefix(b, grams, c), ["len", "lost", *(f"b{k}" for k in range(WORDS))])
+    size = x("len") + y("len")
+    ind = F.floor(F.lit(c) * size + 1e-9)
+    ind = ind - (ind + size) % 2  # lengths and edits are both even or both odd
+    spelled = spelled.where((F.abs(x("len") - y("len")) <= ind) & (bits + F.least(x("lost"), y("lost")) >= 2 + 0.5 * size - 2.5 * ind))
     both = [p.select(x("norm").alias("x"), y("norm").alias("y")) for p in (worded, spelled)]
     return both[0].union(both[1]).distinct()
 
