@@ -1,11 +1,10 @@
-"""Text: keys, tokens, names (all built-in expressions but fold_exact)."""
+"""Text: keys, tokens, names (all built-in expressions)."""
 
 from __future__ import annotations
 
 import unicodedata
 from functools import reduce
 
-import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -64,41 +63,86 @@ def lines(c: str | Column) -> Column:
     return F.filter(F.transform(F.split(even, rf"[{_BREAKS}]+"), lambda x: F.trim(x)), lambda x: x != "")
 
 
-def _fold_table() -> tuple[str, str]:
-    one = {}
-    for code in (*range(0xA0, 0x1100), *range(0x1E00, 0x10000)):
-        if 0xAC00 <= code < 0xE000:  # Hangul, whose syllables are several letters, and surrogates
-            continue
-        bare = "".join(x for x in unicodedata.normalize("NFKD", chr(code)) if not unicodedata.combining(x))
-        if len(bare) == 1 and bare != chr(code):
-            one[chr(code)] = bare
-    return "".join(one), "".join(one.values())
+def _changes(f) -> tuple[str, str, str, list[str]]:
+    """What f does to single characters: those that become another one and that one, those that become several or none,
+    and what they become. Hangul syllables and surrogates aren't among them."""
+    one, many = {}, {}
+    for code in (*range(0x80, 0xAC00), *range(0xE000, 0x110000)):
+        to = f(chr(code))
+        if to != chr(code):
+            (one if len(to) == 1 else many)[chr(code)] = to
+    return "".join(one), "".join(one.values()), "".join(many), list(many.values())
 
 
-_ACCENTED, _BARE = _fold_table()
+def _bare(x: str) -> str:
+    return "".join(k for k in unicodedata.normalize("NFKD", x) if not unicodedata.combining(k))
+
+
+_ACCENTED, _BARE, _several, _apart = _changes(_bare)
 #: Characters without a match in the second text of translate() are deleted.
-_MARKS = "".join(c for c in map(chr, range(0x300, 0x10000)) if unicodedata.combining(c))
+_MARKS = "".join(k for k, to in zip(_several, _apart) if not to)
+_JOINED, _PARTS = "".join(k for k, to in zip(_several, _apart) if to), [to for to in _apart if to]
+_CASED, _FOLDED, _CASED_JOINED, _CASED_PARTS = _changes(str.casefold)
+_ASCII = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+#: The first letters of each row of Hangul, which make its syllables by arithmetic.
+_SYLLABLE, _LEAD, _VOWEL, _TAIL = 0xAC00, 0x1100, 0x1161, 0x11A8
+_VOWELS, _TAILS = 21, 27
 
 
-def fold(c: str | Column) -> Column:
-    """Characters that decompose to one letter and accents as that letter. Others, such as ligatures and Hangul, stay
-    as they are here; fold_exact() takes them apart as well."""
-    return F.translate(col(c), _ACCENTED + _MARKS, _BARE)
+def _row(first: int, n: int) -> str:
+    return "".join(map(chr, range(first, first + n)))
+
+
+def _letters(x: Column) -> Column:
+    """The two or three letters of a Hangul syllable."""
+    n = F.ascii(x) - _SYLLABLE
+    tail = n % (_TAILS + 1)
+    at = lambda first, size, k: F.substr(F.lit(_row(first, size)), k + 1, F.lit(1))
+    lead = at(_LEAD, 19, F.floor(n / (_VOWELS * (_TAILS + 1))).cast("int"))
+    vowel = at(_VOWEL, _VOWELS, F.floor(n / (_TAILS + 1)).cast("int") % _VOWELS)
+    return F.concat(lead, vowel, F.when(tail > 0, at(_TAIL, _TAILS, tail - 1)).otherwise(""))
+
+
+def _ranges(joined: str, gap: int = 64) -> str:
+    """A few ranges for a pattern that hold all characters of joined, and some between them; patterns try each range."""
+    codes = sorted(map(ord, joined))
+    ends = [k for k in range(1, len(codes)) if codes[k] - codes[k - 1] > gap]
+    return "".join(f"{chr(codes[a])}-{chr(codes[b - 1])}" for a, b in zip([0, *ends], [*ends, len(codes)]))
 
 
-def fold_exact(c: str | Column) -> Column:
-    """As fold(), for all of Unicode, by an Arrow function."""
+def _spread(c: Column, joined: str, parts: list[str], hangul: bool) -> Column:
+    """Each character of joined as its part, and Hangul syllables as their letters; only texts that may hold one are cut."""
+    some = _ranges(joined) + ("가-힣" if hangul else "")
+    become = F.split(F.lit("\x00".join(parts)), "\x00")
+
+    def part(x: Column) -> Column:
+        place = F.instr(F.lit(joined), x)
+        to = F.when(F.length(x) > 1, x).when(place > 0, F.get(become, place - 1)).otherwise(x)
+        return F.when((F.length(x) == 1) & x.between("가", "힣"), _letters(x)).otherwise(to) if hangul else to
+
+    cut = lambda x: F.array_join(F.transform(F.regexp_extract_all(x, F.lit(f"([{some}]|[^{some}]+)"), 1), part), "")
+    return let(c, lambda x: F.when(x.rlike(f"[{some}]"), cut(x)).otherwise(x))
+
+
+def _unless_ascii(c: Column, simple, full) -> Column:
+    return let(c, lambda x: F.when(F.length(x) == F.octet_length(x), simple(x)).otherwise(full(x)))
+
+
+def fold(c: str | Column) -> Column:
+    """As NFKD without combining marks, for all of Unicode: characters that are one letter and marks, or another form
+    of one, by translate(); ligatures, fractions, units and the like by a table of what they consist of; Hangul by
+    arithmetic."""
+    return _unless_ascii(col(c), lambda x: x, lambda x: _spread(F.translate(x, _ACCENTED + _MARKS, _BARE), _JOINED, _PARTS, True))
 
-    @F.pandas_udf("string")
-    def nfkd(s: pd.Series) -> pd.Series:
-        return s.map(lambda x: None if x is None else "".join(k for k in unicodedata.normalize("NFKD", x) if not unicodedata.combining(k)))
 
-    return nfkd(col(c))
+def case_fold(c: str | Column) -> Column:
+    """Full case folding, for all of Unicode: what is one letter by translate(), sharp s and the like by a table."""
+    return _unless_ascii(col(c), F.lower, lambda x: _spread(F.translate(x, _ASCII + _CASED, _ASCII.lower() + _FOLDED), _CASED_JOINED, _CASED_PARTS, False))
 
 
-def normalize_text(c: str | Column, exact: bool = False) -> Column:
+def normalize_text(c: str | Column) -> Column:
     """B1: squashed, without accents, upper case; null as empty."""
-    return F.upper(squash((fold_exact if exact else fold)(F.coalesce(col(c), F.lit("")))))
+    return F.upper(squash(fold(F.coalesce(col(c), F.lit("")))))
 
 
 def normalize_text_key(c: str | Column) -> Column:
@@ -108,7 +152,7 @@ def normalize_text_key(c: str | Column) -> Column:
 
 def text_key(c: str | Column) -> Column:
     """Squashed and case-folded; accents stay; null as empty."""
-    return F.replace(F.lower(squash(F.coalesce(col(c), F.lit("")))), F.lit("ß"), F.lit("ss"))
+    return case_fold(squash(F.coalesce(col(c), F.lit(""))))
 
 
 def tokens(c: str | Column) -> Column:

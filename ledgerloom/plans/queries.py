@@ -58,6 +58,17 @@ def b_fold_accents(spark: SparkSession, d: str) -> DataFrame:
     return v.table(spark, d, "documents").select("doc_id", F.md5(text.normalize_text("text")).alias("folded_md5"), F.md5(text.normalize_text_key("text")).alias("folded_key_md5"))
 
 
+@query(f"""SELECT doc_id, md5({_key('text')} || ' σασ') AS key_md5,
+  md5(upper(replace(strip_accents({_squash('text')}), 'ß', 'ss')) || ' ' || chr(4352) || chr(4449) || chr(4520) || ' 1' || chr(8260) || '2') AS folded_md5 FROM documents""")
+def b_unicode_forms(spark: SparkSession, d: str) -> DataFrame:
+    """B1/B3 on texts whose letters are joined: ligatures, sharp s, units, a final sigma, Hangul and a fraction."""
+    x = F.col("text")
+    for pair, one in (("ss", "ß"), ("ffi", "ﬃ"), ("fi", "ﬁ"), ("fl", "ﬂ")):
+        x = F.replace(x, F.lit(pair), F.lit(one))
+    units = F.replace(F.replace(F.col("text"), F.lit("fi"), F.lit("ﬁ")), F.lit("km"), F.lit("㎞"))
+    return v.table(spark, d, "documents").select("doc_id", F.md5(text.text_key(F.concat(x, F.lit(" ΣΑΣ")))).alias("key_md5"), F.md5(text.normalize_text(F.concat(units, F.lit(" 각 ½")))).alias("folded_md5"))
+
+
 @query(f"""WITH n AS (SELECT s_suppkey AS id, 'Ácme ' || s_name || CASE s_suppkey % 4 WHEN 0 THEN ' Ltd. China' WHEN 1 THEN ' S.A.S.' WHEN 2 THEN ' GmbH' ELSE '' END AS x FROM supplier),
 b AS (SELECT id, trim(regexp_replace(regexp_replace(upper(strip_accents(x)), '[^A-Z0-9]', ' ', 'g'), ' +', ' ', 'g')) AS y FROM n)
 SELECT id, coalesce(nullif(array_to_string(list_filter(string_split(y, ' '), lambda w: w NOT IN ({", ".join(f"'{w}'" for w in (*text.LEGAL, *text.COUNTRIES))})), ' '), ''), y) AS name FROM b""")

@@ -1,4 +1,5 @@
 import datetime
+import unicodedata
 import uuid
 
 import pytest
@@ -75,8 +76,14 @@ def test_schema(spark):
 
 
 def test_folding(spark):
-    """By column and by the Arrow function: the same but for characters that are several letters."""
-    texts = ["Ñandú Ǟ ệ Ά Й", "e\u0301\u0327", "ﬁ ½", "日本 가", None, ""]
-    assert one(spark, text.fold, texts) == ["Nandu A e Α И", "e", "ﬁ ½", "日本 가", None, ""]
-    assert one(spark, text.fold_exact, texts[:4]) == ["Nandu A e Α И", "e", "fi 1⁄2", "日本 \u1100\u1161"]
-    assert one(spark, lambda c: text.normalize_text(c, exact=True), [" ﬁ  x", None]) == ["FI X", ""]
+    """B1 and B3, on every character that there is, by the definitions in the standard library."""
+    texts = ["Ñandú Ǟ ệ Ά Й", "e\u0301\u0327", "ﬁ ½", "日本 가각", None, ""]
+    assert one(spark, text.fold, texts) == ["Nandu A e Α И", "e", "fi 1⁄2", "日本 \u1100\u1161\u1100\u1161\u11a8", None, ""]
+    assert one(spark, text.text_key, ["Straße ΣΑΣ ŉ ﬃ İ", None, "  "]) == ["strasse σασ ʼn ffi i̇", "", ""]
+    assert one(spark, text.normalize_text, [" ﬁ  x", None]) == ["FI X", ""]
+    every = [chr(c) for c in range(1, 0x110000) if not 0xD800 <= c < 0xE000]
+    blocks = ["".join(every[k : k + 256]) for k in range(0, len(every), 256)]
+    bare = ["".join(k for k in unicodedata.normalize("NFKD", x) if not unicodedata.combining(k)) for x in blocks]
+    assert one(spark, text.fold, blocks) == bare and one(spark, text.case_fold, blocks) == [x.casefold() for x in blocks]
+    plan = spark.range(1).select(text.fold(F.lit("x")), text.text_key(F.lit("x")))._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Arrow" not in plan
