@@ -31,6 +31,7 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--cutover", type=date.fromisoformat, default=d.cutover, help="first day of the second layout")
     p.add_argument("--waiting", action="store_true", help="only show the files that a run would read")
     p.add_argument("--export", metavar="FOLDER", help="write the complete records and the upload there as CSV, too")
+    p.add_argument("--workbook", metavar="FILE", help="write them as sheets of this workbook (.xlsx), whose other sheets stay")
     p.add_argument("--log", help="a log file, rotated daily")
     return p
 
@@ -60,9 +61,13 @@ def main(argv: list[str] | None = None) -> int:
         return 0
     result = engine.run(args.mode, args.kind, args.forzar, ask if args.confirmar else None)
     print(result.summary())
-    for name in ("complete", "template") if args.export else ():
-        if engine.table(name, args.kind) is not None:
+    for name in ("complete", "template"):
+        if engine.table(name, args.kind) is None:
+            continue
+        if args.export:
             engine.export(name, args.kind, f"{args.export}/{args.kind}-{name}")
+        if args.workbook:
+            engine.export(name, args.kind, args.workbook, "xlsx")
     return 1 if result.warnings else 0
 
 

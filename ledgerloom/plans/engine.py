@@ -205,11 +205,12 @@ class Engine:
         return files.in_order(self._unread(kind)).select("file_date", "file_name", "version", "path")
 
     def export(self, name: str, kind: str, path: str, form: str = "csv") -> None:
-        """A table for other programs; a table that isn't there is an error."""
+        """A table for other programs; a table that isn't there is an error. Form xlsx: the sheet of the table's name
+        in the workbook at path, whose other sheets stay."""
         df = self.table(name, kind)
         if df is None:
             raise ValueError(f"no table {name} of {kind}")
-        sinks.export(df, path, form)
+        sinks.export(df, path, form, name)
 
     def _read_files(self, kind: str, fresh: str, done: DataFrame | None) -> DataFrame:
         c, seen = self.config, self.table("seen", kind)

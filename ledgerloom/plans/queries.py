@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -354,6 +356,19 @@ def a_mail_rows(spark: SparkSession, d: str) -> DataFrame:
     return mail_rows(sheet).select(F.col("Proveedor").cast("long").alias("id"), F.col("Receiver").alias("receiver"), F.col("Date").alias("date"), F.col("Amount").alias("amount"))
 
 
+@query("SELECT vendor_id, name, coalesce(CAST(nation_id AS VARCHAR), 'none') AS nation, balance FROM vendors WHERE vendor_id IS NOT NULL")
+def a_sheets(spark: SparkSession, d: str) -> DataFrame:
+    """Vendors written as a workbook with a sheet for each nation, and read back, a task a sheet."""
+    from ledgerloom.sources import sheets
+
+    sheets.register(spark)
+    path = f"{v.shared(spark)}/vendors-{uuid.uuid4().hex}.xlsx"
+    rows = v.table(spark, d, "vendors").where("vendor_id IS NOT NULL").select("vendor_id", "name", "balance", "nation_id")
+    rows.write.format(sheets.FORMAT).mode("overwrite").option("by", "nation_id").save(path)
+    back = spark.read.format(sheets.FORMAT).option("sheet", "*").schema("vendor_id string, name string, balance string, _sheet string").load(path)
+    return back.select(F.col("vendor_id").cast("long").alias("vendor_id"), "name", F.col("_sheet").alias("nation"), F.col("balance").cast("double").alias("balance"))
+
+
 # --- D: filters and predicates ------------------------------------------------------------------------------------
 
 

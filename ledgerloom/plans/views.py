@@ -12,6 +12,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def shared(spark: SparkSession) -> str:
+    """The folder that driver and executors share: spark.checkpoint.dir, or, where that is unset, the warehouse."""
+    return (spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir() or spark.conf.get("spark.sql.warehouse.dir")).rstrip("/")
+
+
 def msgs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(id, fecha_key, proveedor, amount) of every order; amounts that sums, single rows, other or no rows settle."""
     lines = table(spark, sf_dir, "lineitem").groupBy(F.col("l_orderkey").alias("k")).agg(F.sum("l_extendedprice").alias("total"), F.min("l_extendedprice").alias("least"))

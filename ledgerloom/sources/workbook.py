@@ -11,6 +11,7 @@ import posixpath
 import struct
 import zipfile
 from collections.abc import Iterator
+from typing import IO
 from xml.etree import ElementTree
 
 Row = list[str | None]
@@ -27,8 +28,8 @@ def _number(x: float) -> str:
 class Workbook:
     """Sheets by name, in order; rows(name) yields (number of the row from 1, its cells)."""
 
-    def __init__(self, data: bytes):
-        self.zip = zipfile.ZipFile(io.BytesIO(data))
+    def __init__(self, data: bytes | IO[bytes]):
+        self.zip = zipfile.ZipFile(io.BytesIO(data) if isinstance(data, bytes) else data)
         self.binary = "xl/workbook.bin" in self.zip.namelist()
         end = "bin" if self.binary else "xml"
         targets = {r.get("Id"): r.get("Target", "") for r in ElementTree.fromstring(self.zip.read(f"xl/_rels/workbook.{end}.rels"))}
@@ -150,7 +151,7 @@ def _column(place: str) -> int:
     return n - 1
 
 
-def table_rows(data: bytes, names: list[str], sheet: str | None = None, header_row: int = 1, max_cols: int = 0, order: str = "row_order", strict: bool = False) -> Iterator[tuple]:
+def table_rows(data: bytes | IO[bytes], names: list[str], sheet: str | None = None, header_row: int = 1, max_cols: int = 0, order: str = "row_order", strict: bool = False) -> Iterator[tuple]:
     """The named columns of a sheet below its header row, blank rows left out; the column order is the row's number.
 
     A5: without a name of a sheet, the first one whose header has all columns; if none has, there are no rows, or, if it

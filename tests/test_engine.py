@@ -15,6 +15,7 @@ from ledgerloom.plans.queries import ORACLE_SQL, QUERIES
 from ledgerloom.schema import MANIFEST
 from ledgerloom.sources import files, pages, sinks, tabular
 from ledgerloom.operators import extract, records
+from ledgerloom.sources.workbook import Workbook
 from ledgerloom.streaming.incremental import append_new, event_windows, ingest
 from tests.test_extract import V1, V2
 from tests.test_workbook import xlsb, xlsx
@@ -265,10 +266,13 @@ def test_command_line(spark, tmp_path, capsys):
     assert main([*base, "--waiting"]) == 0
     shown = [line.split() for line in capsys.readouterr().out.splitlines()]
     assert [(x[0], x[1], x[-1].rpartition("/")[2]) for x in shown] == [("2025-11-10", "V1", "a.pdf"), ("2025-11-10", "V1", "z.pdf"), ("2025-11-27", "V2", "b.pdf")]
-    assert main([*base, "--export", f"{tmp_path}/out", "--log", f"{tmp_path}/run.log"]) == 1  # there is no ledger
+    assert main([*base, "--export", f"{tmp_path}/out", "--workbook", f"{tmp_path}/out.xlsx", "--log", f"{tmp_path}/run.log"]) == 1  # there is no ledger
     assert "complete: 3" in capsys.readouterr().out and (tmp_path / "run.log").exists()
     rows = spark.read.option("header", "true").csv(f"{tmp_path}/out/imp-template").collect()
     assert {r["Cuenta compensación"] for r in rows} == {"77"} and spark.read.option("header", "true").csv(f"{tmp_path}/out/imp-complete").count() == 3
+    book = spark.read.format("sheets").option("sheet", "template").load(f"{tmp_path}/out.xlsx")
+    assert [tuple(r) for r in book.drop("row_order").orderBy(*book.columns[1:]).collect()] == sorted(tuple(r) for r in spark.read.option("header", "true").csv(f"{tmp_path}/out/imp-template").collect())
+    assert list(Workbook((tmp_path / "out.xlsx").read_bytes()).sheets) == ["complete", "template"]
     assert main([*base, "--waiting"]) == 0 and capsys.readouterr().out == ""
     with pytest.raises(ValueError, match="no table"):
         Engine(spark, Config(account="1", root=str(tmp_path))).export("manual", "exp", f"{tmp_path}/x")
