@@ -82,8 +82,8 @@ _ACCENTED, _BARE, _several, _apart = _changes(_bare)
 #: Characters without a match in the second text of translate() are deleted.
 _MARKS = "".join(k for k, to in zip(_several, _apart) if not to)
 _JOINED, _PARTS = "".join(k for k, to in zip(_several, _apart) if to), [to for to in _apart if to]
-_CASED, _FOLDED, _CASED_JOINED, _CASED_PARTS = _changes(str.casefold)
-_ASCII = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+#: What case folding changes in letters that are lower case already; it is short, as it stands in every plan with keys.
+_CASED, _FOLDED, _CASED_JOINED, _CASED_PARTS = _changes(lambda x: x.casefold() if x == x.lower() else x)
 #: The first letters of each row of Hangul, which make its syllables by arithmetic.
 _SYLLABLE, _LEAD, _VOWEL, _TAIL = 0xAC00, 0x1100, 0x1161, 0x11A8
 _VOWELS, _TAILS = 21, 27
@@ -136,8 +136,9 @@ def fold(c: str | Column) -> Column:
 
 
 def case_fold(c: str | Column) -> Column:
-    """Full case folding, for all of Unicode: what is one letter by translate(), sharp s and the like by a table."""
-    return _unless_ascii(col(c), F.lower, lambda x: _spread(F.translate(x, _ASCII + _CASED, _ASCII.lower() + _FOLDED), _CASED_JOINED, _CASED_PARTS, False))
+    """Full case folding, for all of Unicode (letters newer than Python's tables by lower case alone): lower case, then final sigma and the like by translate(), sharp s and the
+    like by a table."""
+    return _unless_ascii(F.lower(col(c)), lambda x: x, lambda x: _spread(F.translate(x, _CASED, _FOLDED), _CASED_JOINED, _CASED_PARTS, False))
 
 
 def normalize_text(c: str | Column) -> Column:

@@ -76,12 +76,13 @@ def test_schema(spark):
 
 
 def test_folding(spark):
-    """B1 and B3, on every character that there is, by the definitions in the standard library."""
+    """B1 and B3, on every character that is assigned, by the definitions in the standard library."""
     texts = ["Ñandú Ǟ ệ Ά Й", "e\u0301\u0327", "ﬁ ½", "日本 가각", None, ""]
     assert one(spark, text.fold, texts) == ["Nandu A e Α И", "e", "fi 1⁄2", "日本 \u1100\u1161\u1100\u1161\u11a8", None, ""]
     assert one(spark, text.text_key, ["Straße ΣΑΣ ŉ ﬃ İ", None, "  "]) == ["strasse σασ ʼn ffi i̇", "", ""]
     assert one(spark, text.normalize_text, [" ﬁ  x", None]) == ["FI X", ""]
-    every = [chr(c) for c in range(1, 0x110000) if not 0xD800 <= c < 0xE000]
+    # letters of a later Unicode than the standard library's are lower-cased by Spark
+    every = [chr(c) for c in range(1, 0x110000) if not 0xD800 <= c < 0xE000 and unicodedata.category(chr(c)) != "Cn"]
     blocks = ["".join(every[k : k + 256]) for k in range(0, len(every), 256)]
     bare = ["".join(k for k in unicodedata.normalize("NFKD", x) if not unicodedata.combining(k)) for x in blocks]
     assert one(spark, text.fold, blocks) == bare and one(spark, text.case_fold, blocks) == [x.casefold() for x in blocks]
