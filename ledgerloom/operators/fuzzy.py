@@ -114,10 +114,13 @@ def candidates(left: DataFrame, right: DataFrame, threshold: float) -> DataFrame
     return both[0].union(both[1]).distinct()
 
 
-def fuzzy_matches(names: DataFrame, master: DataFrame, threshold: int = 85, normalize: Callable[[Column], Column] = normalize_name, rounded: bool = False, few: int = FEW) -> DataFrame:
+def fuzzy_matches(names: DataFrame, master: DataFrame, threshold: int = 85, normalize: Callable[[Column], Column] = normalize_name, rounded: bool = False, few: int = FEW, check: Callable[[Column, Column], Column] | None = None) -> DataFrame:
     """(name, choice, score) of the distinct names whose best choice of master (choice, choice_order) scores the
-    threshold or more: the rows of best_fuzzy() from there on, the first choice on ties."""
-    if threshold < LEAST or (few and names.count() * master.count() <= few):
+    threshold or more: the rows of best_fuzzy() from there on, the first choice on ties. Where check is given, only pairs
+    of normalised texts that pass it count, and the best is taken among these."""
+    if check is not None and threshold < LEAST:
+        raise ValueError(f"a check needs a threshold of {LEAST} or more")
+    if check is None and (threshold < LEAST or (few and names.count() * master.count() <= few)):
         return best_fuzzy(names, master, normalize, rounded=rounded).where(F.col("score") >= threshold)
     q = names.select("name").distinct().withColumn("norm", normalize(col("name"))).where("norm <> ''")
     m = keep_first(master.withColumn("norm", normalize(col("choice"))).where("norm <> ''"), "norm", "choice_order").select("norm", "choice", "choice_order")
@@ -131,6 +134,8 @@ def fuzzy_matches(names: DataFrame, master: DataFrame, threshold: int = 85, norm
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array([round(s) if rounded else int(s) for s in shares], pa.int32())], names=["x", "y", "score"])
 
     scored = pairs.mapInArrow(score, "x string, y string, score int").where(F.col("score") >= threshold)
+    if check is not None:
+        scored = scored.where(check(F.col("x"), F.col("y")))
     first = F.max(F.struct("score", (-F.col("choice_order")).alias("o"), "choice")).alias("b")
     best = scored.join(m.withColumnRenamed("norm", "y"), "y").groupBy("x").agg(first)
     return q.join(best, q["norm"] == best["x"]).select("name", F.col("b.choice").alias("choice"), F.col("b.score").alias("score"))
