@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from ledgerloom.functions.text import col, found, rx, squash, strip
+from ledgerloom.functions.text import col, found, let, rx, squash, strip
 from ledgerloom.schema import sentinel_to_null
 
 #: Month texts as scanners read them, and Spanish names in the order in which they are looked for.
@@ -40,15 +40,16 @@ def clean_date_token(c: str | Column) -> Column:
 
 def scanned_date(c: str | Column) -> Column:
     """Day, month word and year, with the scanner's O and I in years."""
-    s, p = clean_date_token(c), r"^(\d{1,2})\s+([A-Z]{2,4})\s+(\w{4})$"
-    year = F.translate(found(s, p, 3), "OI", "01")
-    return F.when(year.rlike(r"^\d{4}$"), try_date(year, _month(found(s, p, 2)).cast("string"), found(s, p, 1)))
+    part = lambda s, k: F.regexp_extract(s, rx(r"^(\d{1,2})\s+([A-Z]{2,4})\s+(\w{4})$"), k)
+    date = lambda s, year: F.when(year.rlike(r"^\d{4}$"), try_date(year, let(part(s, 2), _month).cast("string"), part(s, 1)))
+    return let(clean_date_token(c), lambda s: let(F.translate(part(s, 3), "OI", "01"), lambda year: date(s, year)))
 
 
 def printed_date(c: str | Column) -> Column:
     """As B23 without what scanners get wrong in years and separators."""
-    s, p = F.upper(squash(c)), r"^(\d{1,2})\s+([A-Z]{3,})\s+(\d{4})$"
-    return try_date(found(s, p, 3), _month(found(s, p, 2)).cast("string"), found(s, p, 1))
+    part = lambda s, k: F.regexp_extract(s, rx(r"^(\d{1,2})\s+([A-Z]{3,})\s+(\d{4})$"), k)
+    date = lambda s, year: F.when(year != "", try_date(year, let(part(s, 2), _month).cast("string"), part(s, 1)))
+    return let(F.upper(squash(c)), lambda s: let(part(s, 3), lambda year: date(s, year)))
 
 
 def ledger_date(c: str | Column) -> Column:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from ledgerloom.functions.text import col, rx, strip
+from ledgerloom.functions.text import col, let, rx, strip
 from ledgerloom.schema import sentinel_to_null
 
 #: Largest difference of amounts that count as equal, in binary doubles.
@@ -62,13 +62,16 @@ def fix_open_decimals(c: str | Column) -> Column:
 
 def fix_decimals(c: str | Column) -> Column:
     """At least two decimals."""
-    s = strip(c)
-    return (
-        F.when(s.rlike(r"[.,]$"), F.concat(s, F.lit("00")))
-        .when(s.rlike(r"[.,]\d$"), F.concat(s, F.lit("0")))
-        .when(s.rlike(r"[.,]\d{2,}$"), s)
-        .otherwise(F.concat(s, F.lit(".00")))
-    )
+
+    def longer(s: Column) -> Column:
+        return (
+            F.when(s.rlike(r"[.,]$"), F.concat(s, F.lit("00")))
+            .when(s.rlike(r"[.,]\d$"), F.concat(s, F.lit("0")))
+            .when(s.rlike(r"[.,]\d{2,}$"), s)
+            .otherwise(F.concat(s, F.lit(".00")))
+        )
+
+    return let(strip(c), longer)
 
 
 def amount_close(a: Column, b: Column, tolerance: float = TOLERANCE) -> Column:

@@ -30,18 +30,29 @@ def found(c: Column, pattern: str, group: int = 1) -> Column:
     return F.nullif(F.regexp_extract(c, rx(pattern), group), F.lit(""))
 
 
+def some(c: Column) -> Column:
+    """The text, null if it is empty; it is computed once, which nullif() doesn't where code isn't compiled."""
+    return let(c, lambda v: F.when(v != "", v))
+
+
 def let(value: Column, f) -> Column:
     """f of a value that is computed once, however often f uses it."""
     return F.element_at(F.transform(F.array(value), f), 1)
 
 
+#: What (?U)\s stands for.
+_SPACES = "\t\n\x0b\x0c\r \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+
+
 def strip(c: str | Column) -> Column:
-    return F.regexp_replace(col(c), rx(r"^\s+|\s+$"), "")
+    return F.trim(col(c), F.lit(_SPACES))
 
 
 def squash(c: str | Column) -> Column:
     """White space runs as one space, none at the ends."""
-    return strip(F.regexp_replace(col(c), rx(r"\s+"), " "))
+    # single blanks are left as they are; Unicode classes are slow, and ASCII doesn't need them
+    pattern = r"\s{2,}|[^\S ]"
+    return F.trim(_unless_ascii(col(c), lambda x: F.regexp_replace(x, pattern, " "), lambda x: F.regexp_replace(x, rx(pattern), " ")))
 
 
 #: White space that ends a line, and other white space.
@@ -49,18 +60,27 @@ _BREAKS = r"\n\r\u000b\u000c\u001c-\u001e\u0085\u2028\u2029"
 _BLANK = r"[ \t\u001f\u00a0\u1680\u2000-\u200a\u202f\u205f\u3000]"
 
 
+def _plain_or(c: Column, plain, full) -> Column:
+    """plain of texts whose only breaks are newlines and whose only other white space is blanks, full of others: splitting
+    by a pattern compiles it for each text, and wide classes of characters are slow."""
+    return F.when(~c.rlike(r"[^\n -~]"), plain(c)).otherwise(full(c))
+
+
 def raw_lines(c: str | Column, stripped: bool = True) -> Column:
     """All lines, without the white space at their ends unless they are wanted as they are."""
     if not stripped:
-        return F.split(col(c), rf"\r\n|[{_BREAKS}]")
-    inner = F.regexp_replace(col(c), rf"{_BLANK}*(\r\n|[{_BREAKS}]){_BLANK}*", "\n")
-    return F.split(F.regexp_replace(inner, rf"^{_BLANK}+|{_BLANK}+$", ""), "\n")
+        return _plain_or(col(c), lambda x: F.split(x, "\n"), lambda x: F.split(x, rf"\r\n|[{_BREAKS}]"))
+    inner = lambda x: F.regexp_replace(x, rf"{_BLANK}*(\r\n|[{_BREAKS}]){_BLANK}*", "\n")
+    full = lambda x: F.split(F.regexp_replace(inner(x), rf"^{_BLANK}+|{_BLANK}+$", ""), "\n")
+    return _plain_or(col(c), lambda x: F.transform(F.split(x, "\n"), lambda y: F.trim(y)), full)
 
 
 def lines(c: str | Column) -> Column:
     """The lines that aren't blank, squashed."""
-    even = F.regexp_replace(col(c), rf"{_BLANK}+", " ")
-    return F.filter(F.transform(F.split(even, rf"[{_BREAKS}]+"), lambda x: F.trim(x)), lambda x: x != "")
+    even = lambda x: F.when(x.contains("  "), F.regexp_replace(x, " {2,}", " ")).otherwise(x)
+    full = lambda x: F.split(F.regexp_replace(x, rf"{_BLANK}+", " "), rf"[{_BREAKS}]+")
+    cut = _plain_or(col(c), lambda x: F.split(even(x), "\n"), full)
+    return F.filter(F.transform(cut, lambda x: F.trim(x)), lambda x: x != "")
 
 
 def _changes(f) -> tuple[str, str, str, list[str]]:

@@ -8,6 +8,7 @@ per page, and the first page that has a field wins (first_by_page); outgoing one
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Iterable, Sequence
 from functools import partial
 
@@ -17,7 +18,7 @@ from pyspark.sql import functions as F
 from ledgerloom.functions.dates import iso_date, printed_date, scanned_date
 from ledgerloom.functions.money import fix_decimals, fix_open_decimals
 from ledgerloom.functions import text as plain
-from ledgerloom.functions.text import col, found, let, rx, squash, strip
+from ledgerloom.functions.text import col, let, rx, some, squash, strip
 
 #: Country lines under a beneficiary, words that look like bank codes, and currencies before amounts.
 NOT_NAMES = ("CHINA", "TURKEY", "COLOMBIA", "PANAMA", "US", "USA")
@@ -52,28 +53,30 @@ def whole(text: Text) -> Column:
 # --- places ------------------------------------------------------------------------------------------------------
 
 
-def first(values: Column) -> Column:
-    """The first value that isn't null."""
-    return F.try_element_at(F.filter(values, lambda x: x.isNotNull()), F.lit(1))
-
-
 def first_line(ls: Column, f: Callable[[Column], Column]) -> Column:
-    return first(F.transform(ls, f))
+    """The first result of f that isn't null; what comes behind it isn't looked at."""
+    return F.aggregate(ls, F.lit(None).cast("string"), lambda acc, x: F.coalesce(acc, f(x)))
 
 
 def behind(text: Column, label: str, ends: str = ":;", whole: bool = True) -> Column:
     """What follows each label and the sign that ends it, without the spaces between; null or empty without the label."""
     edge = r"\b" if whole else ""
     words = edge + label.replace(" ", r"\s+") + edge
-    pieces = F.slice(F.split(text, rx(rf"(?i){words}\s*[{ends}]\s*")), 2, 1000)
-    # splitting compiles its pattern for each text, so those without the label are left out before
+    pattern = rx(rf"(?i){words}\s*[{ends}]\s*")
     last = label.rpartition(" ")[2].lower()
-    return F.when(F.lower(text).contains(last), pieces) if last.isalpha() else pieces
+
+    def pieces(x: Column) -> Column:
+        # splitting compiles its pattern for each text, replacing compiles it once
+        return F.slice(F.when(x.contains("\x00"), F.split(x, pattern)).otherwise(F.split(F.regexp_replace(x, pattern, "\x00"), "\x00")), 2, 1000)
+
+    return let(text, lambda x: F.when(F.lower(x).contains(last), pieces(x)) if last.isalpha() else pieces(x))
 
 
 def windows(ls: Column, anchor: str, before: int = 1, length: int = WINDOW) -> Column:
     """For each line with the anchor, the lines from `before` behind it on."""
-    spots = F.filter(F.transform(ls, lambda x, i: F.when(x.rlike(rx(anchor)), i)), lambda i: i.isNotNull())
+    tag = (re.findall(r"\d\d", anchor) or [""])[0]  # digits of a tag, which are found faster than patterns match
+    has = lambda x: x.contains(tag) & x.rlike(rx(anchor))
+    spots = F.filter(F.transform(ls, lambda x, i: F.when(has(x), i)), lambda i: i.isNotNull())
     return F.transform(spots, lambda i: F.slice(ls, i + before + 1, length))
 
 
@@ -84,9 +87,13 @@ def block(ls: Column, opens: str, closes: str) -> Column:
     def cut(own: Column) -> Column:
         head = strip(F.regexp_replace(own[0], rx("^.*?" + opens), ""))
         rest = F.transform(F.slice(own, 2, F.size(own)), lambda x, i: F.struct(i.alias("i"), x.rlike(r"\S").alias("some"), x.rlike(rx(closes)).alias("ends")))
-        begun = F.when(head != "", F.lit(-1)).otherwise(F.coalesce(F.array_min(F.transform(F.filter(rest, lambda x: x["some"]), lambda x: x["i"])), F.size(own)))
-        stop = F.array_min(F.transform(F.filter(rest, lambda x: x["ends"] & (x["i"] > begun)), lambda x: x["i"]))
-        return F.concat(F.array(head), F.transform(F.slice(own, 2, F.coalesce(stop, F.size(own))), strip))
+
+        def end(head: Column, rest: Column) -> Column:
+            begun = F.when(head != "", F.lit(-1)).otherwise(F.coalesce(F.array_min(F.transform(F.filter(rest, lambda x: x["some"]), lambda x: x["i"])), F.size(own)))
+            stop = let(begun, lambda b: F.array_min(F.transform(F.filter(rest, lambda x: x["ends"] & (x["i"] > b)), lambda x: x["i"])))
+            return F.concat(F.array(head), F.transform(F.slice(own, 2, F.coalesce(stop, F.size(own))), strip))
+
+        return let(head, lambda h: let(rest, lambda r: end(h, r)))
 
     start = F.array_position(F.transform(ls, lambda x: x.rlike(rx(opens))), True).cast("int")
     return let(start, lambda i: F.when(i > 0, let(F.slice(ls, F.greatest(i, F.lit(1)), F.size(ls)), cut)))
@@ -97,8 +104,7 @@ def block(ls: Column, opens: str, closes: str) -> Column:
 
 def code_at_start(x: Column) -> Column:
     """A bank code that a text begins with: 11 letters and digits, else 8."""
-    run = F.regexp_extract(x, "^[A-Za-z0-9]{8,11}", 0)
-    return F.when(F.length(run) == 11, run).when(run != "", F.substring(run, 1, 8))
+    return let(F.regexp_extract(x, "^[A-Za-z0-9]{8,11}", 0), lambda run: F.when(F.length(run) == 11, run).when(run != "", F.substring(run, 1, 8)))
 
 
 def codes(x: Column) -> Column:
@@ -112,7 +118,7 @@ def named_code(x: Column) -> Column:
 
 
 def iso_text(x: Column) -> Column:
-    return F.date_format(iso_date(found(x, r"\b\d{4}-\d\d-\d\d\b", 0)), "yyyy-MM-dd")
+    return F.when(x.contains("-"), let(F.regexp_extract(x, rx(r"\b\d{4}-\d\d-\d\d\b"), 0), lambda v: _iso(iso_date(v))))
 
 
 def _iso(d: Column) -> Column:
@@ -121,13 +127,18 @@ def _iso(d: Column) -> Column:
 
 def number(x: Column) -> Column:
     """The first digit and the digits, dots and commas behind it."""
-    return found(x, r"[0-9][0-9.,]*", 0)
+    return some(F.regexp_extract(x, rx(r"[0-9][0-9.,]*"), 0))
 
 
 def between_signs(x: Column) -> Column:
     """What stands between the first two # that have something between them."""
-    parts = F.split(x, "#")
-    return F.try_element_at(F.filter(F.slice(parts, 2, F.greatest(F.size(parts) - 2, F.lit(0))), lambda p: p != ""), F.lit(1))
+    inner = lambda parts: F.filter(F.slice(parts, 2, F.greatest(F.size(parts) - 2, F.lit(0))), lambda p: p != "")
+    return F.try_element_at(let(F.split(x, "#"), inner), F.lit(1))
+
+
+def found(x: Column, pattern: str, group: int = 1) -> Column:
+    """As text.found(), for use inside of arrays."""
+    return some(F.regexp_extract(x, rx(pattern), group))
 
 
 def is_name(x: Column) -> Column:
@@ -151,43 +162,51 @@ def receiver_v1(text: Text) -> Column:
 
 def window_amount(w: Column) -> Column:
     """C4: between # behind the label (empty: none), between any #, a line of digits, the first number."""
-    full = F.array_join(w, " ")
-    signed = F.split(found(full, r"(?i)\bAmount\b\s*[:;]\s*(#.*)"), "#")
     bare = lambda x: F.regexp_replace(x, rx(r"\s+"), "")
     digits = lambda x: let(bare(x), lambda y: F.when(y.rlike(r"^[\d.,]{3,}$"), y))
-    some = lambda x: let(bare(F.regexp_extract(x, rx(r"[0-9][0-9.,\s]*"), 0)), lambda y: F.when(F.length(y) >= 3, y))
-    loose = let(between_signs(full), lambda x: F.when(x.rlike(rx(r"\d")), x))
-    other = F.coalesce(loose, first_line(w, digits), first_line(w, some))
-    return let(signed, lambda s: F.when(F.size(s) > 2, F.nullif(fix_open_decimals(s[1]), F.lit(""))).otherwise(fix_open_decimals(other)))
+    loose_number = lambda x: let(bare(F.regexp_extract(x, rx(r"[0-9][0-9.,\s]*"), 0)), lambda y: F.when(F.length(y) >= 3, y))
+
+    def read(full: Column) -> Column:
+        signed = F.split(F.when(F.lower(full).contains("amount"), found(full, r"(?i)\bAmount\b\s*[:;]\s*(#.*)")), "#")
+        loose = let(between_signs(full), lambda x: F.when(x.rlike(rx(r"\d")), x))
+        other = F.coalesce(loose, first_line(w, digits), first_line(w, loose_number))
+        return let(signed, lambda s: F.when(F.size(s) > 2, some(fix_open_decimals(s[1]))).otherwise(fix_open_decimals(other)))
+
+    return let(F.array_join(w, " "), read)
+
+
+def _words(x: Column) -> Column:
+    written = F.regexp_extract(x, rx(r"\b\d{1,2} [A-Za-z]{3,4} [0-9A-Za-z]{4}\b"), 0)
+    return F.when(x.rlike("[0-9]"), let(written, lambda v: F.when(v != "", _iso(scanned_date(v)))))
 
 
 def window_date(w: Column) -> Column:
     """An ISO date in any line, else day, month word and year."""
-    return F.coalesce(first_line(w, iso_text), first_line(w, lambda x: _iso(scanned_date(found(x, r"\b\d{1,2} [A-Za-z]{3,4} [0-9A-Za-z]{4}\b", 0)))))
+    return F.coalesce(first_line(w, iso_text), first_line(w, _words))
 
 
 def fallback_date(text: Text) -> Column:
     """A labelled ISO date, else the rest of a line behind a date label."""
-    labelled = lambda x: first_line(behind(x, "Interbank Settlement Date", whole=False), lambda v: _iso(iso_date(F.substring(v, 1, 10))))
-    words = lambda x: _iso(scanned_date(F.try_element_at(behind(x, "Date"), F.lit(1))))
+    labelled = lambda x: first_line(behind(x, "Interbank Settlement Date", whole=False), lambda v: let(F.substring(v, 1, 10), lambda y: _iso(iso_date(y))))
+    words = lambda x: let(F.try_element_at(behind(x, "Date"), F.lit(1)), lambda v: F.when(v.isNotNull(), _iso(scanned_date(v))))
     return let(lines(text), lambda ls: F.coalesce(first_line(ls, labelled), first_line(ls, words)))
 
 
 def date_v1(text: Text) -> Column:
-    below = let(lines(text), lambda ls: first(F.transform(windows(ls, r"(?i)\b32A\b"), window_date)))
+    below = let(lines(text), lambda ls: first_line(windows(ls, r"(?i)\b32A\b"), window_date))
     return F.coalesce(below, fallback_date(text))
 
 
 def amount_v1(text: Text) -> Column:
     """In the windows of 32A, else of 33B."""
-    below = lambda ls, tag: first(F.transform(windows(ls, rf"(?i)\b{tag}\b"), window_amount))
+    below = lambda ls, tag: first_line(windows(ls, rf"(?i)\b{tag}\b"), window_amount)
     return let(lines(text), lambda ls: F.coalesce(below(ls, "32A"), below(ls, "33B")))
 
 
 def beneficiary_v1(text: Text) -> Column:
     """The first name in the window of tag 59."""
-    wanted = lambda x: is_name(x) & ~x.startswith("/") & ~x.rlike("(?i)Beneficiary Customer")
-    return let(lines(text), lambda ls: first(F.transform(windows(ls, r"(^| )59 ?[:;]"), lambda w: F.try_element_at(F.filter(w, wanted), F.lit(1)))))
+    wanted = lambda x: F.when(is_name(x) & ~x.startswith("/") & ~x.rlike("(?i)Beneficiary Customer"), x)
+    return let(lines(text), lambda ls: first_line(windows(ls, r"(^| )59 ?[:;]"), lambda w: first_line(w, wanted)))
 
 
 # --- incoming, layout V2 -----------------------------------------------------------------------------------------
@@ -201,8 +220,8 @@ def receiver_v2(text: Text) -> Column:
 
 def date_v2(text: Text) -> Column:
     """An ISO date anywhere, else a date in words, first on lines with a date label."""
-    words = lambda x: _iso(printed_date(found(x, r"\b\d{1,2} [A-Za-z]{3,} \d{4}\b", 0)))
-    tail = lambda x: found(x, r"(?i)\bDate\b(.+)$")
+    words = lambda x: F.when(x.rlike("[0-9]"), let(F.regexp_extract(x, rx(r"\b\d{1,2} [A-Za-z]{3,} \d{4}\b"), 0), lambda v: F.when(v != "", _iso(printed_date(v)))))
+    tail = lambda x: F.when(F.lower(x).contains("date"), F.regexp_extract(x, rx(r"(?i)\bDate\b(.+)$"), 1))
     return let(lines(text), lambda ls: F.coalesce(first_line(ls, iso_text), first_line(ls, lambda x: words(tail(x))), first_line(ls, words)))
 
 
@@ -211,7 +230,8 @@ def amount_v2(text: Text) -> Column:
 
     def labelled(ls: Column, label: str) -> Column:
         amount = lambda v: F.coalesce(number(found(v, r"(?i)\bUSD\s*(\d.*)")), number(v))
-        return first_line(ls, lambda x: fix_decimals(amount(F.try_element_at(behind(x, label + " Amount"), F.lit(1)))))
+        read = lambda v: F.when(v.isNotNull(), fix_decimals(amount(v)))
+        return first_line(ls, lambda x: let(F.try_element_at(behind(x, label + " Amount"), F.lit(1)), read))
 
     return let(lines(text), lambda ls: F.coalesce(labelled(ls, "Interbank Settlement"), labelled(ls, "Instructed")))
 
@@ -222,10 +242,10 @@ def supplier_v2(text: Text) -> Column:
     def name(w: Column) -> Column:
         same_line = F.regexp_extract(F.element_at(w, 1), r"^[^:;]*[:;](.*)$", 1).rlike(r"\S")
         skip = F.when(same_line | (F.size(w) < 2), 1).otherwise(2)
-        names = F.filter(F.transform(F.slice(w, 2, WINDOW), lambda x, i: F.struct(x.alias("x"), i.alias("i"))), lambda y: is_name(y["x"]))
-        return let(names, lambda ns: F.coalesce(F.try_element_at(F.filter(ns, lambda y: y["i"] + 1 >= skip), F.lit(1)), F.try_element_at(ns, F.lit(1)))["x"])
+        from_ = lambda k: first_line(F.slice(w, k + 1, 12), lambda x: F.when(is_name(x), x))
+        return F.coalesce(let(skip, from_), from_(F.lit(1)))
 
-    return let(lines(text), lambda ls: first(F.transform(windows(ls, r"(?i)\bCreditor ?[:;]", before=0, length=12), name)))
+    return let(lines(text), lambda ls: first_line(windows(ls, r"(?i)\bCreditor ?[:;]", before=0, length=12), name))
 
 
 # --- outgoing, layout V1 -----------------------------------------------------------------------------------------
@@ -245,10 +265,11 @@ def _labelled_32a(text: Text, label: str, more: int, f: Callable[[Column], Colum
     def inside(ls: Column) -> Column:
         def look(n: Column) -> Column:
             start = n["start"]
-            spots = F.filter(F.sequence(start, F.greatest(n["stop"], start)), lambda i: F.try_element_at(ls, i).rlike(rx(rf"(?i)\b{label}\b")))
-            return F.when(start > 0, first(F.transform(spots, lambda i: f(F.array_join(F.slice(ls, i, more + 1), " ")))))
+            has = lambda x: F.lower(x).contains(label.lower()) & x.rlike(rx(rf"(?i)\b{label}\b"))
+            at = lambda i: F.when(let(F.try_element_at(ls, i), has), let(F.array_join(F.slice(ls, i, more + 1), " "), f))
+            return F.when(start > 0, first_line(F.sequence(start, F.greatest(n["stop"], start)), at))
 
-        marks = F.transform(ls, lambda x, i: F.struct((i + 1).alias("i"), x.rlike(rx(r"(?i)\b32A\b")).alias("opens"), x.rlike(_NEXT_TAG).alias("tag")))
+        marks = F.transform(ls, lambda x, i: F.struct((i + 1).alias("i"), (x.contains("32") & x.rlike(rx(r"(?i)\b32A\b"))).alias("opens"), x.rlike(_NEXT_TAG).alias("tag")))
 
         def bounds(ms: Column) -> Column:
             start = F.coalesce(F.array_min(F.transform(F.filter(ms, lambda m: m["opens"]), lambda m: m["i"])), F.lit(0))
@@ -262,13 +283,13 @@ def _labelled_32a(text: Text, label: str, more: int, f: Callable[[Column], Colum
 
 def date_v1_exp(text: Text) -> Column:
     """As it is written."""
-    written = lambda v: F.nullif(F.regexp_extract(v, r"^\d{1,2}\s+[A-Za-z]{3,9}\s+\d{4}", 0), F.lit(""))
+    written = lambda v: some(F.regexp_extract(v, r"^\d{1,2}\s+[A-Za-z]{3,9}\s+\d{4}", 0))
     return _labelled_32a(text, "Date", 2, lambda s: first_line(behind(s, "Date", ":", whole=False), written))
 
 
 def amount_v1_exp(text: Text) -> Column:
     """Between #, else the number behind the label."""
-    plain = lambda v: F.nullif(F.regexp_extract(F.ltrim(F.regexp_replace(v, "^[#$]", "")), r"^[\d.,]+", 0), F.lit(""))
+    plain = lambda v: some(F.regexp_extract(F.ltrim(F.regexp_replace(v, "^[#$]", "")), r"^[\d.,]+", 0))
     hashed = lambda s: let(strip(between_signs(s)), lambda x: F.when(x.rlike(r"\d"), x))
     return _labelled_32a(text, "Amount", 3, lambda s: F.coalesce(hashed(s), first_line(behind(s, "Amount", ":", whole=False), plain)))
 
@@ -279,8 +300,9 @@ def ordering_customer(text: Text) -> Column:
     label, tag = r"ordering\s+customer", "(?i)50[KF]:"
 
     def name(own: Column) -> Column:
-        kept = F.filter(own, lambda x: ~x.startswith("/") & ~x.rlike(rx(rf"(?i)^{label}")) & ~x.rlike(r"^[\[{]\d"))
-        return F.try_element_at(F.filter(F.transform(kept, lambda x: strip(F.regexp_replace(x, r"^(\d+/){1,2}", ""))), lambda x: x.rlike(rx(r"[^\d\s]"))), F.lit(1))
+        kept = lambda x: ~x.startswith("/") & ~x.rlike(rx(rf"(?i)^{label}")) & ~x.rlike(r"^[\[{]\d")
+        bare = lambda x: let(strip(F.regexp_replace(x, r"^(\d+/){1,2}", "")), lambda y: F.when(y.rlike(rx(r"[^\d\s]")), y))
+        return first_line(own, lambda x: F.when(kept(x), bare(x)))
 
     below = lambda ls: let(block(ls, rf"{tag}\s*({label})?$", _NEXT_TAG), lambda b: F.when(F.size(b) > 1, b))
     return let(raw_lines(text), lambda ls: let(F.coalesce(below(ls), block(ls, tag, _NEXT_TAG)), name))
@@ -295,14 +317,15 @@ def sender_v2(text: Text, own_codes: Sequence[str] = ()) -> Column:
 
     def at(ls: Column) -> Column:
         below = lambda i: let(F.try_element_at(ls, i + 2), lambda x: F.when(F.locate(":", x).between(1, 20), None).otherwise(code(x)))
-        return first(F.transform(ls, lambda x, i: F.when(x.rlike(rx(r"(?i)Sender\s*:")), F.coalesce(code(x), below(i)))))
+        spots = F.filter(F.transform(ls, lambda x, i: F.when(x.contains(":") & x.rlike(rx(r"(?i)Sender\s*:")), i)), lambda i: i.isNotNull())
+        return first_line(spots, lambda i: F.coalesce(code(F.element_at(ls, i + 1)), below(i)))
 
     return let(raw_lines(text), at)
 
 
 def date_v2_exp(text: Text) -> Column:
     """C16."""
-    return first_line(behind(whole(text), "Interbank Settlement Date", ":", whole=False), lambda v: F.nullif(F.regexp_extract(v, r"^\d{4}(-\d\d){2}", 0), F.lit("")))
+    return first_line(behind(whole(text), "Interbank Settlement Date", ":", whole=False), lambda v: some(F.regexp_extract(v, r"^\d{4}(-\d\d){2}", 0)))
 
 
 def amount_v2_exp(text: Text) -> Column:
@@ -313,7 +336,7 @@ def amount_v2_exp(text: Text) -> Column:
 
 def debtor_name(text: Text) -> Column:
     """C17: the first line from the debtor to its agent that is neither digits nor a country code."""
-    name = lambda own: F.try_element_at(F.filter(own, lambda x: (x != "") & ~x.rlike(r"^(\d+|[A-Z]{2,3})$")), F.lit(1))
+    name = lambda own: first_line(own, lambda x: F.when((x != "") & ~x.rlike(r"^(\d+|[A-Z]{2,3})$"), x))
     return let(plain.raw_lines(whole(text), False), lambda ls: let(block(ls, r"(?i)Debtor\s*:", r"(?i)^Debtor\s+Agent\s*:"), name))
 
 
