@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.functions.text import col, normalize_name, normalize_text, text_key, tokens
-from ledgerloom.operators.tokens import OVERLAP, RATIO, has_all, peel
+from ledgerloom.operators.tokens import OVERLAP, RATIO, has_all, hot_words, peel
 
 #: Bytes of master names that a task holds at a time.
 MASTER_BYTES = 16 << 20
@@ -24,15 +24,18 @@ def keep_first(df: DataFrame, key: str | list[str], order: str) -> DataFrame:
     return df.groupBy(*keys).agg(top).select(*[c if c in keys else F.col("_row")[c].alias(c) for c in df.columns])
 
 
-def best_by_tokens(names: DataFrame, registry: DataFrame, ratio: float = RATIO, overlap: int = OVERLAP) -> DataFrame:
+def best_by_tokens(names: DataFrame, registry: DataFrame, ratio: float = RATIO, overlap: int = OVERLAP, stash: Callable[[DataFrame], DataFrame] = lambda df: df) -> DataFrame:
     """(name, ratio, llave) of the distinct names that match a registry row (nombre, llave, od_order).
 
     Names ask for rows by their first two words and the rarest other word that a row has (peel()), so what is compared
     doesn't grow with names x rows that all begin alike. Rows that have no word of a name but the first two have a ratio
-    that depends on their length alone, so of these only the first of each length is kept."""
+    that depends on their length alone, so of these only the first of each length is kept. Words that many rows have and
+    no name asks for are left out before rows meet names. stash may write the tables that several steps read."""
     index = registry.withColumn("od", tokens("nombre")).select("llave", "od_order", "od", F.explode(F.array_distinct("od")).alias("word"))
     n = names.select("name").distinct().withColumn("src", tokens("name")).where(F.size("src") >= 2)
-    asked = peel(n, index, (), ratio, overlap)
+    n = stash(n)
+    asked = stash(peel(n, index, (), ratio, overlap))
+    index = stash(asked_words(asked, index))
     share = lambda both, size: both / F.greatest("total", size, F.lit(1))
     row = F.struct("ratio", (-F.col("od_order")).alias("o"), "llave")
     found = token_candidates(asked, index).withColumn("both", F.col("c") + F.size(F.filter("tail", lambda t: F.array_contains("od", t))))
@@ -45,6 +48,13 @@ def best_by_tokens(names: DataFrame, registry: DataFrame, ratio: float = RATIO,
     return n.join(answers, "src").select("name", F.col("b.ratio").alias("ratio"), F.col("b.llave").alias("llave"))
 
 
+def asked_words(asked: DataFrame, index: DataFrame) -> DataFrame:
+    """index without the words that HOT rows or more have and that no question asks for: these rows would all meet in one task."""
+    hot = hot_words(index.groupBy("word").agg(F.count("*").alias("n")))
+    vain = hot.select("word").join(asked.select("word").distinct(), "word", "left_anti")
+    return index.join(F.broadcast(vain), "word", "left_anti")
+
+
 def token_candidates(asked: DataFrame, index: DataFrame) -> DataFrame:
     """The distinct questions of peel() with a tail, and the registry rows that have their words."""
     q = asked.where(F.size("tail") > 0).select("q", "two", "c", "total", "tail", "word").distinct()

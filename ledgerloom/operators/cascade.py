@@ -10,7 +10,7 @@ grows with messages x rows.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -82,36 +82,37 @@ def detail_candidates(asked: DataFrame, index: DataFrame) -> DataFrame:
 
 def reconcile(
     msgs: DataFrame, ledger: DataFrame, loose_single: bool = False, tolerance: float = TOLERANCE, ratio: float = RATIO, overlap: int = OVERLAP,
-    keep: Sequence[str] = (), held: list[DataFrame] | None = None,
+    keep: Sequence[str] = (), held: list[DataFrame] | None = None, stash: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
     """(id, keep, rule, formulario) of every message: msgs have id, fecha_key, nombre_clean, amount; ledger rows have
     fecha_key, detalle_clean, monto, formulario, row_order. formulario is null where the message stays as it was.
 
     Null dates match nothing. multi_blank: the sum fits, but no row has a form. A tolerance of 0 takes equal amounts
     alone. Three narrow tables that several steps read are persisted, in memory or on disk, where held is given: it takes
-    them, for unpersist() when the result has been written."""
+    them, for unpersist() when the result has been written. Where stash is given instead, it writes these tables and
+    returns them as they are read again; without either they are computed by each step."""
 
     def hold(df: DataFrame) -> DataFrame:
+        if stash is not None:
+            return stash(df)
         if held is not None:
             held.append(df.persist())
         return df
 
     m = hold(msgs.select("id", *keep, "fecha_key", "amount", drop_noise(tokens("nombre_clean")).alias("src")))
-    rows = hold(ledger.where("fecha_key IS NOT NULL").select("fecha_key", "detalle_clean", "monto", "formulario", "row_order"))
+    rows = hold(ledger.where("fecha_key IS NOT NULL").select("fecha_key", "detalle_clean", "monto", "formulario", "row_order", F.array_distinct(tokens("detalle_clean")).alias("words")))
     size = F.lit(max(2 * tolerance, 0.01))
     bins = F.array(*[F.floor(F.col("amount") / size) + k for k in (-1, 0, 1)])
     close = amount_close(F.col("monto"), F.col("amount"), tolerance)
     form = F.struct("row_order", "formulario")
     asked = m.where("fecha_key IS NOT NULL").select("fecha_key", "src", "amount").distinct()
     # rows by words
-    of = rows.groupBy("fecha_key", "detalle_clean").agg(F.count("*").alias("n"), F.sum("monto").alias("total"), F.max(form).alias("one"))
-    details = hold(of.withColumn("words", F.array_distinct(tokens("detalle_clean"))))
+    details = hold(rows.groupBy("fecha_key", "detalle_clean", "words").agg(F.count("*").alias("n"), F.sum("monto").alias("total"), F.max(form).alias("one")))
     sums = detail_sums(asked.select("fecha_key", "src").distinct(), details, ratio, overlap)
     settled = hold(asked.join(sums, ["fecha_key", "src"], "left"))
-    worded = lambda df: df.withColumn("words", F.array_distinct(tokens("detalle_clean")))
     alike = tokens_match(F.col("src"), F.col("words"), ratio, overlap)
     near = settled.where("n > 1 AND amount IS NOT NULL").select("fecha_key", "src", "amount", F.col("lead").alias("word"), F.explode(bins).alias("bin"))
-    by_bin = worded(rows.withColumn("bin", F.floor(F.col("monto") / size))).withColumn("word", F.explode("words"))
+    by_bin = rows.withColumn("bin", F.floor(F.col("monto") / size)).withColumn("word", F.explode("words"))
     near = near.join(by_bin, ["fecha_key", "bin", "word"]).where(close & alike)
     exact = near.groupBy("fecha_key", "src", "amount").agg(F.count("*").alias("n_fit"), F.max(form).alias("fit"))
     # rows by amount, where there are none by words
@@ -137,7 +138,7 @@ def reconcile(
     out = out.withColumn("rule", rule).select("fecha_key", "src", "amount", "lead", "rule", value.alias("value"))
     # lists of forms, for the sums that fit
     summed = out.where("rule = 'multi_sum'").select("fecha_key", "src", F.col("lead").alias("word")).distinct()
-    listed = summed.join(worded(rows).withColumn("word", F.explode("words")), ["fecha_key", "word"]).where(alike)
+    listed = summed.join(rows.withColumn("word", F.explode("words")), ["fecha_key", "word"]).where(alike)
     listed = listed.where(~F.trim("formulario").isin("", "none", "nan", "nat")).groupBy("fecha_key", "src")
     listed = listed.agg(F.array_join(F.transform(F.array_sort(F.collect_list(form)), lambda x: x["formulario"]), "-").alias("forms"))
     out = out.join(listed.withColumn("rule", F.lit("multi_sum")), ["fecha_key", "src", "rule"], "left")

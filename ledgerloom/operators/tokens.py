@@ -8,6 +8,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 RATIO, OVERLAP = 0.60, 2
+#: Rows from which on a word is one that many rows have; there are no more such words than words of all rows by this.
+HOT = 10_000
+
+
+def hot_words(often: DataFrame) -> DataFrame:
+    """(word, n) of the words that many rows have, few enough to be sent to all tasks."""
+    return often.where(F.col("n") >= HOT)
 
 
 def overlap(source: Column, target: Column) -> Column:
@@ -56,7 +63,13 @@ def peel(names: DataFrame, index: DataFrame, keys: Sequence[str] = (), ratio: fl
     keys = list(keys)
     often = index.groupBy(*keys, "word").agg(F.count("*").alias("n"))
     asked = names.select(*keys, "src").distinct().where(F.size("src") > 0)
-    each = asked.withColumn("word", F.explode(F.array_distinct("src"))).join(often, [*keys, "word"])
+    each = asked.withColumn("word", F.explode(F.array_distinct("src")))
+    if keys:
+        each = each.join(often, [*keys, "word"])
+    else:  # names that have a word that many rows have don't all meet in one task
+        known = each.join(F.broadcast(hot_words(often)), "word", "left")
+        rest = known.where("n IS NULL").drop("n").join(often.where(F.col("n") < HOT), "word")
+        each = known.where("n IS NOT NULL").unionByName(rest)
     known = each.groupBy(*keys, "src").agg(F.array_sort(F.collect_list(F.struct("n", "word"))).alias("known"))
     two, total = F.array_sort(F.array_distinct(F.slice("src", 1, 2))), F.size("src")
     k = known.withColumns({"two": two, "total": total}).withColumn("firsts", F.filter("known", lambda x: F.array_contains("two", x["word"])))

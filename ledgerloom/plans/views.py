@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import uuid
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -17,6 +20,17 @@ def shared(spark: SparkSession) -> str:
     return (spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir() or spark.conf.get("spark.sql.warehouse.dir")).rstrip("/")
 
 
+def stash(spark: SparkSession) -> Callable[[DataFrame], DataFrame]:
+    """Writes a table to the shared folder and reads it again, so that several steps don't each compute it."""
+
+    def write(df: DataFrame) -> DataFrame:
+        path = f"{shared(spark)}/stash-{uuid.uuid4().hex}.parquet"
+        df.write.parquet(path)
+        return spark.read.schema(df.schema).parquet(path)
+
+    return write
+
+
 def msgs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(id, fecha_key, proveedor, amount) of every order; amounts that sums, single rows, other or no rows settle."""
     lines = table(spark, sf_dir, "lineitem").groupBy(F.col("l_orderkey").alias("k")).agg(F.sum("l_extendedprice").alias("total"), F.min("l_extendedprice").alias("least"))

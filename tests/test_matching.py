@@ -290,3 +290,15 @@ def test_manifest(spark):
     marked = records.mark(m, spark.createDataFrame([("2", "Completo")], "content_md5 string, estado string"))
     assert sorted(r[0] for r in records.pending(files, marked).collect()) == ["3", "4"]
     assert records.unmark(marked, "1").count() == 2
+
+
+def test_words_that_many_rows_have(spark, monkeypatch):
+    """Words that many rows have and no name asks for don't meet names in one task; the rows are the same."""
+    registry = spark.createDataFrame([(f"Firm Customer {k} BANK", f"K{k}", k) for k in range(12)], "nombre string, llave string, od_order long")
+    names = spark.createDataFrame([(f"Customer {k} Firm BANK",) for k in range(6)], "name string")
+    want = sorted(map(tuple, argmax.best_by_tokens(names, registry).collect()))
+    monkeypatch.setattr("ledgerloom.operators.tokens.HOT", 5)
+    assert sorted(map(tuple, argmax.best_by_tokens(names, registry).collect())) == want and len(want) == 6
+    index = spark.createDataFrame([("firm",)] * 6 + [("customer",)] * 6 + [("1",)], "word string")
+    asked = spark.createDataFrame([("1",), ("customer",)], "word string")
+    assert {r.word for r in argmax.asked_words(asked, index).collect()} == {"customer", "1"}
