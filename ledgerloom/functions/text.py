@@ -130,18 +130,27 @@ def _ranges(joined: str, gap: int = 64) -> str:
     return "".join(f"{chr(codes[a])}-{chr(codes[b - 1])}" for a, b in zip([0, *ends], [*ends, len(codes)]))
 
 
+def _part(x: Column, joined: str, parts: list[str]) -> Column:
+    """The part of a character, null if it isn't among joined, which are sorted: by halves down to some that instr() tries
+    one after another."""
+    if len(joined) <= 100:
+        return F.get(F.split(F.lit("\x00".join(parts)), "\x00"), F.instr(F.lit(joined), x) - 1)
+    half = len(joined) // 2
+    return F.when(x < joined[half], _part(x, joined[:half], parts[:half])).otherwise(_part(x, joined[half:], parts[half:]))
+
+
 def _spread(c: Column, joined: str, parts: list[str], hangul: bool) -> Column:
     """Each character of joined as its part, and Hangul syllables as their letters; only texts that may hold one are cut."""
-    some = _ranges(joined) + ("가-힣" if hangul else "")
-    become = F.split(F.lit("\x00".join(parts)), "\x00")
+    ranges = _ranges(joined) + ("가-힣" if hangul else "")
+    # most characters are ASCII: they are told by one range before the others are tried
+    some, rest = rf"[[^\x00-\x7f]&&[{ranges}]]", rf"[\x00-\x7f[^{ranges}]]"
 
     def part(x: Column) -> Column:
-        place = F.instr(F.lit(joined), x)
-        to = F.when(F.length(x) > 1, x).when(place > 0, F.get(become, place - 1)).otherwise(x)
-        return F.when((F.length(x) == 1) & x.between("가", "힣"), _letters(x)).otherwise(to) if hangul else to
+        to = F.coalesce(_part(x, joined, parts), x)
+        return F.when(F.length(x) > 1, x).otherwise(F.when(x.between("가", "힣"), _letters(x)).otherwise(to) if hangul else to)
 
-    cut = lambda x: F.array_join(F.transform(F.regexp_extract_all(x, F.lit(f"([{some}]|[^{some}]+)"), 1), part), "")
-    return let(c, lambda x: F.when(x.rlike(f"[{some}]"), cut(x)).otherwise(x))
+    cut = lambda x: F.array_join(F.transform(F.regexp_extract_all(x, F.lit(f"{some}|{rest}+"), 0), part), "")
+    return let(c, lambda x: F.when(x.rlike(some), cut(x)).otherwise(x))
 
 
 def _unless_ascii(c: Column, simple, full) -> Column:

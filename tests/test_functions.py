@@ -1,4 +1,5 @@
 import datetime
+import time
 import unicodedata
 import uuid
 
@@ -88,3 +89,26 @@ def test_folding(spark):
     assert one(spark, text.fold, blocks) == bare and one(spark, text.case_fold, blocks) == [x.casefold() for x in blocks]
     plan = spark.range(1).select(text.fold(F.lit("x")), text.text_key(F.lit("x")))._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_folding_of_joined_letters_anywhere(spark):
+    """Joined letters beside ASCII, accents, Hangul and letters that stay, at both ends and by themselves, in long texts."""
+    some = [*text._JOINED[::7], *text._CASED_JOINED, "가", "힣", "é", "日", "a", "ab c", "\x7f", "\x80", "𝒜", "🄐", "\ue000"]
+    texts = [x + y + x for x in some for y in ("", "a", "é", "日", "각ﬁ", " long " * 900)]
+    assert one(spark, text.fold, texts) == [text._bare(x) for x in texts]
+    assert one(spark, text.case_fold, texts) == [x.casefold() for x in texts]
+
+
+def test_folding_takes_as_long_for_all_letters(spark):
+    """Ligatures, which are late in the table of joined letters, take no longer than fractions, which are early in it."""
+
+    def seconds(letter):
+        df = spark.range(40, numPartitions=1).select(F.repeat(F.lit(letter), 5000 + F.col("id").cast("int")).alias("x")).localCheckpoint()
+        took = []
+        for _ in range(4):
+            began = time.perf_counter()
+            df.select(F.sum(F.length(text.fold("x")))).collect()
+            took.append(time.perf_counter() - began)
+        return min(took[1:])
+
+    assert seconds("ﬁ") < 3 * seconds("½")
