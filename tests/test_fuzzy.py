@@ -81,3 +81,22 @@ def test_join_query_equals_its_sql(spark, tmp_path):
         db.execute(f"CREATE VIEW clients AS SELECT * FROM '{tmp_path}/clients.parquet/*.parquet'")
         want = db.execute(queries.ORACLE_SQL["e_fuzzy_join"]).fetchall()
     assert sorted(map(tuple, got)) == sorted(want) and "ornihamren mma" not in {r["name"] for r in got}
+
+
+@pytest.mark.parametrize("seed, threshold, rounded", [(6, 85, False), (7, 97, True)])
+def test_names_with_a_near_choice_are_held_against_near_ones_alone(spark, tmp_path, monkeypatch, seed, threshold, rounded):
+    """The rows are those of all pairs; names whose best choice is near don't take part in the search for less alike ones."""
+    from ledgerloom.plans.views import stash
+
+    names, choices = corpus(seed, 80)
+    n, m = spark.createDataFrame([(x,) for x in names], "name string"), spark.createDataFrame([(x, k) for k, x in enumerate(choices)], "choice string, choice_order long")
+    want = argmax.best_fuzzy(n, m, normalize_text, rounded=rounded).where(F.col("score") >= threshold).collect()
+    asked, near = [], fuzzy.near
+    monkeypatch.setattr(fuzzy, "near", lambda a, b, least: asked.append((a.count(), least)) or near(a, b, least))
+    got = fuzzy.fuzzy_matches(n, m, threshold, normalize_text, rounded, few=0, stash=stash(spark))
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want))
+    far = {" ".join(x.upper().split()) for x in names if x.strip()}
+    assert [k for k, _ in asked][0] <= len(far) and len(asked) == (1 if threshold >= fuzzy.NEAR else 2)
+    if len(asked) == 2:
+        done = {r["name"] for r in want if r["score"] >= fuzzy.NEAR}
+        assert len(done) > 20 and asked[1][0] <= asked[0][0] - len({r["choice"] for r in want if r["score"] >= fuzzy.NEAR}) // 2
