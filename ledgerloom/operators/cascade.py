@@ -19,7 +19,7 @@ from ledgerloom.functions.dates import ledger_date
 from ledgerloom.functions.ids import form_text, usable
 from ledgerloom.functions.money import TOLERANCE, amount_close, parse_money
 from ledgerloom.functions.text import clean_detail, clean_file_name, drop_noise, text_key, tokens
-from ledgerloom.operators.tokens import OVERLAP, RATIO, has_all, peel, tokens_match
+from ledgerloom.operators.tokens import OVERLAP, RATIO, among, has_all, peel, tokens_match
 from ledgerloom.schema import require_columns
 
 RULES = ("no_day", "none", "amount_fallback", "single", "multi_exact", "multi_sum", "multi_blank", "multi_fail")
@@ -53,18 +53,21 @@ def message_keys(df: DataFrame, by: str = "Nombre archivo", keep: Sequence[str]
     return df.select("id", *keep, ledger_date("Date").alias("fecha_key"), name.alias("nombre_clean"), parse_money("Amount").alias("amount"))
 
 
-def detail_sums(names: DataFrame, details: DataFrame, ratio: float = RATIO, overlap: int = OVERLAP) -> DataFrame:
+def detail_sums(names: DataFrame, details: DataFrame, ratio: float = RATIO, overlap: int = OVERLAP, stash: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
     """E13 as a join: (fecha_key, src, n, total, one, lead) of the names (fecha_key, src) that match a detail: the rows of
     all details that they match counted, summed, and the last form of these. details have fecha_key, words, n, total
     and one; lead is the rarer of a name's first two words.
 
     The details that match are told apart by the rarest word of the name, besides the first two, that they have: those
     behind which a name has just as many words as it needs are the ones that it matches by this word and not by those
-    after it. So its sums are those of a few questions, which names share."""
+    after it. So its sums are those of a few questions, which names share. Where stash is given, it writes the questions, and details that none of them asks for are left out."""
     index = details.withColumn("word", F.explode("words"))
     asked = peel(names, index, ["fecha_key"], ratio, overlap)
     # where the two words are enough, others change nothing
     asked = asked.where((F.size("tail") == 0) | (F.col("c") < F.col("need")))
+    if stash is not None:
+        asked = stash(asked)
+        index = among(index, asked, ["fecha_key", "word"], asked.count())
     found = detail_candidates(asked, index)
     per = found.groupBy("fecha_key", "q").agg(F.sum("n").alias("n"), F.sum("total").alias("total"), F.max("one").alias("one"))
     back = asked.select("fecha_key", "src", "q", "lead").join(per, ["fecha_key", "q"])
@@ -90,7 +93,8 @@ def reconcile(
     Null dates match nothing. multi_blank: the sum fits, but no row has a form. A tolerance of 0 takes equal amounts
     alone. Three narrow tables that several steps read are persisted, in memory or on disk, where held is given: it takes
     them, for unpersist() when the result has been written. Where stash is given instead, it writes these tables and
-    returns them as they are read again; without either they are computed by each step."""
+    returns them as they are read again, and rows that no message asks for are left out by among() before rows move to
+    amounts and lists; without either the tables are computed by each step."""
 
     def hold(df: DataFrame) -> DataFrame:
         if stash is not None:
@@ -108,20 +112,26 @@ def reconcile(
     asked = m.where("fecha_key IS NOT NULL").select("fecha_key", "src", "amount").distinct()
     # rows by words
     details = hold(rows.groupBy("fecha_key", "detalle_clean", "words").agg(F.count("*").alias("n"), F.sum("monto").alias("total"), F.max(form).alias("one")))
-    sums = detail_sums(asked.select("fecha_key", "src").distinct(), details, ratio, overlap)
+    sums = detail_sums(asked.select("fecha_key", "src").distinct(), details, ratio, overlap, stash)
     settled = hold(asked.join(sums, ["fecha_key", "src"], "left"))
+    many, no_words, total_fits = F.expr("n > 1 AND amount IS NOT NULL"), F.expr("n IS NULL AND amount IS NOT NULL"), amount_close(F.col("total"), F.col("amount"), tolerance)
+    sizes = settled.agg(*[F.count_if(x) for x in (many, no_words, many & total_fits)]).first() if stash is not None else None
+
+    def wanted(df: DataFrame, keys: DataFrame, kind: int, bins: int = 1) -> DataFrame:
+        on = [c for c in ("fecha_key", "bin", "word") if c in keys.columns]
+        return df if sizes is None else among(df, keys.select(*on), on, bins * sizes[kind])
+
     alike = tokens_match(F.col("src"), F.col("words"), ratio, overlap)
-    near = settled.where("n > 1 AND amount IS NOT NULL").select("fecha_key", "src", "amount", F.col("lead").alias("word"), F.explode(bins).alias("bin"))
+    near = settled.where(many).select("fecha_key", "src", "amount", F.col("lead").alias("word"), F.explode(bins).alias("bin"))
     by_bin = rows.withColumn("bin", F.floor(F.col("monto") / size)).withColumn("word", F.explode("words"))
-    near = near.join(by_bin, ["fecha_key", "bin", "word"]).where(close & alike)
+    near = near.join(wanted(by_bin, near, 0, 3), ["fecha_key", "bin", "word"]).where(close & alike)
     exact = near.groupBy("fecha_key", "src", "amount").agg(F.count("*").alias("n_fit"), F.max(form).alias("fit"))
     # rows by amount, where there are none by words
-    alone = settled.where("n IS NULL AND amount IS NOT NULL").select("fecha_key", "src", "amount", F.explode(bins).alias("bin"))
-    alone = alone.select("fecha_key", "amount", "bin").distinct().join(rows.withColumn("bin", F.floor(F.col("monto") / size)), ["fecha_key", "bin"]).where(close)
+    alone = settled.where(no_words).select("fecha_key", "amount", F.explode(bins).alias("bin"))
+    alone = alone.distinct().join(wanted(rows.withColumn("bin", F.floor(F.col("monto") / size)), alone, 1, 3), ["fecha_key", "bin"]).where(close)
     by_amount = alone.groupBy("fecha_key", "amount").agg(F.count("*").alias("n_amt"), F.max(form).alias("amt"))
     days = rows.select("fecha_key").distinct().withColumn("day", F.lit(True))
     out = settled.join(exact, ["fecha_key", "src", "amount"], "left").join(by_amount, ["fecha_key", "amount"], "left").join(days, "fecha_key", "left")
-    total_fits = amount_close(F.col("total"), F.col("amount"), tolerance)
     rule = (
         F.when(F.col("day").isNull(), "no_day")
         .when(F.col("n").isNull(), F.when((F.col("n_amt") == 1) & usable("amt.formulario"), "amount_fallback").otherwise("none"))
@@ -138,8 +148,9 @@ def reconcile(
     out = out.withColumn("rule", rule).select("fecha_key", "src", "amount", "lead", "rule", value.alias("value"))
     # lists of forms, for the sums that fit
     summed = out.where("rule = 'multi_sum'").select("fecha_key", "src", F.col("lead").alias("word")).distinct()
-    listed = summed.join(rows.withColumn("word", F.explode("words")), ["fecha_key", "word"]).where(alike)
-    listed = listed.where(~F.trim("formulario").isin("", "none", "nan", "nat")).groupBy("fecha_key", "src")
+    by_word = rows.where(~F.trim("formulario").isin("", "none", "nan", "nat")).select("fecha_key", "words", "row_order", "formulario", F.explode("words").alias("word"))
+    sums_fit = settled.where(many & total_fits).select("fecha_key", F.col("lead").alias("word"))
+    listed = summed.join(wanted(by_word, sums_fit, 2), ["fecha_key", "word"]).where(alike).groupBy("fecha_key", "src")
     listed = listed.agg(F.array_join(F.transform(F.array_sort(F.collect_list(form)), lambda x: x["formulario"]), "-").alias("forms"))
     out = out.join(listed.withColumn("rule", F.lit("multi_sum")), ["fecha_key", "src", "rule"], "left")
     out = out.withColumn("rule", F.when((F.col("rule") == "multi_sum") & F.col("forms").isNull(), "multi_blank").otherwise(F.col("rule")))

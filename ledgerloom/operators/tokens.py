@@ -11,6 +11,25 @@ RATIO, OVERLAP = 0.60, 2
 #: Rows from which on a word is one that many rows have; there are no more such words than words of all rows by this.
 HOT = 10_000
 
+#: Fewest and most bits for a set of keys, and bits for each key in between; they are sent to all tasks, 64 MB at most.
+LEAST_BITS, MOST_BITS, BITS_PER_KEY = 1 << 18, 1 << 29, 8
+#: Bits of one row of such a set, as bitmap_construct_agg() makes them.
+_ROW = 1 << 15
+
+
+def among(df: DataFrame, keys: DataFrame, on: Sequence[str], n: int) -> DataFrame:
+    """The rows of df whose columns on may be a row of keys, which are about n: all that are one, and a few others.
+
+    The keys travel as bits of their hashes, so rows that a join behind this would drop are dropped before they move.
+    Where there are more keys than bits can tell apart, more others stay; no row that is among the keys is lost."""
+    bits = max(LEAST_BITS, min(MOST_BITS, 1 << (BITS_PER_KEY * n).bit_length()))
+    slot = F.pmod(F.xxhash64(*on), F.lit(bits))
+    part, at = F.floor(slot / _ROW).cast("int"), (slot % _ROW).cast("int")
+    sets = keys.groupBy(part.alias("_part")).agg(F.bitmap_construct_agg(at.cast("long")).alias("_bits"))
+    byte = F.conv(F.hex(F.substring("_bits", F.floor(at / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    bit = byte.bitwiseAND(F.call_function("shiftleft", F.lit(1), at % 8)) != 0
+    return df.withColumn("_part", part).join(F.broadcast(sets), "_part").where(bit).select(*df.columns)
+
 
 def hot_words(often: DataFrame) -> DataFrame:
     """(word, n) of the words that many rows have, few enough to be sent to all tasks."""

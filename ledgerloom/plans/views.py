@@ -25,7 +25,7 @@ def stash(spark: SparkSession) -> Callable[[DataFrame], DataFrame]:
 
     def write(df: DataFrame) -> DataFrame:
         path = f"{shared(spark)}/stash-{uuid.uuid4().hex}.parquet"
-        df.write.parquet(path)
+        df.write.option("compression", "zstd").parquet(path)
         return spark.read.schema(df.schema).parquet(path)
 
     return write
@@ -52,7 +52,9 @@ def ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(fecha_key, detalle, monto, formulario, row_order) of every line; some have no form."""
     o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", F.to_date("o_orderdate").alias("fecha_key"))
     c = table(spark, sf_dir, "customer").select("c_custkey", "c_name")
-    rows = table(spark, sf_dir, "lineitem").join(o, F.col("l_orderkey") == F.col("o_orderkey")).join(c, F.col("o_custkey") == F.col("c_custkey"))
+    # customers meet orders, of which there are fewer than lines; lines, whose size is guessed too small, aren't broadcast
+    named = o.join(c, F.col("o_custkey") == F.col("c_custkey"))
+    rows = table(spark, sf_dir, "lineitem").join(named.hint("merge"), F.col("l_orderkey") == F.col("o_orderkey"))
     order = F.col("l_orderkey") * 1_000_000 + F.col("l_linenumber") * 100_000 + F.col("l_partkey")
     other = (F.col("l_orderkey") + F.col("l_linenumber") + F.col("l_partkey")) % 7 == 0
     detail = F.concat(F.when(other, "other firm").otherwise(F.translate("c_name", "#", " ")), F.lit(" # "), F.col("l_linenumber").cast("string"))

@@ -302,3 +302,45 @@ def test_words_that_many_rows_have(spark, monkeypatch):
     index = spark.createDataFrame([("firm",)] * 6 + [("customer",)] * 6 + [("1",)], "word string")
     asked = spark.createDataFrame([("1",), ("customer",)], "word string")
     assert {r.word for r in argmax.asked_words(asked, index).collect()} == {"customer", "1"}
+
+
+def test_rows_that_nobody_asks_for_do_not_move(spark, tmp_path, monkeypatch):
+    """Where tables are written, rows meet amounts and lists only if a message may ask for them; the rules are the same."""
+    from ledgerloom.plans.views import stash
+
+    rng = random.Random(5)
+    day = lambda k: datetime.date(2025, 5, 1 + k % 20)
+    firms = [f"firma {w} c{k}" for k, w in enumerate(["sur", "norte", "este", "oeste"] * 10)]
+    rows = [(day(k), rng.choice([*firms, "quite another"]), float(rng.randrange(100, 100_000)), rng.choice(["", f"F{k}", f"F{k}", None]), k) for k in range(6000)]
+    mine = {}
+    for d, n, amount, _, _ in rows:
+        mine.setdefault((d, n), []).append(amount)
+    some = [(k, d, n, rng.choice([sum(a), a[0], a[-1] + 0.03, 5.0])) for k, ((d, n), a) in enumerate(sorted(mine.items())) if k % 9 == 0]
+    some += [(1000, day(1), "unknown firm", rows[1][2]), (1001, day(1), "unknown firm", None), (1002, None, "firma sur c0", 5.0)]
+    m = spark.createDataFrame(some, "id int, fecha_key date, nombre_clean string, amount double")
+    led = spark.createDataFrame(rows, "fecha_key date, detalle_clean string, monto double, formulario string, row_order long")
+    moved, among = [], cascade.among
+
+    def counted(df, keys, on, n):
+        out = among(df, keys, on, n)
+        assert df.join(keys.select(*on).distinct(), on, "left_semi").select(*out.columns).exceptAll(out).count() == 0
+        moved.append((df.count(), out.count()))
+        return out
+
+    monkeypatch.setattr(cascade, "among", counted)
+    got = sorted(map(str, cascade.reconcile(m, led, stash=stash(spark)).collect()))
+    assert got == sorted(map(str, cascade.reconcile(m, led).collect())) and len({r.split("rule=")[1].split(",")[0] for r in got}) > 3
+    assert len(moved) == 4 and all(after < before / 2 for before, after in moved), moved
+
+
+def test_among_loses_nothing_when_bits_are_few(spark, monkeypatch):
+    """More keys than bits: other rows stay, but none that is asked for is lost, and empty keys leave no row."""
+    from ledgerloom.operators import tokens
+
+    df = spark.range(3000).select(F.col("id").alias("k"), F.col("id").cast("string").alias("w"))
+    keys = df.where("k % 3 = 0")
+    assert keys.exceptAll(tokens.among(df, keys, ["k", "w"], 1000)).count() == 0
+    assert tokens.among(df, keys, ["k", "w"], 1000).count() < 1300 and tokens.among(df, keys.limit(0), ["k", "w"], 0).count() == 0
+    monkeypatch.setattr(tokens, "LEAST_BITS", 1 << 8)
+    monkeypatch.setattr(tokens, "MOST_BITS", 1 << 8)
+    assert keys.exceptAll(tokens.among(df, keys, ["k", "w"], 1000)).count() == 0
